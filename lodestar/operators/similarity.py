@@ -82,7 +82,8 @@ def dot_scores(matches: DataFrame) -> DataFrame:
 
 
 def cosine_scores(dots: DataFrame, norms: DataFrame, method: str | Callable[[DataFrame, DataFrame], DataFrame] = "cosine") -> DataFrame:
-    """J2 + U3: ``(seed_id, doc_id, score)``; score rounded before any ranking.
+    """J2 + U3: ``(seed_id, doc_id, score, cosine)``; ``score`` is rounded before any
+    ranking so engines agree on ties, ``cosine`` keeps the unrounded value for blending.
 
     ``cosine`` divides by both norms and drops pairs with a zero norm (the reference
     would emit NaN); ``dot`` keeps the raw dot product; a callable gets (dots, norms).
@@ -90,14 +91,13 @@ def cosine_scores(dots: DataFrame, norms: DataFrame, method: str | Callable[[Dat
     if callable(method):
         return method(dots, norms)
     if method == "dot":
-        return dots.select("seed_id", "doc_id", F.round("dot", SCORE_DP).alias("score"))
+        return dots.select("seed_id", "doc_id", F.round("dot", SCORE_DP).alias("score"), F.col("dot").alias("cosine"))
     if method != "cosine":
         raise ValueError(f"unknown method {method!r}")
     j = dots.join(norms, "doc_id")
     denom = F.col("qnorm") * F.col("norm")
-    return j.where(denom > 0).select(
-        "seed_id", "doc_id", F.round(F.col("dot") / denom, SCORE_DP).alias("score")
-    )
+    cos = F.col("dot") / denom
+    return j.where(denom > 0).select("seed_id", "doc_id", F.round(cos, SCORE_DP).alias("score"), cos.alias("cosine"))
 
 
 def top_k_per_seed(scores: DataFrame, k: int = TOP_K) -> DataFrame:
@@ -143,11 +143,11 @@ def similar_documents(
     strategy: str = "auto",
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
-    """J6 + K1 + K2: ``(seed_id, doc_id, rank, score, keywords)`` - the batch result ``recs``."""
+    """J6 + K1 + K2: ``(seed_id, doc_id, rank, score, keywords, cosine)`` - the batch result ``recs``."""
     matches, _ = term_matches(index, qterms, score_fn, strategy, broadcast_rows)
     scores = cosine_scores(dot_scores(matches), index.norms, method)
     top = top_k_per_seed(scores, k)
     if n_keywords <= 0:
-        return top.withColumn("keywords", F.lit(""))
+        return top.withColumn("keywords", F.lit("")).select("seed_id", "doc_id", "rank", "score", "keywords", "cosine")
     kw = top_keywords(matches, top, n_keywords)
-    return top.join(kw, ["doc_id", "seed_id"]).select("seed_id", "doc_id", "rank", "score", "keywords")
+    return top.join(kw, ["doc_id", "seed_id"]).select("seed_id", "doc_id", "rank", "score", "keywords", "cosine")

@@ -1,12 +1,17 @@
-"""End-to-end pipelines over the driver tables."""
+"""End-to-end pipelines (E1-E9) built from the operators; all take and return DataFrames."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lodestar.functions.text import default_stop_words
+from lodestar.operators import rank as R
+from lodestar.operators import search as S
+from lodestar.operators import tags as T
+from lodestar.operators import tfidf as TF
 from lodestar.operators.index import build_index, query_terms
 from lodestar.operators.similarity import KEYWORDS, TOP_K, similar_documents
 from lodestar.sources import views
@@ -23,10 +28,12 @@ def top_similar(
     n_keywords: int = KEYWORDS,
     stop_words: Sequence[str] | None = None,
     strategy: str = "auto",
+    min_df: int = 10,
+    max_df_ratio: float = 0.95,
 ) -> DataFrame:
     """Minimum slice: T1 -> A1-A6 -> J1/A7/J2 -> K1 -> K2 on (works, seeds)."""
     sw = stop_list(stop_words)
-    index = build_index(works, "id", "description", stop_words=sw)
+    index = build_index(works, "id", "description", stop_words=sw, min_df=min_df, max_df_ratio=max_df_ratio)
     qterms = query_terms(seeds, index.idf, "id", "description", stop_words=sw)
     return similar_documents(index, qterms, k, n_keywords, strategy=strategy)
 
@@ -34,3 +41,85 @@ def top_similar(
 def top50_per_seed(spark: SparkSession, sf_dir: str, strategy: str = "auto") -> DataFrame:
     """Flagship: the 50 most similar works per seed, with the 5 terms that explain each match."""
     return top_similar(views.works(spark, sf_dir), views.seeds(spark, sf_dir), strategy=strategy)
+
+
+def tag_vocabulary(seeds: DataFrame, works: DataFrame, num_tags: int = T.NUM_TAGS, stop_words: Sequence[str] | None = None) -> DataFrame:
+    """P10 -> T3 -> A11 -> K8."""
+    corpus = T.combine_corpora(seeds, works)
+    return T.tag_vocabulary(T.tag_document_frequency(corpus, stop_list(stop_words)), num_tags)
+
+
+def build_recommendations(
+    seeds: DataFrame,
+    works: DataFrame,
+    num_tags: int = T.NUM_TAGS,
+    k: int = TOP_K,
+    n_keywords: int = KEYWORDS,
+    stop_words: Sequence[str] | None = None,
+) -> dict[str, DataFrame]:
+    """Tag vocabulary -> restrict works -> index -> all-pairs cosine -> top-k + keywords.
+
+    Returns the bundle tables: recs, works_dim (with popularity), seeds_dim, tag_vocab.
+    """
+    vocab = tag_vocabulary(seeds, works, num_tags, stop_words)
+    kept = T.restrict_to_vocab(works, vocab, num_tags)
+    recs = top_similar(kept, seeds, k, n_keywords, stop_words)
+    works_dim = kept.withColumn("popularity", views.popularity(F.col("hits"), F.col("kudos"), F.col("chapters")))
+    seeds_dim = seeds.select("id", "titles", F.get(F.col("titles"), 0).alias("title"), "description", "authors", "genres", "tags")
+    return {"recs": recs, "works_dim": works_dim, "seeds_dim": seeds_dim, "tag_vocab": vocab}
+
+
+def recommend(
+    recs: DataFrame,
+    works_dim: DataFrame,
+    seeds_dim: DataFrame,
+    requests: DataFrame,
+    num_fics: int = R.NUM_FICS,
+) -> DataFrame:
+    """requests(request_id, title, popularity_weight, tags array) ->
+    title -> seed (last wins) -> first ``num_fics`` by cosine -> blend -> assemble -> tag filter."""
+    lookup = R.seed_lookup(seeds_dim)
+    req = requests.join(lookup, "title")
+    pop = works_dim.select(F.col("id").alias("doc_id"), "popularity")
+    ranked = R.blend_rerank(recs, pop, req.select("request_id", "seed_id", "popularity_weight"), num_fics)
+    records = R.assemble(ranked, works_dim)
+    wanted = req.select("request_id", F.col("tags").alias("wanted"))
+    return records.join(wanted, "request_id").where(R.tags_any_match(F.col("tags"), F.col("wanted"))).drop("wanted")
+
+
+def seed_detail(seeds_dim: DataFrame, requests: DataFrame, max_genres: int = 4) -> DataFrame:
+    """E5: F6 -> P8 -> P9: whole title list, description, first author, first genres."""
+    lookup = R.seed_lookup(seeds_dim)
+    j = requests.join(lookup, "title").join(seeds_dim.drop("title").withColumnRenamed("id", "seed_id"), "seed_id")
+    return j.select(
+        "request_id", "seed_id", "titles", F.col("description").alias("descr"),
+        F.get(F.col("authors"), 0).alias("author"), F.slice(F.col("genres"), 1, max_genres).alias("genres"),
+    )
+
+
+def work_tags(works_dim: DataFrame, ids: DataFrame) -> DataFrame:
+    """F7 -> P11 for a table of requested ids (unknown ids give no row)."""
+    return ids.join(works_dim.select(F.col("id").alias("fanfic_id"), "tags"), "fanfic_id")
+
+
+def title_search(titles: DataFrame, requests: DataFrame) -> DataFrame:
+    """E3."""
+    return S.title_search(titles, requests)
+
+
+def fuzzy_title_search(titles: DataFrame, requests: DataFrame, max_distance: int = S.FUZZY_MAX_DISTANCE, top: int = S.FUZZY_TOP) -> DataFrame:
+    """E9."""
+    return S.fuzzy_title_search(titles, requests, max_distance, top)
+
+
+def cross_corpus_nearest(seeds: DataFrame, works: DataFrame, stop_words: Sequence[str] | None = None, k: int = 1) -> DataFrame:
+    """One smooth TF-IDF vocabulary fitted on seeds + works; nearest work per seed."""
+    sw = stop_list(stop_words)
+    # Ids of the two corpora may collide, so the fit corpus keys rows by side + id.
+    both = seeds.select(F.concat(F.lit("s"), F.col("id").cast("string")).alias("id"), "description").unionByName(
+        works.select(F.concat(F.lit("w"), F.col("id").cast("string")).alias("id"), "description")
+    )
+    model = TF.fit(both, stop_words=sw)
+    qv = TF.transform(model, seeds)
+    dv = TF.transform(model, works)
+    return TF.sparse_cosine_topk(qv, dv, k)

@@ -1,8 +1,8 @@
 """Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per operator / pipeline.
 
-Every query reads the driver tables (or views Spark derives from them) in full.
-Floating outputs are rounded so two engines agree on the printed value; arrays that
-feed a value comparison are emitted as comma-joined strings.
+Every query reads the driver tables (or views Spark derives from them) in full; request
+tables are derived from the data too. Floating outputs are rounded so two engines agree
+on the printed value; arrays that feed a value comparison are emitted as joined strings.
 """
 
 from __future__ import annotations
@@ -10,11 +10,30 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lodestar.functions.text import letter_tokens, primary_title
+from lodestar.operators import index as I
+from lodestar.operators import rank as R
+from lodestar.operators import search as S
+from lodestar.operators import similarity as SIM
+from lodestar.operators import tags as T
+from lodestar.operators import tfidf as TF
+from lodestar.operators.dense import centroids, dense_cosine_topk
 from lodestar.plans import pipelines as P
+from lodestar.sources import views
+from lodestar.sources.keyed import keyed_load_last_wins
+from lodestar.sources.tables import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+# Fixed request parameters of the registered serving queries.
+BLEND_WEIGHTS = (0.0, 0.5, 1.0)
+RECOMMEND_WEIGHT = 0.5
+RECOMMEND_TAGS = "en,Quality_1,"
+FILTER_TAGS = "EN,quality_1"
+POSTING_CHUNK = 1024
+
 
 def register(name: str):
     def deco(fn):
@@ -24,6 +43,268 @@ def register(name: str):
     return deco
 
 
+def _index(spark, sf_dir):
+    sw = P.stop_list(None)
+    works = views.works(spark, sf_dir)
+    return I.build_index(works, "id", "description", stop_words=sw), sw
+
+
+def _r(c, dp=6):
+    return F.round(c, dp)
+
+
+# ---------------------------------------------------------------- step 1: text, projections, sources
+@register("tokenize_count")
+def tokenize_count(spark, sf_dir):
+    toks = letter_tokens(F.col("description"), P.stop_list(None))
+    return views.works(spark, sf_dir).select(
+        F.col("id").alias("doc_id"),
+        F.size(toks).cast("long").alias("n_tokens"),
+        F.size(F.array_distinct(toks)).cast("long").alias("n_distinct"),
+        F.md5(F.array_join(toks, " ")).alias("tokens_md5"),
+    )
+
+
+@register("primary_title")
+def primary_title_q(spark, sf_dir):
+    return views.seeds(spark, sf_dir).select("id", primary_title(F.col("titles")).alias("primary_title"))
+
+
+@register("popularity")
+def popularity_q(spark, sf_dir):
+    w = views.works(spark, sf_dir)
+    return w.select("id", "hits", "kudos", "chapters", _r(views.popularity(F.col("hits"), F.col("kudos"), F.col("chapters"))).alias("popularity"))
+
+
+@register("keyed_load_last_wins")
+def keyed_last_wins_q(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events", "event_id", "user_id", "event_type", "value")
+    return keyed_load_last_wins(ev, "user_id", "event_id").select("user_id", "event_id", "event_type", "value")
+
+
+@register("union_pages")
+def union_pages_q(spark, sf_dir):
+    s = views.seeds(spark, sf_dir).select(F.lit("seeds").alias("page"), "id", primary_title(F.col("titles")).alias("title"))
+    w = views.works(spark, sf_dir).select(F.lit("works").alias("page"), "id", "title")
+    return s.unionByName(w)
+
+
+@register("index_maps")
+def index_maps_q(spark, sf_dir):
+    t = views.titles(spark, sf_dir)
+    return t.groupBy("title").agg(
+        F.max("idx").alias("last_idx"), F.min("idx").alias("first_idx"), F.count(F.lit(1)).alias("n")
+    )
+
+
+# ---------------------------------------------------------------- step 2: index
+@register("term_frequency")
+def term_frequency_q(spark, sf_dir):
+    return I.term_frequency(views.works(spark, sf_dir), stop_words=P.stop_list(None))
+
+
+@register("inverted_index")
+def inverted_index_q(spark, sf_dir):
+    """A2 packed postings, split into chunks of at most POSTING_CHUNK doc ids so no row is unbounded."""
+    post = I.term_frequency(views.works(spark, sf_dir), stop_words=P.stop_list(None))
+    chunked = post.withColumn("chunk", F.floor(F.col("doc_id") / POSTING_CHUNK).cast("long"))
+    return chunked.groupBy("term", "chunk").agg(
+        F.array_join(
+            F.transform(
+                F.sort_array(F.collect_list(F.struct("doc_id", "tf"))),
+                lambda s: F.concat(s["doc_id"].cast("string"), F.lit(":"), s["tf"].cast("string")),
+            ),
+            " ",
+        ).alias("postings")
+    )
+
+
+@register("document_frequency")
+def document_frequency_q(spark, sf_dir):
+    idx, _ = _index(spark, sf_dir)
+    return idx.doc_freq
+
+
+@register("idf_log2")
+def idf_log2_q(spark, sf_dir):
+    idx, _ = _index(spark, sf_dir)
+    return idx.idf.select("term", "df", _r(F.col("idf")).alias("idf"))
+
+
+@register("doc_norm")
+def doc_norm_q(spark, sf_dir):
+    idx, _ = _index(spark, sf_dir)
+    return idx.norms.select("doc_id", _r(F.col("norm")).alias("norm"))
+
+
+@register("query_norm")
+def query_norm_q(spark, sf_dir):
+    idx, sw = _index(spark, sf_dir)
+    qt = I.query_terms(views.seeds(spark, sf_dir), idx.idf, stop_words=sw)
+    return I.query_norms(qt).select("seed_id", _r(F.col("qnorm")).alias("qnorm"))
+
+
+# ---------------------------------------------------------------- step 3: similarity
+@register("dot_product")
+def dot_product_q(spark, sf_dir):
+    idx, sw = _index(spark, sf_dir)
+    qt = I.query_terms(views.seeds(spark, sf_dir), idx.idf, stop_words=sw)
+    m, _ = SIM.term_matches(idx, qt)
+    return SIM.dot_scores(m).select("seed_id", "doc_id", _r(F.col("dot")).alias("dot"))
+
+
+RECS_COLS = ("seed_id", "doc_id", "rank", "score", "keywords")
+
+
 @register("top50_per_seed")
-def top50_per_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.top50_per_seed(spark, sf_dir)
+def top50_per_seed(spark, sf_dir):
+    return P.top50_per_seed(spark, sf_dir).select(*RECS_COLS)
+
+
+@register("top50_term_shuffle")
+def top50_term_shuffle(spark, sf_dir):
+    """Same result as the flagship through the shuffled, hot-term-salted join strategy."""
+    return P.top50_per_seed(spark, sf_dir, strategy="term_shuffle").select(*RECS_COLS)
+
+
+@register("top5_keywords")
+def top5_keywords_q(spark, sf_dir):
+    return P.top50_per_seed(spark, sf_dir).select("seed_id", "doc_id", "keywords")
+
+
+def _bundle(spark, sf_dir):
+    return P.build_recommendations(views.seeds(spark, sf_dir), views.works(spark, sf_dir))
+
+
+@register("build_recommendations")
+def build_recommendations_q(spark, sf_dir):
+    return _bundle(spark, sf_dir)["recs"].select(*RECS_COLS)
+
+
+# ---------------------------------------------------------------- step 4: serving
+@register("blend_rerank")
+def blend_rerank_q(spark, sf_dir):
+    b = _bundle(spark, sf_dir)
+    weights = F.array(*[F.lit(w) for w in BLEND_WEIGHTS])
+    req = b["seeds_dim"].select(F.col("id").alias("seed_id"), F.posexplode(weights).alias("wi", "popularity_weight"))
+    req = req.withColumn("request_id", F.col("seed_id") * len(BLEND_WEIGHTS) + F.col("wi"))
+    pop = b["works_dim"].select(F.col("id").alias("doc_id"), "popularity")
+    out = R.blend_rerank(b["recs"], pop, req.select("request_id", "seed_id", "popularity_weight"))
+    return out.join(req.select("request_id", "popularity_weight"), "request_id").select(
+        "request_id", "seed_id", "popularity_weight", "doc_id", "rank", "cos_rank",
+        _r(F.col("blended"), 4).alias("score"),
+    )
+
+
+def _recommend_requests(seeds_dim: DataFrame) -> DataFrame:
+    return seeds_dim.select(
+        F.col("id").alias("request_id"), F.col("title"),
+        F.lit(RECOMMEND_WEIGHT).alias("popularity_weight"),
+        R.parse_tag_param(F.lit(RECOMMEND_TAGS)).alias("tags"),
+    ).where(F.col("title").isNotNull())
+
+
+@register("recommend")
+def recommend_q(spark, sf_dir):
+    b = _bundle(spark, sf_dir)
+    out = P.recommend(b["recs"], b["works_dim"], b["seeds_dim"], _recommend_requests(b["seeds_dim"]))
+    return out.withColumn("tags", F.array_join("tags", ","))
+
+
+@register("tags_any_match")
+def tags_any_match_q(spark, sf_dir):
+    w = views.works(spark, sf_dir)
+    return w.where(R.tags_any_match(F.col("tags"), R.parse_tag_param(F.lit(FILTER_TAGS)))).select("id")
+
+
+@register("seed_detail")
+def seed_detail_q(spark, sf_dir):
+    s = views.seeds(spark, sf_dir)
+    sd = s.select("id", "titles", primary_title(F.col("titles")).alias("title"), "description", "authors", "genres")
+    req = sd.select(F.col("id").alias("request_id"), "title").where(F.col("title").isNotNull())
+    out = P.seed_detail(sd, req)
+    return out.select(
+        "request_id", "seed_id", F.array_join("titles", "|").alias("titles"), "descr", "author",
+        F.array_join("genres", ",").alias("genres"),
+    )
+
+
+@register("work_tags")
+def work_tags_q(spark, sf_dir):
+    ids = read_table(spark, sf_dir, "labels", "doc_id").select(F.col("doc_id").alias("fanfic_id"))
+    out = P.work_tags(views.works(spark, sf_dir), ids)
+    return out.select("fanfic_id", F.array_join("tags", ",").alias("tags"))
+
+
+# ---------------------------------------------------------------- step 5: searches
+def _title_requests(spark, sf_dir) -> DataFrame:
+    part = read_table(spark, sf_dir, "part", "p_name", "p_brand", "p_type")
+    words = part.select(F.explode(F.split("p_name", " ")).alias("query"))
+    return (
+        words.unionByName(part.select(F.col("p_brand").alias("query")))
+        .unionByName(part.select(F.col("p_type").alias("query")))
+        .distinct()
+        .select(F.col("query").alias("request_id"), "query")
+    )
+
+
+@register("title_search")
+def title_search_q(spark, sf_dir):
+    out = P.title_search(views.titles(spark, sf_dir), _title_requests(spark, sf_dir))
+    return out.select(F.col("request_id").alias("query"), "title", "descr", "idx")
+
+
+@register("title_search_top5")
+def title_search_top5_q(spark, sf_dir):
+    out = S.first_n(P.title_search(views.titles(spark, sf_dir), _title_requests(spark, sf_dir)))
+    return out.select(F.col("request_id").alias("query"), "title", "idx", "pos")
+
+
+@register("fuzzy_title_search")
+def fuzzy_title_search_q(spark, sf_dir):
+    part = read_table(spark, sf_dir, "part", "p_name")
+    req = part.select(F.expr("substring(p_name, 1, length(p_name) - 1)").alias("query")).distinct()
+    req = req.select(F.col("query").alias("request_id"), "query")
+    out = P.fuzzy_title_search(views.titles(spark, sf_dir), req)
+    return out.select(F.col("request_id").alias("query"), "rank", "idx", "title", "distance")
+
+
+# ---------------------------------------------------------------- step 6: TF-IDF, tags, dense
+@register("tfidf_smooth_l2")
+def tfidf_smooth_l2_q(spark, sf_dir):
+    seeds = views.seeds(spark, sf_dir)
+    model = TF.fit(seeds)
+    return TF.transform(model, seeds).select("doc_id", "term", _r(F.col("weight")).alias("weight"))
+
+
+@register("cross_corpus_nearest")
+def cross_corpus_nearest_q(spark, sf_dir):
+    return P.cross_corpus_nearest(views.seeds(spark, sf_dir), views.works(spark, sf_dir))
+
+
+def _tag_corpus(spark, sf_dir):
+    return T.combine_corpora(views.seeds(spark, sf_dir), views.works(spark, sf_dir))
+
+
+@register("tag_document_frequency")
+def tag_document_frequency_q(spark, sf_dir):
+    return T.tag_document_frequency(_tag_corpus(spark, sf_dir), P.stop_list(None))
+
+
+@register("tag_vocabulary")
+def tag_vocabulary_q(spark, sf_dir):
+    return P.tag_vocabulary(views.seeds(spark, sf_dir), views.works(spark, sf_dir))
+
+
+@register("restrict_works_to_tag_vocab")
+def restrict_q(spark, sf_dir):
+    works = views.works(spark, sf_dir)
+    vocab = P.tag_vocabulary(views.seeds(spark, sf_dir), works)
+    return T.restrict_to_vocab(works, vocab).select("id")
+
+
+@register("dense_cosine_topk")
+def dense_cosine_topk_q(spark, sf_dir):
+    emb = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    q = centroids(emb, "label", "embedding")
+    return dense_cosine_topk(q, emb, 5, "label", "centroid", "vec_id", "embedding")
