@@ -77,7 +77,7 @@ def materialize(df: DataFrame, reliable: bool = False) -> DataFrame:
     if reliable:
         ensure_checkpoint_dir(df.sparkSession)
         return df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    return df.persist(StorageLevel.MEMORY_AND_DISK_DESER)
 
 
 def bounded_rows(df: DataFrame, max_rows: int) -> bool:
