@@ -123,3 +123,110 @@ def cross_corpus_nearest(seeds: DataFrame, works: DataFrame, stop_words: Sequenc
     qv = TF.transform(model, seeds)
     dv = TF.transform(model, works)
     return TF.sparse_cosine_topk(qv, dv, k)
+
+
+# ---------------------------------------------------------------- LSA
+def _tfidf_rows(model, docs: DataFrame, id_col: str = "id", text_col: str = "description") -> DataFrame:
+    return TF.transform(model, docs, id_col, text_col).select("doc_id", "term", F.col("weight").alias("w"))
+
+
+def description_search(
+    seeds: DataFrame,
+    requests: DataFrame,
+    k: int = 50,
+    top: int = 5,
+    passes: int = 5,
+    seed: int = 0,
+) -> DataFrame:
+    """TF-IDF (vectoriser defaults) + truncated SVD fitted once on the seed descriptions;
+    each request text is projected and its ``top`` seeds by cosine in LSA space returned.
+
+    ``requests``: request_id, input_text. Output: request_id, rank, seed_id, title, score.
+    A request with no known word projects to the zero vector (all scores 0).
+    """
+    from lodestar.operators import lsa as L
+    from lodestar.operators.dense import dense_cosine_topk
+
+    model = TF.fit(seeds)
+    X = _tfidf_rows(model, seeds)
+    svd = L.fit(X, k, passes=passes, seed=seed)
+    docs = L.transform(svd, X)
+    qx = _tfidf_rows(model, requests, "request_id", "input_text")
+    qv = L.transform(svd, qx)
+    zero = F.array_repeat(F.lit(0.0), svd.k)
+    qv = requests.select(F.col("request_id").alias("doc_id")).join(qv, "doc_id", "left").select(
+        "doc_id", F.coalesce("vec", zero).alias("vec")
+    )
+    hits = dense_cosine_topk(qv, docs, top, "doc_id", "vec", "doc_id", "vec")
+    titles = seeds.select(F.col("id").alias("seed_id"), F.get(F.col("titles"), 0).alias("title"))
+    return hits.select(F.col("query_id").alias("request_id"), "rank", F.col("doc_id").alias("seed_id"), "score").join(
+        titles, "seed_id"
+    ).select("request_id", "rank", "seed_id", "title", "score")
+
+
+def joint_lsa(
+    seeds: DataFrame,
+    works: DataFrame,
+    k: int = 150,
+    stop_words: Sequence[str] | None = None,
+    passes: int = 3,
+    seed: int = 0,
+) -> DataFrame:
+    """M5: one vocabulary and one SVD fitted on seeds + works; both sides projected and the
+    nearest work per seed taken in LSA space. Output: seed_id, doc_id, score."""
+    from lodestar.operators import lsa as L
+    from lodestar.operators.dense import dense_cosine_topk
+
+    sw = stop_list(stop_words)
+    both = seeds.select(F.concat(F.lit("s"), F.col("id").cast("string")).alias("id"), "description").unionByName(
+        works.select(F.concat(F.lit("w"), F.col("id").cast("string")).alias("id"), "description")
+    )
+    model = TF.fit(both, stop_words=sw)
+    svd = L.fit(_tfidf_rows(model, both), k, passes=passes, seed=seed)
+    sv = L.transform(svd, _tfidf_rows(model, seeds))
+    wv = L.transform(svd, _tfidf_rows(model, works))
+    hits = dense_cosine_topk(sv, wv, 1, "doc_id", "vec", "doc_id", "vec")
+    return hits.select(F.col("query_id").alias("seed_id"), "doc_id", "score")
+
+
+def tag_matrix(seeds: DataFrame, works: DataFrame, stop_words: Sequence[str] | None = None) -> DataFrame:
+    """Works x tags TF-IDF over the combined corpus with the tag-vocabulary df bounds: (doc_id, term, w)."""
+    from lodestar.functions.text import tag_tokens
+
+    corpus = T.combine_corpora(seeds, works).select(
+        F.concat(F.col("side"), F.lit(":"), F.col("id").cast("string")).alias("doc_id"), "tags"
+    )
+    sw = stop_list(stop_words)
+    kept = T.tag_document_frequency(T.combine_corpora(seeds, works), sw)
+    n = corpus.count()
+    counts = corpus.select("doc_id", F.explode(tag_tokens(F.col("tags"), sw)).alias("term")).groupBy("doc_id", "term").agg(
+        F.count(F.lit(1)).alias("tf")
+    )
+    idf = kept.select(F.col("tag").alias("term"), (F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf"))
+    raw = counts.join(F.broadcast(idf), "term").select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("raw"))
+    from pyspark.sql import Window
+
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("doc_id")))
+    return raw.select("doc_id", "term", (F.col("raw") / norm).alias("w"))
+
+
+def tag_svd(seeds: DataFrame, works: DataFrame, k: int = 235, passes: int = 5, seed: int = 0):
+    """M6: SVD of the works x tags matrix; returns (model, tag embedding (term, vec), work embedding (doc_id, vec))."""
+    from lodestar.operators import lsa as L
+
+    X = tag_matrix(seeds, works)
+    model = L.fit(X, k, passes=passes, seed=seed)
+    return model, model.components, model.doc_vectors
+
+
+def singular_spectrum(seeds: DataFrame, k: int = 50, passes: int = 5, seed: int = 0) -> DataFrame:
+    """M7: (rank, sigma, energy = sigma^2 / ||X||_F^2) of the seed TF-IDF matrix."""
+    from lodestar.operators import lsa as L
+
+    model = TF.fit(seeds)
+    X = _tfidf_rows(model, seeds)
+    svd = L.fit(X, k, passes=passes, seed=seed)
+    fro = X.agg(F.sum(F.col("w") * F.col("w"))).first()[0] or 0.0
+    pdf = L.spectrum(svd, float(fro))
+    spark = seeds.sparkSession
+    return spark.createDataFrame(pdf.astype({"rank": "int64"}), "rank long, sigma double, energy double")

@@ -308,3 +308,32 @@ def dense_cosine_topk_q(spark, sf_dir):
     emb = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
     q = centroids(emb, "label", "embedding")
     return dense_cosine_topk(q, emb, 5, "label", "centroid", "vec_id", "embedding")
+
+
+# ---------------------------------------------------------------- step 7: LSA (rows-only checks)
+def _description_requests(spark, sf_dir) -> DataFrame:
+    conv = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return conv.where(F.col("role") == "user").select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("request_id"), F.col("text").alias("input_text")
+    )
+
+
+@register("description_search")
+def description_search_q(spark, sf_dir):
+    return P.description_search(views.seeds(spark, sf_dir), _description_requests(spark, sf_dir))
+
+
+@register("joint_lsa")
+def joint_lsa_q(spark, sf_dir):
+    return P.joint_lsa(views.seeds(spark, sf_dir), views.works(spark, sf_dir))
+
+
+@register("tag_svd")
+def tag_svd_q(spark, sf_dir):
+    model, tags_emb, _ = P.tag_svd(views.seeds(spark, sf_dir), views.works(spark, sf_dir))
+    return tags_emb.select(F.col("term").alias("tag"), F.transform("vec", lambda x: F.round(x, 6)).alias("embedding"))
+
+
+@register("singular_spectrum")
+def singular_spectrum_q(spark, sf_dir):
+    return P.singular_spectrum(views.seeds(spark, sf_dir))
