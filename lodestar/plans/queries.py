@@ -337,3 +337,71 @@ def tag_svd_q(spark, sf_dir):
 @register("singular_spectrum")
 def singular_spectrum_q(spark, sf_dir):
     return P.singular_spectrum(views.seeds(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- step 8: sources and sinks
+@register("json_pages_roundtrip")
+def json_pages_roundtrip_q(spark, sf_dir):
+    """S1 + S3 + S4: works written as two JSON pages - every work with its base tags, then
+    an update page for the labelled works with their full tags - read back with the
+    fixed schema, unioned in page order and keyed by id with the later record winning."""
+    from lodestar.sources import io
+
+    works = views.works(spark, sf_dir)
+    labelled = read_table(spark, sf_dir, "labels", "doc_id").withColumnRenamed("doc_id", "id")
+    base = works.withColumn("tags", F.slice("tags", 1, 2))
+    update = works.join(labelled, "id", "left_semi")
+    root = io.scratch_path(spark, "pages")
+    paths = [f"{root}/page1", f"{root}/page2"]
+    io.write_pages(base, paths[0])
+    io.write_pages(update, paths[1])
+    loaded = io.read_works(spark, [f"{p}/*.json" for p in paths], multiline=False)
+    latest = keyed_load_last_wins(loaded.drop("page"), "id", "load_seq")
+    return latest.select("id", "title", F.array_join("tags", ",").alias("tags"), "hits")
+
+
+@register("bundle_roundtrip")
+def bundle_roundtrip_q(spark, sf_dir):
+    """S5 + S6: the batch bundle written as Parquet and read back (recs shown)."""
+    from lodestar.sources import io
+
+    path = io.scratch_path(spark, "bundle")
+    io.write_bundle(_bundle(spark, sf_dir), path)
+    return io.read_bundle(spark, path)["recs"].select(*RECS_COLS)
+
+
+@register("catalog_table")
+def catalog_table_q(spark, sf_dir):
+    """Typed catalog table created, filled from the seeds, read back."""
+    from lodestar.sources import io
+
+    name = io.create_catalog_table(spark, "episodes", io.scratch_path(spark, "episodes"))
+    s = views.seeds(spark, sf_dir).select(
+        F.col("id").cast("int").alias("id"),
+        F.substring(primary_title(F.col("titles")), 1, 64).alias("title"),
+        F.substring(F.col("description"), 1, 1024).alias("descr"),
+    )
+    s.write.insertInto(name)
+    return spark.table(name)
+
+
+# ---------------------------------------------------------------- step 9: streaming serving
+@register("recommend_stream")
+def recommend_stream_q(spark, sf_dir):
+    """E2 as a stream: request files (derived from the seeds) drained through foreachBatch
+    against the bundle persisted by the batch build; answers read back from the sink."""
+    from lodestar.sources import io
+    from lodestar.streaming.serve import serve_requests
+
+    root = io.scratch_path(spark, "serve")
+    io.write_bundle(_bundle(spark, sf_dir), f"{root}/bundle")
+    bundle = io.read_bundle(spark, f"{root}/bundle")
+    req = bundle["seeds_dim"].where(F.col("title").isNotNull()).select(
+        F.col("id").alias("request_id"), "title",
+        F.lit(RECOMMEND_WEIGHT).alias("popularity_weight"), F.lit(RECOMMEND_TAGS).alias("tags"),
+    )
+    req.write.mode("overwrite").json(f"{root}/requests")
+    q = serve_requests(spark, f"{root}/requests", bundle, f"{root}/answers", f"{root}/_checkpoint")
+    q.awaitTermination()
+    out = spark.read.parquet(f"{root}/answers").drop("batch_id")
+    return out.withColumn("tags", F.array_join("tags", ","))

@@ -328,3 +328,14 @@ scored AS (
 SELECT query_id, doc_id, rank, score FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS BIGINT) AS rank FROM scored)
 WHERE rank <= 5"""
+
+# ---------------------------------------------------------------- step 8
+QUERIES["json_pages_roundtrip"] = _with(WORKS) + "SELECT id, title, array_to_string(tags, ',') AS tags, hits FROM works"
+
+QUERIES["bundle_roundtrip"] = QUERIES["build_recommendations"]
+
+QUERIES["catalog_table"] = _with(SEEDS) + """
+SELECT CAST(id AS INTEGER) AS id, substring(titles[1], 1, 64) AS title, substring(description, 1, 1024) AS descr FROM seeds"""
+
+# ---------------------------------------------------------------- step 9
+QUERIES["recommend_stream"] = QUERIES["recommend"]
