@@ -405,3 +405,12 @@ def recommend_stream_q(spark, sf_dir):
     q.awaitTermination()
     out = spark.read.parquet(f"{root}/answers").drop("batch_id")
     return out.withColumn("tags", F.array_join("tags", ","))
+
+
+@register("assign_dense_index")
+def assign_dense_index_q(spark, sf_dir):
+    """Works numbered 0..n-1 in id order (the reference's positional index)."""
+    from lodestar.operators.keys import assign_dense_index
+
+    w = views.works(spark, sf_dir).select("id", "title")
+    return assign_dense_index(w, "id").select("id", "index")

@@ -339,3 +339,6 @@ SELECT CAST(id AS INTEGER) AS id, substring(titles[1], 1, 64) AS title, substrin
 
 # ---------------------------------------------------------------- step 9
 QUERIES["recommend_stream"] = QUERIES["recommend"]
+
+QUERIES["assign_dense_index"] = _with(WORKS) + """
+SELECT id, CAST(row_number() OVER (ORDER BY id) - 1 AS BIGINT) AS index FROM works"""
