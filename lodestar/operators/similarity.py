@@ -146,7 +146,8 @@ def similar_documents(
     """J6 + K1 + K2: ``(seed_id, doc_id, rank, score, keywords, cosine)`` - the batch result ``recs``."""
     matches, _ = term_matches(index, qterms, score_fn, strategy, broadcast_rows)
     scores = cosine_scores(dot_scores(matches), index.norms, method)
-    top = top_k_per_seed(scores, k)
+    # seeds x k rows: kept so the keyword pass and the final join do not rerun the scoring
+    top = materialize(top_k_per_seed(scores, k))
     if n_keywords <= 0:
         return top.withColumn("keywords", F.lit("")).select("seed_id", "doc_id", "rank", "score", "keywords", "cosine")
     kw = top_keywords(matches, top, n_keywords)
