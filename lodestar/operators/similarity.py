@@ -35,6 +35,31 @@ def dot_contribution(tf: Column, idf: Column, qtf: Column) -> Column:
     return tf * idf * qtf * idf
 
 
+def salted_term_join(
+    docs: DataFrame,
+    queries: DataFrame,
+    df_col: str = "df",
+    hot_df: int = 1000,
+    salt_buckets: int = 32,
+) -> DataFrame:
+    """Shuffle equi-join on ``term`` that splits hot terms.
+
+    ``docs`` and ``queries`` both carry ``term`` and the term's document frequency
+    ``df_col``. A term with ``df >= hot_df`` gets ``salt = hash(doc_id) mod salt_buckets``
+    on the document side and is replicated ``salt_buckets`` times on the query side;
+    other terms keep salt 0. The join key (term, salt) then spreads a term that holds a
+    third of all postings over ``salt_buckets`` tasks. Output drops ``salt``/``df_col``.
+    """
+    is_hot = F.col(df_col) >= hot_df
+    zero = F.lit(0).cast("long")
+    d = docs.withColumn("salt", F.when(is_hot, F.pmod(F.xxhash64("doc_id"), F.lit(salt_buckets))).otherwise(zero))
+    q = queries.withColumn(
+        "salt",
+        F.explode(F.when(is_hot, F.sequence(zero, F.lit(salt_buckets - 1).cast("long"))).otherwise(F.array(zero))),
+    )
+    return d.drop(df_col).join(q.drop(df_col), ["term", "salt"]).drop("salt")
+
+
 def term_matches(
     index: InvertedIndex,
     qterms: DataFrame,
@@ -44,10 +69,14 @@ def term_matches(
     hot_df: int | None = None,
     salt_buckets: int = 32,
 ) -> tuple[DataFrame, str]:
-    """J1 + A8: ``(seed_id, doc_id, term, contrib, qnorm)`` for every shared kept term."""
+    """J1 + A8: ``(seed_id, doc_id, term, contrib, qnorm)`` for every shared kept term.
+
+    ``strategy``: ``auto`` (measure the query side), ``doc_local`` (broadcast it; still
+    measured, falls back when over the bound) or ``term_shuffle``.
+    """
     qn = query_norms(qterms)
     q = qterms.join(qn, "seed_id").select("seed_id", "term", "qtf", "qnorm", "df")
-    if strategy == "auto":
+    if strategy in ("auto", "doc_local"):
         q = materialize(q)
         strategy = "doc_local" if bounded_rows(q, broadcast_rows) else "term_shuffle"
     w = index.weights
@@ -55,13 +84,7 @@ def term_matches(
         m = w.join(F.broadcast(q.drop("df")), "term")
     elif strategy == "term_shuffle":
         hot = hot_df if hot_df is not None else max(1000, index.n_docs // 50)
-        is_hot = F.col("df") >= hot
-        w_s = w.withColumn("salt", F.when(is_hot, F.pmod(F.xxhash64("doc_id"), F.lit(salt_buckets))).otherwise(F.lit(0).cast("long")))
-        q_s = q.withColumn(
-            "salt",
-            F.explode(F.when(is_hot, F.sequence(F.lit(0).cast("long"), F.lit(salt_buckets - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))),
-        ).drop("df")
-        m = w_s.drop("df").join(q_s, ["term", "salt"]).drop("salt")
+        m = salted_term_join(w, q, "df", hot, salt_buckets)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     return (

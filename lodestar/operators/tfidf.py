@@ -59,19 +59,24 @@ def sparse_cosine_topk(
     docs: DataFrame,
     k: int = 1,
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    hot_df: int = 1000,
+    salt_buckets: int = 32,
 ) -> DataFrame:
     """M4 + K5 on unit-length sparse vectors: ``(seed_id, doc_id, rank, score)``.
 
     Query vectors are broadcast behind a measured row bound, so the dot products of a
-    document are summed inside the task that owns it; otherwise a term-keyed shuffle join.
+    document are summed inside the task that owns it; otherwise a (term, salt) shuffle
+    join in which terms present in at least ``hot_df`` documents are split.
     """
+    from lodestar.operators.similarity import salted_term_join
+
     q = materialize(queries.select(F.col("doc_id").alias("seed_id"), "term", F.col("weight").alias("qw")))
-    q_side = F.broadcast(q) if bounded_rows(q, broadcast_rows) else q
-    dots = (
-        docs.join(q_side, "term")
-        .groupBy("doc_id", "seed_id")
-        .agg(F.round(F.sum(F.col("weight") * F.col("qw")), SCORE_DP).alias("score"))
-    )
+    if bounded_rows(q, broadcast_rows):
+        joined = docs.join(F.broadcast(q), "term")
+    else:
+        dfs = docs.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        joined = salted_term_join(docs.join(dfs, "term"), q.join(dfs, "term"), "df", hot_df, salt_buckets)
+    dots = joined.groupBy("doc_id", "seed_id").agg(F.round(F.sum(F.col("weight") * F.col("qw")), SCORE_DP).alias("score"))
     w = Window.partitionBy("seed_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
     return (
         dots.withColumn("rank", F.row_number().over(w))

@@ -203,7 +203,10 @@ def tag_matrix(seeds: DataFrame, works: DataFrame, stop_words: Sequence[str] | N
         F.count(F.lit(1)).alias("tf")
     )
     idf = kept.select(F.col("tag").alias("term"), (F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf"))
-    raw = counts.join(F.broadcast(idf), "term").select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("raw"))
+    from lodestar.session import broadcast_if_small
+
+    idf_side, _ = broadcast_if_small(idf)
+    raw = counts.join(idf_side, "term").select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("raw"))
     from pyspark.sql import Window
 
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("doc_id")))

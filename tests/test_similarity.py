@@ -108,3 +108,15 @@ def test_top_k_plan_prunes_before_shuffle(spark):
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_sparse_cosine_shuffle_path_equals_broadcast(spark):
+    from lodestar.operators import tfidf as TF
+
+    docs = spark.createDataFrame(list(enumerate(corpus(5, 40))), "id long, description string")
+    qs = spark.createDataFrame(list(enumerate(corpus(6, 5))), "id long, description string")
+    model = TF.fit(docs)
+    dv, qv = TF.transform(model, docs), TF.transform(model, qs)
+    a = sorted(tuple(r) for r in TF.sparse_cosine_topk(qv, dv, 3).collect())
+    b = sorted(tuple(r) for r in TF.sparse_cosine_topk(qv, dv, 3, broadcast_rows=0, hot_df=2, salt_buckets=3).collect())
+    assert a == b and len(a) == 15
