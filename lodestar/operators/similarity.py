@@ -117,7 +117,9 @@ def cosine_scores(dots: DataFrame, norms: DataFrame, method: str | Callable[[Dat
         return dots.select("seed_id", "doc_id", F.round("dot", SCORE_DP).alias("score"), F.col("dot").alias("cosine"))
     if method != "cosine":
         raise ValueError(f"unknown method {method!r}")
-    j = dots.join(norms, "doc_id")
+    # One norm per document against many (seed, doc) rows: hash the small side instead of
+    # sorting both; with doc-partitioned inputs this join needs no exchange either.
+    j = dots.join(norms.hint("shuffle_hash"), "doc_id")
     denom = F.col("qnorm") * F.col("norm")
     cos = F.col("dot") / denom
     return j.where(denom > 0).select("seed_id", "doc_id", F.round(cos, SCORE_DP).alias("score"), cos.alias("cosine"))
