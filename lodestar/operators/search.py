@@ -8,8 +8,10 @@ the exact predicate:
   ``min(GRAM, len)`` characters, so joining on that gram loses no match;
 * edit distance <= k - cut the query into k + 1 disjoint pieces of length
   ``min(GRAM, len // (k + 1))``; k edits can touch at most k pieces, so a title within
-  distance k contains one piece intact (pigeonhole). Queries shorter than k + 1
-  characters fall back to a length-band join (titles no longer than len + k).
+  distance k contains one piece intact (pigeonhole). The title length must also lie in
+  [len - k, len + k], so it is part of the join key (pieces x admissible lengths against
+  grams keyed by title length). Queries shorter than k + 1 characters fall back to a
+  length-band join (titles no longer than len + k).
 """
 
 from __future__ import annotations
@@ -26,13 +28,14 @@ FUZZY_TOP = 10
 FUZZY_MAX_DISTANCE = 3
 
 
-def substring_grams(strings: DataFrame, key: str, text: str, max_len: int = GRAM) -> DataFrame:
-    """``(key, glen, gram)``: every distinct substring of 1..max_len characters of ``text``."""
-    s = strings.select(key, F.col(text).alias("_s")).where(F.length("_s") > 0)
-    g = s.select(key, "_s", F.explode(F.sequence(F.lit(1), F.lit(max_len))).alias("glen"))
+def substring_grams(strings: DataFrame, key: str | list[str], text: str, max_len: int = GRAM) -> DataFrame:
+    """``(*key, glen, gram)``: every distinct substring of 1..max_len characters of ``text``."""
+    keys = [key] if isinstance(key, str) else list(key)
+    s = strings.select(*keys, F.col(text).alias("_s")).where(F.length("_s") > 0)
+    g = s.select(*keys, "_s", F.explode(F.sequence(F.lit(1), F.lit(max_len))).alias("glen"))
     g = g.where(F.col("glen") <= F.length("_s"))
-    g = g.select(key, "glen", F.explode(F.sequence(F.lit(1), F.length("_s") - F.col("glen") + 1)).alias("_p"), "_s")
-    return g.select(key, "glen", F.substring(F.col("_s"), F.col("_p"), F.col("glen")).alias("gram")).distinct()
+    g = g.select(*keys, "glen", F.explode(F.sequence(F.lit(1), F.length("_s") - F.col("glen") + 1)).alias("_p"), "_s")
+    return g.select(*keys, "glen", F.substring(F.col("_s"), F.col("_p"), F.col("glen")).alias("gram")).distinct()
 
 
 def _norm_title(c: Column) -> Column:
@@ -82,22 +85,27 @@ def fuzzy_title_search(
     Output: request_id, rank, idx, title, distance.
     """
     k = max_distance
-    t = titles.select("idx", "title", F.lower(F.col("title")).alias("lt"))
-    grams = substring_grams(t, "idx", "lt")
+    t = titles.select("idx", "title", F.lower(F.col("title")).alias("lt")).withColumn("tlen", F.length("lt"))
+    # grams keyed by (idx, tlen): the join below matches a piece and a compatible length at once
+    grams = substring_grams(t, ["idx", "tlen"], "lt")
     req = requests.select("request_id", F.lower(F.col("query")).alias("q")).withColumn("m", F.length("q"))
     req = req.withColumn("plen", F.least(F.lit(GRAM), F.floor(F.col("m") / F.lit(k + 1)).cast("int")))
     pieces = req.where(F.col("plen") >= 1).select(
-        "request_id", "q",
+        "request_id", "q", "m",
         F.col("plen").alias("glen"),
         F.explode(F.sequence(F.lit(0), F.lit(k))).alias("_i"),
     ).withColumn("gram", F.substring(F.col("q"), F.col("_i") * F.col("glen") + 1, F.col("glen")))
-    by_piece = pieces.join(grams, ["glen", "gram"]).select("request_id", "q", "idx")
+    # |len(title) - len(query)| <= k is necessary for distance <= k
+    pieces = pieces.select(
+        "request_id", "q", "glen", "gram",
+        F.explode(F.sequence(F.greatest(F.col("m") - k, F.lit(1)), F.col("m") + k)).alias("tlen"),
+    ).distinct()
+    by_piece = pieces.join(grams, ["glen", "gram", "tlen"]).select("request_id", "q", "idx")
     short = req.where(F.col("plen") < 1).select(
         "request_id", "q", F.explode(F.sequence(F.lit(0), F.col("m") + F.lit(k))).alias("tlen")
     )
-    t_len = t.select("idx", F.length("lt").alias("tlen"))
-    by_len = short.join(t_len, "tlen").select("request_id", "q", "idx")
-    cand = by_piece.unionByName(by_len).distinct().join(t, "idx")
+    by_len = short.join(t.select("idx", "tlen"), "tlen").select("request_id", "q", "idx")
+    cand = by_piece.unionByName(by_len).distinct().join(t.drop("tlen"), "idx")
     scored = cand.select(
         "request_id", "idx", "title", F.levenshtein(F.col("q"), F.col("lt"), k).alias("distance")
     ).where(F.col("distance") >= 0)
