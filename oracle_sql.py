@@ -321,7 +321,7 @@ WITH cells AS (
 cent AS (SELECT label, list(x ORDER BY i) AS c FROM cells GROUP BY label),
 vecs AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 scored AS (
-  SELECT c.label AS query_id, e.vec_id AS doc_id,
+  SELECT CAST(c.label AS BIGINT) AS query_id, e.vec_id AS doc_id,
          round(CASE WHEN list_dot_product(c.c, c.c) = 0 OR list_dot_product(e.v, e.v) = 0 THEN 0.0
                     ELSE list_dot_product(c.c, e.v) / (sqrt(list_dot_product(c.c, c.c)) * sqrt(list_dot_product(e.v, e.v))) END, 6) AS score
   FROM cent c, vecs e)
