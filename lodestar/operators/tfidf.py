@@ -31,27 +31,40 @@ def counts(docs: DataFrame, id_col: str, text_col: str, stop_words: Sequence[str
     return term_frequency(docs, id_col, text_col, tokenizer=lambda c: word_tokens_2plus(c, stop_words))
 
 
+def _idf_from_counts(tf: DataFrame, n: int) -> DataFrame:
+    return tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(
+        "term", "df", (F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)).alias("idf")
+    )
+
+
+def _weights(tf: DataFrame, idf: DataFrame) -> DataFrame:
+    """tf * idf, L2-normalised per document; the per-document sum is a window over
+    doc-partitioned counts (no extra exchange)."""
+    w = tf.join(idf.select("term", "idf"), "term").select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("raw"))
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("doc_id")))
+    return w.select("doc_id", "term", (F.col("raw") / norm).alias("weight"))
+
+
 def fit(docs: DataFrame, id_col: str = "id", text_col: str = "description", stop_words: Sequence[str] | None = None) -> TfidfModel:
     """M1 fit: document frequencies over ``docs``; smooth idf."""
     tf = counts(docs, id_col, text_col, stop_words)
     n = docs.count()
-    idf = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(
-        "term", "df", (F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)).alias("idf")
-    )
-    return TfidfModel(materialize(idf), n, stop_words)
+    return TfidfModel(materialize(_idf_from_counts(tf, n)), n, stop_words)
 
 
-def transform(model: TfidfModel, docs: DataFrame, id_col: str = "id", text_col: str = "description") -> DataFrame:
-    """M1 transform + l2 normalise: ``(doc_id, term, weight)``; OOV terms dropped.
+def fit_transform(
+    docs: DataFrame, id_col: str = "id", text_col: str = "description", stop_words: Sequence[str] | None = None
+) -> tuple[TfidfModel, DataFrame]:
+    """Fit on ``docs`` and return their vectors from the same (persisted) counts: one tokenising pass."""
+    tf = materialize(counts(docs, id_col, text_col, stop_words))
+    n = docs.count()
+    model = TfidfModel(materialize(_idf_from_counts(tf, n)), n, stop_words)
+    return model, _weights(tf, model.idf)
 
-    The per-document sum runs as a window over doc-partitioned counts: no extra exchange.
-    """
-    tf = counts(docs, id_col, text_col, model.stop_words)
-    w = tf.join(model.idf.select("term", "idf"), "term").select(
-        "doc_id", "term", (F.col("tf") * F.col("idf")).alias("raw")
-    )
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("doc_id")))
-    return w.select("doc_id", "term", (F.col("raw") / norm).alias("weight"))
+
+def transform(model: TfidfModel, docs: DataFrame, id_col: str = "id", text_col: str = "description") -> DataFrame:
+    """M1 transform + l2 normalise: ``(doc_id, term, weight)``; OOV terms dropped."""
+    return _weights(counts(docs, id_col, text_col, model.stop_words), model.idf)
 
 
 def sparse_cosine_topk(

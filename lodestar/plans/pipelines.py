@@ -119,9 +119,12 @@ def cross_corpus_nearest(seeds: DataFrame, works: DataFrame, stop_words: Sequenc
     both = seeds.select(F.concat(F.lit("s"), F.col("id").cast("string")).alias("id"), "description").unionByName(
         works.select(F.concat(F.lit("w"), F.col("id").cast("string")).alias("id"), "description")
     )
-    model = TF.fit(both, stop_words=sw)
-    qv = TF.transform(model, seeds)
-    dv = TF.transform(model, works)
+    _, vecs = TF.fit_transform(both, stop_words=sw)
+    # both sides' vectors come from the one fitted pass; split them back by the id prefix
+    side = F.substring(F.col("doc_id"), 1, 1)
+    as_id = F.expr("CAST(substring(doc_id, 2) AS BIGINT)")
+    qv = vecs.where(side == "s").select(as_id.alias("doc_id"), "term", "weight")
+    dv = vecs.where(side == "w").select(as_id.alias("doc_id"), "term", "weight")
     return TF.sparse_cosine_topk(qv, dv, k)
 
 
@@ -147,8 +150,8 @@ def description_search(
     from lodestar.operators import lsa as L
     from lodestar.operators.dense import dense_cosine_topk
 
-    model = TF.fit(seeds)
-    X = _tfidf_rows(model, seeds)
+    model, vecs = TF.fit_transform(seeds)
+    X = vecs.select("doc_id", "term", F.col("weight").alias("w"))
     svd = L.fit(X, k, passes=passes, seed=seed)
     docs = L.transform(svd, X)
     qx = _tfidf_rows(model, requests, "request_id", "input_text")
@@ -226,8 +229,8 @@ def singular_spectrum(seeds: DataFrame, k: int = 50, passes: int = 5, seed: int
     """M7: (rank, sigma, energy = sigma^2 / ||X||_F^2) of the seed TF-IDF matrix."""
     from lodestar.operators import lsa as L
 
-    model = TF.fit(seeds)
-    X = _tfidf_rows(model, seeds)
+    _, vecs = TF.fit_transform(seeds)
+    X = vecs.select("doc_id", "term", F.col("weight").alias("w"))
     svd = L.fit(X, k, passes=passes, seed=seed)
     fro = X.agg(F.sum(F.col("w") * F.col("w"))).first()[0] or 0.0
     pdf = L.spectrum(svd, float(fro))

@@ -272,9 +272,8 @@ def fuzzy_title_search_q(spark, sf_dir):
 # ---------------------------------------------------------------- step 6: TF-IDF, tags, dense
 @register("tfidf_smooth_l2")
 def tfidf_smooth_l2_q(spark, sf_dir):
-    seeds = views.seeds(spark, sf_dir)
-    model = TF.fit(seeds)
-    return TF.transform(model, seeds).select("doc_id", "term", _r(F.col("weight")).alias("weight"))
+    _, vecs = TF.fit_transform(views.seeds(spark, sf_dir))
+    return vecs.select("doc_id", "term", _r(F.col("weight")).alias("weight"))
 
 
 @register("cross_corpus_nearest")
