@@ -151,7 +151,11 @@ def fit(X: DataFrame, k: int, oversample: int = OVERSAMPLE, passes: int = PASSES
     X = materialize(X.select("doc_id", "term", F.col("w").cast("double").alias("w")), reliable=True)
     r = k + oversample
     Q, width = orthonormalise(x_times(X, test_matrix(X, r, seed)), "doc_id", r)
+    n_docs = X.select("doc_id").distinct().count()
+    n_terms = X.select("term").distinct().count()
     for _ in range(passes):
+        if width >= n_docs or r >= n_terms:
+            break  # Q already spans the column space of X: further passes cannot change it
         Z, zw = orthonormalise(xt_times(X, Q), "term", width)
         Q, width = orthonormalise(x_times(X, Z), "doc_id", zw)
     Bt = materialize(xt_times(X, Q), reliable=True)  # (term, vec) = (Q.T X).T
