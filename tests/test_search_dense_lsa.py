@@ -138,3 +138,44 @@ def test_gaussian_rows_deterministic():
     a = L.gaussian_rows(np.array([1, 2, 3], dtype=np.uint64), 5, 7)
     b = L.gaussian_rows(np.array([1, 2, 3], dtype=np.uint64), 5, 7)
     assert np.array_equal(a, b) and abs(a.mean()) < 1.5
+
+
+def _dense(rows, row_key="doc_id", col_key="term", val="w"):
+    r_ids = sorted({r[row_key] for r in rows})
+    c_ids = sorted({r[col_key] for r in rows})
+    ri, ci = {k: i for i, k in enumerate(r_ids)}, {k: i for i, k in enumerate(c_ids)}
+    m = np.zeros((len(r_ids), len(c_ids)))
+    for r in rows:
+        m[ri[r[row_key]], ci[r[col_key]]] = r[val]
+    return m
+
+
+def test_tag_svd_on_driver_tables_matches_numpy(spark):
+    from conftest import SF_SMALL
+    from lodestar.plans import pipelines as P
+    from lodestar.sources import views
+
+    seeds, works = views.seeds(spark, SF_SMALL), views.works(spark, SF_SMALL)
+    m = _dense(P.tag_matrix(seeds, works).collect())
+    want = np.linalg.svd(m, compute_uv=False)[:10]
+    # converged: the subspace iteration reaches the exact values
+    model, _, _ = P.tag_svd(seeds, works, k=10, passes=40)
+    assert np.allclose(model.sigma, want, rtol=1e-6)
+    # default passes: the leading value exact, the rest within the randomized solver's few-percent error
+    quick, _, _ = P.tag_svd(seeds, works, k=10)
+    assert math.isclose(quick.sigma[0], want[0], rel_tol=1e-6)
+    assert np.all(quick.sigma <= want * (1 + 1e-9)) and np.all(quick.sigma >= want * 0.95)
+
+
+def test_seed_spectrum_on_driver_tables_matches_numpy(spark):
+    from conftest import SF_SMALL
+    from lodestar.operators import tfidf as TF
+    from lodestar.plans import pipelines as P
+    from lodestar.sources import views
+
+    seeds = views.seeds(spark, SF_SMALL)
+    _, vecs = TF.fit_transform(seeds)
+    m = _dense(vecs.collect(), val="weight")
+    spec = {r["rank"]: r["sigma"] for r in P.singular_spectrum(seeds, k=5, passes=40).collect()}
+    want = np.linalg.svd(m, compute_uv=False)[:5]
+    assert np.allclose([spec[i] for i in range(1, 6)], want, rtol=1e-6)
