@@ -60,3 +60,11 @@ def test_catalog_table_rejects_long_strings(spark):
     assert spark.table(name).count() == 1
     with pytest.raises(Exception):
         spark.createDataFrame([(2, "x" * 65, "d")], "id int, title string, descr string").write.insertInto(name)
+
+
+def test_stream_serving_equals_batch(spark):
+    q = entry.queries()
+    stream = sorted(tuple(r) for r in q["recommend_stream"](spark, SF_SMALL).collect())
+    batch = q["recommend"](spark, SF_SMALL)
+    batch = sorted(tuple(r) for r in batch.select(*q["recommend_stream"](spark, SF_SMALL).columns).collect())
+    assert stream == batch and len(stream) > 0
