@@ -5,7 +5,6 @@ import random
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
 
 from lodestar.operators import index as I
 from lodestar.operators import similarity as SIM
