@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions.text import default_stop_words
@@ -75,15 +75,30 @@ def recommend(
     seeds_dim: DataFrame,
     requests: DataFrame,
     num_fics: int = R.NUM_FICS,
+    filter_first: bool = False,
 ) -> DataFrame:
     """requests(request_id, title, popularity_weight, tags array) ->
-    title -> seed (last wins) -> first ``num_fics`` by cosine -> blend -> assemble -> tag filter."""
+    title -> seed (last wins) -> first ``num_fics`` by cosine -> blend -> assemble -> tag filter.
+
+    As in the reference the tag filter runs after the slice, so a request may get fewer
+    than ``num_fics`` rows; ``filter_first=True`` filters the candidates first instead.
+    """
     lookup = R.seed_lookup(seeds_dim)
     req = requests.join(lookup, "title")
     pop = works_dim.select(F.col("id").alias("doc_id"), "popularity")
+    wanted = req.select("request_id", F.col("tags").alias("wanted"))
+    if filter_first:
+        tags = works_dim.select(F.col("id").alias("doc_id"), "tags")
+        per_req = req.select("request_id", "seed_id", "tags").join(recs, "seed_id").join(tags.withColumnRenamed("tags", "doc_tags"), "doc_id")
+        kept = per_req.where(R.tags_any_match(F.col("doc_tags"), F.col("tags")))
+        w = Window.partitionBy("request_id").orderBy(F.col("rank").asc())
+        recs_req = kept.withColumn("rank", F.row_number().over(w).cast("long")).select(
+            F.col("request_id").alias("seed_id"), "doc_id", "rank", "score", "keywords", "cosine"
+        )
+        ranked = R.blend_rerank(recs_req, pop, req.select("request_id", F.col("request_id").alias("seed_id"), "popularity_weight"), num_fics)
+        return R.assemble(ranked, works_dim)
     ranked = R.blend_rerank(recs, pop, req.select("request_id", "seed_id", "popularity_weight"), num_fics)
     records = R.assemble(ranked, works_dim)
-    wanted = req.select("request_id", F.col("tags").alias("wanted"))
     return records.join(wanted, "request_id").where(R.tags_any_match(F.col("tags"), F.col("wanted"))).drop("wanted")
 
 
@@ -97,9 +112,13 @@ def seed_detail(seeds_dim: DataFrame, requests: DataFrame, max_genres: int = 4)
     )
 
 
-def work_tags(works_dim: DataFrame, ids: DataFrame) -> DataFrame:
-    """F7 -> P11 for a table of requested ids (unknown ids give no row)."""
-    return ids.join(works_dim.select(F.col("id").alias("fanfic_id"), "tags"), "fanfic_id")
+def work_tags(works_dim: DataFrame, ids: DataFrame, with_found: bool = False) -> DataFrame:
+    """F7 -> P11 for a table of requested ids. Unknown ids give no row, or with
+    ``with_found`` a row with null tags and ``found = false`` (the reference raises)."""
+    dim = works_dim.select(F.col("id").alias("fanfic_id"), "tags")
+    if with_found:
+        return ids.join(dim.withColumn("found", F.lit(True)), "fanfic_id", "left").fillna(False, subset=["found"])
+    return ids.join(dim, "fanfic_id")
 
 
 def title_search(titles: DataFrame, requests: DataFrame) -> DataFrame:
@@ -144,7 +163,7 @@ def description_search(
     """TF-IDF (vectoriser defaults) + truncated SVD fitted once on the seed descriptions;
     each request text is projected and its ``top`` seeds by cosine in LSA space returned.
 
-    ``requests``: request_id, input_text. Output: request_id, rank, seed_id, title, score.
+    ``requests``: request_id, input_text. Output: request_id, rank, seed_id, title, descr, score.
     A request with no known word projects to the zero vector (all scores 0).
     """
     from lodestar.operators import lsa as L
@@ -161,10 +180,10 @@ def description_search(
         "doc_id", F.coalesce("vec", zero).alias("vec")
     )
     hits = dense_cosine_topk(qv, docs, top, "doc_id", "vec", "doc_id", "vec")
-    titles = seeds.select(F.col("id").alias("seed_id"), F.get(F.col("titles"), 0).alias("title"))
+    titles = seeds.select(F.col("id").alias("seed_id"), F.get(F.col("titles"), 0).alias("title"), F.col("description").alias("descr"))
     return hits.select(F.col("query_id").alias("request_id"), "rank", F.col("doc_id").alias("seed_id"), "score").join(
         titles, "seed_id"
-    ).select("request_id", "rank", "seed_id", "title", "score")
+    ).select("request_id", "rank", "seed_id", "title", "descr", "score")
 
 
 def joint_lsa(

@@ -68,3 +68,24 @@ def test_stream_serving_equals_batch(spark):
     batch = q["recommend"](spark, SF_SMALL)
     batch = sorted(tuple(r) for r in batch.select(*q["recommend_stream"](spark, SF_SMALL).columns).collect())
     assert stream == batch and len(stream) > 0
+
+
+def test_recommend_filter_first_and_found_flag(spark):
+    from lodestar.plans import pipelines as P
+    from lodestar.sources import views
+
+    b = P.build_recommendations(views.seeds(spark, SF_SMALL), views.works(spark, SF_SMALL))
+    req = b["seeds_dim"].where(F.col("title").isNotNull()).select(
+        F.col("id").alias("request_id"), "title", F.lit(0.5).alias("popularity_weight"),
+        F.array(F.lit("quality_1")).alias("tags"),
+    )
+    after = P.recommend(b["recs"], b["works_dim"], b["seeds_dim"], req)
+    first = P.recommend(b["recs"], b["works_dim"], b["seeds_dim"], req, filter_first=True)
+    has = lambda df: df.where(~F.array_contains(F.transform("tags", lambda t: F.lower(t)), "quality_1")).count()
+    assert has(after) == 0 and has(first) == 0
+    assert first.count() >= after.count()  # filtering first refills the 49 slots
+    ranks = first.groupBy("request_id").agg(F.max("rank").alias("m"), F.count(F.lit(1)).alias("n")).collect()
+    assert all(r["m"] == r["n"] for r in ranks)
+    ids = spark.createDataFrame([(0,), (10**12,)], "fanfic_id long")
+    found = {r["fanfic_id"]: r["found"] for r in P.work_tags(b["works_dim"], ids, with_found=True).collect()}
+    assert found == {0: True, 10**12: False}
