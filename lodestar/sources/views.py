@@ -36,8 +36,13 @@ def engagement(spark: SparkSession, sf_dir: str) -> DataFrame:
 def works(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D1 work records: id, title, description, language, authorName, tags, hits, kudos, chapters, comments, bookmarks."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
-    labels = read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic").withColumnRenamed(
-        "doc_id", "l_doc_id"
+    # One label row per document (the largest value if a document were labelled twice).
+    # Being an aggregate, it is unique on the key, so plans that do not use the tags drop
+    # this join altogether (outer-join elimination), like the engagement counts.
+    labels = (
+        read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
+        .groupBy(F.col("doc_id").alias("l_doc_id"))
+        .agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
     )
     eng = engagement(spark, sf_dir)
     base_tags = F.array(F.col("lang"), F.col("source"))

@@ -36,7 +36,9 @@ works AS (
          END AS tags,
          coalesce(e.hits, 0) AS hits, coalesce(e.kudos, 0) AS kudos, coalesce(e.chapters, 1) AS chapters,
          coalesce(e.comments, 0) AS comments, coalesce(e.bookmarks, 0) AS bookmarks
-  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id LEFT JOIN engagement e ON d.doc_id = e.id)"""
+  FROM documents d
+  LEFT JOIN (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id) l ON d.doc_id = l.doc_id
+  LEFT JOIN engagement e ON d.doc_id = e.id)"""
 
 SEEDS = """
 seeds AS (
