@@ -151,8 +151,8 @@ def fit(X: DataFrame, k: int, oversample: int = OVERSAMPLE, passes: int = PASSES
     X = materialize(X.select("doc_id", "term", F.col("w").cast("double").alias("w")), reliable=True)
     r = k + oversample
     Q, width = orthonormalise(x_times(X, test_matrix(X, r, seed)), "doc_id", r)
-    n_docs = X.select("doc_id").distinct().count()
-    n_terms = X.select("term").distinct().count()
+    sizes = X.agg(F.count_distinct("doc_id").alias("n"), F.count_distinct("term").alias("v")).first()
+    n_docs, n_terms = sizes["n"], sizes["v"]
     for _ in range(passes):
         if width >= n_docs or r >= n_terms:
             break  # Q already spans the column space of X: further passes cannot change it
@@ -167,8 +167,9 @@ def fit(X: DataFrame, k: int, oversample: int = OVERSAMPLE, passes: int = PASSES
     keep = sigma > (sigma[0] if sigma.size else 0.0) * REL_TOL
     keep[k:] = False
     sigma, w = sigma[keep], w[:, keep]
-    comps = materialize(times_small(Bt, "term", w / sigma), reliable=True)  # V = B.T U~ / sigma
-    docs = materialize(times_small(Q, "doc_id", w * sigma), reliable=True)  # U sigma = Q U~ sigma
+    # both derive from checkpointed iterates by one small product: persisting is enough
+    comps = materialize(times_small(Bt, "term", w / sigma))  # V = B.T U~ / sigma
+    docs = materialize(times_small(Q, "doc_id", w * sigma))  # U sigma = Q U~ sigma
     return LsaModel(sigma, comps, docs, int(keep.sum()))
 
 
