@@ -79,7 +79,11 @@ def sentences(text: Column) -> Column:
 def seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D2 seed records: id, titles (first two sentences), description, authors, genres, tags."""
     bench = read_table(spark, sf_dir, "benchmark", "item_id", "text")
-    part = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    # one attribute row per part key (an aggregate, so plans that only read the seed text
+    # drop this join); a duplicated key would take the largest value of each column
+    part = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size").groupBy("p_partkey").agg(
+        *[F.max(c).alias(c) for c in ("p_name", "p_brand", "p_type", "p_size")]
+    )
     j = bench.join(part, bench.item_id == part.p_partkey, "left")
     has_part = F.col("p_partkey").isNotNull()
     empty = F.array().cast("array<string>")

@@ -49,7 +49,9 @@ seeds AS (
          CASE WHEN p.p_partkey IS NULL THEN []::VARCHAR[]
               ELSE list_concat(string_split(p.p_name, ' '), [p.p_type, p.p_brand, 'size_' || CAST(p.p_size AS VARCHAR)]) END AS genres,
          CASE WHEN p.p_partkey IS NULL THEN []::VARCHAR[] ELSE [p.p_type, p.p_brand] END AS tags
-  FROM benchmark b LEFT JOIN part p ON b.item_id = p.p_partkey)"""
+  FROM benchmark b
+  LEFT JOIN (SELECT p_partkey, max(p_name) AS p_name, max(p_brand) AS p_brand, max(p_type) AS p_type, max(p_size) AS p_size
+             FROM part GROUP BY p_partkey) p ON b.item_id = p.p_partkey)"""
 
 TITLES = """
 titles AS (
