@@ -89,3 +89,37 @@ def test_recommend_filter_first_and_found_flag(spark):
     ids = spark.createDataFrame([(0,), (10**12,)], "fanfic_id long")
     found = {r["fanfic_id"]: r["found"] for r in P.work_tags(b["works_dim"], ids, with_found=True).collect()}
     assert found == {0: True, 10**12: False}
+
+
+def test_assign_dense_index_many_partitions(spark):
+    import random
+
+    from lodestar.operators.keys import assign_dense_index
+
+    ids = random.Random(5).sample(range(10**6), 500)
+    df = spark.createDataFrame([(i,) for i in ids], "id long").repartition(7)
+    got = {r["id"]: r["index"] for r in assign_dense_index(df, "id").collect()}
+    assert got == {v: k for k, v in enumerate(sorted(ids))}
+
+
+def test_tag_vocabulary_cut_and_restrict(spark):
+    from lodestar.operators import tags as T
+    from lodestar.plans import pipelines as P
+    from lodestar.sources import views
+
+    seeds, works = views.seeds(spark, SF_SMALL), views.works(spark, SF_SMALL)
+    full = [r["tag"] for r in P.tag_vocabulary(seeds, works).orderBy("tag_rank").collect()]
+    cut = P.tag_vocabulary(seeds, works, num_tags=5).orderBy("tag_rank").collect()
+    assert [r["tag"] for r in cut] == sorted(full)[:5] and [r["tag_rank"] for r in cut] == [1, 2, 3, 4, 5]
+    vocab = spark.createDataFrame([(1, t["tag"]) for t in cut], "tag_rank long, tag string")
+    kept = {r["id"] for r in T.restrict_to_vocab(works, vocab, 5).collect()}
+    want = {r["id"] for r in works.collect() if {t.lower() for t in r["tags"]} & {t["tag"] for t in cut}}
+    assert kept == want
+
+
+def test_inverted_index_chunks_are_bounded(spark):
+    rows = entry.queries()["inverted_index"](spark, SF_SMALL).collect()
+    assert max(len(r["postings"].split(" ")) for r in rows) <= 1024
+    for r in rows:
+        docs = [int(p.split(":")[0]) for p in r["postings"].split(" ")]
+        assert docs == sorted(docs) and all(d // 1024 == r["chunk"] for d in docs)
