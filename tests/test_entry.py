@@ -123,3 +123,16 @@ def test_inverted_index_chunks_are_bounded(spark):
     for r in rows:
         docs = [int(p.split(":")[0]) for p in r["postings"].split(" ")]
         assert docs == sorted(docs) and all(d // 1024 == r["chunk"] for d in docs)
+
+
+def test_empty_titles_and_unknown_lookups(spark):
+    from lodestar.functions.text import primary_title
+    from lodestar.plans import pipelines as P
+
+    s = spark.createDataFrame([(1, [], "d", [], []), (2, ["T"], "e", ["A"], ["g1", "g2", "g3", "g4", "g5"])],
+                              "id long, titles array<string>, description string, authors array<string>, genres array<string>")
+    assert [r["p"] for r in s.orderBy("id").select(primary_title(F.col("titles")).alias("p")).collect()] == [None, "T"]
+    sd = s.withColumn("title", primary_title(F.col("titles")))
+    req = spark.createDataFrame([(7, "T"), (8, "missing")], "request_id long, title string")
+    rows = P.seed_detail(sd, req).collect()
+    assert [(r["request_id"], r["author"], r["genres"]) for r in rows] == [(7, "A", ["g1", "g2", "g3", "g4"])]

@@ -119,3 +119,14 @@ def test_sparse_cosine_shuffle_path_equals_broadcast(spark):
     a = sorted(tuple(r) for r in TF.sparse_cosine_topk(qv, dv, 3).collect())
     b = sorted(tuple(r) for r in TF.sparse_cosine_topk(qv, dv, 3, broadcast_rows=0, hot_df=2, salt_buckets=3).collect())
     assert a == b and len(a) == 15
+
+
+def test_blend_with_all_zero_popularity(spark):
+    recs = spark.createDataFrame(
+        [(1, 10, 1, 0.4, 0.4, "k"), (1, 11, 2, 0.3, 0.3, "k")],
+        "seed_id long, doc_id long, rank long, score double, cosine double, keywords string",
+    )
+    pop = spark.createDataFrame([(10, 0.0), (11, 0.0)], "doc_id long, popularity double")
+    req = spark.createDataFrame([(1, 1, 1.0)], "request_id long, seed_id long, popularity_weight double")
+    out = {r["doc_id"]: (r["rank"], r["blended"]) for r in blend_rerank(recs, pop, req).collect()}
+    assert out == {10: (1, 0.0), 11: (2, 0.0)}  # max popularity 0: no division error, cosine order kept
