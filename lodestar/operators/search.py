@@ -4,8 +4,8 @@ Neither search compares every request with every title. Both generate candidates
 equi-join on short substrings ("grams", 1 to ``GRAM`` characters) and only then apply
 the exact predicate:
 
-* substring search - a title containing the query contains the query's first
-  ``min(GRAM, len)`` characters, so joining on that gram loses no match;
+* substring search - a title containing the query contains each of the query's grams of
+  ``min(GRAM, len)`` characters, so joining on one of them (the rarest) loses no match;
 * edit distance <= k - cut the query into k + 1 disjoint pieces of length
   ``min(GRAM, len // (k + 1))``; k edits can touch at most k pieces, so a title within
   distance k contains one piece intact (pigeonhole). The title length must also lie in
@@ -53,10 +53,17 @@ def title_search(titles: DataFrame, requests: DataFrame) -> DataFrame:
     forms = titles.select("idx", F.explode(F.array_distinct(F.transform("titles", _norm_title))).alias("form"))
     grams = substring_grams(forms, "idx", "form")
     req = requests.select("request_id", F.lower(F.col("query")).alias("q")).where(F.length("q") > 0)
-    req = req.withColumn("glen", F.least(F.lit(GRAM), F.length("q"))).withColumn(
-        "gram", F.substring(F.col("q"), F.lit(1), F.col("glen"))
-    )
-    cand = req.join(grams, ["glen", "gram"]).select("request_id", "q", "idx").distinct()
+    req = req.withColumn("glen", F.least(F.lit(GRAM), F.length("q")))
+    # Every gram of the query occurs in every matching title, so any one of them is a
+    # complete filter: take the rarest (fewest titles), from a gram-frequency table whose
+    # size is bounded by the number of distinct grams.
+    q_grams = req.select(
+        "request_id", "q", "glen", F.explode(F.sequence(F.lit(1), F.length("q") - F.col("glen") + 1)).alias("_p")
+    ).select("request_id", "q", "glen", F.substring(F.col("q"), F.col("_p"), F.col("glen")).alias("gram"))
+    gram_df = grams.groupBy("glen", "gram").agg(F.count(F.lit(1)).alias("gdf"))
+    rated = q_grams.join(gram_df, ["glen", "gram"], "left").withColumn("gdf", F.coalesce("gdf", F.lit(0)))
+    pick = rated.groupBy("request_id", "q", "glen").agg(F.min_by("gram", F.struct("gdf", "gram")).alias("gram"))
+    cand = pick.join(grams, ["glen", "gram"]).select("request_id", "q", "idx").distinct()
     hit = cand.join(forms, "idx").where(F.col("form").contains(F.col("q"))).select("request_id", "idx").distinct()
     rows = hit.join(titles.select("idx", "title", "descr"), "idx")
     # First-wins dedupe on the primary title as an aggregate (partial, skew-safe).
