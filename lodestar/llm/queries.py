@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import simhash
+from lodestar.llm import simhash, substring
 from lodestar.sources.tables import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,13 @@ def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return fn
 
 
+@_query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document once passages of 50 words that an earlier one has are cut."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return substring.cut_repeats(docs).select("row.doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @_query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
