@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import simhash, substring
+from lodestar.llm import bpe, quality, simhash, substring, toxicity
+from lodestar.llm.sample import held_out
 from lodestar.sources.tables import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +27,34 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.cut_repeats(docs).select("row.doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def _scored(scored: DataFrame, out: Column, least: float) -> DataFrame:
+    return scored.select("row.doc_id", out.alias("held_out"), "score", F.when(F.col("score") >= least, 1).otherwise(0).alias("predicted"))
+
+
+@_query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line-chain quality score of every document; a quarter of the ids never trains."""
+    docs, labels = read_table(spark, sf_dir, "documents", "doc_id", "text"), read_table(spark, sf_dir, "labels")
+    field = quality.fit_field(docs, labels, "quality", ~held_out("doc_id", 4, 2))
+    return _scored(quality.score(docs, field), held_out("row.doc_id", 4, 2), 0.7)
+
+
+@_query
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of every document and the bytes they decode to, as digests."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    found = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, digests=True)
+    return found.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@_query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Factorization-machine toxicity score of every document; a fifth of the ids never trains."""
+    docs, labels = read_table(spark, sf_dir, "documents", "doc_id", "text"), read_table(spark, sf_dir, "labels")
+    machine = toxicity.fit_machine(docs, labels, "toxic", ~held_out("doc_id", 5, 0))
+    return _scored(toxicity.score(docs, machine), held_out("row.doc_id", 5, 0), 0.5)
+
+
 @_query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
