@@ -1,7 +1,7 @@
 """Toxicity: a factorization machine over hashed terms.
 
-A text's terms are its words and their beginnings, hashed; a term weighs the root of its share of the
-words. The machine adds to the linear weights a weight for each pair of terms, the product of two short
+A text's terms are its words and their beginnings, hashed; a term weighs four times the root of its
+share of the words. The machine adds to the linear weights a weight for each pair of terms, the product of two short
 vectors, so that an insult beside a group's name can count for more than both alone.
 """
 
@@ -52,7 +52,7 @@ class Terms:
                 known[word] = hashes
             for h in hashes:
                 share[h] = share.get(h, 0) + n
-        return np.fromiter(share, np.int32, len(share)), np.sqrt(np.fromiter(share.values(), np.float32, len(share)) / max(total, 1))
+        return np.fromiter(share, np.int32, len(share)), 4 * np.sqrt(np.fromiter(share.values(), np.float32, len(share)) / max(total, 1))
 
 
 @dataclass
@@ -73,16 +73,21 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], weight: dict[int, float], bits: int = HASH_BITS, factors: int = FACTORS, epochs: int = 10, least: int = 3, rate: float = 0.2, decay: float = 1e-5) -> Machine:
+def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], weight: dict[int, float], bits: int = HASH_BITS, factors: int = FACTORS, epochs: int = 10, least: int = 5, strength: float = 4.0, rate: float = 0.3, decay: float = 1e-5) -> Machine:
     """Fit by AdaGrad on the log loss. ``rows``: label, terms, values; ``weight``: of a row of each class.
 
-    Terms found in fewer than ``least`` rows are left out. Without rows of both classes the score is the
+    Terms are kept that are in ``least`` rows or more and whose shares of the two classes' rows differ by
+    ``strength`` standard errors or more; the rest, nearly all, only fits noise. Without rows of both classes the score is the
     share of class 1, or one half without rows.
     """
-    seen = np.zeros(1 << bits, np.int64)
-    for _, terms, _ in rows:
-        seen[terms] += 1
-    kept = np.flatnonzero(seen >= least)
+    found, size = np.zeros((2, 1 << bits)), np.zeros(2)
+    for label, terms, _ in rows:
+        found[label, terms] += 1
+        size[label] += 1
+    share = found.sum(axis=0) / max(1, size.sum())
+    spread = np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / np.maximum(size, 1)).sum())
+    apart = np.abs(found[1] / max(1, size[1]) - found[0] / max(1, size[0])) / spread
+    kept = np.flatnonzero((found.sum(axis=0) >= least) & (apart >= strength))
     place = np.full(1 << bits, -1, np.int32)
     place[kept] = np.arange(len(kept))
     rng = np.random.default_rng(1)
