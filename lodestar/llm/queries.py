@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import bpe, quality, simhash, substring, toxicity
+from lodestar.llm import bpe, decontam, quality, simhash, substring, tokenfile, toxicity
 from lodestar.llm.sample import held_out
+from lodestar.llm.store import shared_path
 from lodestar.sources.tables import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +28,23 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.cut_repeats(docs).select("row.doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@_query
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document written to seekable files and read back."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    folder = shared_path(spark, "token-ids")
+    index = tokenfile.write_ids(docs, folder, public_tokenizers.path("word_bpe_49k.json"))
+    return tokenfile.read_ids(index, folder).select("row.doc_id", "row.start", "row.n_tokens", "ids_crc32")
+
+
+@_query
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, whole or edited: one row for each document and item found."""
+    docs, items = read_table(spark, sf_dir, "documents", "doc_id", "text"), read_table(spark, sf_dir, "benchmark")
+    found = decontam.benchmark_matches(docs, items).where(F.size("matches") > 0)
+    return found.select("row.doc_id", F.explode("matches").alias("m")).select("doc_id", "m.item_id", "m.score", "m.end_word")
+
+
 def _scored(scored: DataFrame, out: Column, least: float) -> DataFrame:
     return scored.select("row.doc_id", out.alias("held_out"), "score", F.when(F.col("score") >= least, 1).otherwise(0).alias("predicted"))
 
