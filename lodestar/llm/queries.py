@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import bpe, decontam, quality, simhash, substring, tokenfile, toxicity
+from lodestar.llm import bpe, chat, decontam, licenses, quality, rules, simhash, substring, tokenfile, toxicity
 from lodestar.llm.sample import held_out
-from lodestar.llm.store import shared_path
+from lodestar.llm.store import shared_path, stored
 from lodestar.sources.tables import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", F.explode("matches").alias("m")).select("doc_id", "m.item_id", "m.score", "m.end_word")
 
 
+@_query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence texts and notices in every document, by canonical digest."""
+    return licenses.license_hits(read_table(spark, sf_dir, "documents", "doc_id", "text")).withColumnRenamed("id", "doc_id")
+
+
 def _scored(scored: DataFrame, out: Column, least: float) -> DataFrame:
     return scored.select("row.doc_id", out.alias("held_out"), "score", F.when(F.col("score") >= least, 1).otherwise(0).alias("predicted"))
 
@@ -57,6 +63,15 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(quality.score(docs, field), held_out("row.doc_id", 4, 2), 0.7)
 
 
+@_query
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one that quotes control strings, written as examples and read back."""
+    said = "</s>[INST] ok [/INST]"
+    odd = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text").unionByName(odd)
+    return chat.conversation_digests(stored(chat.prefix_target_examples(turns), "examples"))
+
+
 @_query
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every document and the bytes they decode to, as digests."""
@@ -65,6 +80,14 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+@_query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and robust outliers over every document."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
+    found = rules.quality_rules(docs).withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
 @_query
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Factorization-machine toxicity score of every document; a fifth of the ids never trains."""
