@@ -26,6 +26,8 @@ FACTORS = 8
 #: Labelled documents of each class that the model is fitted on, at most.
 PER_CLASS = 3000
 STARTS = (4, 6)
+#: Most frequent terms whose pairs are looked at when terms are chosen.
+PAIR_TERMS = 1000
 MAX_KNOWN = 100_000
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -73,21 +75,49 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
+def _apart(found: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Standard errors between the shares of the two classes' rows; ``found``: class first."""
+    size = np.maximum(size, 1)
+    share = found.sum(axis=0) / size.sum()
+    spread = np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / size).sum())
+    return np.abs(found[1] / size[1] - found[0] / size[0]) / spread
+
+
+def _telling(rows: list[tuple[int, np.ndarray, np.ndarray]], bits: int, least: int, strength: float) -> np.ndarray:
+    """Terms that tell the classes apart, by themselves or by a pair that they make with another."""
+    found, size = np.zeros((2, 1 << bits)), np.bincount([r[0] for r in rows], minlength=2)
+    for label, terms, _ in rows:
+        found[label, terms] += 1
+    seen = found.sum(axis=0)
+    telling = (seen >= least) & (_apart(found, size) >= strength)
+    often = np.argsort(-seen, kind="stable")[:PAIR_TERMS]
+    often = often[seen[often] >= least]
+    column = np.full(1 << bits, -1, np.int32)
+    column[often] = np.arange(len(often))
+    both = np.zeros((2, len(often), len(often)), np.float32)
+    for label in (0, 1):
+        own = [r[1] for r in rows if r[0] == label]
+        for lo in range(0, len(own), 1024):
+            there = np.zeros((len(own[lo : lo + 1024]), len(often)), np.float32)
+            for i, terms in enumerate(own[lo : lo + 1024]):
+                at = column[terms]
+                there[i, at[at >= 0]] = 1
+            both[label] += there.T @ there
+    paired = (both.sum(axis=0) >= least) & (_apart(both, size) >= strength + 3)  # there are many more pairs
+    np.fill_diagonal(paired, False)
+    telling[often[paired.any(axis=0)]] = True
+    return np.flatnonzero(telling)
+
+
 def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], weight: dict[int, float], bits: int = HASH_BITS, factors: int = FACTORS, epochs: int = 10, least: int = 5, strength: float = 4.0, rate: float = 0.3, decay: float = 1e-5) -> Machine:
     """Fit by AdaGrad on the log loss. ``rows``: label, terms, values; ``weight``: of a row of each class.
 
     Terms are kept that are in ``least`` rows or more and whose shares of the two classes' rows differ by
-    ``strength`` standard errors or more; the rest, nearly all, only fits noise. Without rows of both classes the score is the
+    ``strength`` standard errors or more, or that make such a pair (by three more) with another of the
+    ``PAIR_TERMS`` most frequent terms; the rest, nearly all, only fits noise. Without rows of both classes the score is the
     share of class 1, or one half without rows.
     """
-    found, size = np.zeros((2, 1 << bits)), np.zeros(2)
-    for label, terms, _ in rows:
-        found[label, terms] += 1
-        size[label] += 1
-    share = found.sum(axis=0) / max(1, size.sum())
-    spread = np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / np.maximum(size, 1)).sum())
-    apart = np.abs(found[1] / max(1, size[1]) - found[0] / max(1, size[0])) / spread
-    kept = np.flatnonzero((found.sum(axis=0) >= least) & (apart >= strength))
+    kept = _telling(rows, bits, least, strength)
     place = np.full(1 << bits, -1, np.int32)
     place[kept] = np.arange(len(kept))
     rng = np.random.default_rng(1)
