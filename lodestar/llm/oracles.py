@@ -2,4 +2,92 @@
 
 from __future__ import annotations
 
-QUERIES: dict[str, str] = {}
+from lodestar.llm.chat import CLOSE, MIDDLE, OPEN
+from lodestar.llm.licenses import KNOWN, SPELLINGS
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+OP1 = r"""
+WITH lists AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+words AS (
+  SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM lists),
+windows AS (
+  SELECT doc_id, word, p,
+         md5(string_agg(word, ' ') OVER w50) AS h,
+         count(*) OVER w50 AS c
+  FROM words
+  WINDOW w50 AS (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)),
+lowest AS (
+  SELECT h, min(doc_id) AS lowest FROM windows WHERE c = 50 GROUP BY h),
+hits AS (
+  SELECT w.doc_id, w.word, w.p,
+         CASE WHEN w.c = 50 AND w.doc_id > l.lowest THEN 1 ELSE 0 END AS hit
+  FROM windows w LEFT JOIN lowest l ON w.h = l.h),
+marked AS (
+  SELECT doc_id, word, p,
+         max(hit) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+  FROM hits)
+SELECT d.doc_id,
+       CAST(count(m.word) AS BIGINT) AS n_words,
+       CAST(coalesce(sum(m.gone), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(string_agg(m.word, ' ' ORDER BY m.p) FILTER (WHERE m.gone = 0), '')) AS kept_sha256
+FROM documents d LEFT JOIN marked m ON d.doc_id = m.doc_id
+GROUP BY d.doc_id"""
+
+
+def _canonical(text: str) -> str:
+    text = rf"regexp_replace(lower({text}), '(^|\n)[ \t]*(copyright |\(c\) |©)[^\n]*', chr(10), 'g')"
+    for one, other in SPELLINGS:
+        text = f"replace({text}, {_text(one)}, {_text(other)})"
+    return f"trim(regexp_replace({text}, '[^a-z0-9]+', ' ', 'g'))"
+
+
+OP4 = f"""
+WITH known AS (
+  SELECT {_canonical("text")} AS canon, min(license_id) AS license_id
+  FROM (VALUES {", ".join(f"({_text(i)}, {_text(t)})" for i, t in KNOWN)}) k(license_id, text) GROUP BY 1),
+units AS (
+  SELECT doc_id, 'document' AS scope, text AS unit FROM documents WHERE text IS NOT NULL
+  UNION ALL
+  SELECT doc_id, 'line' AS scope, unnest(string_split(text, chr(10))) AS unit FROM documents WHERE contains(text, chr(10))),
+canonical AS (
+  SELECT doc_id, scope, {_canonical("unit")} AS canon FROM units)
+SELECT c.doc_id, k.license_id, c.scope, CAST(count(*) AS BIGINT) AS n_found
+FROM canonical c JOIN known k ON c.canon = k.canon
+WHERE c.canon <> ''
+GROUP BY c.doc_id, k.license_id, c.scope"""
+
+
+def _escaped(text: str) -> str:
+    for pattern in (r"(<)(\\*)(/?s>)", r"(\[)(\\*)(/?INST\])"):
+        text = rf"regexp_replace({text}, '{pattern}', '\1\\\2\3', 'g')"
+    return text
+
+
+OP6 = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+sized AS (
+  SELECT *, length({_escaped("role")}) + length({_escaped("text")}) + {len(OPEN) + len(MIDDLE) + len(CLOSE)} AS chars,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k,
+         count(*) OVER (PARTITION BY conv_id) AS n
+  FROM turns),
+grown AS (
+  SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM sized),
+said AS (
+  SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+         sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+         coalesce(string_agg(text, '' ORDER BY k) FILTER (WHERE role = 'assistant'), '') AS loss,
+         CAST(sum(CASE WHEN role = 'assistant' OR k = n THEN upto ELSE 0 END) AS BIGINT) AS formatted_chars
+  FROM grown GROUP BY conv_id)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, n_turns, turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+       sha256(loss) AS loss_sha256, formatted_chars
+FROM said"""
+
+QUERIES: dict[str, str] = {"op1_substring_dedup": OP1, "op4_license_scan": OP4, "op6_chat_format": OP6}

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +32,7 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document written to seekable files and read back."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     folder = shared_path(spark, "token-ids")
-    index = tokenfile.write_ids(docs, folder, public_tokenizers.path("word_bpe_49k.json"))
+    index = tokenfile.write_ids(docs, folder, _vocabulary("word_bpe_49k.json"))
     return tokenfile.read_ids(index, folder).select("row.doc_id", "row.start", "row.n_tokens", "ids_crc32")
 
 
@@ -51,6 +50,18 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_hits(read_table(spark, sf_dir, "documents", "doc_id", "text")).withColumnRenamed("id", "doc_id")
 
 
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def _pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
 def _scored(scored: DataFrame, out: Column, least: float) -> DataFrame:
     return scored.select("row.doc_id", out.alias("held_out"), "score", F.when(F.col("score") >= least, 1).otherwise(0).alias("predicted"))
 
@@ -76,7 +87,7 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every document and the bytes they decode to, as digests."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
-    found = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, digests=True)
+    found = bpe.encode(docs, _vocabulary("byte_bpe_50k.tiktoken"), _pattern(), digests=True)
     return found.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
