@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lodestar.functions.stopwords import ENGLISH
+
 # Fixed values that must equal the reference's behaviour.
 # Tokeniser of the batch index: runs of ASCII letters after lower-casing.
 LETTER_RUN = "[a-z]+"
@@ -25,22 +23,11 @@ APOSTROPHE = "'"
 Tokenizer = Callable[[Column], Column]
 
 
-@functools.lru_cache(maxsize=None)
 def default_stop_words(language: str = "english") -> tuple[str, ...]:
-    """Spark MLlib's stop-word list, read from the MLlib jar without a JVM.
-
-    Same list as ``StopWordsRemover.loadDefaultStopWords(language)``; callers may
-    pass any other list instead (it is a parameter everywhere).
-    """
-    import pyspark
-
-    jars = os.path.join(os.path.dirname(pyspark.__file__), "jars")
-    for jar in sorted(glob.glob(os.path.join(jars, "spark-mllib_*.jar"))):
-        with zipfile.ZipFile(jar) as z:
-            name = f"org/apache/spark/ml/feature/stopwords/{language}.txt"
-            if name in z.namelist():
-                return tuple(w for w in z.read(name).decode("utf-8").split("\n") if w)
-    raise FileNotFoundError(f"no MLlib stop-word list for {language!r}")
+    """The default stop words; callers may pass any other list instead (it is a parameter everywhere)."""
+    if language != "english":
+        raise ValueError(f"no stop words for {language!r}: pass a list")
+    return ENGLISH
 
 
 def drop_stop_words(tokens: Column, stop_words: Sequence[str] | None) -> Column:

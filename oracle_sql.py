@@ -7,14 +7,14 @@ statement rebuilds the fixture views it needs as CTEs.
 
 from __future__ import annotations
 
-from lodestar.functions.text import default_stop_words
+from lodestar.functions.stopwords import ENGLISH
 
 
 def _sql_list(words) -> str:
     return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
 
 
-STOP = _sql_list(default_stop_words("english"))
+STOP = _sql_list(ENGLISH)
 RQUOTE = "’"
 
 ENGAGEMENT = """
