@@ -222,7 +222,13 @@ def _aligned(shared, at: int, least: float):
         kind = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("end_word", pa.int32())]))
         for batch in batches:
             row, had = batch.column(0), batch.column(1).to_pylist()
-            found = [h + seeds.matches(word_codes(t.as_py(), known), least) for h, t in zip(had, row.field(at), strict=True)]
+            found = []
+            for h, t in zip(had, row.field(at), strict=True):
+                best = {m["item_id"]: m for m in h}  # of an item's passages in other blocks
+                for m in seeds.matches(word_codes(t.as_py(), known), least):
+                    if m["item_id"] not in best or m["score"] > best[m["item_id"]]["score"]:
+                        best[m["item_id"]] = m
+                found.append([best[i] for i in sorted(best)])
             yield pa.RecordBatch.from_arrays([row, pa.array(found, kind)], names=["row", "matches"])
 
     return run
