@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.session import bounded_rows
+from lodestar.session import materialize
 
 SCORE_DP = 6
 QUERY_BLOCK_ROWS = 50_000
@@ -41,33 +41,27 @@ def _unit_rows(m: np.ndarray) -> np.ndarray:
     return out
 
 
-def _scorer(qids: np.ndarray, qmat: np.ndarray, k: int, id_col: str, vec_col: str):
+def _scorer(qids: list, qmat: np.ndarray, k: int, id_col: str, vec_col: str):
     qn = _unit_rows(qmat.astype(np.float64))
+    qid = np.array(qids, dtype=object)
 
     def run(batches):
         for pdf in batches:
             if pdf.empty:
                 continue
-            ids = pdf[id_col].to_numpy()
+            pdf = pdf.sort_values(id_col, kind="stable")
+            ids = pdf[id_col].to_numpy(dtype=object)
             x = _unit_rows(np.stack([np.asarray(v, dtype=np.float64) for v in pdf[vec_col]]))
-            out_q, out_d, out_s = [], [], []
-            for c0 in range(0, len(qids), _QCHUNK):
+            kk = min(k, len(ids))
+            for c0 in range(0, len(qid), _QCHUNK):
                 s = np.round(x @ qn[c0:c0 + _QCHUNK].T, SCORE_DP)  # (rows, queries)
-                kk = min(k, s.shape[0])
-                for j in range(s.shape[1]):
-                    col = s[:, j]
-                    kth = np.partition(col, s.shape[0] - kk)[s.shape[0] - kk]
-                    cand = np.nonzero(col >= kth)[0]  # keeps every tie at the boundary
-                    order = np.lexsort((ids[cand], -col[cand]))[:kk]
-                    sel = cand[order]
-                    out_q.append(np.full(len(sel), qids[c0 + j]))
-                    out_d.append(ids[sel])
-                    out_s.append(col[sel])
-            yield pd.DataFrame({
-                "query_id": np.concatenate(out_q).astype(np.int64),
-                "doc_id": np.concatenate(out_d).astype(np.int64),
-                "score": np.concatenate(out_s).astype(np.float64),
-            })
+                # rows are in id order, so a stable sort gives ties to the smaller id
+                best = np.argsort(-s, axis=0, kind="stable")[:kk]
+                yield pd.DataFrame({
+                    "query_id": np.repeat(qid[c0:c0 + _QCHUNK], kk),
+                    "doc_id": ids[best.T.ravel()],
+                    "score": np.take_along_axis(s, best, axis=0).T.ravel(),
+                })
 
     return run
 
@@ -87,28 +81,28 @@ def dense_cosine_topk(
     Zero vectors score 0. Scores are rounded before ranking; ties go to the smaller doc_id.
     """
     spark = docs.sparkSession
-    q = queries.select(F.col(query_id).alias("query_id"), F.col(query_vec).alias("vec"))
+    # the blocks are cut from these rows again and again
+    q = materialize(queries.select(F.col(query_id).alias("query_id"), F.col(query_vec).alias("vec")))
     d = docs.select(F.col(doc_id).alias("doc_id"), F.col(doc_vec).alias("vec"))
-    n_blocks = 1
-    while not bounded_rows(q, block_rows * n_blocks):
-        n_blocks *= 2
+    n_blocks = max(1, -(-q.count() // block_rows))
+    ids = f"query_id {q.schema['query_id'].dataType.simpleString()}, doc_id {d.schema['doc_id'].dataType.simpleString()}"
     parts = []
     for b in range(n_blocks):
         qb = q if n_blocks == 1 else q.where(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == b)
-        rows = qb.collect()  # bounded: at most block_rows rows per block (checked above)
+        rows = qb.collect()  # one block of the query set: about block_rows rows, by a hash of their ids
         if not rows:
             continue
-        qids = np.array([r["query_id"] for r in rows], dtype=np.int64)
+        qids = [r["query_id"] for r in rows]
         qmat = np.array([list(r["vec"]) for r in rows], dtype=np.float64)
         bq = spark.sparkContext.broadcast((qids, qmat))
 
         def run(batches, bq=bq):
-            ids, mat = bq.value
-            yield from _scorer(ids, mat, k, "doc_id", "vec")(batches)
+            block, mat = bq.value
+            yield from _scorer(block, mat, k, "doc_id", "vec")(batches)
 
-        parts.append(d.mapInPandas(run, "query_id long, doc_id long, score double"))
+        parts.append(d.mapInPandas(run, f"{ids}, score double"))
     if not parts:
-        return spark.createDataFrame([], "query_id long, doc_id long, rank long, score double")
+        return spark.createDataFrame([], f"{ids}, rank long, score double")
     cand = parts[0]
     for p in parts[1:]:
         cand = cand.unionByName(p)

@@ -95,8 +95,8 @@ def _stack(vecs: pd.Series, width: int) -> np.ndarray:
 
 
 def gram(D: DataFrame, width: int) -> np.ndarray:
-    """``D.T @ D`` (width x width): one BLAS product per Arrow batch, the per-task partial
-    sums (width^2 numbers each) added on the driver."""
+    """``D.T @ D`` (width x width): one BLAS product per Arrow batch; the tasks' partial sums are added on the
+    executors row by row, so the driver gets one matrix whatever the number of tasks."""
     if width == 0:
         return np.zeros((0, 0))
 
@@ -105,12 +105,14 @@ def gram(D: DataFrame, width: int) -> np.ndarray:
         for pdf in batches:
             m = _stack(pdf["vec"], width)
             acc += m.T @ m
-        yield pd.DataFrame({"g": [acc.ravel()]})
-
-    total = np.zeros(width * width)
-    for row in D.select("vec").mapInPandas(part, "g array<double>").collect():
-        total += np.asarray(row["g"], dtype=np.float64)
-    return total.reshape(width, width)
+        yield pd.DataFrame({"i": np.arange(width), "g": list(acc)})
+
+    rows = D.select("vec").mapInPandas(part, "i long, g array<double>")
+    summed = rows.groupBy("i").agg(vector_to_array(Summarizer.sum(array_to_vector(F.col("g")))).alias("g"))
+    out = np.zeros((width, width))
+    for row in summed.collect():
+        out[row["i"]] = row["g"]
+    return out
 
 
 def times_small(D: DataFrame, key: str, M: np.ndarray) -> DataFrame:

@@ -19,6 +19,13 @@ def parse_tag_param(param: Column) -> Column:
     return F.filter(F.split(F.coalesce(param, F.lit("")), ","), lambda x: x != F.lit(""))
 
 
+def parse_weight(param: Column) -> Column:
+    """Slider text "0".."100" -> weight 0..1; beyond that the nearer end, anything but a whole number null."""
+    digits = F.trim(param)
+    number = F.when(digits.rlike("^[+-]?[0-9]{1,9}$"), digits).cast("int")
+    return F.when(number.isNotNull(), F.least(F.greatest(number, F.lit(0)), F.lit(100)) / F.lit(100.0))
+
+
 def tags_any_match(tags: Column, wanted: Column) -> Column:
     """True when lower(tags) and lower(wanted) share an element; an empty wanted list keeps all."""
     overlap = F.coalesce(F.arrays_overlap(lower_all(tags), lower_all(wanted)), F.lit(False))
@@ -47,7 +54,7 @@ def blend_rerank(
     max_pop = popularity.agg(F.max("popularity")).scalar()
     top = recs.where(F.col("rank") <= num_fics).withColumnRenamed("rank", "cos_rank")
     j = requests.join(top, "seed_id").join(popularity, "doc_id", "left")
-    w = F.col("popularity_weight")
+    w = F.coalesce(F.col("popularity_weight"), F.lit(0.0))  # no weight: by similarity alone
     pop_part = F.coalesce(F.try_divide(F.coalesce(F.col("popularity"), F.lit(0.0)), max_pop / F.lit(popularity_scale)), F.lit(0.0))
     blended = pop_part * w + F.col("cosine") * (F.lit(1.0) - w)
     j = j.withColumn("blended", blended)

@@ -175,5 +175,10 @@ def similar_documents(
     top = materialize(top_k_per_seed(scores, k))
     if n_keywords <= 0:
         return top.withColumn("keywords", F.lit("")).select("seed_id", "doc_id", "rank", "score", "keywords", "cosine")
+    # only the kept pairs' terms are scored again: pairs x query terms, matched to the postings in place
+    wanted = materialize(top.select("seed_id", "doc_id").join(qterms.select("seed_id", "term", "qtf"), "seed_id"))
+    if bounded_rows(wanted, broadcast_rows):
+        shared = index.weights.join(F.broadcast(wanted), ["doc_id", "term"])
+        matches = shared.select("seed_id", "doc_id", "term", score_fn(F.col("tf"), F.col("idf"), F.col("qtf")).alias("contrib"))
     kw = top_keywords(matches, top, n_keywords)
     return top.join(kw, ["doc_id", "seed_id"]).select("seed_id", "doc_id", "rank", "score", "keywords", "cosine")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions.text import tag_tokens
+from lodestar.session import broadcast_if_small
 
 # Fixed values of the tag vocabulary.
 NUM_TAGS = 235
@@ -55,14 +56,13 @@ def tag_vocabulary(tag_df: DataFrame, num_tags: int = NUM_TAGS) -> DataFrame:
     )
 
 
-def restrict_to_vocab(works: DataFrame, vocab: DataFrame, num_tags: int = NUM_TAGS) -> DataFrame:
-    """Works with at least one lower-cased tag in the vocabulary.
+def restrict_to_vocab(works: DataFrame, vocab: DataFrame) -> DataFrame:
+    """Works with at least one lower-cased tag in the vocabulary, all of which counts.
 
-    The vocabulary is at most ``num_tags`` rows by construction (K8), so it is brought to
-    the driver once and applied as a literal array: a map-side filter, no join, no shuffle.
+    The tags of each work are exploded beside its id and semi-joined to the vocabulary (sent to the tasks
+    when its measured size allows); the ids that are left select the works.
     """
-    words = [r["tag"] for r in vocab.select("tag").limit(num_tags).collect()]
-    if not words:
-        return works.limit(0)
-    wanted = F.array(*[F.lit(w) for w in words])
-    return works.where(F.coalesce(F.arrays_overlap(F.transform("tags", lambda t: F.lower(t)), wanted), F.lit(False)))
+    words, _ = broadcast_if_small(vocab.select("tag").distinct())
+    tags = works.select("id", F.explode(F.array_distinct(F.transform("tags", lambda t: F.lower(t)))).alias("tag"))
+    kept = tags.join(words, "tag", "left_semi").select("id").distinct()
+    return works.join(kept, "id", "left_semi")

@@ -62,7 +62,7 @@ def build_recommendations(
     Returns the bundle tables: recs, works_dim (with popularity), seeds_dim, tag_vocab.
     """
     vocab = tag_vocabulary(seeds, works, num_tags, stop_words)
-    kept = T.restrict_to_vocab(works, vocab, num_tags)
+    kept = T.restrict_to_vocab(works, vocab)
     recs = top_similar(kept, seeds, k, n_keywords, stop_words)
     works_dim = kept.withColumn("popularity", views.popularity(F.col("hits"), F.col("kudos"), F.col("chapters")))
     seeds_dim = seeds.select("id", "titles", F.get(F.col("titles"), 0).alias("title"), "description", "authors", "genres", "tags")
@@ -126,25 +126,25 @@ def title_search(titles: DataFrame, requests: DataFrame) -> DataFrame:
     return S.title_search(titles, requests)
 
 
-def fuzzy_title_search(titles: DataFrame, requests: DataFrame, max_distance: int = S.FUZZY_MAX_DISTANCE, top: int = S.FUZZY_TOP) -> DataFrame:
+def fuzzy_title_search(titles: DataFrame, requests: DataFrame, top: int = S.FUZZY_TOP) -> DataFrame:
     """E9."""
-    return S.fuzzy_title_search(titles, requests, max_distance, top)
+    return S.fuzzy_title_search(titles, requests, top=top)
 
 
 def cross_corpus_nearest(seeds: DataFrame, works: DataFrame, stop_words: Sequence[str] | None = None, k: int = 1) -> DataFrame:
     """One smooth TF-IDF vocabulary fitted on seeds + works; nearest work per seed."""
     sw = stop_list(stop_words)
-    # Ids of the two corpora may collide, so the fit corpus keys rows by side + id.
-    both = seeds.select(F.concat(F.lit("s"), F.col("id").cast("string")).alias("id"), "description").unionByName(
-        works.select(F.concat(F.lit("w"), F.col("id").cast("string")).alias("id"), "description")
-    )
-    _, vecs = TF.fit_transform(both, stop_words=sw)
-    # both sides' vectors come from the one fitted pass; split them back by the id prefix
-    side = F.substring(F.col("doc_id"), 1, 1)
-    as_id = F.expr("CAST(substring(doc_id, 2) AS BIGINT)")
-    qv = vecs.where(side == "s").select(as_id.alias("doc_id"), "term", "weight")
-    dv = vecs.where(side == "w").select(as_id.alias("doc_id"), "term", "weight")
-    return TF.sparse_cosine_topk(qv, dv, k)
+    _, vecs = TF.fit_transform(_both_sides(seeds, works), stop_words=sw)
+    # both sides' vectors come from the one fitted pass; the struct stays the key, so the documents'
+    # partitioning serves the sums too
+    hits = TF.sparse_cosine_topk(vecs.where(F.col("doc_id.side") == "s"), vecs.where(F.col("doc_id.side") == "w"), k)
+    return hits.select(F.col("seed_id.id").alias("seed_id"), F.col("doc_id.id").alias("doc_id"), "rank", "score")
+
+
+def _both_sides(seeds: DataFrame, works: DataFrame) -> DataFrame:
+    """One corpus of two whose ids may collide: rows are keyed by (side, id)."""
+    key = lambda side: F.struct(F.lit(side).alias("side"), F.col("id")).alias("id")
+    return seeds.select(key("s"), "description").unionByName(works.select(key("w"), "description"))
 
 
 # ---------------------------------------------------------------- LSA
@@ -200,13 +200,11 @@ def joint_lsa(
     from lodestar.operators.dense import dense_cosine_topk
 
     sw = stop_list(stop_words)
-    both = seeds.select(F.concat(F.lit("s"), F.col("id").cast("string")).alias("id"), "description").unionByName(
-        works.select(F.concat(F.lit("w"), F.col("id").cast("string")).alias("id"), "description")
-    )
-    model = TF.fit(both, stop_words=sw)
-    svd = L.fit(_tfidf_rows(model, both), k, passes=passes, seed=seed)
-    sv = L.transform(svd, _tfidf_rows(model, seeds))
-    wv = L.transform(svd, _tfidf_rows(model, works))
+    _, vecs = TF.fit_transform(_both_sides(seeds, works), stop_words=sw)
+    svd = L.fit(vecs.select("doc_id", "term", F.col("weight").alias("w")), k, passes=passes, seed=seed)
+    # the fitted documents are already projected: no second pass over either corpus
+    side = lambda x: svd.doc_vectors.where(F.col("doc_id.side") == x).select(F.col("doc_id.id").alias("doc_id"), "vec")
+    sv, wv = side("s"), side("w")
     hits = dense_cosine_topk(sv, wv, 1, "doc_id", "vec", "doc_id", "vec")
     return hits.select(F.col("query_id").alias("seed_id"), "doc_id", "score")
 

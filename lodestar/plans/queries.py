@@ -31,6 +31,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 BLEND_WEIGHTS = (0.0, 0.5, 1.0)
 RECOMMEND_WEIGHT = 0.5
 RECOMMEND_TAGS = "en,Quality_1,"
+VOCAB_PART = "src1"
+SEEDS_A_FILE = 50
 FILTER_TAGS = "EN,quality_1"
 POSTING_CHUNK = 1024
 
@@ -97,6 +99,26 @@ def index_maps_q(spark, sf_dir):
     )
 
 
+@register("index_maps_both_ways")
+def index_maps_both_ways_q(spark, sf_dir):
+    """Id to index, index to id, title to index (the last work with that title) and index to title."""
+    from lodestar.operators.keys import assign_dense_index
+
+    w = assign_dense_index(views.works(spark, sf_dir).select("id", "title"), "id").select("id", "index", "title")
+    row = lambda name, k, v: F.struct(F.lit(name).alias("map"), k.cast("string").alias("key"), v.cast("string").alias("value"))
+    c = F.col
+    maps = F.array(row("id_index", c("id"), c("index")), row("index_id", c("index"), c("id")), row("index_title", c("index"), c("title")))
+    by_title = w.groupBy("title").agg(F.max("index").alias("index")).select(row("title_index", c("title"), c("index")).alias("r"))
+    return w.select(F.explode(maps).alias("r")).union(by_title).select("r.*")
+
+
+@register("slider_weight")
+def slider_weight_q(spark, sf_dir):
+    """The slider's text as a weight; text that is no whole number has none."""
+    part = read_table(spark, sf_dir, "part", "p_partkey", "p_size", "p_brand")
+    return part.select("p_partkey", R.parse_weight(F.col("p_size").cast("string")).alias("weight"), R.parse_weight(F.col("p_brand")).alias("malformed"))
+
+
 # ---------------------------------------------------------------- step 2: index
 @register("term_frequency")
 def term_frequency_q(spark, sf_dir):
@@ -263,7 +285,9 @@ def title_search_top5_q(spark, sf_dir):
 @register("fuzzy_title_search")
 def fuzzy_title_search_q(spark, sf_dir):
     part = read_table(spark, sf_dir, "part", "p_name")
-    req = part.select(F.expr("substring(p_name, 1, length(p_name) - 1)").alias("query")).distinct()
+    near = part.select(F.expr("substring(p_name, 1, length(p_name) - 1)").alias("query"))
+    far = read_table(spark, sf_dir, "part", "p_brand").select(F.reverse("p_brand").alias("query"))  # far from every title
+    req = near.union(far).distinct()
     req = req.select(F.col("query").alias("request_id"), "query")
     out = P.fuzzy_title_search(views.titles(spark, sf_dir), req)
     return out.select(F.col("request_id").alias("query"), "rank", "idx", "title", "distance")
@@ -299,7 +323,8 @@ def tag_vocabulary_q(spark, sf_dir):
 def restrict_q(spark, sf_dir):
     works = views.works(spark, sf_dir)
     vocab = P.tag_vocabulary(views.seeds(spark, sf_dir), works)
-    return T.restrict_to_vocab(works, vocab).select("id")
+    # a part of the vocabulary, so that works go as well as stay
+    return T.restrict_to_vocab(works, vocab.where(F.col("tag").startswith(VOCAB_PART))).select("id")
 
 
 @register("dense_cosine_topk")
@@ -333,6 +358,13 @@ def tag_svd_q(spark, sf_dir):
     return tags_emb.select(F.col("term").alias("tag"), F.transform("vec", lambda x: F.round(x, 6)).alias("embedding"))
 
 
+@register("tag_svd_works")
+def tag_svd_works_q(spark, sf_dir):
+    """M6: the works' (and seeds') embedding of the same decomposition."""
+    _, _, works_emb = P.tag_svd(views.seeds(spark, sf_dir), views.works(spark, sf_dir))
+    return works_emb.select("doc_id", F.transform("vec", lambda x: F.round(x, 6)).alias("embedding"))
+
+
 @register("singular_spectrum")
 def singular_spectrum_q(spark, sf_dir):
     return P.singular_spectrum(views.seeds(spark, sf_dir))
@@ -349,12 +381,14 @@ def json_pages_roundtrip_q(spark, sf_dir):
     works = views.works(spark, sf_dir)
     labelled = read_table(spark, sf_dir, "labels", "doc_id").withColumnRenamed("doc_id", "id")
     base = works.withColumn("tags", F.slice("tags", 1, 2))
+    # inside the first page every id is there twice, the older record in the earlier files
+    base = works.withColumn("tags", F.array(F.lit("older"))).withColumn("hits", F.lit(-1).cast("long")).unionByName(base)
     update = works.join(labelled, "id", "left_semi")
     root = io.scratch_path(spark, "pages")
     paths = [f"{root}/page1", f"{root}/page2"]
     io.write_pages(base, paths[0])
     io.write_pages(update, paths[1])
-    loaded = io.read_works(spark, [f"{p}/*.json" for p in paths], multiline=False)
+    loaded = io.read_works(spark, paths, multiline=False)
     latest = keyed_load_last_wins(loaded.drop("page"), "id", "load_seq")
     return latest.select("id", "title", F.array_join("tags", ",").alias("tags"), "hits")
 
@@ -369,19 +403,59 @@ def bundle_roundtrip_q(spark, sf_dir):
     return io.read_bundle(spark, path)["recs"].select(*RECS_COLS)
 
 
+def _seed_pages(spark, sf_dir) -> list[str]:
+    """The seeds as the reference ships them: files that each hold one JSON array, two pages of folders; the id
+    is kept as the rank."""
+    from lodestar.sources import io
+
+    s = views.seeds(spark, sf_dir)
+    record = F.to_json(F.struct("titles", F.lit("en").alias("original_lang"), F.col("id").alias("rank"), "description", "authors", "genres", "tags"))
+    rows = s.select((F.col("id") % 2).alias("page"), F.floor(F.col("id") / SEEDS_A_FILE).alias("file"), "id", record.alias("record"))
+    files = rows.groupBy("page", "file").agg(
+        F.concat(F.lit("["), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("id", "record"))), lambda r: r["record"]), ",\n"), F.lit("]")).alias("value")
+    )
+    root = io.scratch_path(spark, "seed-pages")
+    files.select("page", "file", "value").write.partitionBy("page", "file").text(root)
+    return [f"{root}/page={p}/*" for p in (0, 1)]
+
+
+@register("read_seeds")
+def read_seeds_q(spark, sf_dir):
+    """Seed pages of JSON array files, read in one scan."""
+    from lodestar.sources import io
+
+    loaded = io.read_seeds(spark, _seed_pages(spark, sf_dir))
+    return loaded.select(F.col("rank").alias("id"), F.col("page").cast("long").alias("page"), F.get(F.col("titles"), 0).alias("title"), "description")
+
+
+@register("batch_from_pages")
+def batch_from_pages_q(spark, sf_dir):
+    """E1 whole: work and seed pages of JSON in, keyed loads, the batch, the bundle out (recs read back)."""
+    from lodestar.sources import io
+
+    root = io.scratch_path(spark, "pages")
+    io.write_pages(views.works(spark, sf_dir), f"{root}/works")
+    works = keyed_load_last_wins(io.read_works(spark, [f"{root}/works"], multiline=False).drop("page"), "id", "load_seq")
+    seeds = io.read_seeds(spark, _seed_pages(spark, sf_dir)).drop("page").withColumn("id", F.col("rank"))
+    seeds = keyed_load_last_wins(seeds, "id", "load_seq")
+    io.write_bundle(P.build_recommendations(seeds, works), f"{root}/bundle")
+    return io.read_bundle(spark, f"{root}/bundle")["recs"].select(*RECS_COLS)
+
+
 @register("catalog_table")
 def catalog_table_q(spark, sf_dir):
-    """Typed catalog table created, filled from the seeds, read back."""
+    """Typed catalog table created under a fresh name and filled from the seeds; the rows that fit, read back,
+    and those that don't, whole."""
     from lodestar.sources import io
 
-    name = io.create_catalog_table(spark, "episodes", io.scratch_path(spark, "episodes"))
+    name = io.create_catalog_table(spark, None, io.scratch_path(spark, "episodes"))
     s = views.seeds(spark, sf_dir).select(
         F.col("id").cast("int").alias("id"),
-        F.substring(primary_title(F.col("titles")), 1, 64).alias("title"),
-        F.substring(F.col("description"), 1, 1024).alias("descr"),
+        primary_title(F.col("titles")).alias("title"),
+        F.col("description").alias("descr"),
     )
-    s.write.insertInto(name)
-    return spark.table(name)
+    rejects = io.fill_catalog_table(s, name)
+    return spark.table(name).withColumn("stored", F.lit(True)).unionByName(rejects.withColumn("stored", F.lit(False)))
 
 
 # ---------------------------------------------------------------- step 9: streaming serving

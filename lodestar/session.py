@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 # Rows of a side we are willing to ship to every executor when its size has been
 # measured. 2M narrow rows (a few tens of MB) stays well inside executor memory.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 def build_session(
@@ -61,7 +62,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not (sc.master == "local" or sc.master.startswith("local[")):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     scratch = tempfile.mkdtemp(prefix="lodestar-ckpt-")
     sc.setCheckpointDir(scratch)
@@ -81,13 +82,33 @@ def materialize(df: DataFrame, reliable: bool = False) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK_DESER)
 
 
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (stops counting early)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def _width(df: DataFrame):
+    """About how many bytes a row has: lengths of strings and arrays, eight for anything else."""
+    from pyspark.sql import types as T
+
+    parts = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(f.name), F.lit(0)) + 8)
+        elif isinstance(f.dataType, T.ArrayType):
+            parts.append(F.greatest(F.size(f.name), F.lit(0)) * 8 + 8)
+        else:
+            parts.append(F.lit(8))
+    return sum(parts[1:], parts[0]).cast("long")
+
+
+def bounded_rows(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and about ``max_bytes`` bytes.
+
+    A partial aggregate in every task; callers pass a persisted ``df`` where it is not cheap to make.
+    """
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_width(df)).alias("b")).first()
+    return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Broadcast hint behind a measured row bound; otherwise leave the side to a shuffle join."""
+    """Broadcast hint behind a measured bound; otherwise leave the side to a shuffle join."""
+    df = materialize(df)
     if bounded_rows(df, max_rows):
         return F.broadcast(df), True
     return df, False

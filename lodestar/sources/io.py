@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -46,17 +47,26 @@ BUNDLE_TABLES = ("recs", "works_dim", "seeds_dim", "tag_vocab")
 
 def _read_pages(spark: SparkSession, paths: Sequence[str], schema: T.StructType, multiline: bool) -> DataFrame:
     """S3: all pages as one table (UNION ALL, duplicates kept), with ``page`` (position in
-    ``paths``) and ``load_seq`` (page, then position inside the page) for keyed loads."""
-    out = None
-    for i, path in enumerate(paths):
-        df = spark.read.schema(schema).option("multiLine", multiline).json(path)
-        df = df.withColumn("page", F.lit(i)).withColumn(
-            "load_seq", F.struct(F.lit(i).alias("page"), F.monotonically_increasing_id().alias("pos"))
-        )
-        out = df if out is None else out.unionByName(df)
-    if out is None:
+    ``paths``) and ``load_seq`` for keyed loads: page, file name, place of the block in the file, place of
+    the record in the block. One scan reads all pages, however files are split and dealt out.
+
+    A path may be a file, a folder or a pattern; no file may belong to two of them, but the same path may be
+    given more than once.
+    """
+    if not paths:
         raise ValueError("no pages given")
-    return out
+    reader = spark.read.schema(schema).option("multiLine", multiline)
+    files = [(re.sub(r"^(\w+):/+", r"\1:/", f), i) for i, path in enumerate(paths) for f in reader.json(path).inputFiles()]
+    pages = spark.createDataFrame(files, "_file string, page int")
+    rows = reader.json(list(dict.fromkeys(paths))).select(
+        "*",
+        F.regexp_replace(F.col("_metadata.file_path"), r"^(\w+):/+", "$1:/").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_pos"),
+    )
+    rows = rows.join(F.broadcast(pages), "_file")  # a row for each file of the listing
+    seq = F.struct("page", F.col("_file").alias("file"), F.col("_block").alias("block"), F.col("_pos").alias("pos"))
+    return rows.withColumn("load_seq", seq).drop("_file", "_block", "_pos")
 
 
 def read_works(spark: SparkSession, paths: Sequence[str], multiline: bool = True) -> DataFrame:
@@ -112,12 +122,26 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
-def create_catalog_table(spark: SparkSession, name: str = "episodes", location: str | None = None) -> str:
-    """Drop-if-exists, then create ``(id INT, title VARCHAR(64), descr VARCHAR(1024))``.
+# Fixed values of the catalog table.
+TITLE_CHARS, DESCR_CHARS = 64, 1024
+
 
-    VARCHAR(n) is enforced on write (over-long strings are rejected).
+def create_catalog_table(spark: SparkSession, name: str | None = None, location: str | None = None) -> str:
+    """Drop-if-exists, then create ``(id INT, title VARCHAR(64), descr VARCHAR(1024))``; returns its name.
+
+    Without a name the table gets a fresh one, so no table of the caller's is touched. VARCHAR(n) is enforced
+    on write (over-long strings are rejected).
     """
+    name = name or f"episodes_{uuid.uuid4().hex}"
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE {name} (id INT, title VARCHAR(64), descr VARCHAR(1024)) USING parquet{loc}")
+    spark.sql(f"CREATE TABLE {name} (id INT, title VARCHAR({TITLE_CHARS}), descr VARCHAR({DESCR_CHARS})) USING parquet{loc}")
     return name
+
+
+def fill_catalog_table(rows: DataFrame, name: str) -> DataFrame:
+    """Insert the rows ``(id, title, descr)`` that fit; returns the others, whole."""
+    over = (F.length("title") > TITLE_CHARS) | (F.length("descr") > DESCR_CHARS)
+    over = F.coalesce(over, F.lit(False))
+    rows.where(~over).write.insertInto(name)
+    return rows.where(over)

@@ -268,13 +268,15 @@ SELECT query, title, idx, pos FROM (
 WHERE pos <= 5"""
 
 QUERIES["fuzzy_title_search"] = _with(TITLES) + """,
-freq AS (SELECT DISTINCT substring(p_name, 1, length(p_name) - 1) AS query FROM part),
+freq AS (
+  SELECT substring(p_name, 1, length(p_name) - 1) AS query FROM part
+  UNION SELECT reverse(p_brand) FROM part),
 scored AS (
   SELECT q.query, t.idx, t.title, CAST(levenshtein(lower(q.query), lower(t.title)) AS BIGINT) AS distance
   FROM freq q, titles t)
 SELECT query, rank, idx, title, distance FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY distance, idx) AS BIGINT) AS rank
-  FROM scored WHERE distance <= 3)
+  FROM scored)
 WHERE rank <= 10"""
 
 
@@ -316,7 +318,10 @@ QUERIES["tag_document_frequency"] = _with(WORKS, SEEDS, TAGS) + "SELECT tag, df
 
 QUERIES["tag_vocabulary"] = _with(WORKS, SEEDS, TAGS) + "SELECT tag_rank, tag FROM vocab"
 
-QUERIES["restrict_works_to_tag_vocab"] = _with(WORKS, SEEDS, TAGS) + "SELECT id FROM kept"
+QUERIES["restrict_works_to_tag_vocab"] = _with(WORKS, SEEDS, TAGS) + """
+SELECT id FROM works WHERE id IN (
+  SELECT id FROM (SELECT id, lower(unnest(tags)) AS t FROM works)
+  WHERE t IN (SELECT tag FROM vocab WHERE starts_with(tag, 'src1')))"""
 
 QUERIES["dense_cosine_topk"] = """
 WITH cells AS (
@@ -339,7 +344,24 @@ QUERIES["json_pages_roundtrip"] = _with(WORKS) + "SELECT id, title, array_to_str
 QUERIES["bundle_roundtrip"] = QUERIES["build_recommendations"]
 
 QUERIES["catalog_table"] = _with(SEEDS) + """
-SELECT CAST(id AS INTEGER) AS id, substring(titles[1], 1, 64) AS title, substring(description, 1, 1024) AS descr FROM seeds"""
+SELECT CAST(id AS INTEGER) AS id, titles[1] AS title, description AS descr,
+       NOT coalesce(length(titles[1]) > 64 OR length(description) > 1024, false) AS stored FROM seeds"""
+
+QUERIES["read_seeds"] = _with(SEEDS) + "SELECT id, CAST(id % 2 AS BIGINT) AS page, titles[1] AS title, description FROM seeds"
+
+QUERIES["batch_from_pages"] = QUERIES["build_recommendations"]
+
+QUERIES["index_maps_both_ways"] = _with(WORKS) + """,
+numbered AS (SELECT id, title, row_number() OVER (ORDER BY id) - 1 AS idx FROM works)
+SELECT 'id_index' AS map, CAST(id AS VARCHAR) AS key, CAST(idx AS VARCHAR) AS value FROM numbered
+UNION ALL SELECT 'index_id', CAST(idx AS VARCHAR), CAST(id AS VARCHAR) FROM numbered
+UNION ALL SELECT 'index_title', CAST(idx AS VARCHAR), title FROM numbered
+UNION ALL SELECT 'title_index', title, CAST(max(idx) AS VARCHAR) FROM numbered GROUP BY title"""
+
+QUERIES["slider_weight"] = """
+SELECT p_partkey, CASE WHEN p_size > 100 THEN 1.0 WHEN p_size < 0 THEN 0.0 ELSE CAST(p_size AS DOUBLE) / 100.0 END::DOUBLE AS weight,
+       CAST(NULL AS DOUBLE) AS malformed
+FROM part"""
 
 # ---------------------------------------------------------------- step 9
 QUERIES["recommend_stream"] = QUERIES["recommend"]

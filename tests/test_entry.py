@@ -7,11 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from lodestar.plans.queries import REGISTRY
 from lodestar.operators.rank import seed_lookup
 from lodestar.sources import io
 from lodestar.sources.keyed import keyed_load_last_wins
 
-ROWS_ONLY = {"description_search", "joint_lsa", "tag_svd", "singular_spectrum"}
+ROWS_ONLY = {"description_search", "joint_lsa", "tag_svd", "tag_svd_works", "singular_spectrum"}
 
 
 def test_entry_runs(spark):
@@ -21,14 +22,27 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle_or_is_rows_only():
+    import oracle_sql
+
     q, o = entry.queries(), entry.oracle_sql()
-    assert set(q) - set(o) == ROWS_ONLY
-    assert set(o) <= set(q)
+    assert set(REGISTRY) - set(oracle_sql.QUERIES) == ROWS_ONLY
+    assert set(oracle_sql.QUERIES) <= set(o) <= set(q)
 
 
-@pytest.mark.parametrize("name", ["tag_vocabulary", "index_maps", "popularity", "title_search_top5"])
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_queries_run_small(spark, name):
     assert entry.queries()[name](spark, SF_SMALL).count() > 0
+    spark.catalog.clearCache()
+
+
+def test_oracles_need_no_jars():
+    """The SQL loads in a Python that has no Spark at all."""
+    import subprocess
+    import sys
+
+    code = "import importlib.util as u, sys; s = u.spec_from_file_location('w', 'lodestar/functions/stopwords.py'); m = u.module_from_spec(s); s.loader.exec_module(m); print(len(m.ENGLISH))"
+    said = subprocess.run([sys.executable, "-S", "-c", code], capture_output=True, text=True, cwd=entry.__file__.rsplit("/", 1)[0])
+    assert said.stdout.strip() == "181"
 
 
 def test_keyed_last_wins(spark):
@@ -112,7 +126,7 @@ def test_tag_vocabulary_cut_and_restrict(spark):
     cut = P.tag_vocabulary(seeds, works, num_tags=5).orderBy("tag_rank").collect()
     assert [r["tag"] for r in cut] == sorted(full)[:5] and [r["tag_rank"] for r in cut] == [1, 2, 3, 4, 5]
     vocab = spark.createDataFrame([(1, t["tag"]) for t in cut], "tag_rank long, tag string")
-    kept = {r["id"] for r in T.restrict_to_vocab(works, vocab, 5).collect()}
+    kept = {r["id"] for r in T.restrict_to_vocab(works, vocab).collect()}
     want = {r["id"] for r in works.collect() if {t.lower() for t in r["tags"]} & {t["tag"] for t in cut}}
     assert kept == want
 
@@ -136,3 +150,53 @@ def test_empty_titles_and_unknown_lookups(spark):
     req = spark.createDataFrame([(7, "T"), (8, "missing")], "request_id long, title string")
     rows = P.seed_detail(sd, req).collect()
     assert [(r["request_id"], r["author"], r["genres"]) for r in rows] == [(7, "A", ["g1", "g2", "g3", "g4"])]
+
+
+def test_load_order_across_files_of_a_page(spark, tmp_path):
+    """The record in the later file wins however large the files are and whatever task reads them."""
+    page = tmp_path / "page"
+    page.mkdir()
+    old = [{"id": 1, "title": "OLD"}]
+    new = [{"id": i, "title": "x" * 200} for i in range(2, 4000)] + [{"id": 1, "title": "NEW"}]
+    for name, rows in (("part-00000.json", old), ("part-00001.json", new)):
+        (page / name).write_text("\n".join(json.dumps(r) for r in rows))
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps({"id": 5, "title": "LAST"}))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (before, "65536"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            df = io.read_works(spark, [str(page), str(other), str(page)], multiline=False)
+            assert df.count() == 2 * (len(old) + len(new)) + 1
+            latest = {r["id"]: r["title"] for r in keyed_load_last_wins(df.drop("page"), "id", "load_seq").collect()}
+            assert latest[1] == "NEW" and latest[5] == "x" * 200
+            df = io.read_works(spark, [str(page), str(other)], multiline=False)
+            latest = {r["id"]: r["title"] for r in keyed_load_last_wins(df.drop("page"), "id", "load_seq").collect()}
+            assert latest[1] == "NEW" and latest[5] == "LAST"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_whole_vocabulary_counts(spark):
+    """A vocabulary of any size is used whole."""
+    from lodestar.operators import tags as T
+
+    works = spark.createDataFrame([(i, [f"Tag{i}"]) for i in range(400)] + [(900, ["none"]), (901, []), (902, None)], "id long, tags array<string>")
+    vocab = spark.createDataFrame([(i, f"tag{i}") for i in range(400)], "tag_rank long, tag string")
+    assert {r["id"] for r in T.restrict_to_vocab(works, vocab).collect()} == set(range(400))
+    assert T.restrict_to_vocab(works, vocab.limit(0)).count() == 0
+
+
+def test_slider_weight(spark):
+    from lodestar.operators.rank import parse_weight
+
+    given = ["0", "100", " 35 ", "140", "-3", "x", "", "1.5", None]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(given)], "i int, v string").select("i", parse_weight(F.col("v")).alias("w"))
+    assert [r["w"] for r in rows.orderBy("i").collect()] == [0.0, 1.0, 0.35, 1.0, 0.0, None, None, None, None]
+
+
+def test_bound_check_counts_rows_and_bytes(spark):
+    from lodestar.session import bounded_rows
+
+    df = spark.createDataFrame([(i, "x" * 100) for i in range(50)], "i long, s string")
+    assert bounded_rows(df, 50) and not bounded_rows(df, 49) and not bounded_rows(df, 50, max_bytes=4000)

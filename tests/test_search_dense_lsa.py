@@ -76,6 +76,32 @@ def test_fuzzy_matches_brute_force(spark, k):
         assert [(i, d) for _, i, d in sorted(got.get(q, []))] == [(i, d) for d, i in want], q
 
 
+def test_fuzzy_ranks_every_title(spark):
+    """Ten answers whatever the distance: near and far requests, and fewer titles than answers."""
+    rnd = random.Random(9)
+    names = ["".join(rnd.choice("abcdefgh ") for _ in range(rnd.randint(0, 14))) for _ in range(60)]
+    queries = ["alfa sentory x", "zzzzzzzzzzzz", "", names[3], names[4][:-1] + "qqqq", "z"]
+    for n, top in ((60, 10), (4, 10)):
+        t = spark.createDataFrame([(i, [x], x, "") for i, x in enumerate(names[:n])], "idx long, titles array<string>, title string, descr string")
+        reqs = spark.createDataFrame([(i, q) for i, q in enumerate(queries)], "request_id int, query string")
+        got = {}
+        for r in fuzzy_title_search(t, reqs, top=top).collect():
+            got.setdefault(r["request_id"], []).append((r["rank"], r["distance"], r["idx"]))
+        for i, q in enumerate(queries):
+            want = sorted((lev(q, x), j) for j, x in enumerate(names[:n]))[:top]
+            assert [(d, j) for _, d, j in sorted(got[i])] == want, q
+
+
+def test_dense_cosine_takes_string_ids(spark):
+    from lodestar.operators.dense import dense_cosine_topk
+
+    docs = spark.createDataFrame([("b", [1.0, 0.0]), ("a", [1.0, 0.0]), ("c", [0.0, 1.0])], "doc_id string, vec array<double>")
+    q = spark.createDataFrame([("q1", [2.0, 0.0]), ("q2", [0.0, 0.0])], "query_id string, vec array<double>")
+    for block in (10, 1):
+        got = {(r["query_id"], r["rank"]): (r["doc_id"], r["score"]) for r in dense_cosine_topk(q, docs, 2, block_rows=block).collect()}
+        assert got == {("q1", 1): ("a", 1.0), ("q1", 2): ("b", 1.0), ("q2", 1): ("a", 0.0), ("q2", 2): ("b", 0.0)}
+
+
 def test_dense_cosine_matches_numpy(spark):
     rng = np.random.default_rng(0)
     docs = rng.normal(size=(50, 8))
