@@ -40,22 +40,23 @@ def salted_term_join(
     queries: DataFrame,
     df_col: str = "df",
     hot_df: int = 1000,
-    salt_buckets: int = 32,
+    salt_buckets: int | None = None,
 ) -> DataFrame:
     """Shuffle equi-join on ``term`` that splits hot terms.
 
     ``docs`` and ``queries`` both carry ``term`` and the term's document frequency
-    ``df_col``. A term with ``df >= hot_df`` gets ``salt = hash(doc_id) mod salt_buckets``
-    on the document side and is replicated ``salt_buckets`` times on the query side;
-    other terms keep salt 0. The join key (term, salt) then spreads a term that holds a
-    third of all postings over ``salt_buckets`` tasks. Output drops ``salt``/``df_col``.
+    ``df_col``. A term with ``df >= hot_df`` is cut into ``df / hot_df`` buckets (or
+    ``salt_buckets``, if given) by a hash of the document on the document side and
+    replicated as often on the query side; other terms keep salt 0. So a bucket holds
+    about ``hot_df`` postings however frequent its term. Output drops ``salt``/``df_col``.
     """
     is_hot = F.col(df_col) >= hot_df
+    buckets = F.ceil(F.col(df_col) / hot_df).cast("long") if salt_buckets is None else F.lit(salt_buckets).cast("long")
     zero = F.lit(0).cast("long")
-    d = docs.withColumn("salt", F.when(is_hot, F.pmod(F.xxhash64("doc_id"), F.lit(salt_buckets))).otherwise(zero))
+    d = docs.withColumn("salt", F.when(is_hot, F.pmod(F.xxhash64("doc_id"), buckets)).otherwise(zero))
     q = queries.withColumn(
         "salt",
-        F.explode(F.when(is_hot, F.sequence(zero, F.lit(salt_buckets - 1).cast("long"))).otherwise(F.array(zero))),
+        F.explode(F.when(is_hot, F.sequence(zero, buckets - 1)).otherwise(F.array(zero))),
     )
     return d.drop(df_col).join(q.drop(df_col), ["term", "salt"]).drop("salt")
 
@@ -67,7 +68,7 @@ def term_matches(
     strategy: str = "auto",
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     hot_df: int | None = None,
-    salt_buckets: int = 32,
+    salt_buckets: int | None = None,
 ) -> tuple[DataFrame, str]:
     """J1 + A8: ``(seed_id, doc_id, term, contrib, qnorm)`` for every shared kept term.
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.text import word_tokens_2plus
 from lodestar.operators.index import term_frequency
-from lodestar.session import DEFAULT_BROADCAST_ROWS, bounded_rows, materialize
+from lodestar.session import DEFAULT_BROADCAST_ROWS, bounded_rows, broadcast_if_small, materialize
 
 SCORE_DP = 6
 
@@ -38,9 +38,11 @@ def _idf_from_counts(tf: DataFrame, n: int) -> DataFrame:
 
 
 def _weights(tf: DataFrame, idf: DataFrame) -> DataFrame:
-    """tf * idf, L2-normalised per document; the per-document sum is a window over
-    doc-partitioned counts (no extra exchange)."""
-    w = tf.join(idf.select("term", "idf"), "term").select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("raw"))
+    """tf * idf, L2-normalised per document. The vocabulary is sent to the tasks if its measured size allows,
+    so that the per-document sum is a window over doc-partitioned counts (no extra exchange); a larger one
+    is joined on the term."""
+    words, _ = broadcast_if_small(idf.select("term", "idf"))
+    w = tf.join(words, "term").select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("raw"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("doc_id")))
     return w.select("doc_id", "term", (F.col("raw") / norm).alias("weight"))
 
@@ -73,7 +75,7 @@ def sparse_cosine_topk(
     k: int = 1,
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     hot_df: int = 1000,
-    salt_buckets: int = 32,
+    salt_buckets: int | None = None,
 ) -> DataFrame:
     """M4 + K5 on unit-length sparse vectors: ``(seed_id, doc_id, rank, score)``.
 

@@ -130,3 +130,62 @@ def test_blend_with_all_zero_popularity(spark):
     req = spark.createDataFrame([(1, 1, 1.0)], "request_id long, seed_id long, popularity_weight double")
     out = {r["doc_id"]: (r["rank"], r["blended"]) for r in blend_rerank(recs, pop, req).collect()}
     assert out == {10: (1, 0.0), 11: (2, 0.0)}  # max popularity 0: no division error, cosine order kept
+
+
+def _small(spark):
+    docs, queries = corpus(11, 40), corpus(12, 4)
+    d = spark.createDataFrame(list(enumerate(docs)), "id long, description string")
+    q = spark.createDataFrame(list(enumerate(queries)), "id long, description string")
+    return docs, queries, d, q
+
+
+def test_own_tokenizer(spark):
+    """Any Column -> array of strings can take the place of the default tokens."""
+    from pyspark.sql import functions as F
+
+    docs, _, d, _ = _small(spark)
+    pairs = I.term_frequency(d, stop_words=None, tokenizer=lambda c: F.transform(F.split(c, " "), lambda w: F.substring(w, 1, 2)))
+    got = {(r["doc_id"], r["term"]): r["tf"] for r in pairs.collect()}
+    assert got == {(i, t): n for i, x in enumerate(docs) for t, n in Counter(w[:2] for w in x.split()).items()}
+
+
+def test_own_score_function_and_method(spark):
+    """One term's share, and how shares become a score, can both be given."""
+    from pyspark.sql import functions as F
+
+    docs, queries, d, q = _small(spark)
+    idx = I.build_index(d, stop_words=None, min_df=2, max_df_ratio=0.9)
+    qt = I.query_terms(q, idx.idf)
+    kept = {r["term"] for r in idx.idf.collect()}
+    shared = {(s, i): sum(Counter(x.split())[t] for t in set(y.split()) & kept) for s, y in enumerate(queries) for i, x in enumerate(docs)}
+    count = lambda tf, idf, qtf: tf.cast("double")
+    top = SIM.similar_documents(idx, qt, 100, 2, score_fn=count, method="dot").collect()
+    assert {(r["seed_id"], r["doc_id"]): r["score"] for r in top} == {k: v for k, v in shared.items() if v}
+    for r in top[:20]:
+        tf = Counter(docs[r["doc_id"]].split())
+        words = sorted((-tf[t], t) for t in set(queries[r["seed_id"]].split()) & kept if tf[t])[:2]
+        assert r["keywords"] == ",".join(t for _, t in words)
+    halved = SIM.similar_documents(
+        idx, qt, 100, 0, score_fn=count, method=lambda dots, norms: dots.select("seed_id", "doc_id", (F.col("dot") / 2).alias("score"), F.col("dot").alias("cosine"))
+    ).collect()
+    assert {(r["seed_id"], r["doc_id"]): r["score"] * 2 for r in halved} == {k: v for k, v in shared.items() if v}
+    with pytest.raises(ValueError):
+        SIM.cosine_scores(SIM.dot_scores(SIM.term_matches(idx, qt)[0]), idx.norms, "other")
+
+
+def test_keywords_alike_on_both_paths(spark):
+    """The survivors' terms are scored again in place, or, past the bound, taken from all matches."""
+    _, _, d, q = _small(spark)
+    idx = I.build_index(d, stop_words=None, min_df=2, max_df_ratio=0.9)
+    qt = I.query_terms(q, idx.idf)
+    rows = lambda **kw: sorted(tuple(r) for r in SIM.similar_documents(idx, qt, 5, 3, **kw).collect())
+    assert rows() == rows(strategy="term_shuffle", broadcast_rows=0)
+
+
+def test_no_exchange_between_join_and_sum(spark):
+    """Cross-corpus cosine: the documents' partitioning serves the per-pair sums."""
+    from lodestar.plans import pipelines as P
+
+    _, _, d, q = _small(spark)
+    plan = P.cross_corpus_nearest(q, d, stop_words=[])._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(doc_id" not in plan.split("InMemoryTableScan")[0]
