@@ -151,20 +151,20 @@ def _cut(min_words: int, texts_at: int, fields: StructType):
     return run
 
 
-def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """What to cut: ``(ord, text_key, is_copy, places)`` for each document that loses words.
+def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(row_order(id_col).alias("ord"), F.xxhash64(F.col(text_col)).alias("text_key"), F.col(text_col).cast("string").alias("text"))
 
-    ``is_copy``: an earlier document has the same word sequence (all goes, if that has ``min_words``).
-    ``places``: word positions where a window starts that also starts in an earlier document.
-    """
-    src = docs.select(row_order(id_col).alias("ord"), F.xxhash64(F.col(text_col)).alias("text_key"), F.col(text_col).cast("string").alias("text"))
+
+def _first_levels(src: DataFrame, min_words: int) -> tuple[DataFrame, DataFrame]:
+    """Levels one and two up to their candidates: ``copies(ord, text_key)``, documents whose word sequence an
+    earlier one has, and ``candidates(w1, w2, ord, text_key, place)`` of the others. Both are written."""
     profile = src.mapInArrow(_profile(min_words), "ord long, text_key long, n_words long, s1 long, s2 long, ids array<long>, places array<int>")
     profile = stored(profile.where(F.col("n_words") >= min_words), "profile")
 
     # of documents with the same word sequence the first is worked on, the others go whole
     first = stored(profile.groupBy("s1", "s2").agg(F.min("ord").alias("first")), "first")
     classes = profile.join(first, ["s1", "s2"])
-    copies = classes.where("ord > first").select("ord", "text_key").distinct()
+    copies = stored(classes.where("ord > first").select("ord", "text_key").distinct(), "copies")
     reps = classes.where("ord = first").dropDuplicates(["ord", "text_key"])
     halves = reps.select("ord", "text_key", "s1", F.explode(F.arrays_zip("ids", "places")).alias("x")).select("ord", "text_key", "s1", F.col("x.ids").alias("id"), F.col("x.places").alias("place"))
     halves = stored(halves, "halves")
@@ -174,18 +174,66 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     live = halves.join(shared, "id").groupBy("ord", "text_key").agg(F.collect_list("place").alias("hits"))
     live = stored(live, "live")
 
-    # level two: full windows, where all their half windows survived
+    # level two: full windows, where their half window survived
     cand = src.join(live, ["ord", "text_key"]).dropDuplicates(["ord", "text_key"]).mapInArrow(_candidates(min_words), "w1 long, w2 long, ord long, text_key long, place int")
     cand = stored(cand, "candidates")
-    lowest = stored(cand.groupBy("w1", "w2").agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")).where("lo < hi").select("w1", "w2", "lo"), "lowest")
+    for table in (profile, first, halves, shared, live):
+        drop_stored(table)
+    return copies, cand
+
+
+def _lowest(windows: DataFrame) -> DataFrame:
+    """Windows found in documents of different ids, with the smallest of these."""
+    return windows.groupBy("w1", "w2").agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")).where("lo < hi").select("w1", "w2", "lo")
+
+
+def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """What to cut: ``(ord, text_key, is_copy, places)`` for each document that loses words.
+
+    ``is_copy``: an earlier document has the same word sequence (all goes, if that has ``min_words``).
+    ``places``: word positions where a window starts that also starts in an earlier document.
+    """
+    copies, cand = _first_levels(_source(docs, id_col, text_col), min_words)
+    lowest = stored(_lowest(cand), "lowest")
     later = cand.join(lowest, ["w1", "w2"]).where("ord > lo").select("ord", "text_key", "place")
-    later = stored(later.groupBy("ord", "text_key").agg(F.collect_list("place").alias("places")), "later")
-    out = stored(later.select("ord", "text_key", F.lit(False).alias("is_copy"), "places").union(copies.select("ord", "text_key", F.lit(True), F.lit(None).cast("array<int>"))), "removals")
-    for table in (profile, first, halves, shared, live, cand, lowest, later):
+    later = later.groupBy("ord", "text_key").agg(F.collect_list("place").alias("places"))
+    out = later.select("ord", "text_key", F.lit(False).alias("is_copy"), "places").union(copies.select("ord", "text_key", F.lit(True), F.lit(None).cast("array<int>")))
+    out = stored(out, "removals")
+    for table in (copies, cand, lowest):
         drop_stored(table)
     return out
 
 
+def repeat_lengths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """The ladder climbed on past ``min_words``: ``(ord, text_key, longest)``, the greatest of ``min_words``, twice
+    that, four times, ... such that a window of so many words in the document also starts in an earlier one.
+
+    Two windows that repeat and stand end to end make one of twice the length; the climb ends when no
+    candidate survives. Documents whose whole word sequence an earlier one has are not looked at.
+    """
+    copies, alive = _first_levels(_source(docs, id_col, text_col), min_words)
+    drop_stored(copies)
+    length, found = min_words, []
+    while True:
+        lowest = stored(_lowest(alive), "lowest")
+        known = alive
+        alive = stored(known.join(lowest, ["w1", "w2"]), "alive")
+        for table in (known, lowest):
+            drop_stored(table)
+        found.append(stored(alive.where("ord > lo").select("ord", "text_key", F.lit(length).alias("longest")).distinct(), "found"))
+        if alive.isEmpty():
+            break
+        ahead = alive.select("ord", "text_key", (F.col("place") - length).alias("place"), F.col("w1").alias("n1"), F.col("w2").alias("n2"))
+        longer = alive.join(ahead, ["ord", "text_key", "place"])
+        known, alive = alive, stored(longer.select(F.xxhash64("w1", "n1").alias("w1"), F.xxhash64(F.lit(length), "w2", "n2").alias("w2"), "ord", "text_key", "place"), "longer")
+        drop_stored(known)
+        length *= 2
+    out = found[0]
+    for level in found[1:]:
+        out = out.union(level)
+    return out.groupBy("ord", "text_key").agg(F.max("longest").alias("longest"))
+
+
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """Every input row as ``row`` (struct of its columns) with ``n_words``, ``n_removed``, ``kept_text``,
     ``kept_sha256`` and ``removed`` (word spans first .. end).

@@ -69,6 +69,32 @@ def test_cut_odd_rows(spark):
     assert empty.count() == 0 and empty.columns == ["row", "n_words", "n_removed", "kept_text", "kept_sha256", "removed"]
 
 
+def test_repeat_lengths(spark):
+    k = 4
+    rng = random.Random(21)
+    shared = sentence(77, 90).split()
+    rows = [(0, " ".join(shared))]
+    for i in range(1, 25):
+        n = rng.randint(1, 85)
+        at = rng.randint(0, 90 - n)
+        rows.append((i, f"{sentence(300 + i, 3)} {' '.join(shared[at : at + n])} {sentence(400 + i, 3)}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {}
+    length = k
+    while length < 200:
+        low = {}
+        for i, t in rows:
+            w = t.split()
+            for s in range(len(w) - length + 1):
+                key = tuple(w[s : s + length])
+                if low.setdefault(key, i) < i:
+                    want[i] = length
+        length *= 2
+    got = {r["ord"]: r["longest"] for r in substring.repeat_lengths(docs, min_words=k).collect()}
+    assert got == want and max(want.values()) >= 32
+    assert substring.repeat_lengths(empty_docs(spark)).count() == 0
+
+
 def components(values, bits):
     left, out = set(values), {}
     while left:
