@@ -43,15 +43,16 @@ def blend_rerank(
     requests: DataFrame,
     num_fics: int = NUM_FICS,
     popularity_scale: float = POPULARITY_SCALE,
+    max_popularity: float | None = None,
 ) -> DataFrame:
     """K3: per request take the first ``num_fics`` recs of its seed by cosine rank, then
     score = pop / (max_pop / scale) * w + cosine * (1 - w) on the unrounded cosine, re-ranked (ties keep cosine order).
 
     ``requests``: request_id, seed_id, popularity_weight. ``popularity``: doc_id, popularity
-    over the whole candidate corpus (its max is a scalar subquery, not a driver round trip).
+    over the whole candidate corpus (its max, unless given, is a scalar subquery, not a driver round trip).
     Output: request_id, seed_id, doc_id, cos_rank, blended, keywords, rank.
     """
-    max_pop = popularity.agg(F.max("popularity")).scalar()
+    max_pop = popularity.agg(F.max("popularity")).scalar() if max_popularity is None else F.lit(float(max_popularity))
     top = recs.where(F.col("rank") <= num_fics).withColumnRenamed("rank", "cos_rank")
     j = requests.join(top, "seed_id").join(popularity, "doc_id", "left")
     w = F.coalesce(F.col("popularity_weight"), F.lit(0.0))  # no weight: by similarity alone

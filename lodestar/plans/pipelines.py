@@ -76,14 +76,17 @@ def recommend(
     requests: DataFrame,
     num_fics: int = R.NUM_FICS,
     filter_first: bool = False,
+    lookup: DataFrame | None = None,
+    max_popularity: float | None = None,
 ) -> DataFrame:
     """requests(request_id, title, popularity_weight, tags array) ->
     title -> seed (last wins) -> first ``num_fics`` by cosine -> blend -> assemble -> tag filter.
 
     As in the reference the tag filter runs after the slice, so a request may get fewer
     than ``num_fics`` rows; ``filter_first=True`` filters the candidates first instead.
+    ``lookup`` (title to seed) and ``max_popularity`` can be given where they are known.
     """
-    lookup = R.seed_lookup(seeds_dim)
+    lookup = R.seed_lookup(seeds_dim) if lookup is None else lookup
     req = requests.join(lookup, "title")
     pop = works_dim.select(F.col("id").alias("doc_id"), "popularity")
     wanted = req.select("request_id", F.col("tags").alias("wanted"))
@@ -95,9 +98,9 @@ def recommend(
         recs_req = kept.withColumn("rank", F.row_number().over(w).cast("long")).select(
             F.col("request_id").alias("seed_id"), "doc_id", "rank", "score", "keywords", "cosine"
         )
-        ranked = R.blend_rerank(recs_req, pop, req.select("request_id", F.col("request_id").alias("seed_id"), "popularity_weight"), num_fics)
+        ranked = R.blend_rerank(recs_req, pop, req.select("request_id", F.col("request_id").alias("seed_id"), "popularity_weight"), num_fics, max_popularity=max_popularity)
         return R.assemble(ranked, works_dim)
-    ranked = R.blend_rerank(recs, pop, req.select("request_id", "seed_id", "popularity_weight"), num_fics)
+    ranked = R.blend_rerank(recs, pop, req.select("request_id", "seed_id", "popularity_weight"), num_fics, max_popularity=max_popularity)
     records = R.assemble(ranked, works_dim)
     return records.join(wanted, "request_id").where(R.tags_any_match(F.col("tags"), F.col("wanted"))).drop("wanted")
 

@@ -172,7 +172,8 @@ def dot_product_q(spark, sf_dir):
     idx, sw = _index(spark, sf_dir)
     qt = I.query_terms(views.seeds(spark, sf_dir), idx.idf, stop_words=sw)
     m, _ = SIM.term_matches(idx, qt)
-    return SIM.dot_scores(m).select("seed_id", "doc_id", _r(F.col("dot")).alias("dot"))
+    scores = SIM.cosine_scores(SIM.dot_scores(m), idx.norms, "dot")  # the largest of each seed, not every pair
+    return SIM.top_k_per_seed(scores).select("seed_id", "doc_id", F.col("score").alias("dot"))
 
 
 RECS_COLS = ("seed_id", "doc_id", "rank", "score", "keywords")

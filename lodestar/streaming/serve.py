@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.operators.rank import parse_tag_param
+from lodestar.session import materialize
 
 REQUEST_SCHEMA = "request_id long, title string, popularity_weight double, tags string"
 
@@ -35,10 +36,15 @@ def serve_requests(
     available_now: bool = True,
 ):
     """Start the serving stream; with ``available_now`` it drains the folder and stops."""
+    from lodestar.operators.rank import seed_lookup
     from lodestar.plans.pipelines import recommend
 
+    # what every batch needs of the whole bundle is worked out once
+    lookup = materialize(seed_lookup(bundle["seeds_dim"]))
+    most = bundle["works_dim"].agg(F.max("popularity")).first()[0]
+
     def handle(batch: DataFrame, batch_id: int) -> None:
-        out = recommend(bundle["recs"], bundle["works_dim"], bundle["seeds_dim"], batch)
+        out = recommend(bundle["recs"], bundle["works_dim"], bundle["seeds_dim"], batch, lookup=lookup, max_popularity=most or 0.0)
         out.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
 
     writer = request_stream(spark, request_dir).writeStream.foreachBatch(handle).option(

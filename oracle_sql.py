@@ -195,7 +195,12 @@ QUERIES["doc_norm"] = _with(WORKS, INDEX) + "SELECT doc_id, round(norm, 6) AS no
 QUERIES["query_norm"] = _with(WORKS, SEEDS, INDEX, QUERY_SIDE) + "SELECT seed_id, round(qnorm, 6) AS qnorm FROM qnorms"
 
 # ---------------------------------------------------------------- step 3
-QUERIES["dot_product"] = _with(WORKS, SEEDS, INDEX, QUERY_SIDE) + "SELECT seed_id, doc_id, round(dot, 6) AS dot FROM dots"
+QUERIES["dot_product"] = _with(WORKS, SEEDS, INDEX, QUERY_SIDE) + """
+SELECT seed_id, doc_id, dot FROM (
+  SELECT seed_id, doc_id, round(dot, 6) AS dot,
+         row_number() OVER (PARTITION BY seed_id ORDER BY round(dot, 6) DESC, doc_id) AS rank
+  FROM dots)
+WHERE rank <= 50"""
 
 QUERIES["top50_per_seed"] = _with(WORKS, SEEDS, INDEX, QUERY_SIDE) + "SELECT seed_id, doc_id, rank, score, keywords FROM recs"
 
