@@ -1,10 +1,10 @@
 """Dense-vector cosine top-k (J7, M4, K4) and vector helpers.
 
-Exact brute force without materialising pairs: the query block is broadcast (behind a
-measured bound) and every Arrow batch of documents is scored with one matrix product in
+Exact brute force without materialising pairs: a query set within a measured bound is
+broadcast and every Arrow batch of documents is scored with one matrix product in
 numpy; each batch emits only its own top-k per query, and a window with a partial
-``WindowGroupLimit`` merges those candidates. Query sets above the bound are processed
-in hash blocks, each block one broadcast.
+``WindowGroupLimit`` merges those candidates. Of larger query sets, hash blocks meet hash
+blocks of documents in a shuffle (about ``block_rows`` rows each), scored the same way.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.session import materialize
+from lodestar.session import bounded_rows, materialize
 
 SCORE_DP = 6
 QUERY_BLOCK_ROWS = 50_000
@@ -41,29 +41,25 @@ def _unit_rows(m: np.ndarray) -> np.ndarray:
     return out
 
 
-def _scorer(qids: list, qmat: np.ndarray, k: int, id_col: str, vec_col: str):
-    qn = _unit_rows(qmat.astype(np.float64))
-    qid = np.array(qids, dtype=object)
+def _block_top(qid: np.ndarray, qn: np.ndarray, pdf: pd.DataFrame, k: int):
+    """Top-k documents of one batch for each query (unit rows ``qn``), queries in chunks."""
+    pdf = pdf.sort_values("doc_id", kind="stable")
+    ids = pdf["doc_id"].to_numpy(dtype=object)
+    x = _unit_rows(np.stack([np.asarray(v, dtype=np.float64) for v in pdf["vec"]]))
+    kk = min(k, len(ids))
+    for c0 in range(0, len(qid), _QCHUNK):
+        s = np.round(x @ qn[c0:c0 + _QCHUNK].T, SCORE_DP)  # (rows, queries)
+        # rows are in id order, so a stable sort gives ties to the smaller id
+        best = np.argsort(-s, axis=0, kind="stable")[:kk]
+        yield pd.DataFrame({
+            "query_id": np.repeat(qid[c0:c0 + _QCHUNK], kk),
+            "doc_id": ids[best.T.ravel()],
+            "score": np.take_along_axis(s, best, axis=0).T.ravel(),
+        })
 
-    def run(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pdf = pdf.sort_values(id_col, kind="stable")
-            ids = pdf[id_col].to_numpy(dtype=object)
-            x = _unit_rows(np.stack([np.asarray(v, dtype=np.float64) for v in pdf[vec_col]]))
-            kk = min(k, len(ids))
-            for c0 in range(0, len(qid), _QCHUNK):
-                s = np.round(x @ qn[c0:c0 + _QCHUNK].T, SCORE_DP)  # (rows, queries)
-                # rows are in id order, so a stable sort gives ties to the smaller id
-                best = np.argsort(-s, axis=0, kind="stable")[:kk]
-                yield pd.DataFrame({
-                    "query_id": np.repeat(qid[c0:c0 + _QCHUNK], kk),
-                    "doc_id": ids[best.T.ravel()],
-                    "score": np.take_along_axis(s, best, axis=0).T.ravel(),
-                })
 
-    return run
+def _matrix(vecs) -> np.ndarray:
+    return _unit_rows(np.array([list(v) for v in vecs], dtype=np.float64))
 
 
 def dense_cosine_topk(
@@ -81,31 +77,35 @@ def dense_cosine_topk(
     Zero vectors score 0. Scores are rounded before ranking; ties go to the smaller doc_id.
     """
     spark = docs.sparkSession
-    # the blocks are cut from these rows again and again
     q = materialize(queries.select(F.col(query_id).alias("query_id"), F.col(query_vec).alias("vec")))
     d = docs.select(F.col(doc_id).alias("doc_id"), F.col(doc_vec).alias("vec"))
-    n_blocks = max(1, -(-q.count() // block_rows))
     ids = f"query_id {q.schema['query_id'].dataType.simpleString()}, doc_id {d.schema['doc_id'].dataType.simpleString()}"
-    parts = []
-    for b in range(n_blocks):
-        qb = q if n_blocks == 1 else q.where(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == b)
-        rows = qb.collect()  # one block of the query set: about block_rows rows, by a hash of their ids
-        if not rows:
-            continue
-        qids = [r["query_id"] for r in rows]
-        qmat = np.array([list(r["vec"]) for r in rows], dtype=np.float64)
-        bq = spark.sparkContext.broadcast((qids, qmat))
-
-        def run(batches, bq=bq):
-            block, mat = bq.value
-            yield from _scorer(block, mat, k, "doc_id", "vec")(batches)
-
-        parts.append(d.mapInPandas(run, f"{ids}, score double"))
-    if not parts:
-        return spark.createDataFrame([], f"{ids}, rank long, score double")
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
+    schema = f"{ids}, score double"
+    if bounded_rows(q, block_rows):
+        rows = q.collect()  # one block, its size just measured
+        sent = spark.sparkContext.broadcast((np.array([r["query_id"] for r in rows], dtype=object), _matrix([r["vec"] for r in rows]) if rows else None))
+
+        def run(batches):
+            qid, qn = sent.value
+            for pdf in batches:
+                if len(pdf) and len(qid):
+                    yield from _block_top(qid, qn, pdf, k)
+
+        cand = d.mapInPandas(run, schema)
+    else:
+        # blocks of queries meet blocks of documents in the shuffle; neither side passes the driver
+        n_q, n_d = -(-q.count() // block_rows), max(1, -(-d.count() // block_rows))
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+        qs = q.select("query_id", "vec", F.pmod(F.xxhash64("query_id"), F.lit(n_q)).cast("int").alias("qb"), every(n_d).alias("db"))
+        ds = d.select("doc_id", "vec", F.pmod(F.xxhash64("doc_id"), F.lit(n_d)).cast("int").alias("db"), every(n_q).alias("qb"))
+
+        def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+            empty = pd.DataFrame({"query_id": pd.Series([], dtype=object), "doc_id": pd.Series([], dtype=object), "score": pd.Series([], dtype=float)})
+            if left.empty or right.empty:
+                return empty
+            return pd.concat(list(_block_top(left["query_id"].to_numpy(dtype=object), _matrix(left["vec"]), right, k)))
+
+        cand = qs.groupBy("qb", "db").cogroup(ds.groupBy("qb", "db")).applyInPandas(meet, schema)
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
     return (
         cand.withColumn("rank", F.row_number().over(w))
