@@ -15,18 +15,18 @@ back the bytes of one that is not complete.
 from __future__ import annotations
 
 import base64
+import codecs
 import hashlib
 from array import array
 from collections.abc import Iterable, Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: Transducer states, neighbour checks and pieces kept by a Python worker before it starts anew.
-MAX_STATES, MAX_PAIRS, MAX_PIECES = 40_000, 200_000, 250_000
+MAX_STATES, MAX_PAIRS, MAX_PIECES = 60_000, 400_000, 700_000
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -200,62 +200,24 @@ class Encoder:
 
 
 class StreamDecoder:
-    """Ids -> bytes, passed on at ends of characters only; what is not UTF-8 is passed on as it is."""
+    """Ids -> bytes, passed on at ends of characters only; bytes that are not UTF-8 are passed on as they are.
 
-    #: state: bytes that must still come, and the bounds of the next one; 0 is the end of a character
-    NEXT = {0: None, 1: (0x80, 0xBF, 0), 2: (0x80, 0xBF, 1), 3: (0x80, 0xBF, 2), 4: (0xA0, 0xBF, 1), 5: (0x80, 0x9F, 1), 6: (0x90, 0xBF, 2), 7: (0x80, 0x8F, 2)}
+    The state machine is the standard library's incremental decoder; stray bytes travel as lone surrogates.
+    """
 
     def __init__(self, tokens: dict[int, bytes]) -> None:
         self.tokens = tokens
-        self.whole = np.zeros(max(tokens, default=0) + 1, bool)  # tokens that are whole characters
-        for i, t in tokens.items():
-            self.whole[i] = self.scan(0, t) == (0, len(t))
-        self.reset()
-
-    def reset(self) -> None:
-        self.state, self.held = 0, b""
-
-    @classmethod
-    def lead(cls, b: int) -> int:
-        if b < 0x80 or not 0xC2 <= b <= 0xF4:
-            return 0  # a character, or no start of one
-        if b < 0xE0:
-            return 1
-        if b < 0xF0:
-            return {0xE0: 4, 0xED: 5}.get(b, 2)
-        return {0xF0: 6, 0xF4: 7}.get(b, 3)
-
-    @classmethod
-    def scan(cls, state: int, data: bytes) -> tuple[int, int]:
-        """State after ``data`` and how much of it lies before the last end of a character."""
-        ended = 0
-        for i, b in enumerate(data):
-            if state:
-                low, high, state_after = cls.NEXT[state]
-                state = state_after if low <= b <= high else cls.lead(b)  # broken off: b starts anew
-            else:
-                state = cls.lead(b)
-            if not state:
-                ended = i + 1
-        return state, ended
+        self.machine = codecs.getincrementaldecoder("utf-8")("surrogateescape")
 
-    def feed(self, ids: Iterable[int]) -> bytes:
-        ids = list(ids)
+    def feed(self, ids: Iterable[int], last: bool = False) -> bytes:
+        """Whole characters that are complete with these tokens; with ``last`` also what is left of a broken one."""
         data = b"".join(map(self.tokens.__getitem__, ids))
-        if not self.state and self.whole[ids].all():
-            return data
-        before = len(self.held)
-        data = self.held + data
-        self.state, ended = self.scan(self.state, data[before:])
-        ended = ended + before if ended else 0
-        self.held = data[ended:]
-        return data[:ended]
+        return self.machine.decode(data, last).encode("utf-8", "surrogateescape")
 
     def finish(self) -> bytes:
-        """What is left of a character that never ended."""
-        held = self.held
-        self.reset()
-        return held
+        rest = self.feed((), last=True)
+        self.machine.reset()
+        return rest
 
 
 _LOADED: dict[tuple, Encoder] = {}
