@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lodestar.llm.store import bounded_batches
+
 #: Transducer states, neighbour checks and pieces kept by a Python worker before it starts anew.
 MAX_STATES, MAX_PAIRS, MAX_PIECES = 60_000, 400_000, 700_000
 
@@ -248,6 +250,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", dig
     ``ids_sha256`` (of the decimal ids joined by one space) and ``decoded_sha256`` (of the bytes).
     A null text is encoded as an empty one: no ids. Texts are whole whatever their length.
     """
+    bounded_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary(path))
     at = docs.columns.index(text_col)
 
@@ -284,6 +287,7 @@ def _streamed(decoder: StreamDecoder, ids: list[int], at_once: int = 1024) -> st
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     """Every input row as ``row`` with ``decoded`` (binary): the bytes of its ids, null for null ids."""
+    bounded_batches(encoded)
     shared = encoded.sparkSession.sparkContext.broadcast(vocabulary(path))
     at = encoded.columns.index(ids_col)
 

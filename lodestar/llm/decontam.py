@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lodestar.llm.store import NULL_ORDER
+from lodestar.llm.store import NULL_ORDER, bounded_batches
 
 SEED_WORDS = 4
 #: Of this many neighbouring n-grams of a passage the rarest are seeds.
@@ -207,6 +207,7 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, id_col: str = "item_id"
     Null and empty texts match nothing; nor does anything match items of fewer than four words. Items
     with equal passages are reported under the smallest of their ids (null ids under the largest long).
     """
+    bounded_batches(docs)
     at = docs.columns.index(text_col)
     out = docs.select(F.struct("*").alias("row"), F.array().cast(MATCHES).alias("matches"))
     schema = StructType([out.schema["row"], *StructType.fromDDL(f"matches {MATCHES}").fields])

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lodestar.llm.sample import labelled_sample
+from lodestar.llm.store import bounded_batches
 
 #: Labelled documents of each class that the field is fitted on, at most.
 PER_CLASS = 2500
@@ -191,6 +192,7 @@ def fit_field(docs: DataFrame, labels: DataFrame, label: str, fit_on: Column, pe
             made = [line_features(t.as_py())[0].astype(np.float32) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f.tobytes() for f in made], pa.binary())], names=["label", "features"])
 
+    bounded_batches(docs)
     sample, counts = labelled_sample(docs, labels, label, fit_on, per_class, id_col, text_col)
     width = line_features("")[0].shape[1]
     found = sample.mapInArrow(run, "label int, features binary").collect()
@@ -205,6 +207,7 @@ def fit_field(docs: DataFrame, labels: DataFrame, label: str, fit_on: Column, pe
 def score(docs: DataFrame, field: Field, text_col: str = "text") -> DataFrame:
     """Every input row as ``row`` (struct of its columns) with ``score``, 0 to 1; empty and null texts score
     as one empty line."""
+    bounded_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(field)
     at = docs.columns.index(text_col)
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.llm.graph import connected_components
-from lodestar.llm.store import NULL_ORDER, row_order, stored
+from lodestar.llm.store import NULL_ORDER, bounded_batches, row_order, stored
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -55,6 +55,7 @@ def with_fingerprint(docs: DataFrame, text_col: str = "text", shingle_words: int
             fps = np.array([fingerprint(t.as_py(), shingle_words) for t in batch.column(1)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["row", "fp"])
 
+    bounded_batches(docs)
     others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
     rows = docs.select(F.struct(*others).alias("row"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, _schema(rows.select("row"), "fp long"))

@@ -12,6 +12,8 @@ from lodestar.session import ensure_checkpoint_dir
 
 #: Order given to a null document id: after every real one.
 NULL_ORDER = 2**63 - 1
+#: Documents in an Arrow batch.
+BATCH_ROWS = 1000
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -43,6 +45,14 @@ def drop_stored(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def bounded_batches(df: DataFrame) -> None:
+    """Rows go to Python workers at most ``BATCH_ROWS`` at a time in this session: texts can be long, and a batch
+    is held by the executor and its worker at once. A smaller setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(key)) <= BATCH_ROWS:
+        df.sparkSession.conf.set(key, str(BATCH_ROWS))
+
+
 def row_order(id_col: str) -> Column:
     """Sort position of a document id; null ids come last."""
     return F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ORDER))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lodestar.llm.store import drop_stored, row_order, stored
+from lodestar.llm.store import bounded_batches, drop_stored, row_order, stored
 from lodestar.llm.words import Words, row_of, slices, span_hashes, window_hashes
 
 MIN_WORDS = 50
@@ -193,6 +193,7 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ``is_copy``: an earlier document has the same word sequence (all goes, if that has ``min_words``).
     ``places``: word positions where a window starts that also starts in an earlier document.
     """
+    bounded_batches(docs)
     copies, cand = _first_levels(_source(docs, id_col, text_col), min_words)
     lowest = stored(_lowest(cand), "lowest")
     later = cand.join(lowest, ["w1", "w2"]).where("ord > lo").select("ord", "text_key", "place")

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lodestar.llm.sample import labelled_sample
+from lodestar.llm.store import bounded_batches
 
 HASH_BITS = 18
 FACTORS = 8
@@ -174,6 +175,7 @@ def fit_machine(docs: DataFrame, labels: DataFrame, label: str, fit_on: Column,
                 names=["label", "terms", "values"],
             )
 
+    bounded_batches(docs)
     sample, counts = labelled_sample(docs, labels, label, fit_on, per_class, id_col, text_col)
     found = sample.mapInArrow(run, "label int, terms binary, values binary").collect()
     rows = [(r["label"], np.frombuffer(r["terms"], np.int32), np.frombuffer(r["values"], np.float32)) for r in found]
@@ -187,6 +189,7 @@ def fit_machine(docs: DataFrame, labels: DataFrame, label: str, fit_on: Column,
 def score(docs: DataFrame, machine: Machine, text_col: str = "text") -> DataFrame:
     """Every input row as ``row`` (struct of its columns) with ``score``, 0 to 1. A text without terms, empty
     or null, gets the score of no evidence."""
+    bounded_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(machine)
     at = docs.columns.index(text_col)
 
