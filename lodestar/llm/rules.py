@@ -30,6 +30,8 @@ STEPS = 3
 CUT = 60.0
 #: Rows that a language and source, else a language, must have for an estimate of its own.
 MIN_ROWS = 60
+#: Pools whose estimates may be sent to every task.
+MAX_SENT = 50_000
 _SPACE = r"[\x20\x09-\x0D]+"
 _GRID, _DISTANCE_GRID = 512, 64
 
@@ -94,6 +96,12 @@ def vector() -> dict[str, Column]:
     }
 
 
+def _beside(table: DataFrame) -> DataFrame:
+    """A stored table with a row for each pool, to be joined to rows of which one pool may have a third: sent to
+    all tasks if it has at most ``MAX_SENT`` rows (about 250 bytes each), else left to a join that Spark can split."""
+    return F.broadcast(table) if table.count() <= MAX_SENT else table
+
+
 def _rank_on_grid(counts: DataFrame, keys: list[str], share: float) -> DataFrame:
     """From ``keys, bin, n``: the least bin up to which ``share`` of the rows lie."""
     whole, upto = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy("bin")
@@ -123,7 +131,7 @@ def _factor(shape: DataFrame) -> DataFrame:
 
 def _with_distance(rows: DataFrame, estimate: DataFrame, on: str = "pool") -> DataFrame:
     """Squared distance of each row from its pool's estimate (columns m_i and l_i_j), column ``d2``."""
-    out = rows.join(estimate, on)
+    out = rows.join(_beside(estimate), on)
     for i, v in enumerate(VECTOR):
         step = F.col(v) - F.col(f"m_{i}")
         for k in range(i):
@@ -136,7 +144,7 @@ def _with_distance(rows: DataFrame, estimate: DataFrame, on: str = "pool") -> Da
 def minimum_covariance(rows: DataFrame, steps: int = STEPS) -> DataFrame:
     """``rows(pool, vector entries)`` -> for each pool its centre ``m_i`` and Cholesky factor ``l_i_j``."""
     median = stored(_median(rows, F.col), "median")
-    apart = rows.alias("r").join(median.alias("c"), "pool").select("pool", *(F.abs(F.col(f"r.{v}") - F.col(f"c.{v}")).alias(v) for v in VECTOR))
+    apart = rows.alias("r").join(_beside(median).alias("c"), "pool").select("pool", *(F.abs(F.col(f"r.{v}") - F.col(f"c.{v}")).alias(v) for v in VECTOR))
     spread = stored(_median(apart, F.col), "spread")
     first = median.alias("c").join(spread.alias("s"), "pool").select(
         "pool",
@@ -149,7 +157,7 @@ def minimum_covariance(rows: DataFrame, steps: int = STEPS) -> DataFrame:
         near = _with_distance(rows, estimate).withColumn("bin", grid)
         counts = near.groupBy("pool", "bin").agg(F.count(F.lit(1)).alias("n"))
         edge = stored(_rank_on_grid(counts, ["pool"], CORE).withColumnRenamed("bin", "edge"), "edge")
-        core = near.join(edge, "pool").where("bin <= edge")
+        core = near.join(_beside(edge), "pool").where("bin <= edge")
         pairs = [(i, j) for i in range(len(VECTOR)) for j in range(i + 1)]
         shape = core.groupBy("pool").agg(
             *(F.avg(v).alias(f"m_{i}") for i, v in enumerate(VECTOR)),
@@ -180,14 +188,14 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     pools = passed.select(F.explode(levels).alias("pool"), *VECTOR)
     sizes = pools.groupBy("pool").agg(F.count(F.lit(1)).alias("n"))
     large = stored(sizes.where((F.col("n") >= min_rows) | (F.col("pool") == "all")).select("pool"), "pools")
-    pools = stored(pools.join(large, "pool", "left_semi"), "members")
+    pools = stored(pools.join(_beside(large), "pool", "left_semi"), "members")
     estimate = minimum_covariance(pools)
 
     # the narrowest pool that has an estimate, for each pair of language and source
     groups = passed.select("lang", "source").distinct().select("lang", "source", F.posexplode(levels).alias("level", "pool"))
     judged_by = stored(groups.join(large, "pool", "left_semi").groupBy("lang", "source").agg(F.min_by("pool", "level").alias("pool")), "judged-by")
     own = F.struct(name("lang").alias("a"), name("source").alias("b"))
-    rows = passed.withColumn("own", own).join(judged_by.select(own.alias("own"), "pool"), "own").drop("own")
+    rows = passed.withColumn("own", own).join(_beside(judged_by).select(own.alias("own"), "pool"), "own").drop("own")
     judged = _with_distance(rows, estimate)
     kept = base.where("base_failed").withColumn("d2", F.lit(None).cast("double")).unionByName(judged.drop("pool"))
     return kept.withColumnRenamed("d2", "distance").withColumn("kept", F.coalesce(~F.col("base_failed") & (F.col("distance") <= cut), F.lit(False))).drop(*VECTOR)
