@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lodestar.llm.store import row_order
+from lodestar.llm.store import bounded_batches, row_order
 
 # Fixed values of the seekable format.
 SKIPPABLE_MAGIC = 0x184D2A5E
@@ -88,7 +88,7 @@ class WordIds:
     are kept. Any other text, and any other tokenizer, goes through the library as a whole.
     """
 
-    MAX_PIECES = 250_000
+    MAX_PIECES = 500_000
     #: Fixed values of the tokenizer file for which pieces can be taken one by one.
     SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -109,8 +109,8 @@ class WordIds:
         self.plain = regex.compile("[\\x00-\\u012f\\u0131-\\u017f]*").fullmatch
         self.added = regex.compile("|".join(map(regex.escape, added)) or r"(?!)").search
         self.letter = self._letters()
-        self.known: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @staticmethod
     def _letters() -> list[str]:
@@ -121,24 +121,28 @@ class WordIds:
         return [stand[b] for b in range(256)]
 
     def encode(self, text: str | None) -> list[int]:
+        return np.frombuffer(self.stored(text), "<u4").tolist()
+
+    def stored(self, text: str | None) -> bytes:
+        """The ids as they are written: unsigned 32-bit little-endian integers."""
         if not text:
-            return []
+            return b""
         if not (self.by_piece and self.plain(text)) or self.added(text):
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
-        out: list[int] = []
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        out: list[bytes] = []
         known, model, letter = self.known, self.tokenizer.model, self.letter
         for piece in self.find(text.lower()):
             ids = known.get(piece)
             if ids is None:
                 ids = self.older.get(piece)
                 if ids is None:
-                    ids = [t.id for t in model.tokenize("".join(map(letter.__getitem__, piece.encode())))]
+                    ids = np.array([t.id for t in model.tokenize("".join(map(letter.__getitem__, piece.encode())))], "<u4").tobytes()
                 if len(known) >= self.MAX_PIECES:
                     self.older, self.known = known, {}
                     known = self.known
                 known[piece] = ids
-            out += ids
-        return out
+            out.append(ids)
+        return b"".join(out)
 
 
 _LOADED: dict[str, WordIds] = {}
@@ -168,6 +172,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, id_col: str = "
     that tie on id are in order of a hash of the text; repeated rows are repeated. An empty table gives
     an empty index.
     """
+    bounded_batches(docs)
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
         shared = spark.sparkContext.broadcast(f.read())
@@ -177,7 +182,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, id_col: str = "
     target = _uri(folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = _word_ids(shared.value).encode
+        ids_of, end = _word_ids(shared.value).stored, np.array([end_id], "<u4").tobytes()
         part = TaskContext.get().partitionId()
         store, root = _store(target)
         name = f"part-{part:06d}.zst"
@@ -191,9 +196,9 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, id_col: str = "
                     store.create_dir(root, recursive=True)
                     stream = store.open_output_stream(own)
                     writer = SeekableWriter(stream)
-                ids = [*ids_of(batch.column(1)[i].as_py()), end_id]
-                done.append((batch.column(0)[i].as_py(), part, writer.frame(np.array(ids, "<u4").tobytes()), before, len(ids)))
-                before += len(ids)
+                data = ids_of(batch.column(1)[i].as_py()) + end
+                done.append((batch.column(0)[i].as_py(), part, writer.frame(data), before, len(data) // 4))
+                before += len(data) // 4
             if done:
                 kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], kinds[k]) for k in range(5)], names=["doc_id", "file", "frame", "before", "n_tokens"])
@@ -230,6 +235,7 @@ def read_ids(wanted: DataFrame, folder: str) -> DataFrame:
 
     Rows of one file are read by one task or several; a damaged frame is an error.
     """
+    bounded_batches(wanted)
     target = _uri(folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
