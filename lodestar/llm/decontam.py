@@ -1,10 +1,11 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Test items are cut into passages. The n-grams of all passages are counted over the whole corpus; in
-every few neighbouring n-grams of a passage the rarest are its seeds, so each stretch of a passage has
-seeds however common its words are. Where a document has a seed, the words around that place are aligned
+Test items are cut into passages. The words and pairs of neighbouring words of all passages are counted over
+the whole corpus, and the rarest are a passage's seeds: so many that every alignment which scores enough to be
+a match goes through one (``fewest_hits``). Where a document has a seed, the words around that place are aligned
 with the passage, and the best local alignment's score, as a share of the passage's score with itself,
-says how much of the passage is there, edited or not.
+says how much of the passage is there, edited or not. Places whose words and pairs are too few for that score,
+wherever they stand, are not aligned (``Block.places``); neither step loses a match.
 
 The passages are the small side: they are sent to the tasks in blocks of bounded size, and the corpus
 is neither shuffled nor joined.
@@ -13,7 +14,6 @@ is neither shuffled nor joined.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,16 +26,18 @@ from pyspark.sql.types import StructType
 
 from lodestar.llm.store import NULL_ORDER, bounded_batches
 
-SEED_WORDS = 4
-#: Of this many neighbouring n-grams of a passage the rarest are seeds.
-STRETCH = 3
+#: Words that an item has at least, and that a match has at least: so many equal words in a row, or their score.
+LEAST_WORDS = 4
 PASSAGE, STRIDE = 64, 32
-#: Words that insertions or deletions may shift an alignment by, on either side.
-SLACK = 16
+#: Seeds of a passage that point to begins within so many words of each other are one place.
+NEAR = 16
+#: The bounds of ``fewest_hits`` and ``Block.places`` hold for these scores.
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SCORE = 0.5
-#: Passages sent to the tasks at once: 64 words of 8 bytes each, 5 MB.
+#: Passages sent to the tasks at once: about 4 kB each with their seeds and marks, 40 MB.
 BLOCK = 10_000
+#: Bits of a hash that mark what a passage has, and what all seeds of a block are.
+MARK_BITS, FRONT_BITS = 10, 18
 _WORD = re.compile(r"\w+")
 MAX_KNOWN = 200_000
 MATCHES = "array<struct<item_id: bigint, score: double, end_word: int>>"
@@ -56,7 +58,7 @@ def word_codes(text: str | None, known: _Known) -> np.ndarray:
     return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
-def gram_codes(codes: np.ndarray, width: int = SEED_WORDS) -> np.ndarray:
+def gram_codes(codes: np.ndarray, width: int) -> np.ndarray:
     n = len(codes) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
@@ -68,8 +70,8 @@ def gram_codes(codes: np.ndarray, width: int = SEED_WORDS) -> np.ndarray:
 
 
 def cut_passages(codes: np.ndarray) -> list[np.ndarray]:
-    """Passages of at most 64 words, by 32; the last ends with the item. Items under the seed length have none."""
-    if len(codes) < SEED_WORDS:
+    """Passages of at most 64 words, by 32; the last ends with the item. Items of fewer than four words have none."""
+    if len(codes) < LEAST_WORDS:
         return []
     if len(codes) <= PASSAGE:
         return [codes]
@@ -95,6 +97,44 @@ def align(passages: np.ndarray, regions: np.ndarray) -> tuple[np.ndarray, np.nda
     return best, end
 
 
+def least_score(size: np.ndarray, least: float) -> np.ndarray:
+    """Score from which an alignment with a passage of ``size`` words is a match."""
+    return np.maximum(np.ceil(MATCH * least * size - 1e-9).astype(np.int64), MATCH * LEAST_WORDS)
+
+
+def fewest_hits(words: np.ndarray, pairs: np.ndarray, score: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which words and pairs of a passage are seeds, from their document frequencies (one pair fewer than words).
+
+    An alignment with m equal words and e errors scores 2m - e; its equal words stand in at most e + 1 runs, so
+    it has m - e - 1 equal pairs or more. One that scores ``score`` thus has at least ``score`` - m - 1 of them. Either
+    m > size - k, and one of any k words is equal; or m <= size - k, so c = ``score`` - size + k - 1 pairs are, and one of
+    any size - c pairs is. For each k the k rarest words and size - c rarest pairs are therefore enough; the k is taken
+    with the fewest documents to look at.
+    """
+    size = len(words)
+    by_words, by_pairs = np.argsort(words, kind="stable"), np.argsort(pairs, kind="stable")
+    k = np.arange(max(0, size - score + 2), min(size, 2 * size - score + 1) + 1)
+    n_pairs = np.clip(2 * size - score + 1 - k, 0, len(pairs))
+    hits = np.concatenate([[0], np.cumsum(words[by_words])])[k] + np.concatenate([[0], np.cumsum(pairs[by_pairs])])[n_pairs]
+    best = hits.argmin()
+    return by_words[: k[best]], by_pairs[: n_pairs[best]]
+
+
+def _front(codes: np.ndarray) -> np.ndarray:
+    """Marks of the first bits that any of the codes has: most other codes are told apart without a search."""
+    marks = np.zeros(1 << FRONT_BITS, bool)
+    marks[codes >> np.uint64(64 - FRONT_BITS)] = True
+    return marks
+
+
+def _among(codes: np.ndarray, front: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(front[codes >> np.uint64(64 - FRONT_BITS)])
+
+
+def _marks(codes: np.ndarray) -> np.ndarray:
+    return (codes >> np.uint64(64 - MARK_BITS)).astype(np.int64)
+
+
 @dataclass
 class Block:
     """Passages of the test items with their seeds, sorted: seed s stands in passage ``of[s]`` at word ``at[s]``."""
@@ -108,54 +148,83 @@ class Block:
 
     @classmethod
     def of_rows(cls, rows: list[tuple[int, np.ndarray]]) -> Block:
+        """All words and pairs of all passages are seeds: of each passage its words, then its pairs."""
         words = np.zeros((len(rows), PASSAGE), np.uint64)
         for r, (_, codes) in enumerate(rows):
             words[r, : len(codes)] = codes
-        grams = [gram_codes(codes) for _, codes in rows]
+        grams = [gram_codes(codes, width) for _, codes in rows for width in (1, 2)]
         return cls(
             words,
             np.array([len(c) for _, c in rows], np.int64),
             np.array([i for i, _ in rows], np.int64),
             np.concatenate([np.zeros(0, np.uint64), *grams]),
-            np.repeat(np.arange(len(rows)), [len(g) for g in grams]),
+            np.repeat(np.arange(len(grams)) // 2, [len(g) for g in grams]),
             np.concatenate([np.zeros(0, np.int64), *(np.arange(len(g)) for g in grams)]),
         )
 
-    def rarest(self, found: dict[int, int]) -> Block:
-        """Only the seeds that are the rarest, in documents, of some stretch; those in no document go."""
-        df = np.array([found.get(int(g), 0) for g in self.seed], np.int64)
+    def rarest(self, found: dict[int, int], least: float) -> Block:
+        """With the seeds of ``fewest_hits`` only; those in no document go. ``found``: document frequencies."""
+        df = np.array([found.get(g, 0) for g in self.seed.tolist()], np.int64)
         keep = np.zeros(len(df), bool)
-        for r in range(len(self.size)):
-            lo, hi = np.searchsorted(self.of, [r, r + 1])
-            for s in range(lo, max(lo + 1, hi - STRETCH + 1)):
-                part = slice(s, min(s + STRETCH, hi))
-                keep[part] |= df[part] == df[part].min()
+        lo = 0
+        for size, score in zip(self.size.tolist(), least_score(self.size, least).tolist(), strict=True):
+            words, pairs = fewest_hits(df[lo : lo + size], df[lo + size : lo + 2 * size - 1], score)
+            keep[lo + words] = keep[lo + size + pairs] = True
+            lo += 2 * size - 1
         order = np.flatnonzero(keep & (df > 0))
         order = order[np.argsort(self.seed[order], kind="stable")]
         return Block(self.words, self.size, self.item, self.seed[order], self.of[order], self.at[order])
 
+    def prepare(self) -> None:
+        """Tables that are worked out where they are used: first bits of seeds, marks of each passage's words and pairs."""
+        self.front = _front(self.seed)
+        self.has = np.zeros((2, len(self.size), 1 << MARK_BITS), bool)
+        for r, (codes, size) in enumerate(zip(self.words, self.size, strict=True)):
+            for width in (1, 2):
+                self.has[width - 1, r, _marks(gram_codes(codes[:size], width))] = True
+
+    def places(self, grams: list[np.ndarray], score: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Passages, and numbers of the document's words around their seeds (-1: none) with the first of each.
+
+        An alignment that scores ``score`` has at most 2 size - ``score`` errors, so no more words are inserted: no
+        match reaches further from its seed. Its equal words and pairs together are ``score`` - 1 or more
+        (``fewest_hits``); places that have fewer of the passage's words and pairs go.
+        """
+        n = len(grams[0])
+        both, at = np.concatenate(grams), np.concatenate([np.arange(len(g)) for g in grams])
+        some = _among(both, self.front)
+        both, at = both[some], at[some]
+        lo = np.searchsorted(self.seed, both)
+        many = np.searchsorted(self.seed, both, side="right") - lo
+        s = np.repeat(lo - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum()) if len(both) else lo
+        if not len(s):
+            return
+        begin = (np.repeat(at, many) - self.at[s]) // NEAR + PASSAGE  # of the passage in the document, roughly
+        pairs = np.unique((self.of[s] << 32) + begin)
+        marks = [_marks(g) for g in (grams[0], np.append(grams[1], np.uint64(0)))]
+        for lo in range(0, len(pairs), 512):
+            of, begin = pairs[lo : lo + 512] >> 32, (pairs[lo : lo + 512] & 0xFFFFFFFF) - PASSAGE
+            reach = MATCH * self.size[of] - score[of]
+            start = begin * NEAR - reach
+            width = NEAR + self.size[of] + 2 * reach
+            place = start[:, None] + np.arange(width.max())
+            place[(place >= n) | (np.arange(width.max()) >= width[:, None])] = -1
+            np.maximum(place, -1, out=place)
+            there = place >= 0
+            words, two = ((h[of[:, None], m[place]] & there).sum(axis=1) for h, m in zip(self.has, marks, strict=True))
+            enough = np.minimum(words, self.size[of]) + np.minimum(two, self.size[of] - 1) >= score[of] - 1
+            if enough.any():
+                yield of[enough], start[enough], place[enough]
+
     def matches(self, codes: np.ndarray, least: float) -> list[dict]:
         """Items that the document has, with the best score of their passages."""
-        grams = gram_codes(codes)
-        lo = np.searchsorted(self.seed, grams)
-        n = np.searchsorted(self.seed, grams, side="right") - lo
-        hit = np.flatnonzero(n)
-        if not len(hit):
-            return []
-        n, lo = n[hit], lo[hit]
-        s = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        where = (np.repeat(hit, n) - self.at[s]) // SLACK  # of the passage's begin in the document, roughly
-        pairs = np.unique(np.stack([self.of[s], where], axis=1), axis=0)
         best: dict[int, tuple[float, int]] = {}
-        width = np.arange(PASSAGE + 3 * SLACK)
-        for lo in range(0, len(pairs), 256):
-            of, start = pairs[lo : lo + 256, 0], (pairs[lo : lo + 256, 1] - 1) * SLACK
-            place = start[:, None] + width
-            inside = (place >= 0) & (place < len(codes)) & (width < self.size[of][:, None] + 3 * SLACK)
-            region = np.where(inside, codes[np.clip(place, 0, len(codes) - 1)], np.uint64(1))
-            top, end = align(self.words[of], region)
+        score = least_score(self.size, least)
+        for of, start, place in self.places([gram_codes(codes, width) for width in (1, 2)], score):
+            region = np.where(place >= 0, codes[place], np.uint64(1))
+            top, end = align(self.words[of, : self.size[of].max()], region)
             share = top / (MATCH * self.size[of])
-            for k in np.flatnonzero(share >= least):
+            for k in np.flatnonzero(top >= score[of]):
                 item, found = int(self.item[of[k]]), (float(share[k]), int(start[k] + end[k] + 1))
                 best[item] = max(best.get(item, (0.0, 0)), found)
         return [{"item_id": i, "score": s, "end_word": e} for i, (s, e) in sorted(best.items())]
@@ -183,17 +252,21 @@ def passage_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "t
 
 
 def document_counts(docs: DataFrame, block: Block, text_col: str = "text") -> dict[int, int]:
-    """In how many documents of the corpus each n-gram of the block is."""
+    """In how many documents of the corpus each word and each pair of the block is."""
     shared = docs.sparkSession.sparkContext.broadcast(np.unique(block.seed))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, wanted, found = _Known(), shared.value, Counter()
+        known, wanted = _Known(), shared.value
+        found, front = np.zeros(len(wanted), np.int64), _front(wanted)
         for batch in batches:
             for t in batch.column(0):
-                grams = np.unique(gram_codes(word_codes(t.as_py(), known)))
+                codes = word_codes(t.as_py(), known)
+                grams = np.concatenate([gram_codes(codes, width) for width in (1, 2)])
+                grams = grams[_among(grams, front)]
                 at = np.minimum(np.searchsorted(wanted, grams), len(wanted) - 1)
-                found.update(at[wanted[at] == grams].tolist())
-        yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.int64()), pa.array(found.values(), pa.int64())], names=["gram", "n"])
+                found[np.unique(at[wanted[at] == grams])] += 1
+        some = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(found[some])], names=["gram", "n"])
 
     counted = docs.select(F.col(text_col).cast("string")).mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
     grams = shared.value
@@ -204,7 +277,8 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, id_col: str = "item_id"
     """Every input row as ``row`` (struct of its columns) with ``matches``: the test items found in it, each
     with its ``score`` (1 is a whole copy, word for word) and the word where the best alignment ends.
 
-    Null and empty texts match nothing; nor does anything match items of fewer than four words. Items
+    A match scores ``least`` of the passage's score with itself, and no less than four words in a row do. Null
+    and empty texts match nothing; nor does anything match items of fewer than four words. Items
     with equal passages are reported under the smallest of their ids (null ids under the largest long).
     """
     bounded_batches(docs)
@@ -212,7 +286,7 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, id_col: str = "item_id"
     out = docs.select(F.struct("*").alias("row"), F.array().cast(MATCHES).alias("matches"))
     schema = StructType([out.schema["row"], *StructType.fromDDL(f"matches {MATCHES}").fields])
     for passages in passage_blocks(items, id_col, item_text, block):
-        seeds = passages.rarest(document_counts(docs, passages, text_col))
+        seeds = passages.rarest(document_counts(docs, passages, text_col), least)
         out = out.mapInArrow(_aligned(docs.sparkSession.sparkContext.broadcast(seeds), at, least), schema)
     return out
 
@@ -220,6 +294,7 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, id_col: str = "item_id"
 def _aligned(shared, at: int, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, seeds = _Known(), shared.value
+        seeds.prepare()
         kind = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("end_word", pa.int32())]))
         for batch in batches:
             row, had = batch.column(0), batch.column(1).to_pylist()

@@ -122,6 +122,53 @@ def test_decontamination_finds_edited_copies(spark):
         assert {(r["doc_id"], r["m"]["item_id"]) for r in found} == planted and len(found) == len(planted)
 
 
+def test_decontamination_finds_regular_edits(spark):
+    """Every n-th word replaced, or a word added after every one or two, with and without the original in the corpus."""
+    words = sentence(700, 64).split()
+    every = lambda n: " ".join("other" if i % n == n - 1 else w for i, w in enumerate(words))
+    after = lambda n: " ".join(w + " more" * (i % n == n - 1) for i, w in enumerate(words))
+    rows = [(n, f"{sentence(800 + n, 40)} {every(n)} {sentence(900 + n, 40)}") for n in (2, 3, 4, 5, 6)]
+    rows += [(10 + n, f"{sentence(820 + n, 40)} {after(n)} {sentence(920 + n, 40)}") for n in (1, 2)]
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    for original in ([], [(20, " ".join(words))] * 9):
+        docs = spark.createDataFrame(rows + original, "doc_id long, text string").repartition(3)
+        found = decontam.benchmark_matches(docs, bench).where(F.size("matches") > 0).select("row.doc_id").collect()
+        assert {r["doc_id"] for r in found} == {3, 4, 5, 6, 11, 12} | {i for i, _ in original}
+
+
+def test_seeds_lose_no_alignment():
+    """Items found by seeds are those found when every passage is aligned with the whole document."""
+    rng = random.Random(13)
+    for trial in range(60):
+        vocabulary = [f"w{i}" for i in range(rng.choice([6, 30, 200]))]
+        texts = [rng.choices(vocabulary, k=rng.randint(4, 90)) for _ in range(6)]
+        docs = [rng.choices(vocabulary, k=rng.randint(0, 60)) for _ in range(8)]
+        for d in docs[:6]:
+            copy = list(rng.choice(texts))
+            for _ in range(rng.randint(0, len(copy))):
+                k = rng.randrange(len(copy) + 1)
+                copy[k : k + rng.randint(0, 1)] = rng.choice([[], [rng.choice(vocabulary)], ["new"]])
+            d[len(d) // 2 : len(d) // 2] = copy
+        known = decontam._Known()
+        codes = [decontam.word_codes(" ".join(d), known) for d in docs]
+        rows = [(i, p) for i, t in enumerate(texts) for p in decontam.cut_passages(decontam.word_codes(" ".join(t), known))]
+        block = decontam.Block.of_rows(rows)
+        found = {}
+        for c in codes:
+            for g in {int(g) for width in (1, 2) for g in decontam.gram_codes(c, width)}:
+                found[g] = found.get(g, 0) + 1
+        least = rng.choice([0.3, 0.5, 0.8, 1.0])
+        seeds = block.rarest(found, least)
+        seeds.prepare()
+        for c in codes:
+            best = {}
+            for i, p in rows:
+                top = int(decontam.align(p[None, :], c[None, :])[0][0]) if len(c) else 0
+                if top >= max(2 * least * len(p), 8):
+                    best[i] = max(best.get(i, 0), top / (2 * len(p)))
+            assert {m["item_id"]: m["score"] for m in seeds.matches(c, least)} == best, trial
+
+
 def test_decontamination_odd_rows(spark):
     bench = spark.createDataFrame([(1, sentence(2, 80)), (2, ""), (3, None)], "item_id long, text string")
     got = decontam.benchmark_matches(edge_docs(spark), bench).collect()
