@@ -4,8 +4,8 @@ Test items are cut into passages. The words and pairs of neighbouring words of a
 the whole corpus, and the rarest are a passage's seeds: so many that every alignment which scores enough to be
 a match goes through one (``fewest_hits``). Where a document has a seed, the words around that place are aligned
 with the passage, and the best local alignment's score, as a share of the passage's score with itself,
-says how much of the passage is there, edited or not. Places whose words and pairs are too few for that score,
-wherever they stand, are not aligned (``Block.places``); neither step loses a match.
+says how much of the passage is there, edited or not. Places whose words and pairs cannot score that much in any
+order are not aligned (``Block.places``); neither step loses a match.
 
 The passages are the small side: they are sent to the tasks in blocks of bounded size, and the corpus
 is neither shuffled nor joined.
@@ -184,11 +184,14 @@ class Block:
                 self.has[width - 1, r, _marks(gram_codes(codes[:size], width))] = True
 
     def places(self, grams: list[np.ndarray], score: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Passages, and numbers of the document's words around their seeds (-1: none) with the first of each.
+        """Passages, first word numbers of the places in the document where their seeds are, and the words' numbers
+        (-1: none).
 
         An alignment that scores ``score`` has at most 2 size - ``score`` errors, so no more words are inserted: no
-        match reaches further from its seed. Its equal words and pairs together are ``score`` - 1 or more
-        (``fewest_hits``); places that have fewer of the passage's words and pairs go.
+        match reaches further from its seed. Over the words of the document that it spans, it scores no more
+        than 2 for each word that the passage has, less 1 for each other word, less 1 for each two such neighbours that
+        are no pair of the passage (a word is lost between them, or one of the two is an error and costs 3 where it
+        is in two such pairs at most). Places where no stretch of words reaches ``score`` so go.
         """
         n = len(grams[0])
         both, at = np.concatenate(grams), np.concatenate([np.arange(len(g)) for g in grams])
@@ -210,9 +213,15 @@ class Block:
             place = start[:, None] + np.arange(width.max())
             place[(place >= n) | (np.arange(width.max()) >= width[:, None])] = -1
             np.maximum(place, -1, out=place)
-            there = place >= 0
-            words, two = ((h[of[:, None], m[place]] & there).sum(axis=1) for h, m in zip(self.has, marks, strict=True))
-            enough = np.minimum(words, self.size[of]) + np.minimum(two, self.size[of] - 1) >= score[of] - 1
+            words, two = (h[of[:, None], m[place]] for h, m in zip(self.has, marks, strict=True))
+            words &= place >= 0
+            most = np.zeros((len(of), place.shape[1] + 1), np.int16)
+            most[:, 1:] = np.where(words, np.int16(MATCH), np.int16(MISMATCH))
+            most[:, 2:] -= words[:, 1:] & words[:, :-1] & ~two[:, :-1]
+            np.cumsum(most, axis=1, out=most)
+            most -= np.minimum.accumulate(most, axis=1)
+            # the first word of a stretch may have lost 1 for the word before it
+            enough = most.max(axis=1) >= score[of] - 1
             if enough.any():
                 yield of[enough], start[enough], place[enough]
 
