@@ -13,6 +13,7 @@ is neither shuffled nor joined.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -137,17 +138,18 @@ def _marks(codes: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Block:
-    """Passages of the test items with their seeds, sorted: seed s stands in passage ``of[s]`` at word ``at[s]``."""
+    """Passages of the test items, each with all items that have it, and their seeds, sorted: seed s stands in
+    passage ``of[s]`` at word ``at[s]``."""
 
     words: np.ndarray
     size: np.ndarray
-    item: np.ndarray
+    items: list[list[int]]
     seed: np.ndarray
     of: np.ndarray
     at: np.ndarray
 
     @classmethod
-    def of_rows(cls, rows: list[tuple[int, np.ndarray]]) -> Block:
+    def of_rows(cls, rows: list[tuple[list[int], np.ndarray]]) -> Block:
         """All words and pairs of all passages are seeds: of each passage its words, then its pairs."""
         words = np.zeros((len(rows), PASSAGE), np.uint64)
         for r, (_, codes) in enumerate(rows):
@@ -156,7 +158,7 @@ class Block:
         return cls(
             words,
             np.array([len(c) for _, c in rows], np.int64),
-            np.array([i for i, _ in rows], np.int64),
+            [items for items, _ in rows],
             np.concatenate([np.zeros(0, np.uint64), *grams]),
             np.repeat(np.arange(len(grams)) // 2, [len(g) for g in grams]),
             np.concatenate([np.zeros(0, np.int64), *(np.arange(len(g)) for g in grams)]),
@@ -173,7 +175,7 @@ class Block:
             lo += 2 * size - 1
         order = np.flatnonzero(keep & (df > 0))
         order = order[np.argsort(self.seed[order], kind="stable")]
-        return Block(self.words, self.size, self.item, self.seed[order], self.of[order], self.at[order])
+        return Block(self.words, self.size, self.items, self.seed[order], self.of[order], self.at[order])
 
     def prepare(self) -> None:
         """Tables that are worked out where they are used: first bits of seeds, marks of each passage's words and pairs."""
@@ -234,29 +236,46 @@ class Block:
             top, end = align(self.words[of, : self.size[of].max()], region)
             share = top / (MATCH * self.size[of])
             for k in np.flatnonzero(top >= score[of]):
-                item, found = int(self.item[of[k]]), (float(share[k]), int(start[k] + end[k] + 1))
-                best[item] = max(best.get(item, (0.0, 0)), found)
+                found = (float(share[k]), int(start[k] + end[k] + 1))
+                for item in self.items[of[k]]:
+                    best[item] = max(best.get(item, (0.0, 0)), found)
         return [{"item_id": i, "score": s, "end_word": e} for i, (s, e) in sorted(best.items())]
 
 
-def passage_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text", block: int = BLOCK) -> Iterator[Block]:
-    """The items' passages in blocks of about ``block``. Equal passages are one, under the smallest item id."""
+def _classes(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(item, whole, codes)``: every item that has passages, the digest of all its words, and its passages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Known()
         for batch in batches:
             for i in range(batch.num_rows):
-                made = [p.tobytes() for p in cut_passages(word_codes(batch.column(1)[i].as_py(), known))]
+                codes = word_codes(batch.column(1)[i].as_py(), known)
+                made = [p.tobytes() for p in cut_passages(codes)]
                 if made:
-                    yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[i].as_py()] * len(made), pa.int64()), pa.array(made, pa.binary())], names=["item", "codes"])
+                    whole = hashlib.sha256(codes.tobytes()).digest()
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), pa.array([whole], pa.binary()), pa.array([made], pa.list_(pa.binary()))], names=["item", "whole", "codes"])
 
     src = items.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ORDER)).alias("item"), F.col(text_col).cast("string").alias("text"))
-    passages = src.mapInArrow(run, "item long, codes binary").groupBy("codes").agg(F.min("item").alias("item")).persist()
+    return src.mapInArrow(run, "item long, whole binary, codes array<binary>")
+
+
+def equal_items(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """``(item_id, member_id)``: each item beside the smallest id of the items with the same words, itself
+    included. Items without passages are not there; null ids are the largest long."""
+    made = _classes(items, id_col, text_col).select("whole", F.col("item").alias("member_id")).distinct()
+    return made.join(made.groupBy("whole").agg(F.min("member_id").alias("item_id")), "whole").select("item_id", "member_id")
+
+
+def passage_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text", block: int = BLOCK) -> Iterator[Block]:
+    """The items' passages in blocks of about ``block``. Equal passages are one, with the ids of all items that
+    have it; items with the same words are one, under the smallest id."""
+    whole = _classes(items, id_col, text_col).groupBy("whole").agg(F.min("item").alias("item"), F.first("codes").alias("codes"))
+    passages = whole.select("item", F.explode("codes").alias("codes")).groupBy("codes").agg(F.sort_array(F.collect_set("item")).alias("items")).persist()
     blocks = -(-passages.count() // block)
     for b in range(blocks):
         rows = passages.where(F.pmod(F.xxhash64("codes"), F.lit(blocks)) == b).collect()
         if rows:
-            yield Block.of_rows(sorted(((r["item"], np.frombuffer(r["codes"], np.uint64)) for r in rows), key=lambda r: (r[0], r[1].tobytes())))
+            yield Block.of_rows(sorted(((r["items"], np.frombuffer(r["codes"], np.uint64)) for r in rows), key=lambda r: (r[0], r[1].tobytes())))
     passages.unpersist()
 
 
@@ -287,8 +306,9 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, id_col: str = "item_id"
     with its ``score`` (1 is a whole copy, word for word) and the word where the best alignment ends.
 
     A match scores ``least`` of the passage's score with itself, and no less than four words in a row do. Null
-    and empty texts match nothing; nor does anything match items of fewer than four words. Items
-    with equal passages are reported under the smallest of their ids (null ids under the largest long).
+    and empty texts match nothing; nor does anything match items of fewer than four words. Every
+    item is reported that has a passage found, also where several share it; only items with the same words are
+    one, the smallest of their ids (``equal_items`` has the others; null ids are the largest long).
     """
     bounded_batches(docs)
     at = docs.columns.index(text_col)

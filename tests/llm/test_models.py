@@ -152,7 +152,7 @@ def test_seeds_lose_no_alignment():
         known = decontam._Known()
         codes = [decontam.word_codes(" ".join(d), known) for d in docs]
         rows = [(i, p) for i, t in enumerate(texts) for p in decontam.cut_passages(decontam.word_codes(" ".join(t), known))]
-        block = decontam.Block.of_rows(rows)
+        block = decontam.Block.of_rows([([i], p) for i, p in rows])
         found = {}
         for c in codes:
             for g in {int(g) for width in (1, 2) for g in decontam.gram_codes(c, width)}:
@@ -169,6 +169,21 @@ def test_seeds_lose_no_alignment():
             assert {m["item_id"]: m["score"] for m in seeds.matches(c, least)} == best, trial
 
 
+def test_decontamination_links_every_item(spark, tmp_path):
+    """Items that share a passage, and items with the same words: a document is linked to all of them."""
+    shared = sentence(710, 64)
+    items = [(i, f"{shared} {sentence(720 + i, 40)}") for i in range(4)]
+    items += [(8, items[0][1]), (9, items[0][1].upper())]
+    docs = spark.createDataFrame([(1, f"{sentence(730, 30)} {shared}"), (2, items[3][1]), (3, sentence(731, 90))], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontam.benchmark_matches(docs, bench).select("row.doc_id", F.explode("matches").alias("m")).collect()
+    assert sorted((r["doc_id"], r["m"]["item_id"]) for r in found) == [(d, i) for d in (1, 2) for i in range(4)]
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = REGISTRY["op3_decontamination"](spark, str(tmp_path)).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in rows) == [(d, i) for d in (1, 2) for i in (0, 1, 2, 3, 8, 9)]
+
+
 def test_decontamination_odd_rows(spark):
     bench = spark.createDataFrame([(1, sentence(2, 80)), (2, ""), (3, None)], "item_id long, text string")
     got = decontam.benchmark_matches(edge_docs(spark), bench).collect()
