@@ -27,8 +27,10 @@ FACTORS = 8
 #: Labelled documents of each class that the model is fitted on, at most.
 PER_CLASS = 3000
 STARTS = (4, 6)
-#: Most frequent terms whose pairs are looked at when terms are chosen.
-PAIR_TERMS = 1000
+#: Standard errors more that a pair of terms must tell the classes apart by than a term: there are many more pairs.
+PAIR_STRENGTH = 3
+#: Terms whose pairs with all others are counted at once.
+PAIR_BLOCK = 512
 MAX_KNOWN = 100_000
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -79,8 +81,8 @@ class Machine:
 def _apart(found: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Standard errors between the shares of the two classes' rows; ``found``: class first."""
     size = np.maximum(size, 1)
-    share = found.sum(axis=0) / size.sum()
-    spread = np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / size).sum())
+    share = found.sum(axis=0) / size.sum(axis=0)
+    spread = np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / size).sum(axis=0))
     return np.abs(found[1] / size[1] - found[0] / size[0]) / spread
 
 
@@ -91,22 +93,30 @@ def _telling(rows: list[tuple[int, np.ndarray, np.ndarray]], bits: int, least: i
         found[label, terms] += 1
     seen = found.sum(axis=0)
     telling = (seen >= least) & (_apart(found, size) >= strength)
-    often = np.argsort(-seen, kind="stable")[:PAIR_TERMS]
-    often = often[seen[often] >= least]
+    # a pair is in no more rows than either term, and tells most if in all of one class's and none of the other's
+    alone = np.maximum(*(_apart(np.where(np.arange(2)[:, None] == c, found, 0), size) for c in (0, 1)))
+    able = np.flatnonzero((seen >= least) & (alone >= strength + PAIR_STRENGTH))
     column = np.full(1 << bits, -1, np.int32)
-    column[often] = np.arange(len(often))
-    both = np.zeros((2, len(often), len(often)), np.float32)
-    for label in (0, 1):
-        own = [r[1] for r in rows if r[0] == label]
-        for lo in range(0, len(own), 1024):
-            there = np.zeros((len(own[lo : lo + 1024]), len(often)), np.float32)
-            for i, terms in enumerate(own[lo : lo + 1024]):
-                at = column[terms]
-                there[i, at[at >= 0]] = 1
-            both[label] += there.T @ there
-    paired = (both.sum(axis=0) >= least) & (_apart(both, size) >= strength + 3)  # there are many more pairs
-    np.fill_diagonal(paired, False)
-    telling[often[paired.any(axis=0)]] = True
+    column[able] = np.arange(len(able))
+    there = [np.zeros((size[c], len(able)), np.uint8) for c in (0, 1)]
+    at = [0, 0]
+    for label, terms, _ in rows:
+        own = column[terms]
+        there[label][at[label], own[own >= 0]] = 1
+        at[label] += 1
+    for lo in range(0, len(able), PAIR_BLOCK):
+        both = np.zeros((2, min(PAIR_BLOCK, len(able) - lo), len(able)), np.float32)
+        for label in (0, 1):
+            for k in range(0, size[label], 1024):
+                part = there[label][k : k + 1024].astype(np.float32)
+                both[label] += part[:, lo : lo + PAIR_BLOCK].T @ part
+        paired = (both.sum(axis=0) >= least) & (_apart(both, size) >= strength + PAIR_STRENGTH)
+        paired[np.arange(len(paired)), lo + np.arange(len(paired))] = False
+        # among the rows of either term the other must tell, else one of them does all the telling
+        i, j = np.nonzero(paired)
+        for one in (able[lo + i], able[j]):
+            paired[i, j] &= _apart(both[:, i, j], found[:, one]) >= strength
+        telling[able[lo : lo + PAIR_BLOCK][paired.any(axis=1)]] = True
     return np.flatnonzero(telling)
 
 
@@ -114,8 +124,8 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], weight: dict[int, float]
     """Fit by AdaGrad on the log loss. ``rows``: label, terms, values; ``weight``: of a row of each class.
 
     Terms are kept that are in ``least`` rows or more and whose shares of the two classes' rows differ by
-    ``strength`` standard errors or more, or that make such a pair (by three more) with another of the
-    ``PAIR_TERMS`` most frequent terms; the rest, nearly all, only fits noise. Without rows of both classes the score is the
+    ``strength`` standard errors or more, or that make such a pair (by ``PAIR_STRENGTH`` more) with any other term,
+    however frequent, each telling by ``strength`` among the rows of the other; the rest, nearly all, only fits noise. Without rows of both classes the score is the
     share of class 1, or one half without rows.
     """
     kept = _telling(rows, bits, least, strength)

@@ -48,6 +48,24 @@ def test_machine_learns_pairs():
     assert sum((model.score(t, v) >= 0.5) == y for y, t, v in held) / len(held) > 0.95
 
 
+def test_machine_learns_pairs_of_rare_words():
+    """As above, but more than a thousand other terms are in more rows than the words of the pairs."""
+    rng = random.Random(2)
+    terms = toxicity.Terms()
+    fill = [f"{chr(97 + i)}{chr(97 + j)}{chr(97 + k)}x{chr(97 + i)}yz" for i in range(20) for j in range(20) for k in range(2)]
+    rows = []
+    for n in range(1200):
+        for y, pairs in ((1, [("alpha", "bravo"), ("gamma", "delta")]), (0, [("alpha", "delta"), ("gamma", "bravo")])):
+            rows.append((y, *terms.of(" ".join([*rng.sample(fill, 160), *(rng.choice(pairs) if n % 5 == 0 else ())]))))
+    seen = np.bincount(np.concatenate([t for _, t, _ in rows]), minlength=1 << toxicity.HASH_BITS)
+    words = [int(t) for w in ("alpha", "bravo", "gamma", "delta") for t in terms.of(w)[0]]
+    assert (seen > seen[words].max()).sum() > 1000
+    model = toxicity.fit(rows, {0: 1.0, 1: 1.0}, epochs=30)
+    assert (model.place[words] >= 0).all()
+    for a, b, y in (("alpha", "bravo", 1), ("gamma", "delta", 1), ("alpha", "delta", 0), ("gamma", "bravo", 0)):
+        assert (model.score(*terms.of(f"{a} {b} {' '.join(fill[:20])}")) >= 0.5) == y
+
+
 def test_marginals_equal_enumeration():
     rng = np.random.default_rng(3)
     field = quality.Field(np.zeros(4), np.ones(4), rng.normal(size=5), rng.normal(size=(2, 2)))
