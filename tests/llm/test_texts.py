@@ -1,6 +1,7 @@
 """Tokens, licences, chat examples and quality rules against brute force, and on odd rows."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -172,6 +173,24 @@ def test_licenses(spark):
     assert licenses.license_hits(empty_docs(spark)).count() == 0
 
 
+def test_license_files(spark):
+    """Files as they are found: a title, a copyright line, a line on rights, the text; and long licences as a whole."""
+    text = {i: t for i, t in licenses.KNOWN[::-1] if t.startswith(("Permission ", "Redistribution "))}
+    rows = [(1, "MIT", f"MIT License\n\nCopyright (c) 2020 A. Author\n\n{text['MIT']}\n")]
+    rows += [(2, "MIT", f"The MIT License (MIT)\n\nCopyright (c) 2020 A. Author\nAll rights reserved.\n\n{text['MIT']}")]
+    rows += [(3, "ISC", f"ISC License\n\nCopyright 2020, A. Author\n\n{text['ISC']}"), (4, "0BSD", f"All rights reserved.\n{text['0BSD']}")]
+    rows += [(5, "BSD-3-Clause", f"BSD 3-Clause License\n\nCopyright (c) 2020, A. Author\nAll rights reserved.\n\n{text['BSD-3-Clause']}")]
+    rows += [(6, "BSD-2-Clause", f"Copyright (c) 2020, A. Author\n\n{text['BSD-2-Clause'].replace(' with ', chr(10) + 'with ')}")]
+    for k, name in enumerate(("Apache-2.0", "GPL-2.0", "GPL-3.0", "MPL-2.0", "CC0-1.0")):
+        with open(f"{os.path.dirname(licenses.__file__)}/license_texts/{name}.txt") as f:
+            whole = f.read()
+        terms = whole.split("END OF TERMS")[0]
+        rows += [(10 + k, name, whole), (20 + k, name, terms), (30 + k, name, re.sub(r"(?<!\n)\n(?!\n)", " ", terms))]
+    docs = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, text string")
+    hits = licenses.license_hits(docs).where("scope = 'document'").collect()
+    assert sorted((r["id"], r["license_id"]) for r in hits) == sorted((i, n) for i, n, _ in rows)
+
+
 CONTROLS = ["<s>", "</s>", "[INST]", "[/INST]", "<\\s>", "<\\\\/s>", "[\\/INST]", "\\", "<", "[", " [/INST] ", "\n", "é😀"]
 
 
