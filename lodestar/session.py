@@ -139,7 +139,7 @@ def ship_package(spark: SparkSession) -> None:
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
         for folder, _, files in os.walk(pkg_dir):
             for f in files:
-                if f.endswith(".py"):
+                if f.endswith((".py", ".txt")):
                     full = os.path.join(folder, f)
                     z.write(full, os.path.relpath(full, root))
     sc.addPyFile(out)

@@ -17,6 +17,3 @@ def spark():
     yield s
     s.stop()
 
-
-SF_SMALL = "/root/testdata/sf0.001"
-SF_CHECK = "/root/testdata/sf0.01"

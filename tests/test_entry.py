@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from lodestar.plans.queries import REGISTRY
 from lodestar.operators.rank import seed_lookup
 from lodestar.sources import io

@@ -177,7 +177,7 @@ def _dense(rows, row_key="doc_id", col_key="term", val="w"):
 
 
 def test_tag_svd_on_driver_tables_matches_numpy(spark):
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
     from lodestar.plans import pipelines as P
     from lodestar.sources import views
 
@@ -194,7 +194,7 @@ def test_tag_svd_on_driver_tables_matches_numpy(spark):
 
 
 def test_seed_spectrum_on_driver_tables_matches_numpy(spark):
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
     from lodestar.operators import tfidf as TF
     from lodestar.plans import pipelines as P
     from lodestar.sources import views
