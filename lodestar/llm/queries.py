@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import bpe, chat, decontam, licenses, quality, rules, simhash, substring, tokenfile, toxicity
+from lodestar.llm import align, bpe, chat, decontam, licenses, quality, rules, simhash, substring, tokenfile, toxicity
 from lodestar.llm.sample import held_out
 from lodestar.llm.store import shared_path, stored
 from lodestar.sources.tables import read_table
@@ -115,3 +115,11 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     found = simhash.simhash_components(docs)
     return found.select("row.doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@_query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of the tokens that two tokenizers make of every document."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    found = align.token_alignment(docs, _vocabulary("byte_bpe_50k.json"), _vocabulary("piece_bpe_32k.model"))
+    return found.select("row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
