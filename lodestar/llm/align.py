@@ -104,7 +104,13 @@ class Tokens:
             pieces = [p.id_to_piece(i) for i in range(p.get_piece_size())]
             self.bytes = [bytes([int(x[3:5], 16)]) if p.is_byte(i) else x.replace("▁", " ").encode() for i, x in enumerate(pieces)]
         self.lengths = np.array([len(x) for x in self.bytes], np.int64)
-        self.names = [str(i) for i in range(len(self.bytes))]
+        self.written: list[bytes] = []
+
+    def names(self, last: bytes) -> list[bytes]:
+        """Each id in decimal, followed by a comma, and by ``last``."""
+        if not self.written:
+            self.written = [b"%d%s" % (i, x) for i in range(len(self.bytes)) for x in (b",", last)]
+        return self.written
 
     def whole(self, ids: list[int], text: bytes) -> bool:
         """Do the tokens' bytes, joined, give the text?"""
@@ -178,10 +184,15 @@ def _summed(major: np.ndarray, minor: np.ndarray, n: np.ndarray) -> tuple[np.nda
     return key[new] // span, key[new] % span, np.add.reduceat(n[order], new) if len(new) else np.zeros(0, np.int64)
 
 
-def _digest(ga: np.ndarray, gb: np.ndarray, sa: list[str], sb: list[str]) -> str:
-    ga, gb = ga.tolist(), gb.tolist()
-    text = ";".join([",".join(sa[ga[g] : ga[g + 1]]) + "|" + ",".join(sb[gb[g] : gb[g + 1]]) for g in range(len(ga) - 1)])
-    return hashlib.sha256(text.encode()).hexdigest()
+def _written(ga: np.ndarray, gb: np.ndarray, fa: np.ndarray, fb: np.ndarray, a: Tokens, b: Tokens) -> list[bytes]:
+    """The groups' ids as text, a part for each token of A and B in the order they are written: ``a1,a2|b1;`` ..."""
+    out = np.empty(len(fa) + len(fb), np.int64)
+    last_a, last_b = np.zeros(len(fa), np.int64), np.zeros(len(fb), np.int64)
+    last_a[ga[1:] - 1] = last_b[gb[1:] - 1] = 1
+    out[np.arange(len(fa)) + np.repeat(gb[:-1], np.diff(ga))] = 2 * fa + last_a
+    out[np.arange(len(fb)) + np.repeat(ga[1:], np.diff(gb))] = 2 * (len(a.bytes) + fb) + last_b
+    names = a.names(b"|") + b.names(b";")
+    return list(map(names.__getitem__, out.tolist()))
 
 
 def align_texts(texts: list[str | None], a: Tokens, b: Tokens, piece: int = PIECE) -> dict[str, list]:
@@ -201,14 +212,14 @@ def align_texts(texts: list[str | None], a: Tokens, b: Tokens, piece: int = PIEC
     links = np.concatenate([[0], np.cumsum(np.diff(ga) * np.diff(gb))])
     of, key, times = _pairs(ga, gb, fa, fb, len(b.bytes), doc)
     pd = np.searchsorted(of, np.arange(len(use) + 1))
+    text = _written(ga, gb, fa, fb, a, b)
     key, times = key.astype(key_type(a, b)), times.astype("<u4")
     out = {"n_a": [0] * n, "n_b": [0] * n, "n_groups": [0] * n, "n_links": [0] * n, "groups_sha256": [""] * n, "pairs": [b""] * n, "times": [b""] * n}
     for k, row in enumerate(use):
-        g = slice(gd[k], gd[k + 1] + 1)
         out["n_a"][row], out["n_b"][row] = len(ids_a[k]), len(ids_b[k])
         out["n_groups"][row] = int(gd[k + 1] - gd[k])
         out["n_links"][row] = int(links[gd[k + 1]] - links[gd[k]])
-        out["groups_sha256"][row] = _digest(ga[g] - da[k], gb[g] - db[k], [a.names[i] for i in ids_a[k]], [b.names[i] for i in ids_b[k]])
+        out["groups_sha256"][row] = hashlib.sha256(b"".join(text[da[k] + db[k] : da[k + 1] + db[k + 1]])[:-1]).hexdigest()
         out["pairs"][row], out["times"][row] = key[pd[k] : pd[k + 1]].tobytes(), times[pd[k] : pd[k + 1]].tobytes()
     return out
 
