@@ -90,4 +90,38 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, n_turns, turns_sha256, CAST(length(lo
        sha256(loss) AS loss_sha256, formatted_chars
 FROM said"""
 
-QUERIES: dict[str, str] = {"op1_substring_dedup": OP1, "op4_license_scan": OP4, "op6_chat_format": OP6}
+
+_WHOLE_VECTORS = """embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0"""
+_SCALED = "list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE)))"
+
+OP11 = f"""
+WITH e AS (
+  SELECT vec_id, {_SCALED} AS v FROM embeddings WHERE vec_id IS NOT NULL AND {_WHOLE_VECTORS}),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM scored)
+SELECT query_id, CAST(k AS INTEGER) AS rank, vec_id, score FROM ranked WHERE k <= 5"""
+
+OP13 = f"""
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, {_SCALED} AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND {_WHOLE_VECTORS}),
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS other_id, a.label = c.label AS same,
+         CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM e a JOIN e c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+near AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) AS k FROM scored WHERE same),
+ranked AS (
+  SELECT p.anchor_id, p.other_id AS positive_id, n.other_id AS negative_id,
+         p.score AS positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.other_id ORDER BY n.score DESC, n.other_id) AS k
+  FROM near p JOIN scored n ON p.anchor_id = n.anchor_id
+  WHERE p.k <= 5 AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+SELECT anchor_id, positive_id, CAST(k AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE k <= 3"""
+
+QUERIES: dict[str, str] = {"op1_substring_dedup": OP1, "op4_license_scan": OP4, "op6_chat_format": OP6, "op11_exact_topk": OP11, "op13_hard_negatives": OP13}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import align, bpe, chat, decontam, licenses, quality, rules, simhash, substring, tokenfile, toxicity
+from lodestar.llm import align, bpe, chat, decontam, licenses, mtree, negatives, quality, rules, simhash, substring, tokenfile, toxicity
 from lodestar.llm.sample import held_out
 from lodestar.llm.store import shared_path, stored
 from lodestar.sources.tables import read_table
@@ -117,9 +117,24 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@_query
+def op11_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five rows of highest inner product for every fiftieth id, against all rows."""
+    rows = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return mtree.top_k(mtree.build_index(rows), rows.where("vec_id % 50 = 0"), 5)
+
+
 @_query
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups and links of the tokens that two tokenizers make of every document."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     found = align.token_alignment(docs, _vocabulary("byte_bpe_50k.json"), _vocabulary("piece_bpe_32k.model"))
     return found.select("row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@_query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of other labels that score from half to 95 % of an anchor's positives, for every fiftieth id."""
+    rows = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(negatives.candidate_blocks(rows, label, F.col("vec_id") % 50 == 0))
