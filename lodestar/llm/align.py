@@ -7,6 +7,9 @@ the ends that both lists have, that is the overlaps it closes itself; the tokens
 last are boundary pieces, stitched to those of its neighbours. The documents of an Arrow batch lie one behind the
 other on one byte axis, so a long document is many pieces and a piece many short documents.
 
+Both tokenizers have a token end wherever a space or a new line follows something else (their files are looked at for it; else
+texts are encoded whole), so the ids of a segment between two such places are the same in every text and are kept.
+
 Counts of linked id pairs over the corpus come from pairs that each batch has counted already. The pairs in most
 documents, at most ``TABLE_PAIRS`` of them, go to the tasks as sorted arrays; all others are joined by key.
 """
@@ -14,7 +17,9 @@ documents, at most ``TABLE_PAIRS`` of them, go to the tasks as sorted arrays; al
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -78,7 +83,7 @@ def overlaps(a: np.ndarray, b: np.ndarray, piece: int = PIECE) -> tuple[np.ndarr
 
 
 class Tokens:
-    """Ids and byte lengths of one tokenizer's tokens; loaded by each Python worker from the vocabulary's bytes."""
+    """One tokenizer: ids of segments, the bytes of each id, and whether segments can be encoded on their own."""
 
     def __init__(self, kind: str, data: bytes) -> None:
         if kind == "bpe":
@@ -87,7 +92,7 @@ class Tokens:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             t = Tokenizer.from_str(data.decode())
             t.encode_special_tokens = True
-            self.encode = lambda texts: [e.ids for e in t.encode_batch_fast([" " + x for x in texts], add_special_tokens=False)]
+            self.encode = lambda segments: [e.ids for e in t.encode_batch_fast(segments, add_special_tokens=False)]
             # the printable stand-ins of the 256 bytes in a byte-level vocabulary
             plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
             other = [c for c in range(256) if c not in plain]
@@ -96,14 +101,27 @@ class Tokens:
             self.bytes = [b""] * t.get_vocab_size()
             for token, i in t.get_vocab().items():
                 self.bytes[i] = special.get(i) or bytes(byte[c] for c in token)
+            spec = json.loads(data)
+            # its pattern ends a match wherever white space follows something else
+            self.apart = spec["normalizer"] is None and {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}.items() <= spec["pre_tokenizer"].items()
         else:
             from sentencepiece import SentencePieceProcessor
 
             p = SentencePieceProcessor(model_proto=data)
-            self.encode = lambda texts: p.encode(texts, num_threads=1)
             pieces = [p.id_to_piece(i) for i in range(p.get_piece_size())]
             self.bytes = [bytes([int(x[3:5], 16)]) if p.is_byte(i) else x.replace("▁", " ").encode() for i, x in enumerate(pieces)]
+            begin, space = p.encode("a"), p.encode("a ")
+            # no piece goes over a space after something else, or holds a new line
+            self.apart = space[: len(begin)] == begin and not any("▁" in x.lstrip("▁") or "\n" in x for x in pieces)
+
+            def encode(segments: list[str]) -> list[list[int]]:
+                """The model puts one space before what it is given: it stands for the segment's own, or goes again."""
+                found = p.encode([x[1:] if x[0] == " " else x for x in segments], num_threads=1)
+                return [space[len(begin) :] if x == " " else ids if x[0] == " " else ids[1:] for x, ids in zip(segments, found)]
+
+            self.encode = encode
         self.lengths = np.array([len(x) for x in self.bytes], np.int64)
+        self.kind = np.dtype("<u2" if len(self.bytes) <= 2**16 else "<u4")
         self.written: list[bytes] = []
 
     def names(self, last: bytes) -> list[bytes]:
@@ -112,9 +130,83 @@ class Tokens:
             self.written = [b"%d%s" % (i, x) for i in range(len(self.bytes)) for x in (b",", last)]
         return self.written
 
-    def whole(self, ids: list[int], text: bytes) -> bool:
+    def whole(self, ids: np.ndarray | list[int], text: bytes) -> bool:
         """Do the tokens' bytes, joined, give the text?"""
-        return b"".join(map(self.bytes.__getitem__, ids)) == text
+        return b"".join([self.bytes[i] for i in ids]) == text
+
+
+#: Segments end where a space or a new line follows something that is not white space. Both tokenizers have a token end there.
+#: (U+2581 is a space to the sentencepiece model.)
+_SEGMENTS = re.compile(r"[\s▁]*+[^\s▁]++(?:(?![ \n])[\s▁]++[^\s▁]++)*+(?:(?![ \n])[\s▁]++\Z)?|[\s▁]+")
+#: Segments kept by a worker (those of the last half met are never lost), the longest that are kept, and characters given to a
+#: tokenizer at a time.
+MAX_SEGMENTS, MAX_KEPT, AT_ONCE = 200_000, 48, 20_000
+
+
+class Encoder:
+    """Ids of whole texts by both tokenizers; segments met before are looked up, as bytes of their ids."""
+
+    def __init__(self, a: Tokens, b: Tokens) -> None:
+        self.a, self.b, self.apart = a, b, a.apart and b.apart
+        self.known: dict[str, tuple[bytes, bytes, bool]] = {}  # ids by A and by B, and whether their bytes are the segment's
+        self.older: dict[str, tuple[bytes, bytes, bool]] = {}
+
+    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], list[bool]]:
+        """Ids by A and by B of a space and each (not empty) text, and whether the bytes of both give it back."""
+        a, b, known, older = self.a, self.b, self.known, self.older
+        segments = [_SEGMENTS.findall(" " + t) if self.apart else [" " + t] for t in texts]
+        new = []
+        for x in set(chain.from_iterable(segments)):
+            if x not in known:
+                if x in older:
+                    known[x] = older[x]
+                else:
+                    new.append(x)
+        self._learn(new)
+        ids_a, ids_b, ok = [], [], []
+        for s, t in zip(segments, texts):
+            found = [known[x] for x in s]
+            i, j = (np.frombuffer(b"".join([f[k] for f in found]), tokens.kind) for k, tokens in ((0, a), (1, b)))
+            ids_a.append(i)
+            ids_b.append(j)
+            ok.append(all([f[2] for f in found]) or (a.whole(i, raw := (" " + t).encode()) and b.whole(j, raw)))
+        for x in new:  # a long one is not met again
+            if len(x) > MAX_KEPT:
+                del known[x]
+        if len(known) > MAX_SEGMENTS // 2:
+            self.known, self.older = {}, known
+        return ids_a, ids_b, ok
+
+    def _learn(self, new: list[str]) -> None:
+        """Segments one behind the other are a text that falls into them again, so many are encoded at once."""
+        plain = [x for x in new if self.apart and not x[-1].isspace() and "▁" not in x]
+        alone, lo = set(new).difference(plain), 0
+        while lo < len(plain):
+            hi, size = lo, 0
+            while hi < len(plain) and size < AT_ONCE:
+                size += len(plain[hi])
+                hi += 1
+            alone.update(self._learn_run(plain[lo:hi]))
+            lo = hi
+        for x in alone:
+            raw, (i,), (j,) = x.encode(), self.a.encode([x]), self.b.encode([x])
+            self.known[x] = np.array(i, self.a.kind).tobytes(), np.array(j, self.b.kind).tobytes(), self.a.whole(i, raw) and self.b.whole(j, raw)
+
+    def _learn_run(self, run: list[str]) -> list[str]:
+        """Keep the ids of the segments of ``run``, unless they do not end where the segments do: then those are to be encoded alone."""
+        text = "".join(run)
+        raw, ends, cut = text.encode(), np.cumsum([0, *(len(x.encode()) for x in run)]), []
+        for tokens in (self.a, self.b):
+            (ids,) = tokens.encode([text])
+            ids = np.array(ids, tokens.kind)
+            upto = np.concatenate([[0], np.cumsum(tokens.lengths[ids])])
+            at = np.searchsorted(upto, ends)
+            if upto[-1] != ends[-1] or (upto[at] != ends).any() or not tokens.whole(ids.tolist(), raw):
+                return run
+            data, at = ids.tobytes(), (at * tokens.kind.itemsize).tolist()
+            cut.append([data[lo:hi] for lo, hi in zip(at, at[1:])])
+        self.known.update((x, (i, j, True)) for x, i, j in zip(run, *cut))
+        return []
 
 
 def key_type(a: Tokens, b: Tokens) -> str:
@@ -122,22 +214,21 @@ def key_type(a: Tokens, b: Tokens) -> str:
     return "<u4" if len(a.bytes) * len(b.bytes) <= 2**32 else "<u8"
 
 
-_LOADED: dict[tuple, tuple[Tokens, Tokens]] = {}
+_LOADED: dict[tuple, Encoder] = {}
 
 
-def _loaded(vocab_a: bytes, vocab_b: bytes) -> tuple[Tokens, Tokens]:
+def _loaded(vocab_a: bytes, vocab_b: bytes) -> Encoder:
     key = (hash(vocab_a), hash(vocab_b))
     if key not in _LOADED:
         _LOADED.clear()
-        _LOADED[key] = Tokens("bpe", vocab_a), Tokens("piece", vocab_b)
+        _LOADED[key] = Encoder(Tokens("bpe", vocab_a), Tokens("piece", vocab_b))
     return _LOADED[key]
 
 
-def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+def _flat(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """All ids behind each other, and where each document's begin."""
     first = np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int64)])
-    flat = np.fromiter(chain.from_iterable(ids), np.int64, int(first[-1]))
-    return flat, first
+    return np.concatenate([np.zeros(0, np.int64), *ids]).astype(np.int64), first
 
 
 def _pairs(ga: np.ndarray, gb: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray, size_b: int, doc: np.ndarray, at: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -195,14 +286,12 @@ def _written(ga: np.ndarray, gb: np.ndarray, fa: np.ndarray, fb: np.ndarray, a:
     return list(map(names.__getitem__, out.tolist()))
 
 
-def align_texts(texts: list[str | None], a: Tokens, b: Tokens, piece: int = PIECE) -> dict[str, list]:
+def align_texts(texts: list[str | None], coder: Encoder, piece: int = PIECE) -> dict[str, list]:
     """Columns of the aligned texts: counts, digest of the groups, and the linked pairs as bytes of key and count arrays."""
-    n = len(texts)
-    raw = [(" " + t).encode() if t else b"" for t in texts]
-    use = [k for k in range(n) if raw[k]]
-    given = [texts[k] for k in use]
-    ids_a, ids_b = (a.encode(given), b.encode(given)) if given else ([], [])
-    ok = [k for k, x, y in zip(range(len(use)), ids_a, ids_b) if a.whole(x, raw[use[k]]) and b.whole(y, raw[use[k]])]
+    n, a, b = len(texts), coder.a, coder.b
+    use = [k for k in range(n) if texts[k]]
+    ids_a, ids_b, whole = coder.encode([texts[k] for k in use])
+    ok = [k for k in range(len(use)) if whole[k]]
     use, ids_a, ids_b = [use[k] for k in ok], [ids_a[k] for k in ok], [ids_b[k] for k in ok]
     (fa, da), (fb, db) = _flat(ids_a), _flat(ids_b)
     ends_a, ends_b = np.cumsum(a.lengths[fa]), np.cumsum(b.lengths[fb])
@@ -242,10 +331,10 @@ def aligned(docs: DataFrame, vocab_a: str, vocab_b: str, text_col: str = "text",
     given = docs.select(row.alias("row"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = _loaded(*vocab.value)
+        coder = _loaded(*vocab.value)
         for batch in batches:
-            for part, texts in slices(batch, batch.column("text"), 4 << 20):
-                cols = align_texts(texts.to_pylist(), a, b, piece)
+            for part, texts in slices(batch, batch.column("text"), 2 << 20):
+                cols = align_texts(texts.to_pylist(), coder, piece)
                 yield pa.RecordBatch.from_arrays([part.column("row"), *(pa.array(v, _ARROW[c]) for c, v in cols.items())], ["row", *cols])
 
     schema = StructType(given.select("row").schema.fields + StructType.fromDDL(_ALIGNED).fields)
@@ -303,8 +392,8 @@ def token_alignment(docs: DataFrame, vocab_a: str, vocab_b: str, text_col: str =
     Repeated rows are documents of their own; an empty table gives no row.
     """
     spark = docs.sparkSession
-    a, b = _loaded(_content(spark, vocab_a), _content(spark, vocab_b))
-    kind, size_b = key_type(a, b), len(b.bytes)
+    coder = _loaded(_content(spark, vocab_a), _content(spark, vocab_b))
+    kind, size_b = key_type(coder.a, coder.b), len(coder.b.bytes)
     width = np.dtype(kind).itemsize
     found = stored(aligned(docs, vocab_a, vocab_b, text_col, piece).withColumn("at", F.monotonically_increasing_id()), "aligned")
     counts = stored(pair_counts(found, kind), "pair-counts")

@@ -147,3 +147,20 @@ def test_links_of_wide_groups_are_counted_before_they_meet():
     of, key, n = align._pairs(np.array([0, 3000]), np.array([0, 3000]), x, y, 100, np.zeros(1, np.int64), at=8)
     want = Counter(int(i) * 100 + int(j) for i in x for j in y)
     assert dict(zip(key.tolist(), n.tolist())) == want and (of == 0).all()
+
+
+def test_segments_give_the_ids_of_whole_texts(spark):
+    """Texts put together at random from awkward parts, and all of a table's, by segments and whole."""
+    from lodestar.sources.tables import read_table
+
+    rng = random.Random(8)
+    some = [" ", "  ", "\n", "\n\n", "\r\n", "\r", "\t", "\x0b", "\x1c", "\x85", "\xa0", "\u3000", "\u200b", "a", "word", "'s", "don't", "12", "3", "漢字", "é", "\u0301", "😀", "▁", ";", ");", "}", "<s>", "<|endoftext|>", "<0x0A>", "\x00"]
+    texts = ["".join(rng.choice(some) for _ in range(rng.randint(1, 40))) for _ in range(4000)]
+    texts += [r["text"] for r in read_table(spark, "/root/testdata/sf0.001", "documents").collect() if r["text"]]
+    a, b = align.Tokens("bpe", open(A, "rb").read()), align.Tokens("piece", open(B, "rb").read())
+    assert a.apart and b.apart
+    coder, plain_coder = align.Encoder(a, b), align.Encoder(a, b)
+    plain_coder.apart = False
+    for lo in range(0, len(texts), 500):
+        (xa, xb, xo), (ya, yb, yo) = coder.encode(texts[lo : lo + 500]), plain_coder.encode(texts[lo : lo + 500])
+        assert all((x == y).all() if len(x) == len(y) else False for x, y in zip(xa + xb, ya + yb)) and xo == yo
