@@ -233,49 +233,59 @@ def _positive_visit(key, asks: pa.Table, block: pa.Table, k: int) -> pa.Table:
 # --- windows -------------------------------------------------------------------------------------------------------
 
 _NEGATIVE = "anchor_id long, positive_rank int, negative_id long, negative_score long"
-_WINDOW_ASK = "anchor_id long, dim int, v binary, positive_rank int, low_score long, high_score long, block long"
-_SEED = "anchor_id long, positive_rank int, block long, most double"
+_WINDOWS = pa.list_(pa.struct([("positive_rank", pa.int32()), ("low_score", pa.int64()), ("high_score", pa.int64())]))
+_WINDOW_ASK = "anchor_id long, dim int, v binary, block long, windows array<struct<positive_rank: int, low_score: long, high_score: long>>"
+_SEED = "anchor_id long, block long, most double"
 
 
-def _window_seed(key, asks: pa.Table, zones: pa.Table) -> pa.Table:
-    """For each window, the block of another label that can hold the highest scores of those that can hold one in the window."""
-    rows = []
+def _reached(asks: pa.Table, zones: pa.Table):
+    """For each vector length: anchors and zone maps, greatest scores, the anchors' windows behind each other, whose they are,
+    and which blocks of another label can hold a score in each."""
     for a, z, least, most, same in _bounded(asks, zones):
-        low, high = (a.column(c).to_numpy()[:, None] for c in ("low_score", "high_score"))
-        most = np.where(~same & (most >= low) & (least <= high), most, -np.inf)
-        best = most.argmax(1)
-        for r, (j, anchor, rank) in enumerate(zip(best.tolist(), a.column("anchor_id").to_pylist(), a.column("positive_rank").to_pylist())):
-            if most[r, j] > -np.inf:
-                rows.append((anchor, rank, z.column("block")[j].as_py(), float(most[r, j])))
-    names = [c.split()[0] for c in _SEED.split(", ")]
-    cols = list(zip(*rows)) or [[]] * 4
-    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.float64()))], names)
+        lists = a.column("windows").combine_chunks()
+        windows, of = lists.flatten(), np.repeat(np.arange(a.num_rows), lists.value_lengths().to_numpy())
+        low, high = (windows.field(c).to_numpy()[:, None] for c in ("low_score", "high_score"))
+        yield a, z, most, windows, of, ~same[of] & (most[of] >= low) & (least[of] <= high)
 
 
-def _window_route(key, asks: pa.Table, zones: pa.Table) -> pa.Table:
-    """Each window with the blocks of other labels that can hold a score in it, but the one read already."""
-    out = []
-    for a, z, least, most, same in _bounded(asks, zones):
-        low, high = (a.column(c).to_numpy()[:, None] for c in ("low_score", "high_score"))
-        i, j = np.nonzero(~same & (most >= low) & (least <= high) & (a.column("seen").to_numpy()[:, None] != z.column("block").to_numpy()))
-        out.append(a.select(_WINDOW_NAMES[:-1]).take(pa.array(i)).append_column("block", z.column("block").take(pa.array(j))))
-    return pa.concat_tables(out) if out else _empty(_WINDOW_ASK)
+def _window_seed(key, asks: pa.Table, zones: pa.Table) -> pa.Table:
+    """For each anchor, the block that can hold the highest scores of those that can hold one in a window."""
+    out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+    for a, z, most, _, of, reached in _reached(asks, zones):
+        any_ = np.zeros(most.shape, bool)
+        np.logical_or.at(any_, of, reached)
+        best = np.where(any_, most, -np.inf).argmax(1)
+        at = np.flatnonzero(any_.any(1))
+        out.append((a.column("anchor_id").to_numpy()[at], z.column("block").to_numpy()[best[at]], most[at, best[at]]))
+    return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], [c.split()[0] for c in _SEED.split(", ")])
 
 
-_WINDOW_NAMES = [c.split()[0] for c in _WINDOW_ASK.split(", ")]
+def _window_route(key, asks: pa.Table, zones: pa.Table) -> pa.Table:
+    """Each anchor with the blocks that can hold a score in a window, but the one read already, and with those windows."""
+    out = []
+    for a, z, _, windows, of, reached in _reached(asks, zones):
+        reached &= (a.column("seen").to_numpy()[:, None] != z.column("block").to_numpy())[of]
+        w, j = np.nonzero(reached)
+        order = np.lexsort((j, of[w]))
+        w, i, j = w[order], of[w[order]], j[order]
+        first = np.flatnonzero(np.diff(i, prepend=-1) | np.diff(j, prepend=-1))
+        lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(w)), pa.int32()), windows.take(pa.array(w)))
+        t = a.select(["anchor_id", "dim", "v"]).take(pa.array(i[first])).append_column("block", z.column("block").take(pa.array(j[first])))
+        out.append(t.append_column("windows", lists.cast(_WINDOWS)))
+    return pa.concat_tables(out) if out else _empty(_WINDOW_ASK[: _WINDOW_ASK.index(", windows")]).append_column("windows", pa.array([], _WINDOWS))
 
 
 def _window_visit(key, asks: pa.Table, block: pa.Table, k: int) -> pa.Table:
     """Of each window, the first ``k`` rows that the block has in it."""
     rows = []
     if asks.num_rows and block.num_rows:
-        given = asks.select(["anchor_id", "positive_rank", "low_score", "high_score"]).to_pylist()
+        anchors, windows = asks.column("anchor_id").to_pylist(), asks.column("windows").to_pylist()
         for n, ids, s in _scores(asks, block):
-            a = given[n]
-            at = np.flatnonzero((s >= a["low_score"]) & (s <= a["high_score"]))
-            if len(at):
-                best = at[first_rows(s[at], ids[at], k)]
-                rows += [(a["anchor_id"], a["positive_rank"], int(ids[p]), int(s[p])) for p in best.tolist()]
+            for w in windows[n]:
+                at = np.flatnonzero((s >= w["low_score"]) & (s <= w["high_score"]))
+                if len(at):
+                    best = at[first_rows(s[at], ids[at], k)]
+                    rows += [(anchors[n], w["positive_rank"], int(ids[p]), int(s[p])) for p in best.tolist()]
     return _table(rows, _NEGATIVE)
 
 
@@ -314,20 +324,21 @@ def hard_negatives(blocks: DataFrame, n_positives: int = 5, n_negatives: int = 3
     p = F.col("positive_score")
     low, high = p - F.expr("positive_score div 2"), p + F.floor(-p.cast("decimal(20,0)") / 20).cast("long")
     windows = found.where("positive_score >= 0").select("anchor_id", F.col("rank").alias("positive_rank"), low.alias("low_score"), high.alias("high_score"))
-    windows = windows.where("low_score <= high_score").join(anchors.select("anchor_id", "dim", "label", "v"), "anchor_id")
-    n_parts, n_chunks = parts(windows.count(), TILE), parts(blocks.count(), TILE)
-    windows = stored(windows.withColumn("part", F.pmod(F.xxhash64("anchor_id", "positive_rank"), F.lit(n_parts)).cast("int")), "windows")
-    zones = _zones(blocks, n_chunks)
-    seed = tiles(windows, n_parts, zones, n_chunks, _window_seed, _SEED).groupBy("anchor_id", "positive_rank").agg(F.max_by("block", F.struct("most", "block")).alias("block"))
-    names = ["anchor_id", "positive_rank"]
-    seeded = stored(windows.drop("part").join(seed, names).select(*_WINDOW_NAMES), "window-seeds")
-    pages = blocks.select("block", "dim", "ids", "vectors")
+    windows = stored(windows.where("low_score <= high_score"), "windows")
+    window = F.collect_list(F.struct("positive_rank", "low_score", "high_score")).alias("windows")  # n_positives at most
+    n_parts, n_chunks = parts(anchors.count(), TILE), parts(blocks.count(), TILE)
+    zones, pages = _zones(blocks, n_chunks), blocks.select("block", "dim", "ids", "vectors")
+    anchors = anchors.select("anchor_id", "dim", "label", "v", part_of("anchor_id", n_parts).alias("part"))
+    asked = anchors.join(windows.groupBy("anchor_id").agg(window), "anchor_id")
+    seed = tiles(asked, n_parts, zones, n_chunks, _window_seed, _SEED).groupBy("anchor_id").agg(F.max_by("block", F.struct("most", "block")).alias("block"))
+    seeded = stored(asked.drop("part").join(seed, "anchor_id"), "window-seeds")
     look = lambda key, a, b: _window_visit(key, a, b, n_negatives)
-    early = stored(visit(_in_parts(seeded), pages, "block", look, _NEGATIVE), "early-negatives")
+    early = stored(visit(_in_parts(seeded.drop("label")), pages, "block", look, _NEGATIVE), "early-negatives")
     # a window that its first block has filled looks for scores from its last on
+    names = ["anchor_id", "positive_rank"]
     filled = early.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), F.min("negative_score").alias("last")).where(F.col("n") >= n_negatives)
-    known = windows.join(seeded.select(*names, F.col("block").alias("seen")), names).join(filled, names, "left")
-    known = known.withColumn("low_score", F.greatest("low_score", F.coalesce("last", "low_score")))
+    higher = windows.join(filled, names, "left").withColumn("low_score", F.greatest("low_score", F.coalesce("last", "low_score")))
+    known = anchors.join(seeded.select("anchor_id", F.col("block").alias("seen")), "anchor_id").join(higher.groupBy("anchor_id").agg(window), "anchor_id")
     asks = stored(tiles(known, n_parts, zones, n_chunks, _window_route, _WINDOW_ASK), "window-asks")
     late = visit(_in_parts(asks), pages, "block", look, _NEGATIVE)
     best = Window.partitionBy(*names).orderBy(F.col("negative_score").desc(), "negative_id")
