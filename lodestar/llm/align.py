@@ -102,12 +102,15 @@ class Tokens:
             for token, i in t.get_vocab().items():
                 self.bytes[i] = special.get(i) or bytes(byte[c] for c in token)
             spec = json.loads(data)
+            # every byte has a token, and nothing is changed before
+            self.lossless = spec["normalizer"] is None and set(self.bytes) >= {bytes([c]) for c in range(256)}
             # its pattern ends a match wherever white space follows something else
             self.apart = spec["normalizer"] is None and {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}.items() <= spec["pre_tokenizer"].items()
         else:
             from sentencepiece import SentencePieceProcessor
 
             p = SentencePieceProcessor(model_proto=data)
+            self.lossless = False
             pieces = [p.id_to_piece(i) for i in range(p.get_piece_size())]
             self.bytes = [bytes([int(x[3:5], 16)]) if p.is_byte(i) else x.replace("▁", " ").encode() for i, x in enumerate(pieces)]
             begin, space = p.encode("a"), p.encode("a ")
@@ -132,81 +135,115 @@ class Tokens:
 
     def whole(self, ids: np.ndarray | list[int], text: bytes) -> bool:
         """Do the tokens' bytes, joined, give the text?"""
-        return b"".join([self.bytes[i] for i in ids]) == text
+        if self.lossless:
+            return True
+        return b"".join(map(self.bytes.__getitem__, ids.tolist() if isinstance(ids, np.ndarray) else ids)) == text
 
 
 #: Segments end where a space or a new line follows something that is not white space. Both tokenizers have a token end there.
 #: (U+2581 is a space to the sentencepiece model.)
 _SEGMENTS = re.compile(r"[\s▁]*+[^\s▁]++(?:(?![ \n])[\s▁]++[^\s▁]++)*+(?:(?![ \n])[\s▁]++\Z)?|[\s▁]+")
-#: Segments kept by a worker (those of the last half met are never lost), the longest that are kept, and characters given to a
-#: tokenizer at a time.
-MAX_SEGMENTS, MAX_KEPT, AT_ONCE = 200_000, 48, 20_000
+#: Segments kept by a worker (the half met most often stays when there are more), and characters given to a tokenizer at a time.
+MAX_SEGMENTS, AT_ONCE = 300_000, 20_000
+
+
+class _Kept:
+    """Ids of numbered segments by one tokenizer, one behind the other."""
+
+    def __init__(self, kind: np.dtype) -> None:
+        self.ids, self.first = np.zeros(0, kind), np.zeros(1, np.int64)
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.ids = np.concatenate([self.ids, ids])
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
+
+    def of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the segments in the order given, and how many each has."""
+        size = np.diff(self.first)[numbers]
+        at = np.repeat(self.first[numbers] - (np.cumsum(size) - size), size)
+        return self.ids[at + np.arange(len(at))], size
 
 
 class Encoder:
-    """Ids of whole texts by both tokenizers; segments met before are looked up, as bytes of their ids."""
+    """Ids of whole texts by both tokenizers; those of segments met before are looked up."""
 
     def __init__(self, a: Tokens, b: Tokens) -> None:
         self.a, self.b, self.apart = a, b, a.apart and b.apart
-        self.known: dict[str, tuple[bytes, bytes, bool]] = {}  # ids by A and by B, and whether their bytes are the segment's
-        self.older: dict[str, tuple[bytes, bytes, bool]] = {}
+        self.number: dict[str, int] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.kept = _Kept(self.a.kind), _Kept(self.b.kind)
+        self.odd, self.met = np.zeros(0, bool), np.zeros(0, np.int64)
 
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], list[bool]]:
         """Ids by A and by B of a space and each (not empty) text, and whether the bytes of both give it back."""
-        a, b, known, older = self.a, self.b, self.known, self.older
         segments = [_SEGMENTS.findall(" " + t) if self.apart else [" " + t] for t in texts]
-        new = []
-        for x in set(chain.from_iterable(segments)):
-            if x not in known:
-                if x in older:
-                    known[x] = older[x]
-                else:
-                    new.append(x)
-        self._learn(new)
-        ids_a, ids_b, ok = [], [], []
-        for s, t in zip(segments, texts):
-            found = [known[x] for x in s]
-            i, j = (np.frombuffer(b"".join([f[k] for f in found]), tokens.kind) for k, tokens in ((0, a), (1, b)))
-            ids_a.append(i)
-            ids_b.append(j)
-            ok.append(all([f[2] for f in found]) or (a.whole(i, raw := (" " + t).encode()) and b.whole(j, raw)))
-        for x in new:  # a long one is not met again
-            if len(x) > MAX_KEPT:
-                del known[x]
-        if len(known) > MAX_SEGMENTS // 2:
-            self.known, self.older = {}, known
-        return ids_a, ids_b, ok
+        every = list(chain.from_iterable(segments))
+        numbers = np.array([self.number.get(x, -1) for x in every], np.int64)
+        if (missing := np.flatnonzero(numbers < 0)).size:
+            self._learn(list({every[k] for k in missing}))
+            numbers[missing] = [self.number[every[k]] for k in missing]
+        self.met += np.bincount(numbers, minlength=len(self.met))
+        cut = np.cumsum([0, *map(len, segments)])
+        ids = []
+        for kept in self.kept:
+            flat, size = kept.of(numbers)
+            ids.append(np.split(flat, np.concatenate([[0], np.cumsum(size)])[cut[1:-1]]) if texts else [])
+        odd = np.concatenate([[0], np.cumsum(self.odd[numbers])])[cut]
+        ok = [odd[k] == odd[k + 1] or (self.a.whole(i, raw := (" " + texts[k]).encode()) and self.b.whole(j, raw)) for k, (i, j) in enumerate(zip(*ids))]
+        if len(self.number) > MAX_SEGMENTS:
+            self._shrink()
+        return ids[0], ids[1], ok
+
+    def _shrink(self) -> None:
+        often = np.sort(np.argsort(-self.met, kind="stable")[: MAX_SEGMENTS // 2])
+        kept, odd, met = [k.of(often) for k in self.kept], self.odd[often], self.met[often] // 2
+        names = list(self.number)
+        self.number = {names[k]: n for n, k in enumerate(often.tolist())}
+        self._forget()
+        for k, (ids, size) in zip(self.kept, kept):
+            k.add(ids, size)
+        self.odd, self.met = odd, met
 
     def _learn(self, new: list[str]) -> None:
         """Segments one behind the other are a text that falls into them again, so many are encoded at once."""
-        plain = [x for x in new if self.apart and not x[-1].isspace() and "▁" not in x]
-        alone, lo = set(new).difference(plain), 0
+        plain, alone, lo = [], [], 0
+        for x in new:
+            (plain if self.apart and "▁" not in x and not x[-1].isspace() else alone).append(x)
         while lo < len(plain):
             hi, size = lo, 0
             while hi < len(plain) and size < AT_ONCE:
                 size += len(plain[hi])
                 hi += 1
-            alone.update(self._learn_run(plain[lo:hi]))
+            if not self._learn_run(plain[lo:hi]):
+                alone += plain[lo:hi]
             lo = hi
         for x in alone:
-            raw, (i,), (j,) = x.encode(), self.a.encode([x]), self.b.encode([x])
-            self.known[x] = np.array(i, self.a.kind).tobytes(), np.array(j, self.b.kind).tobytes(), self.a.whole(i, raw) and self.b.whole(j, raw)
+            raw, ids = x.encode(), [t.encode([x])[0] for t in (self.a, self.b)]
+            self._keep([x], [(np.array(i, t.kind), np.array([len(i)])) for i, t in zip(ids, (self.a, self.b))], not (self.a.whole(ids[0], raw) and self.b.whole(ids[1], raw)))
 
-    def _learn_run(self, run: list[str]) -> list[str]:
-        """Keep the ids of the segments of ``run``, unless they do not end where the segments do: then those are to be encoded alone."""
-        text = "".join(run)
-        raw, ends, cut = text.encode(), np.cumsum([0, *(len(x.encode()) for x in run)]), []
+    def _learn_run(self, run: list[str]) -> bool:
+        """Keep the ids of the segments of ``run``, if tokens end where each segment does and have its bytes."""
+        raw = "".join(run).encode()
+        ends, cut = np.cumsum([0, *(len(x.encode()) for x in run)]), []
         for tokens in (self.a, self.b):
-            (ids,) = tokens.encode([text])
-            ids = np.array(ids, tokens.kind)
+            ids = np.array(tokens.encode([raw.decode()])[0], tokens.kind)
             upto = np.concatenate([[0], np.cumsum(tokens.lengths[ids])])
             at = np.searchsorted(upto, ends)
-            if upto[-1] != ends[-1] or (upto[at] != ends).any() or not tokens.whole(ids.tolist(), raw):
-                return run
-            data, at = ids.tobytes(), (at * tokens.kind.itemsize).tolist()
-            cut.append([data[lo:hi] for lo, hi in zip(at, at[1:])])
-        self.known.update((x, (i, j, True)) for x, i, j in zip(run, *cut))
-        return []
+            if upto[-1] != ends[-1] or (upto[at] != ends).any() or not tokens.whole(ids, raw):
+                return False
+            cut.append((ids, np.diff(at)))
+        self._keep(run, cut, False)
+        return True
+
+    def _keep(self, run: list[str], cut: list[tuple[np.ndarray, np.ndarray]], odd: bool) -> None:
+        first = len(self.number)
+        self.number.update(zip(run, range(first, first + len(run))))
+        for kept, (ids, sizes) in zip(self.kept, cut):
+            kept.add(ids, sizes)
+        self.odd = np.concatenate([self.odd, np.full(len(run), odd)])
+        self.met = np.concatenate([self.met, np.zeros(len(run), np.int64)])
 
 
 def key_type(a: Tokens, b: Tokens) -> str:
