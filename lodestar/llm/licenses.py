@@ -140,32 +140,48 @@ SPELLINGS = (
 COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright |\(c\) |©)[^\n]*"
 
 
+# Every known canonical text has one of these, and so has, in lower case, every text that becomes one (the
+# first five letters of "licence" are the same in both spellings, and no other spelling touches them).
+MARKS = ("licen", "permission", "redistribution")
+
+
 def canonical(text: Column) -> Column:
     """Lower case without copyright lines, equivalent spellings made one, other than a-z and 0-9 one space."""
-    text = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "\n")
+    return _canonical_lower(F.lower(text))
+
+
+def _canonical_lower(text: Column) -> Column:
+    text = F.regexp_replace(text, COPYRIGHT_LINE, "\n")
     text = reduce(lambda t, pair: F.replace(t, F.lit(pair[0]), F.lit(pair[1])), SPELLINGS, text)
     return F.trim(F.regexp_replace(text, "[^a-z0-9]+", " "))
 
 
+def _marked(lower: Column, marks: tuple[str, ...]) -> Column:
+    return reduce(lambda a, b: a | b, (F.contains(lower, F.lit(m)) for m in marks)) if marks else F.lit(True)
+
+
 def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
     """``(digest, license_id)`` of the known texts; a digest has one licence, the first by name."""
     rows = spark.createDataFrame(list(known), "license_id string, text string")
     return rows.select("license_id", F.sha2(canonical(F.col("text")), 256).alias("digest")).groupBy("digest").agg(F.min("license_id").alias("license_id"))
 
 
-def license_hits(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def license_hits(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", marks: tuple[str, ...] = ()) -> DataFrame:
     """``(id, license_id, scope, n_found)``: licences whose text a document or a line of it is.
 
     ``scope`` is ``document`` for the whole text, else ``line``; a text of one line is looked up as a
     document only. ``known`` has ``digest`` and ``license_id`` (the package's own list by default); Spark chooses
-    how to join it. Null and empty texts, and texts with nothing left when canonical, have no licence. Rows
-    with the same id (null ids are one) are counted together. Other columns are not looked at.
+    how to join it. ``marks`` may name words in lower case of which each text that becomes a known one has one; only texts and lines that have
+    one are made canonical (once each, before they are rows). Null and empty texts, and texts with nothing left when canonical, have no
+    licence. Rows with the same id (null ids are one) are counted together. Other columns are not looked at.
     """
-    known = known_digests(docs.sparkSession) if known is None else known
-    text = F.col(text_col).cast("string")
-    lines = F.when(F.instr(text, "\n") > 0, F.split(text, "\n")).otherwise(F.array())
-    units = F.concat(F.array(F.struct(F.lit("document").alias("scope"), text.alias("unit"))), F.transform(lines, lambda x: F.struct(F.lit("line").alias("scope"), x.alias("unit"))))
-    rows = docs.where(text.isNotNull()).select(F.col(id_col).alias("id"), F.explode(units).alias("u"))
-    rows = rows.select("id", "u.scope", canonical(F.col("u.unit")).alias("canon")).where("canon <> ''")
-    hits = rows.select("id", "scope", F.sha2("canon", 256).alias("digest")).join(known, "digest")
+    if known is None:
+        known, marks = known_digests(docs.sparkSession), MARKS
+    text = F.lower(F.col(text_col).cast("string"))
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text")).where(F.col("text").isNotNull() & _marked(F.col("text"), marks))
+    unit = lambda scope, x: F.struct(F.lit(scope).alias("scope"), F.sha2(_canonical_lower(x), 256).alias("digest"))
+    lines = F.when(F.instr("text", "\n") > 0, F.filter(F.split("text", "\n"), lambda x: _marked(x, marks))).otherwise(F.array())
+    units = F.concat(F.array(unit("document", F.col("text"))), F.transform(lines, lambda x: unit("line", x)))
+    rows = rows.select("id", F.explode(units).alias("u")).select("id", "u.scope", "u.digest")
+    hits = rows.where(F.col("digest") != F.sha2(F.lit("").cast("binary"), 256)).join(known, "digest")
     return hits.groupBy("id", "license_id", "scope").agg(F.count(F.lit(1)).alias("n_found"))

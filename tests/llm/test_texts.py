@@ -191,6 +191,32 @@ def test_license_files(spark):
     assert sorted((r["id"], r["license_id"]) for r in hits) == sorted((i, n) for i, n, _ in rows)
 
 
+def test_license_marks_lose_nothing(spark):
+    """Every known text has a mark, no change of spelling makes one, and a scan without marks finds the same."""
+    rows = spark.createDataFrame([(t,) for _, t in licenses.KNOWN], "t string").select(licenses.canonical(F.col("t")).alias("c")).collect()
+    assert all(any(m in r["c"] for m in licenses.MARKS) for r in rows)
+    for m in licenses.MARKS:
+        assert m.isalpha()  # so its letters stood together before all else became spaces
+        for old, new in licenses.SPELLINGS:
+            assert m not in new or m in old
+            assert new not in m
+            for n in range(1, min(len(m), len(new) + 1)):  # a mark that begins or ends within the new spelling did so in the old one
+                assert new[-n:] != m[:n] or old[-n:] == m[:n]
+                assert new[:n] != m[-n:] or old[:n] == m[-n:]
+    rng = random.Random(4)
+    bits = ["Released under the MIT Licence.", "licensed", "SPDX-License-Identifier: MIT", "Copyright (c) 2020", "LICEN\u212aE", "nothing here", "", "Permission", "\u0130", *[t for _, t in licenses.KNOWN if len(t) < 200][:20]]
+    docs = spark.createDataFrame([(i, "\n".join(rng.choice(bits) for _ in range(rng.randint(1, 6)))) for i in range(400)], "doc_id long, text string")
+    known = licenses.known_digests(spark)
+    found = lambda df: sorted(map(tuple, df.collect()))
+    assert found(licenses.license_hits(docs)) == found(licenses.license_hits(docs, known)) != []
+
+
+def test_canonical_text_is_made_once_a_line(spark):
+    plan = licenses.license_hits(edge_docs(spark))._jdf.queryExecution().optimizedPlan().toString()
+    side = plan[plan.index("Join Inner") : plan.index("LogicalRDD [doc_id")]
+    assert side.count("non-infringement") == 2  # the document's own text, and its lines
+
+
 CONTROLS = ["<s>", "</s>", "[INST]", "[/INST]", "<\\s>", "<\\\\/s>", "[\\/INST]", "\\", "<", "[", " [/INST] ", "\n", "é😀"]
 
 
