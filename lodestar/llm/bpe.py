@@ -20,15 +20,17 @@ import hashlib
 from array import array
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lodestar.llm.split import Pieces, splitter
 from lodestar.llm.store import bounded_batches
 
-#: Transducer states, neighbour checks and pieces kept by a Python worker before it starts anew.
-MAX_STATES, MAX_PAIRS, MAX_PIECES = 60_000, 400_000, 700_000
+#: Transducer states (some 0.7 KB each), neighbour checks and pieces kept by a Python worker before it starts anew.
+MAX_STATES, MAX_PAIRS, MAX_PIECES = 250_000, 400_000, 400_000
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -175,30 +177,19 @@ class Transducer:
 
 
 class Encoder:
-    """Texts -> ids: pieces by a pattern, each through the transducer; the ids of frequent pieces are kept."""
+    """Texts -> ids: pieces by a pattern, each through the transducer; the ids of pieces met before are kept."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
-        import regex
-
-        self.find = regex.compile(pattern).findall
+        self.find = splitter(pattern)
         self.transducer = Transducer(ranks)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}  # the table before the last change of tables
+        self.pieces = Pieces(lambda piece: array("I", self.transducer.encode(piece.encode())).tobytes(), MAX_PIECES, 32)
+
+    def stored(self, text: str | None) -> bytes:
+        """The ids as unsigned 32-bit integers."""
+        return self.pieces.of(self.find(text)) if text else b""
 
     def encode(self, text: str | None) -> list[int]:
-        out = array("I")
-        known, take = self.known, out.frombytes
-        for piece in self.find(text or ""):
-            ids = known.get(piece)
-            if ids is None:
-                ids = self.older.get(piece) or array("I", self.transducer.encode(piece.encode())).tobytes()
-                if len(piece) <= 32:
-                    if len(known) >= MAX_PIECES:
-                        self.older, self.known = known, {}
-                        known = self.known
-                    known[piece] = ids
-            take(ids)
-        return out.tolist()
+        return array("I", self.stored(text)).tolist()
 
 
 class StreamDecoder:
@@ -243,8 +234,8 @@ def vocabulary(path: str) -> bytes:
     return data
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", digests: bool = False) -> DataFrame:
-    """Every input row as ``row`` (struct of its columns) with ``ids`` (array of int).
+def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", digests: bool = False, with_ids: bool = True) -> DataFrame:
+    """Every input row as ``row`` (struct of its columns) with ``ids`` (array of int), unless they are not wanted.
 
     With ``digests`` the ids are also decoded again, by the streaming decoder, and the row has ``n_tokens``,
     ``ids_sha256`` (of the decimal ids joined by one space) and ``decoded_sha256`` (of the bytes).
@@ -262,19 +253,24 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", dig
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 row = part.column(0)
-                ids = [encoder.encode(t.as_py()) for t in row.field(at)]
-                cols = [row, pa.array(ids, pa.list_(pa.int32()))]
+                ids = [encoder.stored(t.as_py()) for t in row.field(at)]
+                cols = [row]
+                if with_ids:
+                    first = np.cumsum([0, *(len(x) // 4 for x in ids)])
+                    cols.append(pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4"))))
                 if digests:
+                    lists = [array("I", x).tolist() for x in ids]
                     cols += [
-                        pa.array([len(x) for x in ids], pa.int64()),
-                        pa.array([hashlib.sha256(" ".join(map(names.__getitem__, x)).encode()).hexdigest() for x in ids]),
-                        pa.array([_streamed(decoder, x) for x in ids]),
+                        pa.array([len(x) for x in lists], pa.int64()),
+                        pa.array([hashlib.sha256(" ".join(map(names.__getitem__, x)).encode()).hexdigest() for x in lists]),
+                        pa.array([_streamed(decoder, x) for x in lists]),
                     ]
-                yield pa.RecordBatch.from_arrays(cols, names=["row", "ids", "n_tokens", "ids_sha256", "decoded_sha256"][: len(cols)])
+                yield pa.RecordBatch.from_arrays(cols, names=made)
 
-    more = "ids array<int>" + ", n_tokens long, ids_sha256 string, decoded_sha256 string" * digests
+    more = ["ids array<int>"] * with_ids + ["n_tokens long", "ids_sha256 string", "decoded_sha256 string"] * digests
+    made = ["row", *(c.split()[0] for c in more)]
     rows = docs.select(F.struct("*").alias("row"))
-    return rows.mapInArrow(run, StructType([rows.schema["row"], *StructType.fromDDL(more).fields]))
+    return rows.mapInArrow(run, StructType([rows.schema["row"], *(StructType.fromDDL(", ".join(more)).fields if more else ())]))
 
 
 def _streamed(decoder: StreamDecoder, ids: list[int], at_once: int = 1024) -> str:

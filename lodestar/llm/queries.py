@@ -33,7 +33,7 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     folder = shared_path(spark, "token-ids")
     index = tokenfile.write_ids(docs, folder, _vocabulary("word_bpe_49k.json"))
-    return tokenfile.read_ids(index, folder).select("row.doc_id", "row.start", "row.n_tokens", "ids_crc32")
+    return tokenfile.read_ids(index, folder, with_ids=False).select("row.doc_id", "row.start", "row.n_tokens", "ids_crc32")
 
 
 @_query
@@ -89,7 +89,7 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every document and the bytes they decode to, as digests."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
-    found = bpe.encode(docs, _vocabulary("byte_bpe_50k.tiktoken"), _pattern(), digests=True)
+    found = bpe.encode(docs, _vocabulary("byte_bpe_50k.tiktoken"), _pattern(), digests=True, with_ids=False)
     return found.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 

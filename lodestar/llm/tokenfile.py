@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lodestar.llm.split import Pieces, splitter
 from lodestar.llm.store import bounded_batches, row_order
 
 # Fixed values of the seekable format.
@@ -104,13 +105,13 @@ class WordIds:
         split = [s.get("pattern", {}).get("Regex") for s in (about.get("pre_tokenizer") or {}).get("pretokenizers", [])]
         added = [t["content"] for t in about.get("added_tokens", [])]
         self.by_piece = steps == ["NFC", "Replace", "Lowercase"] and split == [self.SPLIT, None] and not about.get("post_processor")
-        self.find = regex.compile(self.SPLIT).findall
+        self.find = splitter(self.SPLIT)
         # all of Latin-1 and Latin Extended-A but the dotted capital I, which is two characters in lower case
         self.plain = regex.compile("[\\x00-\\u012f\\u0131-\\u017f]*").fullmatch
         self.added = regex.compile("|".join(map(regex.escape, added)) or r"(?!)").search
         self.letter = self._letters()
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        model, letter = self.tokenizer.model, self.letter
+        self.pieces = Pieces(lambda piece: np.array([t.id for t in model.tokenize("".join(map(letter.__getitem__, piece.encode())))], "<u4").tobytes(), self.MAX_PIECES)
 
     @staticmethod
     def _letters() -> list[str]:
@@ -127,22 +128,9 @@ class WordIds:
         """The ids as they are written: unsigned 32-bit little-endian integers."""
         if not text:
             return b""
-        if not (self.by_piece and self.plain(text)) or self.added(text):
+        if not (self.by_piece and (text.isascii() or self.plain(text))) or self.added(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        out: list[bytes] = []
-        known, model, letter = self.known, self.tokenizer.model, self.letter
-        for piece in self.find(text.lower()):
-            ids = known.get(piece)
-            if ids is None:
-                ids = self.older.get(piece)
-                if ids is None:
-                    ids = np.array([t.id for t in model.tokenize("".join(map(letter.__getitem__, piece.encode())))], "<u4").tobytes()
-                if len(known) >= self.MAX_PIECES:
-                    self.older, self.known = known, {}
-                    known = self.known
-                known[piece] = ids
-            out.append(ids)
-        return b"".join(out)
+        return self.pieces.of(self.find(text.lower()))
 
 
 _LOADED: dict[str, WordIds] = {}
@@ -229,13 +217,14 @@ def read_index(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/index")
 
 
-def read_ids(wanted: DataFrame, folder: str) -> DataFrame:
-    """Rows of the index (any of them) with ``ids_crc32`` (unsigned crc32 of the stored bytes) and ``ids``
+def read_ids(wanted: DataFrame, folder: str, with_ids: bool = True) -> DataFrame:
+    """Rows of the index (any of them) with ``ids_crc32`` (unsigned crc32 of the stored bytes) and, if wanted, ``ids``
     (array of long): only their frames are read and decompressed.
 
-    Rows of one file are read by one task or several; a damaged frame is an error.
+    Rows are dealt out by file, so a task opens few files; a damaged frame is an error.
     """
     bounded_batches(wanted)
+    wanted = wanted.repartition(int(wanted.sparkSession.conf.get("spark.sql.shuffle.partitions")), "file").sortWithinPartitions("file", "frame")
     target = _uri(folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,10 +239,13 @@ def read_ids(wanted: DataFrame, folder: str) -> DataFrame:
                         path = f"{root}/part-{file:06d}.zst"
                         opened = file, SeekableReader(store.open_input_file(path), store.get_file_info(path).size)
                     data.append(opened[1].frame(frame))
-                flat = np.frombuffer(b"".join(data), "<u4").astype(np.int64)
-                cut = np.concatenate([[0], np.cumsum([len(d) // 4 for d in data])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([row, pa.array([zlib.crc32(d) for d in data], pa.int64()), pa.ListArray.from_arrays(pa.array(cut), pa.array(flat))], names=["row", "ids_crc32", "ids"])
+                cols = [row, pa.array([zlib.crc32(d) for d in data], pa.int64())]
+                if with_ids:
+                    flat = np.frombuffer(b"".join(data), "<u4").astype(np.int64)
+                    cut = np.concatenate([[0], np.cumsum([len(d) // 4 for d in data])]).astype(np.int32)
+                    cols.append(pa.ListArray.from_arrays(pa.array(cut), pa.array(flat)))
+                yield pa.RecordBatch.from_arrays(cols, names=["row", "ids_crc32", "ids"][: len(cols)])
 
     files, frames = wanted.columns.index("file"), wanted.columns.index("frame")
     rows = wanted.select(F.struct("*").alias("row"))
-    return rows.mapInArrow(run, StructType([rows.schema["row"], *StructType.fromDDL("ids_crc32 long, ids array<long>").fields]))
+    return rows.mapInArrow(run, StructType([rows.schema["row"], *StructType.fromDDL("ids_crc32 long" + ", ids array<long>" * with_ids).fields]))

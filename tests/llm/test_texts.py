@@ -155,6 +155,24 @@ def test_token_files_round_trip(spark, tmp_path):
     assert tokenfile.write_ids(empty_docs(spark), str(tmp_path / "none"), path).count() == 0
 
 
+def test_ascii_texts_fall_into_the_same_pieces():
+    import regex
+    from lodestar.llm.split import ascii_pattern, splitter
+    from lodestar.llm.tokenfile import WordIds
+
+    rng = random.Random(12)
+    signs = [chr(c) for c in range(128)] + ["  ", "\n\n", "'ll", "'s", "word", "12"] * 4
+    for pattern in (P.PATTERN, WordIds.SPLIT):
+        assert ascii_pattern(pattern) is not None
+        split, every = splitter(pattern), regex.compile(pattern).findall
+        for _ in range(3000):
+            t = "".join(rng.choice(signs) for _ in range(rng.randint(0, 30)))
+            assert split(t) == every(t)
+        assert split("été 12 漢字's") == every("été 12 漢字's")
+    for pattern in (r"\p{Lu}+", r"(?i:a)\p{L}", r"[[a-z]--[b]]"):
+        assert ascii_pattern(pattern) is None
+
+
 def test_licenses(spark):
     mit = next(t for i, t in licenses.KNOWN if i == "MIT" and len(t) > 500)
     rows = [
