@@ -14,20 +14,21 @@ is neither shuffled nor joined.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lodestar.llm.store import NULL_ORDER, bounded_batches
+from lodestar.llm.words import Powers, mix64, slices
 
-#: Words that an item has at least, and that a match has at least: so many equal words in a row, or their score.
+#: Words that a match has at least: so many equal words in a row, or their score. Items of fewer words are matched by documents of
+#: just these words.
 LEAST_WORDS = 4
 PASSAGE, STRIDE = 64, 32
 #: Seeds of a passage that point to begins within so many words of each other are one place.
@@ -39,24 +40,58 @@ MIN_SCORE = 0.5
 BLOCK = 10_000
 #: Bits of a hash that mark what a passage has, and what all seeds of a block are.
 MARK_BITS, FRONT_BITS = 10, 18
-_WORD = re.compile(r"\w+")
-MAX_KNOWN = 200_000
 MATCHES = "array<struct<item_id: bigint, score: double, end_word: int>>"
 
 
-class _Known(dict):
-    def __missing__(self, word: str) -> int:
-        if len(self) >= MAX_KNOWN:
-            self.clear()
-        # 0 and 1 stand for no word
-        self[word] = h = xxhash.xxh64_intdigest(word.encode()) | 2
-        return h
+@cache
+def _points() -> tuple[np.ndarray, np.ndarray]:
+    """Of each character: is it one of a word (letters, digits, the underscore), and a code."""
+    word = np.array([chr(c).isalnum() for c in range(0x110000)])
+    word[ord("_")] = True
+    return word, mix64(np.arange(1, 0x110001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def word_codes(text: str | None, known: _Known) -> np.ndarray:
-    """64-bit codes of the words: runs of letters, digits and underscores, whatever their case."""
-    words = _WORD.findall((text or "").lower())
-    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+_POWERS = Powers(0xD1B54A32D192ED03)
+#: Characters whose codes are summed at a time; longer only for a word that is longer.
+CHUNK = 1 << 20
+
+
+def batch_codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit codes of the words of all texts, and where those of each text begin (and the last end).
+
+    Words are runs of letters, digits and underscores, whatever their case. Equal words have equal codes, over 1.
+    """
+    lower = [(t or "").lower() for t in texts]
+    points = np.frombuffer("\n".join([*lower, ""]).encode("utf-32-le"), "<u4")
+    is_word, code = _points()
+    word = is_word[points]
+    edge = np.flatnonzero(np.diff(word, prepend=False))  # words begin and end in turn; the last sign is a new line
+    begin, end = edge[::2], edge[1::2]
+    codes = np.empty(len(begin), np.uint64)
+    lo = 0
+    while lo < len(begin):
+        hi = max(lo + 1, int(np.searchsorted(end, begin[lo] + CHUNK)))
+        at, upto = begin[lo], end[hi - 1]
+        up, down = _POWERS.upto(int(upto - at) + 1)
+        total = np.zeros(upto - at + 1, np.uint64)
+        np.cumsum(code[points[at:upto]] * up[: upto - at], out=total[1:])
+        b, e = begin[lo:hi] - at, end[lo:hi] - at
+        codes[lo:hi] = mix64((total[e] - total[b]) * down[b] + (e - b).astype(np.uint64))
+        lo = hi
+    sizes = np.cumsum([0, *(len(t) + 1 for t in lower)])
+    return codes | np.uint64(2), np.searchsorted(begin, sizes)  # 0 and 1 stand for no word
+
+
+def word_codes(text: str | None) -> np.ndarray:
+    """The codes of one text's words."""
+    return batch_codes([text])[0]
+
+
+def batch_grams(codes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the words and pairs of neighbouring words of all texts, and the text of each."""
+    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    inside = np.flatnonzero(row[1:] == row[:-1])
+    return np.concatenate([gram_codes(codes, 1), gram_codes(codes, 2)[inside]]), np.concatenate([row, row[inside]])
 
 
 def gram_codes(codes: np.ndarray, width: int) -> np.ndarray:
@@ -71,11 +106,9 @@ def gram_codes(codes: np.ndarray, width: int) -> np.ndarray:
 
 
 def cut_passages(codes: np.ndarray) -> list[np.ndarray]:
-    """Passages of at most 64 words, by 32; the last ends with the item. Items of fewer than four words have none."""
-    if len(codes) < LEAST_WORDS:
-        return []
+    """Passages of at most 64 words, by 32; the last ends with the item. An item of no word has none."""
     if len(codes) <= PASSAGE:
-        return [codes]
+        return [codes] if len(codes) else []
     starts = [*range(0, len(codes) - PASSAGE, STRIDE), len(codes) - PASSAGE]
     return [codes[s : s + PASSAGE] for s in starts]
 
@@ -147,10 +180,14 @@ class Block:
     seed: np.ndarray
     of: np.ndarray
     at: np.ndarray
+    #: items of too few words for an alignment, by their words
+    short: dict[bytes, list[int]] = field(default_factory=dict)
 
     @classmethod
     def of_rows(cls, rows: list[tuple[list[int], np.ndarray]]) -> Block:
         """All words and pairs of all passages are seeds: of each passage its words, then its pairs."""
+        short = {codes.tobytes(): items for items, codes in rows if len(codes) < LEAST_WORDS}
+        rows = [r for r in rows if len(r[1]) >= LEAST_WORDS]
         words = np.zeros((len(rows), PASSAGE), np.uint64)
         for r, (_, codes) in enumerate(rows):
             words[r, : len(codes)] = codes
@@ -162,6 +199,7 @@ class Block:
             np.concatenate([np.zeros(0, np.uint64), *grams]),
             np.repeat(np.arange(len(grams)) // 2, [len(g) for g in grams]),
             np.concatenate([np.zeros(0, np.int64), *(np.arange(len(g)) for g in grams)]),
+            short,
         )
 
     def rarest(self, found: dict[int, int], least: float) -> Block:
@@ -175,7 +213,7 @@ class Block:
             lo += 2 * size - 1
         order = np.flatnonzero(keep & (df > 0))
         order = order[np.argsort(self.seed[order], kind="stable")]
-        return Block(self.words, self.size, self.items, self.seed[order], self.of[order], self.at[order])
+        return Block(self.words, self.size, self.items, self.seed[order], self.of[order], self.at[order], self.short)
 
     def prepare(self) -> None:
         """Tables that are worked out where they are used: first bits of seeds, marks of each passage's words and pairs."""
@@ -227,8 +265,20 @@ class Block:
             if enough.any():
                 yield of[enough], start[enough], place[enough]
 
+    def candidates(self, codes: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Numbers of the texts that have a seed, or no more words than a short item."""
+        grams, row = batch_grams(codes, first)
+        some = _among(grams, self.front)
+        grams, row = grams[some], row[some]
+        seeded = np.zeros(len(first) - 1, bool)
+        if len(self.seed):
+            seeded[row[self.seed[np.minimum(np.searchsorted(self.seed, grams), len(self.seed) - 1)] == grams]] = True
+        return np.flatnonzero(seeded | (np.diff(first) < LEAST_WORDS) & bool(self.short))
+
     def matches(self, codes: np.ndarray, least: float) -> list[dict]:
         """Items that the document has, with the best score of their passages."""
+        if len(codes) < LEAST_WORDS:
+            return [{"item_id": i, "score": 1.0, "end_word": len(codes)} for i in self.short.get(codes.tobytes(), ())]
         best: dict[int, tuple[float, int]] = {}
         score = least_score(self.size, least)
         for of, start, place in self.places([gram_codes(codes, width) for width in (1, 2)], score):
@@ -246,10 +296,9 @@ def _classes(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(item, whole, codes)``: every item that has passages, the digest of all its words, and its passages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Known()
         for batch in batches:
             for i in range(batch.num_rows):
-                codes = word_codes(batch.column(1)[i].as_py(), known)
+                codes = word_codes(batch.column(1)[i].as_py())
                 made = [p.tobytes() for p in cut_passages(codes)]
                 if made:
                     whole = hashlib.sha256(codes.tobytes()).digest()
@@ -284,15 +333,16 @@ def document_counts(docs: DataFrame, block: Block, text_col: str = "text") -> di
     shared = docs.sparkSession.sparkContext.broadcast(np.unique(block.seed))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, wanted = _Known(), shared.value
+        wanted = shared.value
         found, front = np.zeros(len(wanted), np.int64), _front(wanted)
-        for batch in batches:
-            for t in batch.column(0):
-                codes = word_codes(t.as_py(), known)
-                grams = np.concatenate([gram_codes(codes, width) for width in (1, 2)])
-                grams = grams[_among(grams, front)]
+        for batch in batches if len(wanted) else ():
+            for _, texts in slices(batch, batch.column(0)):
+                grams, row = batch_grams(*batch_codes(texts.to_pylist()))
+                some = _among(grams, front)
+                grams, row = grams[some], row[some]
                 at = np.minimum(np.searchsorted(wanted, grams), len(wanted) - 1)
-                found[np.unique(at[wanted[at] == grams])] += 1
+                hit = wanted[at] == grams
+                found += np.bincount(np.unique(row[hit] * len(wanted) + at[hit]) % len(wanted), minlength=len(wanted))
         some = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(found[some])], names=["gram", "n"])
 
@@ -305,8 +355,8 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, id_col: str = "item_id"
     """Every input row as ``row`` (struct of its columns) with ``matches``: the test items found in it, each
     with its ``score`` (1 is a whole copy, word for word) and the word where the best alignment ends.
 
-    A match scores ``least`` of the passage's score with itself, and no less than four words in a row do. Null
-    and empty texts match nothing; nor does anything match items of fewer than four words. Every
+    A match scores ``least`` of the passage's score with itself, and no less than four words in a row do; an item of fewer than
+    four words is found in documents of just these words. Null and texts without words match nothing. Every
     item is reported that has a passage found, also where several share it; only items with the same words are
     one, the smallest of their ids (``equal_items`` has the others; null ids are the largest long).
     """
@@ -322,18 +372,20 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, id_col: str = "item_id"
 
 def _aligned(shared, at: int, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, seeds = _Known(), shared.value
+        seeds = shared.value
         seeds.prepare()
         kind = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("end_word", pa.int32())]))
-        for batch in batches:
-            row, had = batch.column(0), batch.column(1).to_pylist()
-            found = []
-            for h, t in zip(had, row.field(at), strict=True):
-                best = {m["item_id"]: m for m in h}  # of an item's passages in other blocks
-                for m in seeds.matches(word_codes(t.as_py(), known), least):
-                    if m["item_id"] not in best or m["score"] > best[m["item_id"]]["score"]:
-                        best[m["item_id"]] = m
-                found.append([best[i] for i in sorted(best)])
-            yield pa.RecordBatch.from_arrays([row, pa.array(found, kind)], names=["row", "matches"])
+        for whole in batches:
+            for batch, texts in slices(whole, whole.column(0).field(at)):
+                found = batch.column(1).to_pylist()  # by other blocks
+                codes, first = batch_codes(texts.to_pylist())
+                for k in seeds.candidates(codes, first).tolist():
+                    if more := seeds.matches(codes[first[k] : first[k + 1]], least):
+                        best = {m["item_id"]: m for m in found[k]}  # of an item's passages in other blocks
+                        for m in more:
+                            if m["item_id"] not in best or m["score"] > best[m["item_id"]]["score"]:
+                                best[m["item_id"]] = m
+                        found[k] = [best[i] for i in sorted(best)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], names=["row", "matches"])
 
     return run

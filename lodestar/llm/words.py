@@ -28,7 +28,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(33))
 
 
-class _Powers:
+class Powers:
     """Powers of an odd base and of its inverse modulo 2**64, grown as needed."""
 
     def __init__(self, base: int) -> None:
@@ -46,8 +46,8 @@ class _Powers:
         return self.up, self.down
 
 
-_BYTE_POWERS = {0: _Powers(0x9E3779B97F4A7C15), 1: _Powers(0xD6E8FEB86659FD93)}
-_WORD_POWERS = {0: _Powers(0xA0761D6478BD642F), 1: _Powers(0xE7037ED1A0B428DB)}
+_BYTE_POWERS = {0: Powers(0x9E3779B97F4A7C15), 1: Powers(0xD6E8FEB86659FD93)}
+_WORD_POWERS = {0: Powers(0xA0761D6478BD642F), 1: Powers(0xE7037ED1A0B428DB)}
 _BYTE_CODES = {s: mix64(np.arange(1, 257, dtype=np.uint64) * _U(0x9E3779B97F4A7C15) + _U(s * 7919)) for s in (0, 1)}
 
 

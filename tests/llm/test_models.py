@@ -167,9 +167,8 @@ def test_seeds_lose_no_alignment():
                 k = rng.randrange(len(copy) + 1)
                 copy[k : k + rng.randint(0, 1)] = rng.choice([[], [rng.choice(vocabulary)], ["new"]])
             d[len(d) // 2 : len(d) // 2] = copy
-        known = decontam._Known()
-        codes = [decontam.word_codes(" ".join(d), known) for d in docs]
-        rows = [(i, p) for i, t in enumerate(texts) for p in decontam.cut_passages(decontam.word_codes(" ".join(t), known))]
+        codes = [decontam.word_codes(" ".join(d)) for d in docs]
+        rows = [(i, p) for i, t in enumerate(texts) for p in decontam.cut_passages(decontam.word_codes(" ".join(t)))]
         block = decontam.Block.of_rows([([i], p) for i, p in rows])
         found = {}
         for c in codes:
@@ -202,6 +201,36 @@ def test_decontamination_links_every_item(spark, tmp_path):
     assert sorted((r["doc_id"], r["item_id"]) for r in rows) == [(d, i) for d in (1, 2) for i in (0, 1, 2, 3, 8, 9)]
 
 
+def test_codes_of_batches_are_those_of_words(monkeypatch):
+    """Words as a pattern finds them, in texts of any signs; equal words have equal codes wherever they stand, in chunks of any size."""
+    import re
+
+    rng = random.Random(21)
+    signs = ["a", "B", "_", "9", " ", "\n", "-", "é", "İ", "ß", "漢", "😀", "\u0301", "Σ", "²", "\x00", "'"]
+    texts = [None, "", *("".join(rng.choice(signs) for _ in range(rng.randint(0, 60))) for _ in range(300)), "x" * 5000 + " y"]
+    for chunk in (1 << 20, 7):
+        monkeypatch.setattr(decontam, "CHUNK", chunk)
+        codes, first = decontam.batch_codes(texts)
+        seen: dict = {}
+        for k, t in enumerate(texts):
+            words = re.findall(r"\w+", (t or "").lower())
+            mine = codes[first[k] : first[k + 1]].tolist()
+            assert len(mine) == len(words)
+            assert all(seen.setdefault(w, c) == c for w, c in zip(words, mine))
+        assert len(set(seen.values())) == len(seen) and min(seen.values()) > 1
+    grams, row = decontam.batch_grams(codes, first)
+    for k in range(len(texts)):
+        mine = codes[first[k] : first[k + 1]]
+        assert sorted(grams[row == k].tolist()) == sorted([*decontam.gram_codes(mine, 1).tolist(), *decontam.gram_codes(mine, 2).tolist()])
+
+
+def test_short_items_match_documents_of_their_words(spark):
+    docs = spark.createDataFrame([(1, "Two WORDS!"), (2, "two words more"), (3, "words two"), (4, "one"), (5, " two,words\n"), (6, "")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, "two words"), (8, "one"), (9, "Two words."), (10, ""), (11, sentence(740, 20))], "item_id long, text string")
+    found = decontam.benchmark_matches(docs, bench).select("row.doc_id", F.explode("matches").alias("m")).collect()
+    assert sorted((r["doc_id"], r["m"]["item_id"], r["m"]["score"]) for r in found) == [(1, 7, 1.0), (4, 8, 1.0), (5, 7, 1.0)]
+
+
 def test_decontamination_odd_rows(spark):
     bench = spark.createDataFrame([(1, sentence(2, 80)), (2, ""), (3, None)], "item_id long, text string")
     got = decontam.benchmark_matches(edge_docs(spark), bench).collect()
