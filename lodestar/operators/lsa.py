@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -31,6 +32,8 @@ from lodestar.session import materialize
 OVERSAMPLE = 10
 PASSES = 5
 REL_TOL = 1e-6
+# Partial Gram matrices that the driver adds up itself.
+GRAM_GROUPS = 32
 
 
 @dataclass
@@ -95,8 +98,10 @@ def _stack(vecs: pd.Series, width: int) -> np.ndarray:
 
 
 def gram(D: DataFrame, width: int) -> np.ndarray:
-    """``D.T @ D`` (width x width): one BLAS product per Arrow batch; the tasks' partial sums are added on the
-    executors row by row, so the driver gets one matrix whatever the number of tasks."""
+    """``D.T @ D`` (width x width): one BLAS product per Arrow batch and one matrix per task.
+
+    Few tasks' matrices are added on the driver; those of many are first added in ``GRAM_GROUPS`` groups on the executors, so
+    what the driver gets is bounded."""
     if width == 0:
         return np.zeros((0, 0))
 
@@ -105,14 +110,16 @@ def gram(D: DataFrame, width: int) -> np.ndarray:
         for pdf in batches:
             m = _stack(pdf["vec"], width)
             acc += m.T @ m
-        yield pd.DataFrame({"i": np.arange(width), "g": list(acc)})
-
-    rows = D.select("vec").mapInPandas(part, "i long, g array<double>")
-    summed = rows.groupBy("i").agg(vector_to_array(Summarizer.sum(array_to_vector(F.col("g")))).alias("g"))
-    out = np.zeros((width, width))
-    for row in summed.collect():
-        out[row["i"]] = row["g"]
-    return out
+        yield pd.DataFrame({"task": [TaskContext.get().partitionId()], "g": [acc.ravel()]})
+
+    rows = D.select("vec").mapInPandas(part, "task int, g array<double>")
+    if D.rdd.getNumPartitions() > GRAM_GROUPS:
+        by = F.pmod("task", F.lit(GRAM_GROUPS))
+        rows = rows.groupBy(by).agg(vector_to_array(Summarizer.sum(array_to_vector(F.col("g")))).alias("g"))
+    out = np.zeros(width * width)
+    for row in rows.select("g").collect():
+        out += np.asarray(row["g"])
+    return out.reshape(width, width)
 
 
 def times_small(D: DataFrame, key: str, M: np.ndarray) -> DataFrame:

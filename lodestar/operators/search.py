@@ -1,17 +1,8 @@
-"""Title search (F1, K7, E3) and fuzzy title search (T8, J8, K6, E9) for tables of requests.
+"""Title search (F1, K7, E3) for tables of requests.
 
-Neither search compares every request with every title. Both generate candidates by an
-equi-join on short substrings ("grams", 1 to ``GRAM`` characters) and only then apply
-the exact predicate:
-
-* substring search - a title containing the query contains each of the query's grams of
-  ``min(GRAM, len)`` characters, so joining on one of them (the rarest) loses no match;
-* edit distance <= k - cut the query into k + 1 disjoint pieces of length
-  ``min(GRAM, len // (k + 1))``; k edits can touch at most k pieces, so a title within
-  distance k contains one piece intact (pigeonhole). The title length must also lie in
-  [len - k, len + k], so it is part of the join key (pieces x admissible lengths against
-  grams keyed by title length). Queries shorter than k + 1 characters fall back to a
-  length-band join (titles no longer than len + k).
+No request is compared with every title: candidates come from an equi-join on short substrings
+("grams", 1 to ``GRAM`` characters). A title that contains the query contains each of the query's grams
+of ``min(GRAM, len)`` characters, so joining on one of them (the rarest) loses no match.
 """
 
 from __future__ import annotations
@@ -20,14 +11,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions.text import normalise_apostrophe
-from lodestar.session import materialize
 
 # Fixed values of the searches.
 GRAM = 3
 SEARCH_SHOWN = 5
-FUZZY_TOP = 10
-# Edits looked for in the first round of a fuzzy search.
-FUZZY_FIRST_DISTANCE = 3
 
 
 def substring_grams(strings: DataFrame, key: str | list[str], text: str, max_len: int = GRAM) -> DataFrame:
@@ -80,67 +67,3 @@ def first_n(matches: DataFrame, n: int = SEARCH_SHOWN) -> DataFrame:
     return matches.withColumn("pos", F.row_number().over(w)).where(F.col("pos") <= n).withColumn(
         "pos", F.col("pos").cast("long")
     )
-
-
-def fuzzy_title_search(
-    titles: DataFrame,
-    requests: DataFrame,
-    first_distance: int = FUZZY_FIRST_DISTANCE,
-    top: int = FUZZY_TOP,
-    max_distance: int | None = None,
-) -> DataFrame:
-    """Per request the ``top`` primary titles by (edit distance, idx), whatever the distance
-    (unit costs, lower-cased, code points).
-
-    Rounds: titles within ``first_distance`` are complete for the requests that have ``top`` of them; the
-    other requests look twice as far, and so on, until a distance no pair can exceed. With ``max_distance``
-    titles beyond that are left out. Output: request_id, rank, idx, title, distance.
-    """
-    t = materialize(titles.select("idx", "title", F.lower(F.col("title")).alias("lt")).where(F.col("lt").isNotNull()).withColumn("tlen", F.length("lt")))
-    # grams keyed by (idx, tlen): the join below matches a piece and a compatible length at once
-    grams = materialize(substring_grams(t, ["idx", "tlen"], "lt"))
-    left = requests.select("request_id", F.lower(F.col("query")).alias("q")).where(F.col("q").isNotNull()).withColumn("m", F.length("q"))
-    longest = max(left.agg(F.max("m")).first()[0] or 0, t.agg(F.max("tlen")).first()[0] or 0)
-    limit = longest if max_distance is None else min(longest, max_distance)
-    done, k = [], min(first_distance, limit)
-    while True:
-        ranked = materialize(_titles_within(t, grams, left, k, top))
-        if k >= limit:
-            done.append(ranked)
-            break
-        full = ranked.where(F.col("rank") == top).select("request_id")
-        done.append(ranked.join(full, "request_id", "left_semi"))
-        left = materialize(left.join(full, "request_id", "left_anti"))
-        if left.isEmpty():
-            break
-        k = min(2 * k, limit) if k else min(1, limit)
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out.select("request_id", F.col("rank").cast("long").alias("rank"), "idx", "title", F.col("distance").cast("long").alias("distance"))
-
-
-def _titles_within(t: DataFrame, grams: DataFrame, req: DataFrame, k: int, top: int) -> DataFrame:
-    """The ``top`` titles of each request among those within ``k`` edits."""
-    req = req.withColumn("plen", F.least(F.lit(GRAM), F.floor(F.col("m") / F.lit(k + 1)).cast("int")))
-    pieces = req.where(F.col("plen") >= 1).select(
-        "request_id", "q", "m",
-        F.col("plen").alias("glen"),
-        F.explode(F.sequence(F.lit(0), F.lit(k))).alias("_i"),
-    ).withColumn("gram", F.substring(F.col("q"), F.col("_i") * F.col("glen") + 1, F.col("glen")))
-    # |len(title) - len(query)| <= k is necessary for distance <= k
-    pieces = pieces.select(
-        "request_id", "q", "glen", "gram",
-        F.explode(F.sequence(F.greatest(F.col("m") - k, F.lit(1)), F.col("m") + k)).alias("tlen"),
-    ).distinct()
-    by_piece = pieces.join(grams, ["glen", "gram", "tlen"]).select("request_id", "q", "idx")
-    short = req.where(F.col("plen") < 1).select(
-        "request_id", "q", F.explode(F.sequence(F.greatest(F.col("m") - k, F.lit(0)), F.col("m") + F.lit(k))).alias("tlen")
-    )
-    by_len = short.join(t.select("idx", "tlen"), "tlen").select("request_id", "q", "idx")
-    cand = by_piece.unionByName(by_len).distinct().join(t.drop("tlen"), "idx")
-    scored = cand.select(
-        "request_id", "idx", "title", F.levenshtein(F.col("q"), F.col("lt"), k).alias("distance")
-    ).where(F.col("distance") >= 0)
-    w = Window.partitionBy("request_id").orderBy(F.col("distance").asc(), F.col("idx").asc())
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)

@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions.text import tag_tokens
-from lodestar.session import broadcast_if_small
+from lodestar.session import bounded_rows, broadcast_if_small, materialize
 
 # Fixed values of the tag vocabulary.
 NUM_TAGS = 235
 MIN_TAG_DF = 0.005
 MAX_TAG_DF = 0.95
+# Tags that are held against a row as one array.
+ARRAY_TAGS = 2000
 
 
 def combine_corpora(seeds: DataFrame, works: DataFrame) -> DataFrame:
@@ -56,13 +58,18 @@ def tag_vocabulary(tag_df: DataFrame, num_tags: int = NUM_TAGS) -> DataFrame:
     )
 
 
-def restrict_to_vocab(works: DataFrame, vocab: DataFrame) -> DataFrame:
+def restrict_to_vocab(works: DataFrame, vocab: DataFrame, array_rows: int = ARRAY_TAGS) -> DataFrame:
     """Works with at least one lower-cased tag in the vocabulary, all of which counts.
 
-    The tags of each work are exploded beside its id and semi-joined to the vocabulary (sent to the tasks
-    when its measured size allows); the ids that are left select the works.
+    A vocabulary of a measured ``array_rows`` tags or fewer is one array that each row's tags are held against, so the works
+    stay where they are. Beyond it the tags of each work are exploded beside its id and semi-joined to the vocabulary, and the ids
+    that are left select the works.
     """
-    words, _ = broadcast_if_small(vocab.select("tag").distinct())
-    tags = works.select("id", F.explode(F.array_distinct(F.transform("tags", lambda t: F.lower(t)))).alias("tag"))
-    kept = tags.join(words, "tag", "left_semi").select("id").distinct()
+    words = materialize(vocab.select("tag").distinct())
+    lower = F.transform("tags", lambda t: F.lower(t))
+    if bounded_rows(words, array_rows):
+        known = words.agg(F.collect_set("tag").alias("tags")).scalar()
+        return works.where(F.arrays_overlap(lower, known))
+    words, _ = broadcast_if_small(words)
+    kept = works.select("id", F.explode(F.array_distinct(lower)).alias("tag")).join(words, "tag", "left_semi").select("id").distinct()
     return works.join(kept, "id", "left_semi")

@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions.text import default_stop_words
+from lodestar.operators import fuzzy as FZ
 from lodestar.operators import rank as R
 from lodestar.operators import search as S
 from lodestar.operators import tags as T
 from lodestar.operators import tfidf as TF
 from lodestar.operators.index import build_index, query_terms
 from lodestar.operators.similarity import KEYWORDS, TOP_K, similar_documents
+from lodestar.session import materialize
 from lodestar.sources import views
 
 
@@ -61,7 +63,7 @@ def build_recommendations(
 
     Returns the bundle tables: recs, works_dim (with popularity), seeds_dim, tag_vocab.
     """
-    vocab = tag_vocabulary(seeds, works, num_tags, stop_words)
+    vocab = materialize(tag_vocabulary(seeds, works, num_tags, stop_words))
     kept = T.restrict_to_vocab(works, vocab)
     recs = top_similar(kept, seeds, k, n_keywords, stop_words)
     works_dim = kept.withColumn("popularity", views.popularity(F.col("hits"), F.col("kudos"), F.col("chapters")))
@@ -129,9 +131,9 @@ def title_search(titles: DataFrame, requests: DataFrame) -> DataFrame:
     return S.title_search(titles, requests)
 
 
-def fuzzy_title_search(titles: DataFrame, requests: DataFrame, top: int = S.FUZZY_TOP) -> DataFrame:
+def fuzzy_title_search(titles: DataFrame, requests: DataFrame, top: int = FZ.FUZZY_TOP) -> DataFrame:
     """E9."""
-    return S.fuzzy_title_search(titles, requests, top=top)
+    return FZ.fuzzy_title_search(titles, requests, top=top)
 
 
 def cross_corpus_nearest(seeds: DataFrame, works: DataFrame, stop_words: Sequence[str] | None = None, k: int = 1) -> DataFrame:
@@ -175,7 +177,7 @@ def description_search(
     model, vecs = TF.fit_transform(seeds)
     X = vecs.select("doc_id", "term", F.col("weight").alias("w"))
     svd = L.fit(X, k, passes=passes, seed=seed)
-    docs = L.transform(svd, X)
+    docs = svd.doc_vectors  # the fitted documents are already projected
     qx = _tfidf_rows(model, requests, "request_id", "input_text")
     qv = L.transform(svd, qx)
     zero = F.array_repeat(F.lit(0.0), svd.k)

@@ -8,7 +8,9 @@ import pytest
 
 from lodestar.operators import lsa as L
 from lodestar.operators.dense import centroids, dense_cosine_topk
-from lodestar.operators.search import first_n, fuzzy_title_search, title_search
+from lodestar.operators import fuzzy
+from lodestar.operators.fuzzy import fuzzy_title_search
+from lodestar.operators.search import first_n, title_search
 
 
 def lev(a, b):
@@ -76,6 +78,27 @@ def test_fuzzy_matches_brute_force(spark, k):
         assert [(i, d) for _, i, d in sorted(got.get(q, []))] == [(i, d) for d, i in want], q
 
 
+def test_fuzzy_far_requests_compare_few_titles(spark):
+    """Requests far from every title: their answers are those of brute force, from under a twentieth of all pairs."""
+    rnd = random.Random(3)
+    words = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(3, 9))) for _ in range(400)]
+    names = sorted({" ".join(rnd.choice(words) for _ in range(rnd.randint(1, 8))) for _ in range(3000)})
+    rnd.shuffle(names)
+    names += names[:500]  # equal titles
+    t = spark.createDataFrame([(i, n.title()) for i, n in enumerate(names)], "idx long, title string")
+    far = ["#7-99 xq", "0123456789", "zzzzzzzz", "qqq vvv qqq vvv", "", "é漢字", "ab"]
+    reqs = spark.createDataFrame([(q, q) for q in far], "request_id string, query string")
+    got = {}
+    for r in fuzzy_title_search(t, reqs, top=10).collect():
+        got.setdefault(r["request_id"], []).append((r["distance"], r["idx"]))
+    for q in far:
+        assert sorted(got[q]) == sorted((lev(q, n), i) for i, n in enumerate(names))[:10], q
+    table, queries = fuzzy.TitleTable(t, 10), fuzzy.queries_of(reqs)
+    wide = queries.join(fuzzy.radii(table, queries), "q").withColumnRenamed("radius", "k")
+    pairs = fuzzy.compared(fuzzy.bounded(table, wide), 10).groupBy("q").count().collect()
+    assert max(r["count"] for r in pairs) < 0.05 * len(names)
+
+
 def test_fuzzy_ranks_every_title(spark):
     """Ten answers whatever the distance: near and far requests, and fewer titles than answers."""
     rnd = random.Random(9)
