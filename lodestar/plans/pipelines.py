@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions.text import default_stop_words
+from lodestar.operators import blockmax
 from lodestar.operators import fuzzy as FZ
 from lodestar.operators import rank as R
 from lodestar.operators import search as S
@@ -33,10 +34,15 @@ def top_similar(
     min_df: int = 10,
     max_df_ratio: float = 0.95,
 ) -> DataFrame:
-    """Minimum slice: T1 -> A1-A6 -> J1/A7/J2 -> K1 -> K2 on (works, seeds)."""
+    """Minimum slice: T1 -> A1-A6 -> J1/A7/J2 -> K1 -> K2 on (works, seeds).
+
+    ``strategy``: those of ``similarity.term_matches``, or ``block_max`` (postings that cannot matter are not scored).
+    """
     sw = stop_list(stop_words)
     index = build_index(works, "id", "description", stop_words=sw, min_df=min_df, max_df_ratio=max_df_ratio)
     qterms = query_terms(seeds, index.idf, "id", "description", stop_words=sw)
+    if strategy == "block_max":
+        return blockmax.similar_documents(index, qterms, k, n_keywords)
     return similar_documents(index, qterms, k, n_keywords, strategy=strategy)
 
 

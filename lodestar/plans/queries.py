@@ -190,6 +190,12 @@ def top50_term_shuffle(spark, sf_dir):
     return P.top50_per_seed(spark, sf_dir, strategy="term_shuffle").select(*RECS_COLS)
 
 
+@register("top50_block_max")
+def top50_block_max(spark, sf_dir):
+    """Same result as the flagship with postings passed over by the bounds of their terms and blocks."""
+    return P.top50_per_seed(spark, sf_dir, strategy="block_max").select(*RECS_COLS)
+
+
 @register("top5_keywords")
 def top5_keywords_q(spark, sf_dir):
     return P.top50_per_seed(spark, sf_dir).select("seed_id", "doc_id", "keywords")

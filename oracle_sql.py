@@ -205,6 +205,7 @@ WHERE rank <= 50"""
 QUERIES["top50_per_seed"] = _with(WORKS, SEEDS, INDEX, QUERY_SIDE) + "SELECT seed_id, doc_id, rank, score, keywords FROM recs"
 
 QUERIES["top50_term_shuffle"] = QUERIES["top50_per_seed"]
+QUERIES["top50_block_max"] = QUERIES["top50_per_seed"]
 
 QUERIES["top5_keywords"] = _with(WORKS, SEEDS, INDEX, QUERY_SIDE) + "SELECT seed_id, doc_id, keywords FROM recs"
 

@@ -189,3 +189,41 @@ def test_no_exchange_between_join_and_sum(spark):
     _, _, d, q = _small(spark)
     plan = P.cross_corpus_nearest(q, d, stop_words=[])._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(doc_id" not in plan.split("InMemoryTableScan")[0]
+
+
+def skewed_corpus(seed, n, vocabulary=300):
+    """Words by a Zipf-like law, so that a few are in most documents."""
+    rnd = random.Random(seed)
+    words = [f"z{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}" for i in range(vocabulary)]
+    weights = [1 / (i + 1) for i in range(vocabulary)]
+    return [" ".join(rnd.choices(words, weights, k=rnd.randint(10, 60))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("broadcast_rows", [10**6, 0])
+def test_block_max_gives_the_same_rows_from_fewer_postings(spark, broadcast_rows):
+    from lodestar.operators import blockmax
+
+    docs, queries = skewed_corpus(1, 900), skewed_corpus(2, 12)
+    docs[100:130] = [docs[0]] * 30  # ties
+    d = spark.createDataFrame(list(enumerate(docs)), "id long, description string")
+    q = spark.createDataFrame([*enumerate(queries), (90, ""), (91, "unknown words")], "id long, description string")
+    idx = I.build_index(d, stop_words=None, min_df=2, max_df_ratio=0.95)
+    qt = I.query_terms(q, idx.idf)
+    for k in (1, 50) if broadcast_rows else (5,):
+        want = sorted((r["seed_id"], r["rank"], r["doc_id"], r["score"], r["keywords"]) for r in SIM.similar_documents(idx, qt, k).collect())
+        got = blockmax.similar_documents(idx, qt, k, broadcast_rows=broadcast_rows, block_docs=16)
+        assert sorted((r["seed_id"], r["rank"], r["doc_id"], r["score"], r["keywords"]) for r in got.collect()) == want
+    work = blockmax.survivors(idx, qt, 5, block_docs=16, broadcast_rows=broadcast_rows).work.first()
+    assert work["first"] + work["essential"] + work["rest"] < 0.7 * work["every"], work
+
+
+def test_block_max_with_fewer_documents_than_asked(spark):
+    from lodestar.operators import blockmax
+
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(["aa bb", "aa cc", "bb cc dd", "dd"])], "id long, description string")
+    q = spark.createDataFrame([(0, "aa bb"), (1, "dd")], "id long, description string")
+    idx = I.build_index(d, stop_words=None, min_df=1, max_df_ratio=1.0)
+    qt = I.query_terms(q, idx.idf)
+    key = lambda df: sorted(tuple(r) for r in df.select("seed_id", "rank", "doc_id", "score", "keywords").collect())
+    assert key(blockmax.similar_documents(idx, qt, 50)) == key(SIM.similar_documents(idx, qt, 50)) != []
+    assert blockmax.similar_documents(idx, qt.limit(0), 50).count() == 0
