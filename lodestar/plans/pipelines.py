@@ -253,6 +253,23 @@ def tag_svd(seeds: DataFrame, works: DataFrame, k: int = 235, passes: int = 5, s
     return model, model.components, model.doc_vectors
 
 
+def tag_svd_exact(seeds: DataFrame, works: DataFrame, k: int = 235, tolerance: float = 1e-8) -> tuple[DataFrame, DataFrame]:
+    """M6 to a tolerance: the works x tags matrix and its residual table (rank, sigma, residual, orthogonality)."""
+    from lodestar.operators import lanczos
+
+    X = materialize(tag_matrix(seeds, works))
+    return X, lanczos.residual_table(X, lanczos.fit_exact(X, k, tolerance))
+
+
+def singular_triplets(seeds: DataFrame, k: int = 50, tolerance: float = 1e-8) -> DataFrame:
+    """M2 / M7 to a tolerance: (rank, sigma, residual, orthogonality) of the seed TF-IDF matrix."""
+    from lodestar.operators import lanczos
+
+    _, vecs = TF.fit_transform(seeds)
+    X = materialize(vecs.select("doc_id", "term", F.col("weight").alias("w")))
+    return lanczos.residual_table(X, lanczos.fit_exact(X, k, tolerance))
+
+
 def singular_spectrum(seeds: DataFrame, k: int = 50, passes: int = 5, seed: int = 0) -> DataFrame:
     """M7: (rank, sigma, energy = sigma^2 / ||X||_F^2) of the seed TF-IDF matrix."""
     from lodestar.operators import lsa as L

