@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lodestar.llm.store import bounded_batches, stored
+from lodestar.llm.worker import kept, let_go
 from lodestar.llm.words import slices
 
 #: Token ends in a piece of the merge.
@@ -251,15 +252,8 @@ def key_type(a: Tokens, b: Tokens) -> str:
     return "<u4" if len(a.bytes) * len(b.bytes) <= 2**32 else "<u8"
 
 
-_LOADED: dict[tuple, Encoder] = {}
-
-
 def _loaded(vocab_a: bytes, vocab_b: bytes) -> Encoder:
-    key = (hash(vocab_a), hash(vocab_b))
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = Encoder(Tokens("bpe", vocab_a), Tokens("piece", vocab_b))
-    return _LOADED[key]
+    return kept(("align", hash(vocab_a), hash(vocab_b)), lambda: Encoder(Tokens("bpe", vocab_a), Tokens("piece", vocab_b)))
 
 
 def _flat(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -395,6 +389,7 @@ def pair_counts(found: DataFrame, kind: str) -> DataFrame:
     Batches are counted before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for part, packed in slices(batch, batch.column("pairs"), 16 << 20):
                 keys = np.frombuffer(b"".join(packed.to_pylist()), kind).astype(np.int64)
@@ -442,6 +437,7 @@ def token_alignment(docs: DataFrame, vocab_a: str, vocab_b: str, text_col: str =
     known = spark.sparkContext.broadcast(tuple(table[c].to_numpy()[order] for c in ("pair", "n", "best")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         pair, n, top = known.value
         for batch in batches:
             for part, packed in slices(batch, batch.column("pairs"), 16 << 20):

@@ -28,9 +28,10 @@ from pyspark.sql.types import StructType
 
 from lodestar.llm.split import Pieces, splitter
 from lodestar.llm.store import bounded_batches
+from lodestar.llm.worker import kept
 
 #: Transducer states (some 0.7 KB each), neighbour checks and pieces kept by a Python worker before it starts anew.
-MAX_STATES, MAX_PAIRS, MAX_PIECES = 250_000, 400_000, 400_000
+MAX_STATES, MAX_PAIRS, MAX_PIECES = 200_000, 300_000, 250_000
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -213,16 +214,9 @@ class StreamDecoder:
         return rest
 
 
-_LOADED: dict[tuple, Encoder] = {}
-
-
 def _encoder(data: bytes, pattern: str) -> Encoder:
     """One encoder for each Python worker and vocabulary."""
-    key = (hashlib.sha256(data).digest(), pattern)
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = Encoder(read_ranks(data), pattern)
-    return _LOADED[key]
+    return kept(("bpe", hashlib.sha256(data).digest(), pattern), lambda: Encoder(read_ranks(data), pattern))
 
 
 def vocabulary(path: str) -> bytes:

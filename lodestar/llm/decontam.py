@@ -26,6 +26,7 @@ from pyspark.sql.types import StructType
 
 from lodestar.llm.store import NULL_ORDER, bounded_batches
 from lodestar.llm.words import Powers, mix64, slices
+from lodestar.llm.worker import let_go
 
 #: Words that a match has at least: so many equal words in a row, or their score. Items of fewer words are matched by documents of
 #: just these words.
@@ -333,6 +334,7 @@ def document_counts(docs: DataFrame, block: Block, text_col: str = "text") -> di
     shared = docs.sparkSession.sparkContext.broadcast(np.unique(block.seed))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         wanted = shared.value
         found, front = np.zeros(len(wanted), np.int64), _front(wanted)
         for batch in batches if len(wanted) else ():
@@ -372,6 +374,7 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, id_col: str = "item_id"
 
 def _aligned(shared, at: int, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         seeds = shared.value
         seeds.prepare()
         kind = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("end_word", pa.int32())]))

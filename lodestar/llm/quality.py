@@ -21,6 +21,7 @@ from pyspark.sql.types import StructType
 
 from lodestar.llm.sample import labelled_sample
 from lodestar.llm.store import bounded_batches
+from lodestar.llm.worker import let_go
 
 #: Labelled documents of each class that the field is fitted on, at most.
 PER_CLASS = 2500
@@ -212,6 +213,7 @@ def score(docs: DataFrame, field: Field, text_col: str = "text") -> DataFrame:
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         model = shared.value
         for batch in batches:
             row = batch.column(0)

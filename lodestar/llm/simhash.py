@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from lodestar.llm.graph import connected_components
 from lodestar.llm.store import NULL_ORDER, bounded_batches, row_order, stored
+from lodestar.llm.worker import let_go
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -51,6 +52,7 @@ def with_fingerprint(docs: DataFrame, text_col: str = "text", shingle_words: int
     """``row`` (the input's columns as a struct) and ``fp``, the fingerprint as a long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             fps = np.array([fingerprint(t.as_py(), shingle_words) for t in batch.column(1)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["row", "fp"])

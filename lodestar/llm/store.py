@@ -12,8 +12,8 @@ from lodestar.session import ensure_checkpoint_dir
 
 #: Order given to a null document id: after every real one.
 NULL_ORDER = 2**63 - 1
-#: Documents in an Arrow batch.
-BATCH_ROWS = 1000
+#: Documents in an Arrow batch, and bytes from which it is closed.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -47,10 +47,13 @@ def drop_stored(df: DataFrame) -> None:
 
 def bounded_batches(df: DataFrame) -> None:
     """Rows go to Python workers at most ``BATCH_ROWS`` at a time in this session: texts can be long, and a batch
-    is held by the executor and its worker at once. A smaller setting stays."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(df.sparkSession.conf.get(key)) <= BATCH_ROWS:
-        df.sparkSession.conf.set(key, str(BATCH_ROWS))
+    is held by the executor and its worker at once. So do the bytes of a batch. Smaller settings stay."""
+    conf = df.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = conf.get(key).lower()
+        size = int(now.rstrip("bkmgi")) << {"k": 10, "m": 20, "g": 30}.get(now.strip("0123456789-")[:1], 0)
+        if not 0 < size <= most:
+            conf.set(key, str(most))
 
 
 def row_order(id_col: str) -> Column:

@@ -28,6 +28,7 @@ from pyspark.sql.types import StructType
 
 from lodestar.llm.store import bounded_batches, drop_stored, row_order, stored
 from lodestar.llm.words import Words, row_of, slices, span_hashes, window_hashes
+from lodestar.llm.worker import let_go
 
 MIN_WORDS = 50
 _TOP = np.uint64(2**64 - 1)
@@ -72,6 +73,7 @@ def _profile(min_words: int):
     """Per document: word count, 128-bit id of the word sequence, chosen half windows and their places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for part, texts in slices(batch, batch.column(2)):
                 words = Words(texts)
@@ -96,6 +98,7 @@ def _candidates(min_words: int):
     """Full windows whose own half window repeats: (w1, w2, ord, text_key, place)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for part, texts in slices(batch, batch.column(2)):
                 words = Words(texts)

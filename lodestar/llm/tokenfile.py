@@ -29,6 +29,7 @@ from pyspark.sql.types import StructType
 
 from lodestar.llm.split import Pieces, splitter
 from lodestar.llm.store import bounded_batches, row_order
+from lodestar.llm.worker import kept
 
 # Fixed values of the seekable format.
 SKIPPABLE_MAGIC = 0x184D2A5E
@@ -133,14 +134,8 @@ class WordIds:
         return self.pieces.of(self.find(text.lower()))
 
 
-_LOADED: dict[str, WordIds] = {}
-
-
 def _word_ids(config: str) -> WordIds:
-    if config not in _LOADED:
-        _LOADED.clear()
-        _LOADED[config] = WordIds(config)
-    return _LOADED[config]
+    return kept(("word-ids", hash(config)), lambda: WordIds(config))
 
 
 def _store(path: str) -> tuple[fs.FileSystem, str]:

@@ -21,6 +21,7 @@ from pyspark.sql.types import StructType
 
 from lodestar.llm.sample import labelled_sample
 from lodestar.llm.store import bounded_batches
+from lodestar.llm.worker import let_go
 
 HASH_BITS = 18
 FACTORS = 8
@@ -177,6 +178,7 @@ def fit_machine(docs: DataFrame, labels: DataFrame, label: str, fit_on: Column,
     """Fit on a bounded sample of labelled documents; classes are weighted back to their share of all labels."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         terms = Terms()
         for batch in batches:
             got = [terms.of(t.as_py()) for t in batch.column(1)]
@@ -204,6 +206,7 @@ def score(docs: DataFrame, machine: Machine, text_col: str = "text") -> DataFram
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         terms, model = Terms(), shared.value
         for batch in batches:
             row = batch.column(0)

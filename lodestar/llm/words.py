@@ -40,7 +40,7 @@ class Powers:
             m = max(n, 1 << 16)
             grow = lambda b: np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(m - 1, b, np.uint64))])
             up, down = grow(self.base), grow(self.inverse)
-            if m > 1 << 23:  # one very long text: not kept
+            if m > 1 << 21:  # one very long text: not kept
                 return up, down
             self.up, self.down = up, down
         return self.up, self.down
