@@ -25,6 +25,8 @@ from lodestar.llm.worker import let_go
 
 #: Labelled documents of each class that the field is fitted on, at most.
 PER_CLASS = 2500
+#: Lines of each class's documents, at most; a document of a fiftieth of that is not in the sample.
+SAMPLE_LINES = 300_000
 #: Lines in a training chain, at most: longer documents give several chains.
 CHAIN = 64
 _SYMBOLS = str.maketrans("", "", "#*$%&|<>{}[]~^=_@\\/")
@@ -186,7 +188,8 @@ def _expected(own: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def fit_field(docs: DataFrame, labels: DataFrame, label: str, fit_on: Column, per_class: int = PER_CLASS, id_col: str = "doc_id", text_col: str = "text") -> Field:
-    """Fit on a bounded sample of labelled documents; classes are weighted back to their share of all labels."""
+    """Fit on a bounded sample of labelled documents (``PER_CLASS`` and ``SAMPLE_LINES``); classes are weighted back to their share of
+    all labels."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,7 +197,7 @@ def fit_field(docs: DataFrame, labels: DataFrame, label: str, fit_on: Column, pe
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f.tobytes() for f in made], pa.binary())], names=["label", "features"])
 
     bounded_batches(docs)
-    sample, counts = labelled_sample(docs, labels, label, fit_on, per_class, id_col, text_col)
+    sample, counts = labelled_sample(docs, labels, label, fit_on, per_class, id_col, text_col, F.size(F.split(F.col(text_col), "\n")), SAMPLE_LINES)
     width = line_features("")[0].shape[1]
     found = sample.mapInArrow(run, "label int, features binary").collect()
     rows = [(r["label"], np.frombuffer(r["features"], np.float32).reshape(-1, width).astype(np.float64)) for r in found]

@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,6 +27,8 @@ HASH_BITS = 18
 FACTORS = 8
 #: Labelled documents of each class that the model is fitted on, at most.
 PER_CLASS = 3000
+#: Characters of each class's documents, at most; a document of a fiftieth of that is not in the sample.
+SAMPLE_CHARS = 32_000_000
 STARTS = (4, 6)
 #: Standard errors more that a pair of terms must tell the classes apart by than a term: there are many more pairs.
 PAIR_STRENGTH = 3
@@ -87,8 +89,45 @@ def _apart(found: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.abs(found[1] / size[1] - found[0] / size[0]) / spread
 
 
-def _telling(rows: list[tuple[int, np.ndarray, np.ndarray]], bits: int, least: int, strength: float) -> np.ndarray:
-    """Terms that tell the classes apart, by themselves or by a pair that they make with another."""
+class _Pairs:
+    """Which of the terms that could make a telling pair are in each row of the sample, and in how many rows of each class."""
+
+    def __init__(self, rows: list[tuple[int, np.ndarray, np.ndarray]], able: np.ndarray, found: np.ndarray, size: np.ndarray, least: int, strength: float) -> None:
+        column = np.full(found.shape[1], -1, np.int32)
+        column[able] = np.arange(len(able))
+        own = [[t[t >= 0] for label, terms, _ in rows if label == c for t in (column[terms],)] for c in (0, 1)]
+        self.columns = [np.concatenate([np.zeros(0, np.int32), *o]) for o in own]
+        self.row = [np.repeat(np.arange(len(o)), [len(t) for t in o]) for o in own]
+        self.able, self.found, self.size, self.least, self.strength = able, found[:, able], size, least, strength
+
+    def _there(self, label: int, lo: int, hi: int) -> np.ndarray:
+        out = np.zeros((self.size[label], hi - lo), np.float32)
+        here = (self.columns[label] >= lo) & (self.columns[label] < hi)
+        out[self.row[label][here], self.columns[label][here] - lo] = 1
+        return out
+
+    def telling(self, block: int) -> np.ndarray:
+        """Terms of a block of ``PAIR_BLOCK`` that tell the classes apart beside some other term; pairs are counted a block at a time."""
+        lo, n = block * PAIR_BLOCK, len(self.able)
+        hi = min(lo + PAIR_BLOCK, n)
+        mine = [self._there(c, lo, hi) for c in (0, 1)]
+        tell = np.zeros(hi - lo, bool)
+        for at in range(0, n, PAIR_BLOCK):
+            to = min(at + PAIR_BLOCK, n)
+            both = np.stack([mine[c].T @ self._there(c, at, to) for c in (0, 1)])
+            paired = (both.sum(axis=0) >= self.least) & (_apart(both, self.size) >= self.strength + PAIR_STRENGTH)
+            i, j = np.nonzero(paired)
+            i, j = i[lo + i != at + j], j[lo + i != at + j]
+            ok = np.ones(len(i), bool)
+            # among the rows of either term the other must tell, else one of them does all the telling
+            for one in (lo + i, at + j):
+                ok &= _apart(both[:, i, j], self.found[:, one]) >= self.strength
+            tell[i[ok]] = True
+        return self.able[lo:hi][tell]
+
+
+def _telling(rows: list[tuple[int, np.ndarray, np.ndarray]], bits: int, least: int, strength: float, each: Callable) -> np.ndarray:
+    """Terms that tell the classes apart, by themselves or by a pair that they make with another. ``each(fn, n)`` gives fn(0) to fn(n - 1)."""
     found, size = np.zeros((2, 1 << bits)), np.bincount([r[0] for r in rows], minlength=2)
     for label, terms, _ in rows:
         found[label, terms] += 1
@@ -97,39 +136,21 @@ def _telling(rows: list[tuple[int, np.ndarray, np.ndarray]], bits: int, least: i
     # a pair is in no more rows than either term, and tells most if in all of one class's and none of the other's
     alone = np.maximum(*(_apart(np.where(np.arange(2)[:, None] == c, found, 0), size) for c in (0, 1)))
     able = np.flatnonzero((seen >= least) & (alone >= strength + PAIR_STRENGTH))
-    column = np.full(1 << bits, -1, np.int32)
-    column[able] = np.arange(len(able))
-    there = [np.zeros((size[c], len(able)), np.uint8) for c in (0, 1)]
-    at = [0, 0]
-    for label, terms, _ in rows:
-        own = column[terms]
-        there[label][at[label], own[own >= 0]] = 1
-        at[label] += 1
-    for lo in range(0, len(able), PAIR_BLOCK):
-        both = np.zeros((2, min(PAIR_BLOCK, len(able) - lo), len(able)), np.float32)
-        for label in (0, 1):
-            for k in range(0, size[label], 1024):
-                part = there[label][k : k + 1024].astype(np.float32)
-                both[label] += part[:, lo : lo + PAIR_BLOCK].T @ part
-        paired = (both.sum(axis=0) >= least) & (_apart(both, size) >= strength + PAIR_STRENGTH)
-        paired[np.arange(len(paired)), lo + np.arange(len(paired))] = False
-        # among the rows of either term the other must tell, else one of them does all the telling
-        i, j = np.nonzero(paired)
-        for one in (able[lo + i], able[j]):
-            paired[i, j] &= _apart(both[:, i, j], found[:, one]) >= strength
-        telling[able[lo : lo + PAIR_BLOCK][paired.any(axis=1)]] = True
+    pairs = _Pairs(rows, able, found, size, least, strength)
+    for terms in each(pairs.telling, -(-len(able) // PAIR_BLOCK)):
+        telling[terms] = True
     return np.flatnonzero(telling)
 
 
-def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], weight: dict[int, float], bits: int = HASH_BITS, factors: int = FACTORS, epochs: int = 10, least: int = 5, strength: float = 4.0, rate: float = 0.3, decay: float = 1e-5) -> Machine:
+def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], weight: dict[int, float], bits: int = HASH_BITS, factors: int = FACTORS, epochs: int = 10, least: int = 5, strength: float = 4.0, rate: float = 0.3, decay: float = 1e-5, each: Callable = lambda fn, n: map(fn, range(n))) -> Machine:
     """Fit by AdaGrad on the log loss. ``rows``: label, terms, values; ``weight``: of a row of each class.
 
     Terms are kept that are in ``least`` rows or more and whose shares of the two classes' rows differ by
     ``strength`` standard errors or more, or that make such a pair (by ``PAIR_STRENGTH`` more) with any other term,
     however frequent, each telling by ``strength`` among the rows of the other; the rest, nearly all, only fits noise. Without rows of both classes the score is the
-    share of class 1, or one half without rows.
+    share of class 1, or one half without rows. ``each`` says where blocks of pairs are counted.
     """
-    kept = _telling(rows, bits, least, strength)
+    kept = _telling(rows, bits, least, strength, each)
     place = np.full(1 << bits, -1, np.int32)
     place[kept] = np.arange(len(kept))
     rng = np.random.default_rng(1)
@@ -175,7 +196,8 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], weight: dict[int, float]
 
 
 def fit_machine(docs: DataFrame, labels: DataFrame, label: str, fit_on: Column, per_class: int = PER_CLASS, id_col: str = "doc_id", text_col: str = "text") -> Machine:
-    """Fit on a bounded sample of labelled documents; classes are weighted back to their share of all labels."""
+    """Fit on a bounded sample of labelled documents (``PER_CLASS`` and ``SAMPLE_CHARS``); classes are weighted back to their share of
+    all labels. Pairs of terms are counted by Spark's tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
@@ -188,14 +210,28 @@ def fit_machine(docs: DataFrame, labels: DataFrame, label: str, fit_on: Column,
             )
 
     bounded_batches(docs)
-    sample, counts = labelled_sample(docs, labels, label, fit_on, per_class, id_col, text_col)
+    sample, counts = labelled_sample(docs, labels, label, fit_on, per_class, id_col, text_col, F.length(F.col(text_col)), SAMPLE_CHARS)
     found = sample.mapInArrow(run, "label int, terms binary, values binary").collect()
     rows = [(r["label"], np.frombuffer(r["terms"], np.int32), np.frombuffer(r["values"], np.float32)) for r in found]
     rows.sort(key=lambda r: (r[0], len(r[1]), r[1].tobytes()))  # whatever order the tasks ended in
     taken = Counter(r[0] for r in rows)
     whole, used = sum(counts.values()), len(rows)
     weight = {c: (counts.get(c, 0) / whole) / (taken[c] / used) if taken[c] else 1.0 for c in (0, 1)}
-    return fit(rows, weight)
+    spark = docs.sparkSession
+
+    def each(fn: Callable[[int], np.ndarray], n: int) -> list[np.ndarray]:
+        shared = spark.sparkContext.broadcast(fn)
+
+        def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for b in batch.column(0).to_pylist():
+                    yield pa.RecordBatch.from_arrays([pa.array(shared.value(b).astype(np.int64))], names=["term"])
+
+        if not n:
+            return []
+        return [spark.range(0, n, 1, n).mapInArrow(block, "term long").toArrow()["term"].to_numpy()]  # 2**18 terms at most
+
+    return fit(rows, weight, each=each)
 
 
 def score(docs: DataFrame, machine: Machine, text_col: str = "text") -> DataFrame:

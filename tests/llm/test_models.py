@@ -104,6 +104,65 @@ def test_sample_is_bounded_and_repeatable(spark):
     assert sum(counts.values()) == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(300))
 
 
+def test_sample_is_bounded_by_size(spark):
+    docs = spark.createDataFrame([(i, "x" * (10 if i % 5 else 400)) for i in range(300)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, mark int")
+    sample, counts = labelled_sample(docs, labels, "mark", F.lit(True), 100, size=F.length("text"), most=600)
+    got = sample.collect()
+    assert [sum(len(r["text"]) for r in got if r["label"] == c) for c in (0, 1)] == [600, 600]  # by tens, none of 400
+    assert counts == {0: 150, 1: 150}
+
+
+def test_machine_scores_by_its_pairs():
+    """The score is the bias, the linear weights and the sum over all pairs of terms, each worked out by itself; and the empty term
+    of the fit is a term like any other."""
+    rng = np.random.default_rng(9)
+    n, k = 40, 8
+    place = np.full(1 << 10, -1, np.int32)
+    kept = rng.choice(1 << 10, n, replace=False)
+    place[kept] = np.arange(n)
+    for trial in range(30):
+        w, v, bias = rng.normal(size=n + 1), rng.normal(size=(n + 1, k)) * 0.3, float(rng.normal())
+        terms = rng.choice(1 << 10, 200, replace=False) if trial else np.zeros(0, int)
+        values = rng.random(len(terms)) * 2
+        x = {int(place[t]): float(c) for t, c in zip(terms, values) if place[t] >= 0} | {n: 1.0}  # the empty term
+        z = bias + sum(w[i] * c for i, c in x.items())
+        z += sum(float(v[i] @ v[j]) * x[i] * x[j] for i in x for j in x if i < j)
+        machine = toxicity.Machine(place, bias + float(w[-1]), w[:-1] + v[:-1] @ v[-1], v[:-1])
+        assert abs(machine.score(terms, values) - 1 / (1 + np.exp(-z))) < 1e-9
+
+
+def test_pairs_are_counted_as_by_hand(monkeypatch):
+    """Blocks of any size find the terms that a count of every pair by itself finds."""
+    rng = np.random.default_rng(10)
+    rows = []
+    for i in range(400):
+        label = int(rng.random() < 0.5)
+        have = set(rng.choice(40, 12, replace=False).tolist())
+        if label and rng.random() < 0.6:
+            have |= {50, 51}
+        elif rng.random() < 0.5:
+            have.add(50 + int(rng.random() < 0.5))
+        rows.append((label, np.array(sorted(have)), np.ones(len(have))))
+    size = np.bincount([r[0] for r in rows], minlength=2)
+    found = np.zeros((2, 64))
+    for label, terms, _ in rows:
+        found[label, terms] += 1
+    able = np.flatnonzero(found.sum(0) >= 5)
+    apart = lambda f, s: float(toxicity._apart(np.array(f, float)[:, None], np.array(s, float)[:, None])[0])
+    want = set()
+    for i in able:
+        for j in able:
+            both = [sum(label == c and {i, j} <= set(t.tolist()) for label, t, _ in rows) for c in (0, 1)]
+            if i != j and sum(both) >= 5 and apart(both, size) >= 4 + toxicity.PAIR_STRENGTH and all(apart(both, found[:, k]) >= 4 for k in (i, j)):
+                want.add(int(i))
+    for block in (512, 7):
+        monkeypatch.setattr(toxicity, "PAIR_BLOCK", block)
+        pairs = toxicity._Pairs(rows, able, found, size, 5, 4.0)
+        got = {int(t) for b in range(-(-len(able) // block)) for t in pairs.telling(b)}
+        assert got == want and {50, 51} <= want
+
+
 def test_alignment_by_definition():
     rng = random.Random(11)
     for _ in range(30):
