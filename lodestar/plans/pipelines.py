@@ -159,10 +159,6 @@ def _both_sides(seeds: DataFrame, works: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- LSA
-def _tfidf_rows(model, docs: DataFrame, id_col: str = "id", text_col: str = "description") -> DataFrame:
-    return TF.transform(model, docs, id_col, text_col).select("doc_id", "term", F.col("weight").alias("w"))
-
-
 def description_search(
     seeds: DataFrame,
     requests: DataFrame,
@@ -171,30 +167,13 @@ def description_search(
     passes: int = 5,
     seed: int = 0,
 ) -> DataFrame:
-    """TF-IDF (vectoriser defaults) + truncated SVD fitted once on the seed descriptions;
-    each request text is projected and its ``top`` seeds by cosine in LSA space returned.
+    """E4 in one go: fit on the seed descriptions, then search for ``requests`` (request_id, input_text).
 
-    ``requests``: request_id, input_text. Output: request_id, rank, seed_id, title, descr, score.
-    A request with no known word projects to the zero vector (all scores 0).
+    To serve, fit once with ``sources.models.fit_descriptions``, save, load and call ``search_descriptions``.
     """
-    from lodestar.operators import lsa as L
-    from lodestar.operators.dense import dense_cosine_topk
+    from lodestar.sources.models import fit_descriptions, search_descriptions
 
-    model, vecs = TF.fit_transform(seeds)
-    X = vecs.select("doc_id", "term", F.col("weight").alias("w"))
-    svd = L.fit(X, k, passes=passes, seed=seed)
-    docs = svd.doc_vectors  # the fitted documents are already projected
-    qx = _tfidf_rows(model, requests, "request_id", "input_text")
-    qv = L.transform(svd, qx)
-    zero = F.array_repeat(F.lit(0.0), svd.k)
-    qv = requests.select(F.col("request_id").alias("doc_id")).join(qv, "doc_id", "left").select(
-        "doc_id", F.coalesce("vec", zero).alias("vec")
-    )
-    hits = dense_cosine_topk(qv, docs, top, "doc_id", "vec", "doc_id", "vec")
-    titles = seeds.select(F.col("id").alias("seed_id"), F.get(F.col("titles"), 0).alias("title"), F.col("description").alias("descr"))
-    return hits.select(F.col("query_id").alias("request_id"), "rank", F.col("doc_id").alias("seed_id"), "score").join(
-        titles, "seed_id"
-    ).select("request_id", "rank", "seed_id", "title", "descr", "score")
+    return search_descriptions(fit_descriptions(seeds, k, passes, seed), requests, top)
 
 
 def joint_lsa(

@@ -354,6 +354,37 @@ def description_search_q(spark, sf_dir):
     return P.description_search(views.seeds(spark, sf_dir), _description_requests(spark, sf_dir))
 
 
+def _saved_descriptions(spark, sf_dir):
+    """The description model, fitted, published and read back."""
+    from lodestar.sources import io, models
+
+    path = io.scratch_path(spark, "description-model")
+    models.save_descriptions(models.fit_descriptions(views.seeds(spark, sf_dir)), path)
+    return models.load_descriptions(spark, path)
+
+
+@register("description_search_saved")
+def description_search_saved_q(spark, sf_dir):
+    """E4 from the saved model."""
+    from lodestar.sources.models import search_descriptions
+
+    return search_descriptions(_saved_descriptions(spark, sf_dir), _description_requests(spark, sf_dir))
+
+
+@register("tfidf_fold_in")
+def tfidf_fold_in_q(spark, sf_dir):
+    """M1 / M3: requests weighted by a saved vocabulary that was fitted on the seeds; unknown words have no weight."""
+    from lodestar.sources.versions import Layout, current, publish, read_version
+    from lodestar.sources import io
+
+    path = io.scratch_path(spark, "vocabulary")
+    fitted = TF.fit(views.seeds(spark, sf_dir))
+    publish(spark, path, {"vocabulary": fitted.idf}, {"vocabulary": Layout(("term",))}, {"n_docs": fitted.n_docs})
+    saved = TF.TfidfModel(read_version(spark, path)["vocabulary"], current(spark, path).about["n_docs"], None)
+    rows = TF.transform(saved, _description_requests(spark, sf_dir), "request_id", "input_text")
+    return rows.select("doc_id", "term", _r(F.col("weight")).alias("weight"))
+
+
 @register("joint_lsa")
 def joint_lsa_q(spark, sf_dir):
     return P.joint_lsa(views.seeds(spark, sf_dir), views.works(spark, sf_dir))

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestar.session import ensure_checkpoint_dir
+from lodestar.session import ensure_checkpoint_dir, shuffle_partitions
+from lodestar.sources.versions import Layout, publish, read_version
 
 # A work record as stored in the JSON pages.
 WORK_SCHEMA = T.StructType([
@@ -42,8 +43,6 @@ SEED_SCHEMA = T.StructType([
     T.StructField("tags", T.ArrayType(T.StringType())),
 ])
 
-BUNDLE_TABLES = ("recs", "works_dim", "seeds_dim", "tag_vocab")
-
 
 def _read_pages(spark: SparkSession, paths: Sequence[str], schema: T.StructType, multiline: bool) -> DataFrame:
     """S3: all pages as one table (UNION ALL, duplicates kept), with ``page`` (position in
@@ -96,32 +95,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def write_bundle(bundle: dict[str, DataFrame], path: str) -> None:
-    """Persist the batch result. ``recs`` is clustered by seed and sorted by rank, so a
-    serving lookup by seed reads few row groups (min/max statistics on ``seed_id``)."""
-    for name, df in bundle.items():
-        out = df
-        if name == "recs":
-            out = df.repartitionByRange("seed_id").sortWithinPartitions("seed_id", "rank")
-        out.write.mode("overwrite").parquet(f"{path}/{name}")
+def write_bundle(bundle: dict[str, DataFrame], path: str, buckets: int | None = None) -> None:
+    """Publish the batch result as one version. ``recs`` is bucketed by seed and sorted by rank, so a lookup by seed opens
+    one bucket and the join with requests does not move it; readers see the old bundle until the new one is whole.
+    """
+    spark = next(iter(bundle.values())).sparkSession
+    layout = Layout(("seed_id",), ("seed_id", "rank"), buckets or shuffle_partitions(spark))
+    publish(spark, path, bundle, {"recs": layout} if "recs" in bundle else {})
 
 
 def read_bundle(spark: SparkSession, path: str, register_views: bool = False) -> dict[str, DataFrame]:
-    """Load a persisted bundle; optionally as temp views for SQL serving queries."""
-    out = {name: spark.read.parquet(f"{path}/{name}") for name in BUNDLE_TABLES if _exists(spark, f"{path}/{name}")}
+    """Load the published bundle; optionally as temp views for SQL serving queries."""
+    out = read_version(spark, path)
     if register_views:
         for name, df in out.items():
             df.createOrReplaceTempView(name)
     return out
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jpath)
-
-
 # Fixed values of the catalog table.
 TITLE_CHARS, DESCR_CHARS = 64, 1024
 

@@ -302,6 +302,15 @@ raw AS (
   FROM tf JOIN vocab v ON tf.term = v.term)
 SELECT doc_id, term, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 6) AS weight FROM raw"""
 
+QUERIES["tfidf_fold_in"] = _with(SEEDS) + f""",
+requests AS (
+  SELECT conv_id * 1000 + turn AS id, text AS description FROM conversations WHERE role = 'user'),
+fitted AS (SELECT term, count(*) AS df FROM {_tfidf_counts("seeds", False)} GROUP BY term),
+raw AS (
+  SELECT tf.doc_id, tf.term, tf.tf * (ln((1.0 + (SELECT count(*) FROM seeds)) / (1.0 + v.df)) + 1.0) AS raw
+  FROM {_tfidf_counts("requests", False)} tf JOIN fitted v ON tf.term = v.term)
+SELECT doc_id, term, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 6) AS weight FROM raw"""
+
 QUERIES["cross_corpus_nearest"] = _with(WORKS, SEEDS) + f""",
 both_docs AS (
   SELECT 's' || CAST(id AS VARCHAR) AS id, description FROM seeds

@@ -12,7 +12,7 @@ from lodestar.operators.rank import seed_lookup
 from lodestar.sources import io
 from lodestar.sources.keyed import keyed_load_last_wins
 
-ROWS_ONLY = {"description_search", "joint_lsa", "tag_svd", "tag_svd_works", "singular_spectrum"}
+ROWS_ONLY = {"description_search", "description_search_saved", "joint_lsa", "tag_svd", "tag_svd_works", "singular_spectrum"}
 
 
 def test_entry_runs(spark):
