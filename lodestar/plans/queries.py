@@ -289,6 +289,19 @@ def title_search_top5_q(spark, sf_dir):
     return out.select(F.col("request_id").alias("query"), "title", "idx", "pos")
 
 
+@register("title_search_stored")
+def title_search_stored_q(spark, sf_dir):
+    """E3 from a published index that two loads of titles have made."""
+    from lodestar.operators import title_index
+    from lodestar.sources import io
+
+    path, titles = io.scratch_path(spark, "title-index"), views.titles(spark, sf_dir)
+    for load in (0, 1):
+        title_index.publish_titles(spark, path, titles.where(F.col("idx") % 2 == load))
+    out = title_index.search_index(title_index.load_index(spark, path), _title_requests(spark, sf_dir))
+    return out.select(F.col("request_id").alias("query"), "title", "descr", "idx")
+
+
 @register("fuzzy_title_search")
 def fuzzy_title_search_q(spark, sf_dir):
     part = read_table(spark, sf_dir, "part", "p_name")

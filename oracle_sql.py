@@ -273,6 +273,8 @@ SELECT query, title, idx, pos FROM (
   SELECT query, title, idx, CAST(row_number() OVER (PARTITION BY query ORDER BY idx) AS BIGINT) AS pos FROM tsearch)
 WHERE pos <= 5"""
 
+QUERIES["title_search_stored"] = QUERIES["title_search"]
+
 QUERIES["fuzzy_title_search"] = _with(TITLES) + """,
 freq AS (
   SELECT substring(p_name, 1, length(p_name) - 1) AS query FROM part

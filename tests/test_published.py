@@ -99,3 +99,27 @@ def test_search_from_a_saved_model_is_the_search_after_the_fit(spark, tmp_path):
     # fitted to a tolerance instead: the same singular values
     exact = models.fit_descriptions(seeds, k=6, exact=True)
     assert abs(exact.lsa.sigma - models.fit_descriptions(seeds, k=6, passes=30).lsa.sigma).max() < 1e-6
+
+
+def test_stored_title_index_finds_what_contains_finds(spark, tmp_path):
+    import random
+
+    from lodestar.operators import title_index
+    from lodestar.operators.search import title_search
+
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choice("abcAB’é ") for _ in range(rnd.randint(1, 7)))
+    data = [(i, [word() + " " + word(), word()] if i % 7 else [], f"T{i % 40}", f"d{i}") for i in range(300)]
+    titles = spark.createDataFrame(data, "idx long, titles array<string>, title string, descr string")
+    queries = ["a", "ab", "abc", "abca", "abab", "cab a", "’", "a’b", "é", "aaaa", "", "zzz", "AB C", "bacab ab", None]
+    reqs = spark.createDataFrame([(i, q) for i, q in enumerate(queries)], "request_id long, query string")
+    path = str(tmp_path / "index")
+    for load in range(3):
+        assert title_index.publish_titles(spark, path, titles.where(F.col("idx") % 3 == load)) == load + 1
+    index = title_index.load_index(spark, path)
+    found = title_index.search_index(index, reqs)
+    assert rows(found) == rows(title_search(titles, reqs)) and found.count() > 50
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "titles#" not in plan  # the arrays of titles are not read, their grams not worked out
+    title_index.publish_titles(spark, path, titles.where("idx = 1"), add=False)
+    assert {r["idx"] for r in title_index.load_index(spark, path)["forms"].collect()} == {1}
