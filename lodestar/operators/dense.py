@@ -3,8 +3,8 @@
 Exact brute force without materialising pairs: a query set within a measured bound is
 broadcast and every Arrow batch of documents is scored with one matrix product in
 numpy; each batch emits only its own top-k per query, and a window with a partial
-``WindowGroupLimit`` merges those candidates. Of larger query sets, hash blocks meet hash
-blocks of documents in a shuffle (about ``block_rows`` rows each), scored the same way.
+``WindowGroupLimit`` merges those candidates. Larger query sets go through ``clustered``: blocks
+of documents that each query reads or skips by the angle they span.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestar.operators.clustered import ClusteredDocs, clustered_topk
 from lodestar.session import bounded_rows, materialize
 
 SCORE_DP = 6
@@ -93,19 +94,7 @@ def dense_cosine_topk(
 
         cand = d.mapInPandas(run, schema)
     else:
-        # blocks of queries meet blocks of documents in the shuffle; neither side passes the driver
-        n_q, n_d = -(-q.count() // block_rows), max(1, -(-d.count() // block_rows))
-        every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-        qs = q.select("query_id", "vec", F.pmod(F.xxhash64("query_id"), F.lit(n_q)).cast("int").alias("qb"), every(n_d).alias("db"))
-        ds = d.select("doc_id", "vec", F.pmod(F.xxhash64("doc_id"), F.lit(n_d)).cast("int").alias("db"), every(n_q).alias("qb"))
-
-        def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            empty = pd.DataFrame({"query_id": pd.Series([], dtype=object), "doc_id": pd.Series([], dtype=object), "score": pd.Series([], dtype=float)})
-            if left.empty or right.empty:
-                return empty
-            return pd.concat(list(_block_top(left["query_id"].to_numpy(dtype=object), _matrix(left["vec"]), right, k)))
-
-        cand = qs.groupBy("qb", "db").cogroup(ds.groupBy("qb", "db")).applyInPandas(meet, schema)
+        cand, _ = clustered_topk(q, ClusteredDocs(d), k)
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
     return (
         cand.withColumn("rank", F.row_number().over(w))

@@ -150,6 +150,37 @@ def test_dense_cosine_in_blocks(spark):
     assert one == blocked
 
 
+def test_clustered_blocks_are_skipped(spark, monkeypatch):
+    """Many queries over clustered vectors, zero vectors and many copies: brute force's rows, from a part of the blocks."""
+    from lodestar.operators import clustered
+
+    monkeypatch.setattr(clustered, "TILE_ROWS", 17)
+    rng = np.random.default_rng(2)
+    middles = rng.normal(size=(12, 6))
+    docs = middles[rng.integers(0, 12, 900)] + 0.05 * rng.normal(size=(900, 6))
+    docs[100:400] = docs[100]  # copies
+    docs[7] = docs[8] = 0.0
+    qs = docs[rng.integers(0, 900, 80)] + 0.01 * rng.normal(size=(80, 6))
+    qs[0], qs[1] = 0.0, docs[100]
+    d = spark.createDataFrame([(f"d{i:04}", docs[i].tolist()) for i in range(900)], "doc_id string, vec array<double>").repartition(5)
+    q = spark.createDataFrame([(i, qs[i].tolist()) for i in range(80)], "query_id long, vec array<double>")
+    blocks = clustered.ClusteredDocs(d, block_rows=40, pivots=30)
+    found, read = clustered.clustered_topk(q, blocks, 4)
+    got: dict = {}
+    for r in found.collect():
+        got.setdefault(r["query_id"], []).append((-r["score"], r["doc_id"]))
+    unit = lambda m: m / np.where(np.linalg.norm(m, axis=1, keepdims=True) > 0, np.linalg.norm(m, axis=1, keepdims=True), 1)
+    s = np.round(unit(qs) @ unit(docs).T, 6)
+    for i in range(80):
+        want = sorted((-s[i, j], f"d{j:04}") for j in range(900))[:4]
+        mine = sorted(got[i])[:4]
+        assert [x for _, x in mine] == [x for _, x in want] and np.allclose([x for x, _ in mine], [x for x, _ in want], atol=1e-9)
+    share = read.count() / (80 * blocks.blocks.count())
+    assert share < 0.5, share
+    one = sorted(tuple(r) for r in dense_cosine_topk(q, d, 4).collect())
+    assert sorted(tuple(r) for r in dense_cosine_topk(q, d, 4, block_rows=1).collect()) == one
+
+
 def test_centroids(spark):
     df = spark.createDataFrame([(1, [1.0, 2.0]), (1, [3.0, 4.0]), (2, [5.0, 6.0])], "label long, v array<double>")
     got = {r["label"]: r["centroid"] for r in centroids(df, "label", "v").collect()}
