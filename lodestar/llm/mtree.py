@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.llm.store import bounded_batches, drop_stored, stored
-from lodestar.llm.vectors import dots, first_rows, matrices, numbers, pack, part_of, parts, tiles, unpack, vector_rows, visit
+from lodestar.llm.vectors import dots, first_rows, matrices, numbers, pack, unpack, vector_rows
+from lodestar.operators.tiling import in_parts, part_of, parts, tiles, visit
 
 #: Rows of a tree, rows of a leaf page, entries of an inner page, pivots (the sample on which the index is fitted), and
 #: queries or roots that one task holds at a time.
@@ -284,12 +285,6 @@ def _search(key: tuple, asks: pa.Table, pages: pa.Table, k: int) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int32()))], ["query_id", "vec_id", "score", "rank"])
 
 
-def _in_parts(asks: DataFrame) -> DataFrame:
-    """A part for each ask, so that those of one tree and part are ``BLOCK`` or so."""
-    sizes = asks.groupBy("tree").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("n_parts"))
-    return asks.join(sizes, "tree").withColumn("part", F.pmod(F.xxhash64("query_id"), F.col("n_parts")).cast("int")).drop("n_parts")
-
-
 def top_k(index: Index, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` rows of highest inner product for each query, ties to smaller ids; all, if fewer.
 
@@ -304,13 +299,13 @@ def top_k(index: Index, queries: DataFrame, k: int = 5, id_col: str = "vec_id",
     none = F.lit(None).cast("long")
     search = lambda key, asks, pages: _search(key, asks, pages, k)
     home = asked.withColumns({"least": none, "least_id": none})
-    early = stored(visit(_in_parts(home), index.pages, "tree", search, _HIT), "early-hits")
+    early = stored(visit(in_parts(home, "tree", "query_id", BLOCK), index.pages, "tree", search, _HIT), "early-hits")
     kth = early.where(F.col("rank") == k).select("query_id", F.col("score").alias("least"), F.col("vec_id").alias("least_id"))
     n_parts, n_chunks = parts(asked.count(), BLOCK), parts(index.cells.agg(F.sum("n_trees")).first()[0] or 0, BLOCK)
     roots = index.pages.where("page = 0").select("tree", "dim", "objects", "radius", "first_id", "norm2")
     known = asked.join(kth, "query_id", "left").withColumn("part", part_of("query_id", n_parts))
     more = stored(tiles(known, n_parts, roots.withColumn("chunk", part_of("tree", n_chunks)), n_chunks, _route, _ASK), "routed")
-    late = visit(_in_parts(more), index.pages, "tree", search, _HIT)
+    late = visit(in_parts(more, "tree", "query_id", BLOCK), index.pages, "tree", search, _HIT)
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     every = early.unionByName(late).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return every.select("query_id", "rank", "vec_id", "score")

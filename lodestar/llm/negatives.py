@@ -23,7 +23,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.llm.store import bounded_batches, drop_stored, stored
-from lodestar.llm.vectors import dots, first_rows, matrices, numbers, pack, part_of, parts, tiles, unpack, vector_rows, visit
+from lodestar.llm.vectors import dots, first_rows, matrices, numbers, pack, unpack, vector_rows
+from lodestar.operators.tiling import in_parts, part_of, parts, tiles, visit
 
 #: Rows of a block; anchors or zone maps that one task holds at a time; bits of each dimension in the curve's key.
 BLOCK_ROWS, TILE, BITS = 1024, 4096, 4
@@ -289,12 +290,6 @@ def _window_visit(key, asks: pa.Table, block: pa.Table, k: int) -> pa.Table:
     return _table(rows, _NEGATIVE)
 
 
-def _in_parts(asks: DataFrame) -> DataFrame:
-    """A part for each ask, so that those of one block and part are ``TILE`` or so."""
-    sizes = asks.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("n_parts"))
-    return asks.join(sizes, "block").withColumn("part", F.pmod(F.xxhash64("anchor_id"), F.col("n_parts")).cast("int")).drop("n_parts")
-
-
 def positives(blocks: DataFrame, k: int = 5) -> tuple[DataFrame, DataFrame]:
     """``(anchor_id, positive_id, positive_score, rank)`` of the best ``k`` rows of each anchor's own label (another id), and the anchors."""
     own = blocks.where("n_anchors > 0").mapInArrow(lambda b: _own_blocks(b, k), ", ".join(f"{n} {t}" for n, t in _OWN))
@@ -304,7 +299,7 @@ def positives(blocks: DataFrame, k: int = 5) -> tuple[DataFrame, DataFrame]:
     anchors = own.select("anchor_id", "dim", "label", "v", "own", kth["positive_score"].alias("least"), kth["positive_id"].alias("least_id"))
     n_parts, n_chunks = parts(own.count(), TILE), parts(blocks.count(), TILE)
     asks = stored(tiles(anchors.withColumn("part", part_of("anchor_id", n_parts)), n_parts, _zones(blocks, n_chunks), n_chunks, _positive_route, _POSITIVE_ASK), "positive-asks")
-    late = visit(_in_parts(asks), blocks.select("block", "dim", "ids", "vectors"), "block", lambda key, a, b: _positive_visit(key, a, b, k), _HIT)
+    late = visit(in_parts(asks, "block", "anchor_id", TILE), blocks.select("block", "dim", "ids", "vectors"), "block", lambda key, a, b: _positive_visit(key, a, b, k), _HIT)
     early = own.select("anchor_id", F.explode("hits").alias("h")).select("anchor_id", "h.*")
     best = Window.partitionBy("anchor_id").orderBy(F.col("positive_score").desc(), "positive_id")
     every = early.unionByName(late).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
@@ -333,14 +328,14 @@ def hard_negatives(blocks: DataFrame, n_positives: int = 5, n_negatives: int = 3
     seed = tiles(asked, n_parts, zones, n_chunks, _window_seed, _SEED).groupBy("anchor_id").agg(F.max_by("block", F.struct("most", "block")).alias("block"))
     seeded = stored(asked.drop("part").join(seed, "anchor_id"), "window-seeds")
     look = lambda key, a, b: _window_visit(key, a, b, n_negatives)
-    early = stored(visit(_in_parts(seeded.drop("label")), pages, "block", look, _NEGATIVE), "early-negatives")
+    early = stored(visit(in_parts(seeded.drop("label"), "block", "anchor_id", TILE), pages, "block", look, _NEGATIVE), "early-negatives")
     # a window that its first block has filled looks for scores from its last on
     names = ["anchor_id", "positive_rank"]
     filled = early.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), F.min("negative_score").alias("last")).where(F.col("n") >= n_negatives)
     higher = windows.join(filled, names, "left").withColumn("low_score", F.greatest("low_score", F.coalesce("last", "low_score")))
     known = anchors.join(seeded.select("anchor_id", F.col("block").alias("seen")), "anchor_id").join(higher.groupBy("anchor_id").agg(window), "anchor_id")
     asks = stored(tiles(known, n_parts, zones, n_chunks, _window_route, _WINDOW_ASK), "window-asks")
-    late = visit(_in_parts(asks), pages, "block", look, _NEGATIVE)
+    late = visit(in_parts(asks, "block", "anchor_id", TILE), pages, "block", look, _NEGATIVE)
     best = Window.partitionBy(*names).orderBy(F.col("negative_score").desc(), "negative_id")
     ranked = early.unionByName(late).withColumn("r", F.row_number().over(best)).where(F.col("r") <= n_negatives)
     out = ranked.join(found.select("anchor_id", F.col("rank").alias("positive_rank"), "positive_id", "positive_score"), names)

@@ -1,8 +1,8 @@
-"""Integer vectors of an embeddings table: exact scores, packed rows, and work dealt out in bounded tiles."""
+"""Integer vectors of an embeddings table: exact scores and packed rows."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -74,30 +74,3 @@ def first_rows(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     if len(scores) > 4 * k:
         at = np.flatnonzero(scores >= np.partition(scores, len(scores) - k)[len(scores) - k])
     return at[np.lexsort((ids[at], ~scores[at]))[:k]]
-
-
-def parts(n: int, size: int) -> int:
-    """Into how many parts of about ``size`` rows ``n`` rows fall."""
-    return max(1, -(-n // size))
-
-
-def part_of(col: str, n: int) -> Column:
-    return F.pmod(F.xxhash64(col), F.lit(n)).cast("int")
-
-
-def tiles(asks: DataFrame, n_parts: int, zones: DataFrame, n_chunks: int, fn: Callable[[tuple, pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
-    """``fn`` on each block of ``asks`` (rows of one ``part``) with each block of ``zones`` (rows of one ``chunk``).
-
-    A stated set of queries meets a table of summaries in blocks: each side is sent to the other's block numbers, so
-    that no task holds more than one block of each.
-    """
-    a = asks.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))))
-    z = zones.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))))
-    return a.groupBy("part", "chunk").cogroup(z.groupBy("part", "chunk")).applyInArrow(fn, schema)
-
-
-def visit(work: DataFrame, pages: DataFrame, key: str, fn: Callable[[tuple, pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
-    """``fn`` on the work of each (``key``, part) with the pages of ``key``; pages that no work names are not read."""
-    asked = work.select(F.col(key).alias("of_key"), F.col("part").alias("of_part")).distinct()
-    named = pages.join(asked, F.col(key) == F.col("of_key"))
-    return work.groupBy(key, "part").cogroup(named.groupBy("of_key", "of_part")).applyInArrow(fn, schema)
