@@ -9,8 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from lodestar.functions.text import letter_tokens, primary_title
 from lodestar.operators import index as I
@@ -119,6 +123,38 @@ def slider_weight_q(spark, sf_dir):
     return part.select("p_partkey", R.parse_weight(F.col("p_size").cast("string")).alias("weight"), R.parse_weight(F.col("p_brand")).alias("malformed"))
 
 
+def _arrow_letter_tokens(stop_words):
+    """U1 as an Arrow-native function: the default tokenizer, a batch at a time."""
+    stop = pa.array(sorted(stop_words))
+
+    @arrow_udf("array<string>")
+    def tokens(text: pa.Array) -> pa.Array:
+        # what is no letter ends a word; then words are kept that are not empty and not in the list
+        lists = pc.split_pattern(pc.replace_substring_regex(text, "[^a-z]+", " "), " ")
+        flat, of = pc.list_flatten(lists), pc.list_parent_indices(lists)
+        keep = pc.and_(pc.not_equal(flat, ""), pc.invert(pc.is_in(flat, stop)))
+        n = np.bincount(of.filter(keep).to_numpy(), minlength=len(text))
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), flat.filter(keep))
+
+    return lambda c: tokens(F.lower(F.coalesce(c, F.lit(""))))
+
+
+@register("tokenizer_hook")
+def tokenizer_hook_q(spark, sf_dir):
+    """Document frequencies by the caller's own tokenizer, here one that works on Arrow batches."""
+    idx = I.build_index(views.works(spark, sf_dir), "id", "description", tokenizer=_arrow_letter_tokens(P.stop_list(None)))
+    return idx.doc_freq
+
+
+@register("score_hook")
+def score_hook_q(spark, sf_dir):
+    """The caller's score of a term, here without the document's idf; the largest sums of each seed."""
+    idx, sw = _index(spark, sf_dir)
+    qt = I.query_terms(views.seeds(spark, sf_dir), idx.idf, stop_words=sw)
+    m, _ = SIM.term_matches(idx, qt, score_fn=lambda tf, idf, qtf: tf * qtf * idf)
+    return SIM.top_k_per_seed(SIM.cosine_scores(SIM.dot_scores(m), idx.norms, "dot")).select("seed_id", "doc_id", "rank", "score")
+
+
 # ---------------------------------------------------------------- step 2: index
 @register("term_frequency")
 def term_frequency_q(spark, sf_dir):
@@ -141,6 +177,19 @@ def inverted_index_q(spark, sf_dir):
     )
 
 
+@register("compact_postings")
+def compact_postings_q(spark, sf_dir):
+    """A2 in binary blocks: written, read back and decoded to the rows of ``inverted_index``."""
+    from lodestar.operators import postings as C
+    from lodestar.sources import io
+
+    path = io.scratch_path(spark, "postings")
+    C.compact(I.term_frequency(views.works(spark, sf_dir), stop_words=P.stop_list(None)), POSTING_CHUNK).write.parquet(path)
+    rows = C.expand(spark.read.parquet(path)).groupBy("term", F.col("block").alias("chunk"))
+    entry = lambda s: F.concat(s["doc_id"].cast("string"), F.lit(":"), s["tf"].cast("string"))
+    return rows.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("doc_id", "tf"))), entry), " ").alias("postings"))
+
+
 @register("document_frequency")
 def document_frequency_q(spark, sf_dir):
     idx, _ = _index(spark, sf_dir)
@@ -549,6 +598,19 @@ def recommend_stream_q(spark, sf_dir):
     return out.withColumn("tags", F.array_join("tags", ","))
 
 
+@register("assign_input_index")
+def assign_input_index_q(spark, sf_dir):
+    """P3 in input order: works in two pages, each in an order of its own, numbered as they are read."""
+    from lodestar.operators.keys import assign_input_index
+    from lodestar.sources import io
+
+    works, root = views.works(spark, sf_dir).select("id", "title"), io.scratch_path(spark, "pages")
+    io.write_pages(works.where("id % 2 = 0").orderBy(F.col("id").desc()), f"{root}/even")
+    io.write_pages(works.where("id % 2 = 1").orderBy(F.col("id") % 10, "id"), f"{root}/odd")
+    loaded = io.read_works(spark, [f"{root}/even", f"{root}/odd"], multiline=False)
+    return assign_input_index(loaded).select("id", "index")
+
+
 @register("assign_dense_index")
 def assign_dense_index_q(spark, sf_dir):
     """Works numbered 0..n-1 in id order (the reference's positional index)."""

@@ -404,3 +404,18 @@ QUERIES["recommend_stream"] = QUERIES["recommend"]
 
 QUERIES["assign_dense_index"] = _with(WORKS) + """
 SELECT id, CAST(row_number() OVER (ORDER BY id) - 1 AS BIGINT) AS index FROM works"""
+
+QUERIES["compact_postings"] = QUERIES["inverted_index"]
+
+QUERIES["tokenizer_hook"] = QUERIES["document_frequency"]
+
+QUERIES["assign_input_index"] = _with(WORKS) + """
+SELECT id, CAST(row_number() OVER (ORDER BY id % 2, CASE WHEN id % 2 = 0 THEN -id ELSE id % 10 END, id) - 1 AS BIGINT) AS index FROM works"""
+
+QUERIES["score_hook"] = _with(WORKS, SEEDS, INDEX, QUERY_SIDE) + """,
+own AS (
+  SELECT q.seed_id, w.doc_id, round(sum(w.tf * q.qtf * w.idf), 6) AS score
+  FROM qterms q JOIN weights w ON q.term = w.term GROUP BY q.seed_id, w.doc_id)
+SELECT seed_id, doc_id, rank, score FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY seed_id ORDER BY score DESC, doc_id) AS BIGINT) AS rank FROM own)
+WHERE rank <= 50"""

@@ -177,6 +177,31 @@ def test_load_order_across_files_of_a_page(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_input_index_over_shuffled_pages(spark, tmp_path):
+    """Positions as the records stand in the pages, however the files are split; a lost duplicate leaves no gap."""
+    import random
+
+    from lodestar.operators.keys import assign_input_index
+
+    ids = random.Random(3).sample(range(10**6), 4000)
+    for name, part in (("one", ids[:2500]), ("two", ids[2500:] + ids[:1])):
+        (tmp_path / name).mkdir()
+        for k in range(0, len(part), 700):
+            (tmp_path / name / f"part-{k:05}.json").write_text("\n".join(json.dumps({"id": i, "title": "t" * 60}) for i in part[k : k + 700]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (before, "20000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            loaded = io.read_works(spark, [str(tmp_path / "one"), str(tmp_path / "two")], multiline=False)
+            got = sorted((r["index"], r["id"]) for r in assign_input_index(loaded).select("index", "id").collect())
+            assert got == list(enumerate(ids + ids[:1]))
+            last = keyed_load_last_wins(loaded, "id", "load_seq")
+            got = sorted((r["index"], r["id"]) for r in assign_input_index(last).select("index", "id").collect())
+            assert got == list(enumerate(ids[1:] + ids[:1]))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_whole_vocabulary_counts(spark):
     """A vocabulary of any size is used whole."""
     from lodestar.operators import tags as T

@@ -53,3 +53,42 @@ def test_query_terms_binary_tf(spark):
     q = spark.createDataFrame([(7, "x x x z")], "id long, description string")
     rows = I.query_terms(q, idx.idf).collect()
     assert [(r["seed_id"], r["term"], r["qtf"]) for r in rows] == [(7, "x", 1)]
+
+
+def test_compact_postings_round_trip(spark):
+    """Random postings, ids beyond 32 bits, large counts, hot terms over many blocks."""
+    import random
+
+    import numpy as np
+
+    from lodestar.operators import postings as C
+
+    rnd = random.Random(6)
+    x = np.array([0, 1, 127, 128, 16383, 16384, 2**31, 2**40, 2**62, 5])
+    data, size = C.pack_numbers(x)
+    assert C.unpack_numbers(data).tolist() == x.tolist() and size.tolist() == [1, 1, 1, 2, 2, 3, 5, 6, 9, 1]
+    assert C.unpack_numbers(C.pack_numbers(np.zeros(0))[0]).tolist() == []
+    rows = {(f"t{rnd.randint(0, 30)}", rnd.choice([rnd.randint(0, 5000), 2**40 + rnd.randint(0, 99)])): rnd.randint(1, 10**6) for _ in range(3000)}
+    rows |= {("hot", d): 1 + d % 3 for d in range(3000)}
+    df = spark.createDataFrame([(d, t, n) for (t, d), n in rows.items()], "doc_id long, term string, tf long").repartition(5)
+    blocks = C.compact(df, 256)
+    assert {(r["term"], r["doc_id"]): r["tf"] for r in C.expand(blocks).collect()} == rows
+    got = blocks.collect()
+    assert max(r["n"] for r in got) <= 256 and sum(r["term"] == "hot" for r in got) == 12
+    for r in got:
+        mine = {d: n for (t, d), n in rows.items() if t == r["term"] and d // 256 == r["block"]}
+        assert (r["first_id"], r["last_id"], r["n"], r["max_tf"]) == (min(mine), max(mine), len(mine), max(mine.values()))
+    assert sum(len(r["data"]) for r in got if r["term"] == "hot") == 2 * 3000  # two bytes a posting
+    assert C.expand(C.compact(df.limit(0))).count() == 0
+
+
+def test_tokenizer_hook_on_arrow_batches_is_the_column_form(spark):
+    from pyspark.sql import functions as F
+
+    from lodestar.functions.text import default_stop_words, letter_tokens
+    from lodestar.plans.queries import _arrow_letter_tokens
+
+    stop = default_stop_words("english")
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(["The RED ring's 2 rings", "", None, "a I été THE", "...", "x" * 300, "İK ringing\n\nthe"])], "id long, t string")
+    got = df.select("id", _arrow_letter_tokens(stop)(F.col("t")).alias("a"), letter_tokens(F.col("t"), stop).alias("b")).collect()
+    assert all(r["a"] == r["b"] for r in got) and any(r["a"] for r in got)
