@@ -546,6 +546,16 @@ def read_seeds_q(spark, sf_dir):
     return loaded.select(F.col("rank").alias("id"), F.col("page").cast("long").alias("page"), F.get(F.col("titles"), 0).alias("title"), "description")
 
 
+@register("read_seeds_split")
+def read_seeds_split_q(spark, sf_dir):
+    """S2 with record ends found inside the array files, so that one file can be many tasks."""
+    from lodestar.sources import io
+    from lodestar.sources.arrays import read_json_arrays
+
+    loaded = read_json_arrays(spark, _seed_pages(spark, sf_dir), io.SEED_SCHEMA)
+    return loaded.select(F.col("rank").alias("id"), F.col("page").cast("long").alias("page"), F.get(F.col("titles"), 0).alias("title"), "description")
+
+
 @register("batch_from_pages")
 def batch_from_pages_q(spark, sf_dir):
     """E1 whole: work and seed pages of JSON in, keyed loads, the batch, the bundle out (recs read back)."""

@@ -419,3 +419,5 @@ own AS (
 SELECT seed_id, doc_id, rank, score FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY seed_id ORDER BY score DESC, doc_id) AS BIGINT) AS rank FROM own)
 WHERE rank <= 50"""
+
+QUERIES["read_seeds_split"] = QUERIES["read_seeds"]

@@ -202,6 +202,39 @@ def test_input_index_over_shuffled_pages(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_array_files_are_split_at_records(spark, tmp_path):
+    """One array file read by many tasks gives the records that a whole read gives, strings of braces and quotes included."""
+    import random
+
+    from lodestar.sources.arrays import read_json_arrays
+
+    rnd = random.Random(5)
+    bits = ["{", "}", '"', "\\", "[", "]", ",", "}, {", "\n", "word", "é漢", '\\"}', "  "]
+    text = lambda: "".join(rnd.choice(bits) for _ in range(rnd.randint(0, 12)))
+    records = [{"titles": [text() for _ in range(rnd.randint(0, 3))], "rank": i, "description": text() * rnd.choice([1, 1, 40]), "extra": {"a": {"b": text()}}} for i in range(900)]
+    schema = io.SEED_SCHEMA
+    dumps = [json.dumps(records[:500]), json.dumps(records[500:800], indent=2, ensure_ascii=False), "[]", "[ ]\n", json.dumps(records[800:], separators=(",", ":"))]
+    paths = []
+    for k, d in enumerate(dumps):
+        paths.append(str(tmp_path / f"array-{k}.json"))
+        with open(paths[-1], "w", encoding="utf-8") as f:
+            f.write(d)
+    conf = {"spark.sql.files.maxPartitionBytes": "4000", "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert spark.read.option("lineSep", "}").text(paths).rdd.getNumPartitions() > 3 * len(paths)
+        got = read_json_arrays(spark, paths, schema).select("rank", "page", "load_seq", "titles", "description").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    whole = io.read_seeds(spark, paths).select("rank", "page", "titles", "description").collect()
+    key = lambda r: (r["rank"], r["page"], r["titles"], r["description"])
+    assert sorted(map(key, got)) == sorted(map(key, whole)) == sorted((r["rank"], {True: 0, False: 1}[r["rank"] < 500] if r["rank"] < 800 else 4, r["titles"], r["description"]) for r in records)
+    assert [r["rank"] for r in sorted(got, key=lambda r: r["load_seq"])] == list(range(900))
+
+
 def test_whole_vocabulary_counts(spark):
     """A vocabulary of any size is used whole."""
     from lodestar.operators import tags as T
