@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lodestar.llm import bpe, decontam, simhash, substring, toxicity
 from lodestar.llm.sample import held_out
-from lodestar.llm.store import stored
+from lodestar.llm.store import drop_stored, scope, stored
 from lodestar.session import ship_package
 from lodestar.sources.tables import read_table
 
@@ -79,8 +79,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage over ``documents``."""
-    docs = read_table(spark, sf_dir, "documents")
+    """The rows of the last stage over ``documents``. What a stage has written for itself, and its input, go when its result is whole."""
+    docs, first = read_table(spark, sf_dir, "documents"), True
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        with scope(spark) as keep:
+            made = keep(stored(stage(spark, docs, sf_dir), name))
+        if not first:
+            drop_stored(docs)
+        docs, first = made, False
     return docs

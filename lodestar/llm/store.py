@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import gc
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,19 +32,51 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.parquet(path)
+    for made in _SCOPES:
+        made.append(path)
     del df
     gc.collect()
     spark._jvm.System.gc()
     return spark.read.parquet(path)
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables that ``stored`` makes inside are deleted at the end, except those given to the function that this yields.
+
+    For callers that have written what they want: a DataFrame that still reads a table of the scope cannot be used after it.
+    """
+    made: list[str] = []
+    keep: set[str] = set()
+
+    def kept(df: DataFrame) -> DataFrame:
+        keep.update(f.rsplit("/", 1)[0] for f in df.inputFiles())
+        return df
+
+    _SCOPES.append(made)
+    try:
+        yield kept
+    finally:
+        _SCOPES.remove(made)
+        names = {k.rsplit("/", 1)[-1] for k in keep}
+        for path in made:
+            if path.rsplit("/", 1)[-1] not in names:
+                _delete(spark, path)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_stored(df: DataFrame) -> None:
     """Delete a table made by ``stored`` once no later plan reads it."""
     spark = df.sparkSession
-    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
-    for folder in folders:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        _delete(spark, folder)
 
 
 def bounded_batches(df: DataFrame) -> None:

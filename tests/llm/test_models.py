@@ -320,6 +320,37 @@ def test_pipeline_stages_on_given_tables(spark):
     assert docs.columns == ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"]
 
 
+def test_run_is_its_stages_and_leaves_its_result_only(spark):
+    import os
+
+    root = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    before = set(os.listdir(root))
+    got = corpus_pipeline.run(spark, SMALL)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SMALL)
+    key = lambda df: sorted((r["doc_id"], r["ids_sha256"]) for r in df.collect())
+    new = set(os.listdir(root)) - before
+    assert key(got) == key(docs) != []
+    assert sum(n.startswith("byte_bpe-") for n in new) == 1 and not any(n.startswith(f"{s}-") for n in new for s, _ in corpus_pipeline.STAGES[:-1])
+
+
+def test_a_scope_deletes_what_it_is_not_asked_to_keep(spark):
+    import os
+
+    from lodestar.llm.store import scope, stored
+
+    with scope(spark) as keep:
+        one = stored(spark.range(5), "one")
+        two = keep(stored(one.where("id > 2"), "two"))
+        with scope(spark):
+            three = stored(spark.range(3), "three").inputFiles()[0]
+        gone, there = one.inputFiles()[0], two.inputFiles()[0]
+    folder = lambda f: os.path.dirname(f.removeprefix("file:").replace("//", "/"))
+    assert not os.path.exists(folder(gone)) and not os.path.exists(folder(three)) and os.path.exists(folder(there))
+    assert two.count() == 2
+
+
 def test_pipeline_stages_on_odd_rows(spark):
     """Nulls, empty texts, repeated rows, ties and clashing columns; then no rows at all."""
     extra = SCHEMA.replace(CLASHING, CLASHING + ", n_chars long")
