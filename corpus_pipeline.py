@@ -54,7 +54,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     """Documents in which no benchmark item is found."""
     ship_package(spark)
     items = read_table(spark, sf_dir, "benchmark")
-    return decontam.benchmark_matches(docs, items).where(F.size("matches") == 0).select("row.*")
+    found, _ = decontam.passage_matches(docs, items)
+    return found.where(F.size("matches") == 0).select("row.*")
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

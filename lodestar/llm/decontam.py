@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lodestar.llm.store import NULL_ORDER, bounded_batches
+from lodestar.llm.store import NULL_ORDER, bounded_batches, stored
 from lodestar.llm.words import Powers, mix64, slices
 from lodestar.llm.worker import let_go
 
@@ -172,7 +172,7 @@ def _marks(codes: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Block:
-    """Passages of the test items, each with all items that have it, and their seeds, sorted: seed s stands in
+    """Passages of the test items, each with the numbers it goes by, and their seeds, sorted: seed s stands in
     passage ``of[s]`` at word ``at[s]``."""
 
     words: np.ndarray
@@ -316,17 +316,22 @@ def equal_items(items: DataFrame, id_col: str = "item_id", text_col: str = "text
     return made.join(made.groupBy("whole").agg(F.min("member_id").alias("item_id")), "whole").select("item_id", "member_id")
 
 
-def passage_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text", block: int = BLOCK) -> Iterator[Block]:
-    """The items' passages in blocks of about ``block``. Equal passages are one, with the ids of all items that
-    have it; items with the same words are one, under the smallest id."""
-    whole = _classes(items, id_col, text_col).groupBy("whole").agg(F.min("item").alias("item"), F.first("codes").alias("codes"))
-    passages = whole.select("item", F.explode("codes").alias("codes")).groupBy("codes").agg(F.sort_array(F.collect_set("item")).alias("items")).persist()
+def distinct_passages(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """``(passage, codes)``, equal passages being one, and ``(passage, item_id)``: which items have each. Items with the same words
+    are one, under the smallest id. Both are tables: a passage may be in any number of items."""
+    whole = _classes(items, id_col, text_col).groupBy("whole").agg(F.min("item").alias("item_id"), F.first("codes").alias("codes"))
+    having = stored(whole.select("item_id", F.explode("codes").alias("codes")).distinct(), "having")
+    passages = stored(having.select("codes").distinct().select(F.monotonically_increasing_id().alias("passage"), "codes"), "passages")
+    return passages, stored(having.join(passages, "codes").select("passage", "item_id"), "passage-items")
+
+
+def passage_blocks(passages: DataFrame, block: int = BLOCK) -> Iterator[Block]:
+    """The passages in blocks of about ``block``."""
     blocks = -(-passages.count() // block)
     for b in range(blocks):
         rows = passages.where(F.pmod(F.xxhash64("codes"), F.lit(blocks)) == b).collect()
         if rows:
-            yield Block.of_rows(sorted(((r["items"], np.frombuffer(r["codes"], np.uint64)) for r in rows), key=lambda r: (r[0], r[1].tobytes())))
-    passages.unpersist()
+            yield Block.of_rows(sorted((([r["passage"]], np.frombuffer(r["codes"], np.uint64)) for r in rows), key=lambda r: r[1].tobytes()))
 
 
 def document_counts(docs: DataFrame, block: Block, text_col: str = "text") -> dict[int, int]:
@@ -353,23 +358,47 @@ def document_counts(docs: DataFrame, block: Block, text_col: str = "text") -> di
     return {int(grams[r["gram"]]): r["n"] for r in counted}
 
 
-def benchmark_matches(docs: DataFrame, items: DataFrame, id_col: str = "item_id", item_text: str = "text", text_col: str = "text", least: float = MIN_SCORE, block: int = BLOCK) -> DataFrame:
-    """Every input row as ``row`` (struct of its columns) with ``matches``: the test items found in it, each
-    with its ``score`` (1 is a whole copy, word for word) and the word where the best alignment ends.
+def passage_matches(docs: DataFrame, items: DataFrame, id_col: str = "item_id", item_text: str = "text", text_col: str = "text", least: float = MIN_SCORE, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """Every input row as ``row`` (struct of its columns) with ``matches``: the distinct passages of the test items found in it, each
+    with its ``score`` (1 is a whole copy, word for word) and the word where the best alignment ends; and ``(passage, item_id)``.
 
     A match scores ``least`` of the passage's score with itself, and no less than four words in a row do; an item of fewer than
-    four words is found in documents of just these words. Null and texts without words match nothing. Every
-    item is reported that has a passage found, also where several share it; only items with the same words are
+    four words is found in documents of just these words. Null and texts without words match nothing. A passage that many items
+    share is one match; the second table, which may be of any size, has its items. Only items with the same words are
     one, the smallest of their ids (``equal_items`` has the others; null ids are the largest long).
     """
     bounded_batches(docs)
     at = docs.columns.index(text_col)
     out = docs.select(F.struct("*").alias("row"), F.array().cast(MATCHES).alias("matches"))
     schema = StructType([out.schema["row"], *StructType.fromDDL(f"matches {MATCHES}").fields])
-    for passages in passage_blocks(items, id_col, item_text, block):
-        seeds = passages.rarest(document_counts(docs, passages, text_col), least)
+    passages, having = distinct_passages(items, id_col, item_text)
+    for part in passage_blocks(passages, block):
+        seeds = part.rarest(document_counts(docs, part, text_col), least)
         out = out.mapInArrow(_aligned(docs.sparkSession.sparkContext.broadcast(seeds), at, least), schema)
-    return out
+    named = F.transform("matches", lambda m: F.struct(m["item_id"].alias("passage"), m["score"].alias("score"), m["end_word"].alias("end_word")))
+    return out.select("row", named.alias("matches")), having
+
+
+def item_matches(found: DataFrame, having: DataFrame, *keys: str) -> DataFrame:
+    """``(*keys, item_id, score, end_word)`` from the rows ``found`` of ``passage_matches``, one for each row and item of which a
+    passage is found, with the best of its passages. ``keys`` are fields of ``row``."""
+    hits = found.where(F.size("matches") > 0).select(F.monotonically_increasing_id().alias("_at"), *(F.col("row").getField(k).alias(k) for k in keys), "matches")
+    hits = stored(hits, "hits")  # its numbers are not to be made anew
+    each = hits.select("_at", F.explode("matches").alias("m")).select("_at", "m.*").join(having, "passage")
+    best = each.groupBy("_at", "item_id").agg(F.max(F.struct("score", "end_word")).alias("b"))
+    return best.join(hits.drop("matches"), "_at").select(*keys, "item_id", "b.score", "b.end_word")
+
+
+def benchmark_matches(docs: DataFrame, items: DataFrame, id_col: str = "item_id", item_text: str = "text", text_col: str = "text", least: float = MIN_SCORE, block: int = BLOCK) -> DataFrame:
+    """``passage_matches`` with the items in place of the passages: ``row`` and ``matches`` of ``item_id``, ``score``, ``end_word``.
+
+    All items of a document are one array here, and the rows are written once to be joined with them.
+    """
+    found, having = passage_matches(docs, items, id_col, item_text, text_col, least, block)
+    keyed = stored(found.select(F.struct(F.monotonically_increasing_id().alias("_row"), "row").alias("row"), "matches"), "found")
+    best = item_matches(keyed, having, "_row").groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("item_id", "score", "end_word"))).alias("_m"))
+    out = keyed.select("row.*").join(best, "_row", "left")
+    return out.select("row", F.coalesce("_m", F.array().cast(MATCHES)).alias("matches"))
 
 
 def _aligned(shared, at: int, least: float):

@@ -40,8 +40,8 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, whole or edited: one row for each document and item found."""
     docs, items = read_table(spark, sf_dir, "documents", "doc_id", "text"), read_table(spark, sf_dir, "benchmark")
-    found = decontam.benchmark_matches(docs, items).where(F.size("matches") > 0)
-    found = found.select("row.doc_id", F.explode("matches").alias("m")).select("doc_id", "m.item_id", "m.score", "m.end_word")
+    found, having = decontam.passage_matches(docs, items)
+    found = decontam.item_matches(found, having, "doc_id")
     members = stored(decontam.equal_items(items), "members")
     return found.join(members, "item_id").select("doc_id", F.col("member_id").alias("item_id"), "score", "end_word")
 
