@@ -31,7 +31,7 @@ from lodestar.llm.store import bounded_batches
 from lodestar.llm.worker import kept
 
 #: Transducer states (some 0.7 KB each), neighbour checks and pieces kept by a Python worker before it starts anew.
-MAX_STATES, MAX_PAIRS, MAX_PIECES = 200_000, 300_000, 250_000
+MAX_STATES, MAX_PAIRS, MAX_PIECES = 220_000, 300_000, 320_000
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:

@@ -82,23 +82,33 @@ def linked_components(fps: DataFrame, max_bits: int = MAX_BITS, chunk: int = CHU
     members = members.select("fp", "x.s", "x.key")
     buckets = stored(members.groupBy("s", "key").agg(F.count(F.lit(1)).alias("n")), "buckets")
 
-    # chunks of each bucket; the few buckets over one chunk are dealt out by a hash of the fingerprint
-    crowded = stored(buckets.where(F.col("n") > chunk).select("s", "key", F.ceil(F.col("n") / chunk).cast("int").alias("parts")), "crowded")
-    dealt = members.join(crowded, ["s", "key"], "left").select(
-        "s", "key", "fp", F.coalesce(F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"), F.lit(0)).alias("part")
-    )
-    chunks = stored(dealt.groupBy("s", "key", "part").agg(F.collect_list("fp").alias("fps")), "chunks")
-
     # the ball of each half, larger halves only: of two halves that are neighbours the smaller one asks
     ball = F.filter(F.array(*(F.col("key").bitwiseXOR(F.lit(1 << i)) for i in range(32))), lambda k: k > F.col("key"))
     asked = buckets.select("s", "key", F.explode(ball).alias("near"))
     known = buckets.select("s", F.col("key").alias("near"))
     met = asked.join(known, ["s", "near"]).union(buckets.where("n > 1").select("s", F.col("key").alias("near"), "key"))
-
-    left = chunks.select("s", "key", F.col("part").alias("p1"), F.col("fps").alias("f1"))
-    right = chunks.select("s", F.col("key").alias("near"), F.col("part").alias("p2"), F.col("fps").alias("f2"))
-    met = stored(met.select("s", "key", "near"), "met")
-    pairs = met.join(left, ["s", "key"]).join(right, ["s", "near"]).where("key <> near or p1 <= p2").select("f1", "f2")
+    crowded = stored(buckets.where(F.col("n") > chunk).select("s", "key", F.lit(True).alias("c")), "crowded")
+    met = met.join(crowded, ["s", "key"], "left").join(crowded.toDF("s", "near", "d"), ["s", "near"], "left")
+    met = stored(met.select("s", "key", "near", (F.col("c").isNotNull() | F.col("d").isNotNull()).alias("crowd")), "met")
+
+    # buckets of a chunk or less, whole
+    few = members.join(crowded, ["s", "key"], "left_anti").groupBy("s", "key").agg(F.collect_list("fp").alias("fps"))
+    few = stored(few, "chunks")
+    left, right = few.select("s", "key", F.col("fps").alias("f1")), few.select("s", F.col("key").alias("near"), F.col("fps").alias("f2"))
+    pairs = met.where("not crowd").join(left, ["s", "key"]).join(right, ["s", "near"]).select("f1", "f2")
+
+    # a larger bucket is cut by the other half, in which linked fingerprints differ by three bits at most: so one of its four bytes is equal
+    many = met.where("crowd").select("s", F.explode(F.array("key", "near")).alias("key")).distinct()
+    other = F.when(F.col("s") == 0, F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))).otherwise(F.shiftrightunsigned("fp", 32))
+    byte = F.array(*(F.lit(256 * k) + F.shiftright(other, 8 * k).bitwiseAND(F.lit(255)) for k in range(4)))
+    cut = stored(members.join(many, ["s", "key"]).select("s", "key", "fp", F.explode(byte).alias("byte")), "cut")
+    parts = cut.groupBy("s", "key", "byte").agg(F.ceil(F.count(F.lit(1)) / chunk).alias("parts"))
+    dealt = cut.join(parts, ["s", "key", "byte"]).withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
+    dealt = stored(dealt.groupBy("s", "key", "byte", "part").agg(F.collect_list("fp").alias("fps")), "chunks")
+    left = dealt.select("s", "key", "byte", F.col("part").alias("p1"), F.col("fps").alias("f1"))
+    right = dealt.select("s", F.col("key").alias("near"), "byte", F.col("part").alias("p2"), F.col("fps").alias("f2"))
+    crowd = met.where("crowd").select("s", "key", "near").join(left, ["s", "key"]).join(right, ["s", "near", "byte"])
+    pairs = pairs.union(crowd.where("key <> near or p1 <= p2").select("f1", "f2"))
     edges = pairs.mapInArrow(_forests(max_bits), "a long, b long")
     return connected_components(edges)
 
