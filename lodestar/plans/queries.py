@@ -396,6 +396,13 @@ def restrict_q(spark, sf_dir):
     return T.restrict_to_vocab(works, vocab.where(F.col("tag").startswith(VOCAB_PART))).select("id")
 
 
+@register("restrict_works_whole_vocab")
+def restrict_whole_q(spark, sf_dir):
+    """F9 as the batch build uses it: the works with a tag of the whole vocabulary."""
+    works = views.works(spark, sf_dir)
+    return T.restrict_to_vocab(works, P.tag_vocabulary(views.seeds(spark, sf_dir), works)).select("id")
+
+
 @register("dense_cosine_topk")
 def dense_cosine_topk_q(spark, sf_dir):
     emb = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")

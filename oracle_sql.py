@@ -355,9 +355,9 @@ SELECT round((SELECT sum(w * w) FROM x), 4) AS sum_2, round((SELECT sum(g * g) F
        true AS solved, true AS orthonormal"""
 
 # as many triplets as independent rows, 50 at most
-QUERIES["singular_triplets"] = _with(SEEDS) + """
-SELECT CAST(r AS BIGINT) AS rank, true AS solved, true AS orthonormal
-FROM range(1, (SELECT least(50, count(DISTINCT description)) FROM seeds) + 1) t(r)"""
+QUERIES["singular_triplets"] = _with(SEEDS) + """,
+triplets AS (SELECT unnest(range(1, least(50, n) + 1)) AS r FROM (SELECT count(DISTINCT description) AS n FROM seeds))
+SELECT CAST(r AS BIGINT) AS rank, true AS solved, true AS orthonormal FROM triplets"""
 
 QUERIES["dense_cosine_topk"] = """
 WITH cells AS (
@@ -421,3 +421,5 @@ SELECT seed_id, doc_id, rank, score FROM (
 WHERE rank <= 50"""
 
 QUERIES["read_seeds_split"] = QUERIES["read_seeds"]
+
+QUERIES["restrict_works_whole_vocab"] = _with(WORKS, SEEDS, TAGS) + "SELECT id FROM kept"
