@@ -31,7 +31,7 @@ from lodestar.llm.store import bounded_batches
 from lodestar.llm.worker import kept
 
 #: Transducer states (some 0.7 KB each), neighbour checks and pieces kept by a Python worker before it starts anew.
-MAX_STATES, MAX_PAIRS, MAX_PIECES = 220_000, 300_000, 320_000
+MAX_STATES, MAX_PAIRS, MAX_PIECES = 200_000, 300_000, 250_000
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -241,7 +241,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", dig
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value, pattern)
-        names = {i: str(i) for i in encoder.transducer.tokens}
+        names = {i: b"%d" % i for i in encoder.transducer.tokens}
         decoder = StreamDecoder(encoder.transducer.tokens) if digests else None
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
@@ -256,7 +256,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", dig
                     lists = [array("I", x).tolist() for x in ids]
                     cols += [
                         pa.array([len(x) for x in lists], pa.int64()),
-                        pa.array([hashlib.sha256(" ".join(map(names.__getitem__, x)).encode()).hexdigest() for x in lists]),
+                        pa.array([hashlib.sha256(b" ".join(map(names.__getitem__, x))).hexdigest() for x in lists]),
                         pa.array([_streamed(decoder, x) for x in lists]),
                     ]
                 yield pa.RecordBatch.from_arrays(cols, names=made)
@@ -267,7 +267,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", dig
     return rows.mapInArrow(run, StructType([rows.schema["row"], *(StructType.fromDDL(", ".join(more)).fields if more else ())]))
 
 
-def _streamed(decoder: StreamDecoder, ids: list[int], at_once: int = 1024) -> str:
+def _streamed(decoder: StreamDecoder, ids: list[int], at_once: int = 1 << 14) -> str:
     digest = hashlib.sha256()
     for lo in range(0, len(ids), at_once):
         digest.update(decoder.feed(ids[lo : lo + at_once]))
