@@ -305,3 +305,17 @@ def test_exact_spectra_of_driver_tables(spark):
     assert math.isclose((got["sigma"] ** 4).sum(), ((m.T @ m) ** 2).sum(), rel_tol=1e-9)
     t = P.singular_triplets(seeds).toPandas()
     assert len(t) == min(50, seeds.select("description").distinct().count()) and t["residual"].max() < 1e-6
+
+
+def test_title_search_sends_no_title_to_every_task(spark, tmp_path):
+    """Titles that Parquet stores in little space were broadcast whole, through the driver."""
+    titles = spark.range(400).selectExpr("id as idx", "array('Red Don’t ' || id, 'aaaa') as titles", "'t' || id % 7 as title", "'d' || id as descr")
+    titles.write.parquet(str(tmp_path / "titles"))
+    reqs = spark.createDataFrame([("a", "aa"), ("b", "don't 39"), ("c", "D"), ("d", "none such"), ("e", "")], "request_id string, query string")
+    out = title_search(spark.read.parquet(str(tmp_path / "titles")), reqs)
+    first = {i % 7: i for i in reversed([i for i in range(400) if str(i).startswith("39")])}
+    want = {(q, f"t{i}", f"d{i}", i) for q in "ac" for i in range(7)} | {("b", f"t{k}", f"d{i}", i) for k, i in first.items()}
+    assert {(r.request_id, r.title, r.descr, r.idx) for r in out.collect()} == want
+    lines = title_search(spark.read.parquet(str(tmp_path / "titles")), reqs)._jdf.queryExecution().executedPlan().toString().split("\n")
+    leaves = [next(x for x in lines[i:] if "Scan" in x) for i, line in enumerate(lines) if "BroadcastExchange" in line]
+    assert leaves and all("InMemoryTableScan" in x for x in leaves)
