@@ -24,12 +24,14 @@ from pyspark.sql import functions as F
 
 from lodestar.operators.index import InvertedIndex, query_norms
 from lodestar.operators.similarity import KEYWORDS, TOP_K, cosine_scores, dot_contribution, dot_scores, salted_term_join, top_k_per_seed, top_keywords
-from lodestar.session import DEFAULT_BROADCAST_ROWS, bounded_rows, materialize
+from lodestar.session import bounded_rows, materialize
 
 # Documents of a block, and terms of a seed that are scored for its threshold.
 BLOCK_DOCS, FIRST_TERMS = 64, 6
 # Scores are ranked at 6 places: what is this close to the threshold may tie with it.
 ROOM = 2e-6
+# Rows and bytes of a table that is sent to every task. A broadcast is built on the driver, where it takes several times its bytes.
+SENT_ROWS, SENT_BYTES = 300_000, 24 << 20
 
 
 @dataclass
@@ -42,16 +44,25 @@ class Pruned:
 
 def _meet(impacts: DataFrame, terms: DataFrame, n_docs: int, broadcast_rows: int) -> DataFrame:
     """Postings with the query terms that they have."""
-    if bounded_rows(terms, broadcast_rows):
+    if bounded_rows(terms, broadcast_rows, SENT_BYTES):
         return impacts.drop("df").join(F.broadcast(terms.drop("df")), "term")
     return salted_term_join(impacts, terms, "df", max(1000, n_docs // 50))
 
 
 def _small(df: DataFrame, broadcast_rows: int) -> DataFrame:
-    return F.broadcast(df) if bounded_rows(df, broadcast_rows) else df
+    return F.broadcast(df) if bounded_rows(df, broadcast_rows, SENT_BYTES) else df.hint("merge")
 
 
-def survivors(index: InvertedIndex, qterms: DataFrame, k: int = TOP_K, block_docs: int = BLOCK_DOCS, first_terms: int = FIRST_TERMS, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> Pruned:
+def _cut(df: DataFrame) -> DataFrame:
+    """Rows of ``df`` in the checkpoint folder, worked out once. Each step reads several tables made by earlier ones; if these kept
+    their plans, the driver would hold every plan within every later one, many times over."""
+    rows = materialize(df)
+    out = materialize(rows, reliable=True)
+    rows.unpersist()
+    return out
+
+
+def survivors(index: InvertedIndex, qterms: DataFrame, k: int = TOP_K, block_docs: int = BLOCK_DOCS, first_terms: int = FIRST_TERMS, broadcast_rows: int = SENT_ROWS) -> Pruned:
     """The (seed, document) pairs among which are the ``k`` best of each seed."""
     blocks = max(1, -(-index.n_docs // block_docs))
     u = (F.col("tf") * F.abs("idf") / F.col("norm")).alias("u")
@@ -65,14 +76,14 @@ def survivors(index: InvertedIndex, qterms: DataFrame, k: int = TOP_K, block_doc
     order = Window.partitionBy("seed_id").orderBy(F.col("bound").desc(), "term")
     q = q.join(by_term, "term").withColumn("bound", F.col("w") * F.col("most")).drop("most")
     onward = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    q = materialize(q.withColumn("place", F.row_number().over(order)).withColumn("onward", F.sum("bound").over(onward)))
+    q = _cut(q.withColumn("place", F.row_number().over(order)).withColumn("onward", F.sum("bound").over(onward)))
 
     first = q.where(F.col("place") <= first_terms).select("seed_id", "term", "w", "df")
     partial = _meet(impacts, first, index.n_docs, broadcast_rows)
     partial = partial.groupBy("doc_id", "seed_id").agg(F.sum(F.col("u") * F.col("w")).alias("score"))
     best = top_k_per_seed(partial, k).where(F.col("rank") == k)
-    least = materialize(best.select("seed_id", (F.col("score") - ROOM).alias("least")))  # none: every shared term counts
-    q = materialize(q.join(least, "seed_id", "left").withColumn("needed", F.col("least").isNull() | (F.col("onward") >= F.col("least"))))
+    least = _cut(best.select("seed_id", (F.col("score") - ROOM).alias("least")))  # none: every shared term counts
+    q = _cut(q.join(least, "seed_id", "left").withColumn("needed", F.col("least").isNull() | (F.col("onward") >= F.col("least"))))
 
     needed = q.where("needed").select("seed_id", "term", "w", "df")
     some = materialize(_meet(impacts, needed, index.n_docs, broadcast_rows).groupBy("doc_id", "seed_id", "block").agg(F.sum(F.col("u") * F.col("w")).alias("a")))
@@ -80,19 +91,19 @@ def survivors(index: InvertedIndex, qterms: DataFrame, k: int = TOP_K, block_doc
     higher = top_k_per_seed(some.select("seed_id", "doc_id", F.col("a").alias("score")), k).where(F.col("rank") == k).select("seed_id", (F.col("score") - ROOM).alias("higher"))
     least = least.join(higher, "seed_id", "left").select("seed_id", F.greatest("least", "higher").alias("least"))
     more = q.where("not needed").groupBy("seed_id").agg(F.sum("bound").alias("more"))
-    limits = materialize(least.join(more, "seed_id", "left").fillna(0.0, ["more"]))
+    limits = _cut(least.join(more, "seed_id", "left").fillna(0.0, ["more"]))
     reach = some.join(_small(limits, broadcast_rows), "seed_id", "left")
     reach = reach.where(F.col("least").isNull() | (F.col("a") + F.col("more") >= F.col("least")))
     rest = by_block.join(_small(q.where("not needed").select("seed_id", "term", "w"), broadcast_rows), "term")
-    rest = materialize(rest.groupBy("seed_id", "block").agg(F.sum(F.col("w") * F.col("most")).alias("rest")))
+    rest = _cut(rest.groupBy("seed_id", "block").agg(F.sum(F.col("w") * F.col("most")).alias("rest")))
     reach = reach.join(_small(rest, broadcast_rows), ["seed_id", "block"], "left")
-    stay = materialize(reach.where(F.col("least").isNull() | (F.col("a") + F.coalesce("rest", F.lit(0.0)) >= F.col("least"))).select("seed_id", "doc_id"))
+    stay = _cut(reach.where(F.col("least").isNull() | (F.col("a") + F.coalesce("rest", F.lit(0.0)) >= F.col("least"))).select("seed_id", "doc_id"))
     sums = q.agg(F.sum("df").alias("every"), F.sum(F.when(F.col("place") <= first_terms, F.col("df")).otherwise(0)).alias("first"), F.sum(F.when(F.col("needed"), F.col("df")).otherwise(0)).alias("essential"))
     scored = impacts.join(stay.join(qterms.select("seed_id", "term"), "seed_id"), ["doc_id", "term"]).agg(F.count(F.lit(1)))
     return Pruned(stay, sums.withColumn("rest", scored.scalar()))
 
 
-def similar_documents(index: InvertedIndex, qterms: DataFrame, k: int = TOP_K, n_keywords: int = KEYWORDS, broadcast_rows: int = DEFAULT_BROADCAST_ROWS, **bounds) -> DataFrame:
+def similar_documents(index: InvertedIndex, qterms: DataFrame, k: int = TOP_K, n_keywords: int = KEYWORDS, broadcast_rows: int = SENT_ROWS, **bounds) -> DataFrame:
     """J6 + K1 + K2 with pruning: the rows of ``similarity.similar_documents``, from fewer postings.
 
     ``(seed_id, doc_id, rank, score, keywords, cosine)``; scores are summed and rounded as there, over the documents that stay.
@@ -100,8 +111,7 @@ def similar_documents(index: InvertedIndex, qterms: DataFrame, k: int = TOP_K, n
     stay = survivors(index, qterms, k, broadcast_rows=broadcast_rows, **bounds).survivors
     terms = qterms.join(query_norms(qterms), "seed_id").select("seed_id", "term", "qtf", "qnorm")
     wanted = materialize(stay.join(terms, "seed_id"))
-    if bounded_rows(wanted, broadcast_rows):
-        wanted = F.broadcast(wanted)
+    wanted = _small(wanted, broadcast_rows)
     contrib = dot_contribution(F.col("tf"), F.col("idf"), F.col("qtf")).alias("contrib")
     matches = index.weights.join(wanted, ["doc_id", "term"]).select("seed_id", "doc_id", "term", contrib, "qnorm")
     top = materialize(top_k_per_seed(cosine_scores(dot_scores(matches), index.norms), k))

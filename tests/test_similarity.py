@@ -227,3 +227,13 @@ def test_block_max_with_fewer_documents_than_asked(spark):
     key = lambda df: sorted(tuple(r) for r in df.select("seed_id", "rank", "doc_id", "score", "keywords").collect())
     assert key(blockmax.similar_documents(idx, qt, 50)) == key(SIM.similar_documents(idx, qt, 50)) != []
     assert blockmax.similar_documents(idx, qt.limit(0), 50).count() == 0
+
+
+def test_block_max_plans_stay_short(spark):
+    """Each step's plan held those of all steps before it, several times over, and the driver ran out of memory."""
+    from lodestar.operators import blockmax
+
+    d = spark.createDataFrame(list(enumerate(corpus(7, 60))), "id long, description string")
+    idx = I.build_index(d, stop_words=None, min_df=1, max_df_ratio=1.0)
+    stay = blockmax.survivors(idx, I.query_terms(d.limit(3), idx.idf), 5).survivors
+    assert stay.count() >= 15 and len(stay._jdf.queryExecution().toString()) < 5000
