@@ -63,10 +63,10 @@ def fit_exact(X: DataFrame, k: int, tolerance: float = TOLERANCE, oversample: in
 
     An empty X has none. ``widest`` bounds the basis (columns of a document's vector and of the driver's matrices).
     """
-    X = materialize(X.select("doc_id", "term", F.col("w").cast("double").alias("w")), reliable=True)
+    X = L.blocks(X)
     b = k + oversample
     widest = widest or 4 * b
-    start = materialize(L.x_times(X, L.test_matrix(X, b, seed)), reliable=True)
+    start = materialize(L.x_times(X, L.test_matrix(X.packed, b, seed)), reliable=True)
     M, _ = _orthonormal(L.gram(start, b))
     W = materialize(L.times_small(start, "doc_id", M), reliable=True)
     M, _ = _orthonormal(L.gram(W, M.shape[1]))  # once more, for what rounding has left
@@ -122,7 +122,7 @@ def residual_table(X: DataFrame, svd: ExactSvd) -> DataFrame:
     schema = "rank long, sigma double, residual double, orthogonality double"
     if not k:
         return spark.createDataFrame([], schema)
-    X = X.select("doc_id", "term", F.col("w").cast("double").alias("w"))
+    X = L.blocks(X)
     over = np.diag(1.0 / m.sigma)
     u, v = L.times_small(m.doc_vectors, "doc_id", over), m.components
     xv = _joined(L.x_times(X, v), L.times_small(u, "doc_id", np.diag(m.sigma)), k, k)

@@ -319,3 +319,23 @@ def test_title_search_sends_no_title_to_every_task(spark, tmp_path):
     lines = title_search(spark.read.parquet(str(tmp_path / "titles")), reqs)._jdf.queryExecution().executedPlan().toString().split("\n")
     leaves = [next(x for x in lines[i:] if "Scan" in x) for i, line in enumerate(lines) if "BroadcastExchange" in line]
     assert leaves and all("InMemoryTableScan" in x for x in leaves)
+
+
+def test_products_by_blocks_match_numpy(spark):
+    """A product moved one vector for each entry of X; it goes by blocks of documents, whose terms are read in batches."""
+    rng = np.random.default_rng(3)
+    m = rng.random((37, 23)) * (rng.random((37, 23)) < 0.3)
+    m[5], m[6, :20] = 0, 1.0  # a document without terms, one with nearly all
+    X = L.blocks(spark.createDataFrame(_long_form(m), "doc_id long, term string, w double"), block_docs=4)
+    assert X.n_blocks >= 8 and (X.n_docs, X.n_terms) == (int((m != 0).any(axis=1).sum()), int((m != 0).any(axis=0).sum()))
+    name = {float(w): t for _, t, w in _long_form(np.arange(1.0, 24.0)[None])}
+    M, D = rng.random((23, 300)), rng.random((37, 300))
+    vec = lambda rows, key: spark.createDataFrame(rows, f"{key}, vec array<double>")
+    xm = L.x_times(X, vec([(name[j + 1.0], M[j].tolist()) for j in range(23)], "term string")).collect()
+    assert sorted(r["doc_id"] for r in xm) == [i for i in range(37) if m[i].any()]
+    assert max(abs(np.array(r["vec"]) - m[r["doc_id"]] @ M).max() for r in xm) < 1e-12
+    place = {t: int(w) - 1 for w, t in name.items()}
+    some = [i for i in range(37) if i % 3]  # documents that D does not have are zero
+    xd = L.xt_times(X, vec([(i, D[i].tolist()) for i in some], "doc_id long")).collect()
+    assert sorted(place[r["term"]] for r in xd) == [j for j in range(23) if m[some, j].any()]
+    assert max(abs(np.array(r["vec"]) - m[some].T[place[r["term"]]] @ D[some]).max() for r in xd) < 1e-12
