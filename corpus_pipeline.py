@@ -18,6 +18,8 @@ from lodestar.sources.tables import read_table
 
 #: Toxicity score from which a document goes.
 TOXIC = 0.5
+#: Size of the tokenizer's tables beside what the stages before have left in an executor.
+BPE_SHARE = 0.25
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +65,7 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ship_package(spark)
-    found = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, digests=True)
+    found = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, digests=True, share=BPE_SHARE)
     return found.select("row.doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 
 

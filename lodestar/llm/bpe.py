@@ -42,8 +42,9 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
 class Transducer:
     """Bytes of one piece -> BPE token ids, by ranks in which every single byte has a token."""
 
-    def __init__(self, ranks: dict[bytes, int]) -> None:
+    def __init__(self, ranks: dict[bytes, int], share: float = 1.0) -> None:
         self.ranks = ranks
+        self.max_states, self.max_pairs = int(MAX_STATES * share), int(MAX_PAIRS * share)
         self.tokens = {rank: token for token, rank in ranks.items()}
         # trie of the tokens: child[node * 256 + byte]; a node's token (or -1) and whether a longer token goes on
         self.child: dict[int, int] = {}
@@ -120,7 +121,7 @@ class Transducer:
                 ok = self.ranks.get(self.tokens[x] + self.tokens[y], due + 1) > due
             else:
                 break
-        if len(self.pairs) > MAX_PAIRS:
+        if len(self.pairs) > self.max_pairs:
             self.pairs.clear()
         self.pairs[a, b] = ok
         return ok
@@ -165,7 +166,7 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self.steps) > MAX_STATES:
+        if len(self.steps) > self.max_states:
             self._clear()
         steps, state, out = self.steps, 0, []
         for byte in piece:
@@ -178,12 +179,12 @@ class Transducer:
 
 
 class Encoder:
-    """Texts -> ids: pieces by a pattern, each through the transducer; the ids of pieces met before are kept."""
+    """Texts -> ids: pieces by a pattern, each through the transducer; the ids of pieces met before are kept. ``share``: of the tables' sizes."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
+    def __init__(self, ranks: dict[bytes, int], pattern: str, share: float = 1.0) -> None:
         self.find = splitter(pattern)
-        self.transducer = Transducer(ranks)
-        self.pieces = Pieces(lambda piece: array("I", self.transducer.encode(piece.encode())).tobytes(), MAX_PIECES, 32)
+        self.transducer = Transducer(ranks, share)
+        self.pieces = Pieces(lambda piece: array("I", self.transducer.encode(piece.encode())).tobytes(), int(MAX_PIECES * share), 32)
 
     def stored(self, text: str | None) -> bytes:
         """The ids as unsigned 32-bit integers."""
@@ -214,9 +215,9 @@ class StreamDecoder:
         return rest
 
 
-def _encoder(data: bytes, pattern: str) -> Encoder:
+def _encoder(data: bytes, pattern: str, share: float) -> Encoder:
     """One encoder for each Python worker and vocabulary."""
-    return kept(("bpe", hashlib.sha256(data).digest(), pattern), lambda: Encoder(read_ranks(data), pattern))
+    return kept(("bpe", hashlib.sha256(data).digest(), pattern, share), lambda: Encoder(read_ranks(data), pattern, share))
 
 
 def vocabulary(path: str) -> bytes:
@@ -228,19 +229,20 @@ def vocabulary(path: str) -> bytes:
     return data
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", digests: bool = False, with_ids: bool = True) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", digests: bool = False, with_ids: bool = True, share: float = 1.0) -> DataFrame:
     """Every input row as ``row`` (struct of its columns) with ``ids`` (array of int), unless they are not wanted.
 
     With ``digests`` the ids are also decoded again, by the streaming decoder, and the row has ``n_tokens``,
     ``ids_sha256`` (of the decimal ids joined by one space) and ``decoded_sha256`` (of the bytes).
-    A null text is encoded as an empty one: no ids. Texts are whole whatever their length.
+    A null text is encoded as an empty one: no ids. Texts are whole whatever their length. ``share``: how large a worker's tables of
+    what it has met may get, of their full size (the ids are the same); for jobs whose executors hold memory of other stages.
     """
     bounded_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary(path))
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(shared.value, pattern)
+        encoder = _encoder(shared.value, pattern, share)
         names = {i: b"%d" % i for i in encoder.transducer.tokens}
         decoder = StreamDecoder(encoder.transducer.tokens) if digests else None
         for batch in batches:

@@ -343,3 +343,11 @@ def test_native_plans_have_no_python(spark):
     for df in (licenses.license_hits(edge_docs(spark)), chat.conversation_digests(chat.prefix_target_examples(turns)), rules.base_statistics(edge_docs(spark))):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_a_share_of_the_bpe_tables_gives_the_same_ids(encoder):
+    """The pipeline's last stage filled tables of full size beside what the stages before had left in the executor."""
+    small = bpe.Encoder(bpe.read_ranks(bpe.vocabulary(RANKS)), P.PATTERN, share=1e-4)
+    texts = [f"some words{i} of unequal lengthh{i * 7919} and döcumént {i}" for i in range(60)]
+    assert [small.encode(t) for t in texts] == [encoder.encode(t) for t in texts]
+    assert len(small.pieces.newer) <= bpe.MAX_PIECES * 1e-4 and small.transducer.max_states == bpe.MAX_STATES // 10000
