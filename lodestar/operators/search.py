@@ -41,7 +41,7 @@ def _places(forms: DataFrame) -> DataFrame:
     return g.select("idx", "form", "glen", "_p", F.substring(F.col("form"), F.col("_p"), F.col("glen")).alias("gram"))
 
 
-def _sent(asks: DataFrame) -> DataFrame:
+def sent(asks: DataFrame) -> DataFrame:
     """A persisted table of what the queries ask, for a join with all titles: broadcast within a measured bound, else merged."""
     return F.broadcast(asks) if bounded_rows(asks, SENT_ROWS, SENT_BYTES) else asks.hint("merge")
 
@@ -64,12 +64,12 @@ def title_search(titles: DataFrame, requests: DataFrame) -> DataFrame:
         "request_id", "q", "glen", F.explode(F.sequence(F.lit(1), F.length("q") - F.col("glen") + 1)).alias("_p")
     ).select("request_id", "q", "glen", F.substring(F.col("q"), F.col("_p"), F.col("glen")).alias("gram")))
     grams = _places(forms)
-    asked = _sent(materialize(q_grams.select("glen", "gram").distinct()))
+    asked = sent(materialize(q_grams.select("glen", "gram").distinct()))
     gram_df = grams.select("glen", "gram").join(asked, ["glen", "gram"]).groupBy("glen", "gram").agg(F.count(F.lit(1)).alias("gdf"))
     rated = q_grams.join(gram_df.hint("merge"), ["glen", "gram"], "left").withColumn("gdf", F.coalesce("gdf", F.lit(0)))
     pick = rated.groupBy("request_id", "q", "glen").agg(F.min_by("gram", F.struct("gdf", "gram")).alias("gram"))
     # a title is compared where it meets the gram (its first place), so titles without one go nowhere
-    cand = grams.join(_sent(materialize(pick)), ["glen", "gram"]).where(F.expr("instr(form, gram) = _p"))
+    cand = grams.join(sent(materialize(pick)), ["glen", "gram"]).where(F.expr("instr(form, gram) = _p"))
     hit = cand.where(F.col("form").contains(F.col("q"))).select("request_id", "idx")
     # merge: Parquet sizes say little of how long decoded titles are, and a whole catalogue is not to be broadcast
     rows = hit.join(titles.select("idx", "title", "descr").hint("merge"), "idx")

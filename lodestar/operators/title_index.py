@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.functions.text import normalise_apostrophe
-from lodestar.operators.search import GRAM
+from lodestar.operators.search import GRAM, sent
+from lodestar.session import materialize, shuffle_partitions
 from lodestar.sources.versions import Layout, publish, read_version
 
 TABLES = ("forms", "grams", "gram_counts", "titles")
@@ -20,6 +21,7 @@ TABLES = ("forms", "grams", "gram_counts", "titles")
 
 def index_tables(titles: DataFrame) -> dict[str, DataFrame]:
     """Index of ``titles`` (idx, titles, title, descr); idx is unique over all loads."""
+    titles = titles.repartition(shuffle_partitions(titles.sparkSession), "idx")  # a small Parquet file can hold a great many titles
     forms = F.array_distinct(F.transform("titles", lambda t: normalise_apostrophe(F.lower(t))))
     forms = titles.select("idx", F.posexplode(forms).alias("form", "text")).where(F.length("text") > 0)
     cut = forms.select("idx", "form", "text", F.explode(F.sequence(F.lit(1), F.least(F.lit(GRAM), F.length("text")))).alias("glen"))
@@ -49,13 +51,15 @@ def search_index(index: dict[str, DataFrame], requests: DataFrame) -> DataFrame:
     rated = cover.join(counts, ["glen", "gram"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     pick = rated.groupBy("request_id", "q", "m", "glen").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "gram", "begin"))), 1, 2).alias("two"))
     one = lambda k: pick.where(F.size("two") > k).select("request_id", "q", "m", "glen", F.col("two")[k]["gram"].alias("gram"), F.col("two")[k]["begin"].alias("begin"))
-    place = lambda k: one(k).join(index["grams"], ["glen", "gram"]).select("request_id", "q", "m", "idx", "form", (F.col("at") - F.col("begin") + 1).alias("start"))
+    first, second = (sent(materialize(one(k))) for k in (0, 1))  # grams that are not asked for go nowhere
+    place = lambda asked: index["grams"].join(asked, ["glen", "gram"]).select("request_id", "q", "m", "idx", "form", (F.col("at") - F.col("begin") + 1).alias("start"))
     keys = ["request_id", "idx", "form", "start"]
-    short = place(0).where(F.col("m") <= GRAM)
-    long = place(0).where(F.col("m") > GRAM).join(place(1).select(*keys), keys, "left_semi")
-    found = long.join(index["forms"], ["idx", "form"]).where(F.substring(F.col("text"), F.col("start"), F.col("m")) == F.col("q"))
+    short = place(first).where(F.col("m") <= GRAM)
+    long = place(first).where(F.col("m") > GRAM).join(place(second).select(*keys), keys, "left_semi")
+    # merge: Parquet sizes say little of how long decoded titles are, and a whole catalogue is not to be broadcast
+    found = long.join(index["forms"].hint("merge"), ["idx", "form"]).where(F.substring(F.col("text"), F.col("start"), F.col("m")) == F.col("q"))
     hits = short.select("request_id", "idx").unionByName(found.select("request_id", "idx")).distinct()
-    rows = hits.join(index["titles"], "idx")
+    rows = hits.join(index["titles"].hint("merge"), "idx")
     return rows.groupBy("request_id", "title").agg(F.min("idx").alias("idx"), F.min_by("descr", "idx").alias("descr")).select("request_id", "title", "descr", "idx")
 
 
