@@ -514,7 +514,8 @@ def json_pages_roundtrip_q(spark, sf_dir):
     io.write_pages(base, paths[0])
     io.write_pages(update, paths[1])
     loaded = io.read_works(spark, paths, multiline=False)
-    latest = keyed_load_last_wins(loaded.drop("page"), "id", "load_seq")
+    # columns that are not asked for would be shuffled with their records
+    latest = keyed_load_last_wins(loaded.select("id", "title", "tags", "hits", "load_seq"), "id", "load_seq")
     return latest.select("id", "title", F.array_join("tags", ",").alias("tags"), "hits")
 
 
