@@ -14,6 +14,9 @@ from lodestar.functions.stopwords import ENGLISH
 LETTER_RUN = "[a-z]+"
 # Vectoriser default: Unicode word characters, two or more in a row.
 WORD_2PLUS = "[\\p{L}\\p{N}_]{2,}"
+# What lies between the tokens of either kind.
+NON_LETTERS = "[^a-z]+"
+NON_WORD = "[^\\p{L}\\p{N}_]+"
 # Separator used to join a work's tags into one string before re-splitting.
 TAG_JOIN = "%"
 # Right single quotation mark, normalised to an ASCII apostrophe in title search.
@@ -50,6 +53,11 @@ def word_tokens_2plus(text: Column, stop_words: Sequence[str] | None = None) ->
     return drop_stop_words(toks, stop_words)
 
 
+def between(text: Column, separators: str) -> Column:
+    """The lower-cased text cut at its separators; pieces may be empty. To be exploded, where it is cheaper than matching tokens."""
+    return F.split(F.lower(F.coalesce(text, F.lit(""))), separators)
+
+
 def tag_tokens(tags: Column, stop_words: Sequence[str] | None = None) -> Column:
     """Tags joined by '%', lower-cased, re-split on '%'; empties vanish.
 

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.functions.text import letter_tokens
+from lodestar.functions.text import NON_LETTERS, between, letter_tokens
 from lodestar.session import DEFAULT_BROADCAST_ROWS, broadcast_if_small, materialize, shuffle_partitions
 
 # Fixed values of the batch build.
@@ -42,20 +42,25 @@ def term_frequency(
     tokenizer: Callable[[Column], Column] | None = None,
     stop_words: Sequence[str] | None = None,
     partitions: int | None = None,
+    separators: str = NON_LETTERS,
+    least: int = 1,
 ) -> DataFrame:
     """A1: ``(doc_id, term, tf)`` - one row per (document, distinct term).
 
     The raw rows are hash-partitioned on ``doc_id`` first, so the count needs no second
     exchange and downstream per-document work (norms, scoring) stays partition-local.
+    Without a ``tokenizer`` terms are what lies between ``separators`` in the lower-cased text, of at least
+    ``least`` characters; they are filtered as rows, in generated code, not as elements of arrays.
     """
     n_parts = partitions or shuffle_partitions(docs.sparkSession)
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).repartition(n_parts, "doc_id")
-    tok = tokenizer(F.col("text")) if tokenizer else letter_tokens(F.col("text"), stop_words)
-    return (
-        d.select("doc_id", F.explode(tok).alias("term"))
-        .groupBy("doc_id", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    tok = tokenizer(F.col("text")) if tokenizer else between(F.col("text"), separators)
+    terms = d.select("doc_id", F.explode(tok).alias("term"))
+    if not tokenizer:
+        terms = terms.where(F.length("term") >= least)
+        if stop_words:
+            terms = terms.where(~F.col("term").isin(list(stop_words)))
+    return terms.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def packed_postings(postings: DataFrame) -> DataFrame:

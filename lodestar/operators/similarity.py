@@ -76,16 +76,16 @@ def term_matches(
     measured, falls back when over the bound) or ``term_shuffle``.
     """
     qn = query_norms(qterms)
-    q = qterms.join(qn, "seed_id").select("seed_id", "term", "qtf", "qnorm", "df")
+    q = qterms.join(qn, "seed_id").select("seed_id", "term", "qtf", "qnorm", "idf", "df")
     if strategy in ("auto", "doc_local"):
         q = materialize(q)
         strategy = "doc_local" if bounded_rows(q, broadcast_rows) else "term_shuffle"
-    w = index.weights
     if strategy == "doc_local":
-        m = w.join(F.broadcast(q.drop("df")), "term")
+        # the query terms bring their idf, so postings are not joined to the whole vocabulary first
+        m = index.postings.join(F.broadcast(q.drop("df")), "term")
     elif strategy == "term_shuffle":
         hot = hot_df if hot_df is not None else max(1000, index.n_docs // 50)
-        m = salted_term_join(w, q, "df", hot, salt_buckets)
+        m = salted_term_join(index.weights, q.drop("idf"), "df", hot, salt_buckets)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     return (
@@ -177,9 +177,9 @@ def similar_documents(
     if n_keywords <= 0:
         return top.withColumn("keywords", F.lit("")).select("seed_id", "doc_id", "rank", "score", "keywords", "cosine")
     # only the kept pairs' terms are scored again: pairs x query terms, matched to the postings in place
-    wanted = materialize(top.select("seed_id", "doc_id").join(qterms.select("seed_id", "term", "qtf"), "seed_id"))
+    wanted = materialize(top.select("seed_id", "doc_id").join(qterms.select("seed_id", "term", "qtf", "idf"), "seed_id"))
     if bounded_rows(wanted, broadcast_rows):
-        shared = index.weights.join(F.broadcast(wanted), ["doc_id", "term"])
+        shared = index.postings.join(F.broadcast(wanted), ["doc_id", "term"])
         matches = shared.select("seed_id", "doc_id", "term", score_fn(F.col("tf"), F.col("idf"), F.col("qtf")).alias("contrib"))
     kw = top_keywords(matches, top, n_keywords)
     return top.join(kw, ["doc_id", "seed_id"]).select("seed_id", "doc_id", "rank", "score", "keywords", "cosine")
