@@ -13,9 +13,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.functions.text import word_tokens_2plus
+from lodestar.functions.text import NON_WORD
 from lodestar.operators.index import term_frequency
-from lodestar.session import DEFAULT_BROADCAST_ROWS, bounded_rows, broadcast_if_small, materialize
+from lodestar.session import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, _width, bounded_rows, materialize, shuffle_partitions
 
 SCORE_DP = 6
 
@@ -28,7 +28,7 @@ class TfidfModel:
 
 
 def counts(docs: DataFrame, id_col: str, text_col: str, stop_words: Sequence[str] | None) -> DataFrame:
-    return term_frequency(docs, id_col, text_col, tokenizer=lambda c: word_tokens_2plus(c, stop_words))
+    return term_frequency(docs, id_col, text_col, stop_words=stop_words, separators=NON_WORD, least=2)
 
 
 def _idf_from_counts(tf: DataFrame, n: int) -> DataFrame:
@@ -37,12 +37,30 @@ def _idf_from_counts(tf: DataFrame, n: int) -> DataFrame:
     )
 
 
-def _weights(tf: DataFrame, idf: DataFrame) -> DataFrame:
-    """tf * idf, L2-normalised per document. The vocabulary is sent to the tasks if its measured size allows,
-    so that the per-document sum is a window over doc-partitioned counts (no extra exchange); a larger one
-    is joined on the term."""
-    words, _ = broadcast_if_small(idf.select("term", "idf"))
-    w = tf.join(words, "term").select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("raw"))
+def _common_df(idf: DataFrame, max_rows: int, max_bytes: int) -> int:
+    """The least power of two such that the terms of so many documents or more are within the bounds; 1 if all terms are."""
+    power = F.floor(F.log2("df")).cast("int").alias("p")
+    sizes = idf.groupBy(power).agg(F.count(F.lit(1)).alias("n"), F.sum(_width(idf.select("term", "idf"))).alias("b")).collect()
+    rows = size = 0
+    for r in sorted(sizes, key=lambda r: -r["p"]):  # at most 64
+        rows, size = rows + r["n"], size + r["b"]
+        if rows > max_rows or size > max_bytes:
+            return 2 ** (r["p"] + 1)
+    return 1
+
+
+def _weights(tf: DataFrame, idf: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """tf * idf, L2-normalised per document. The vocabulary is sent to the tasks as far as its measured size allows,
+    commonest terms first, so that the per-document sum is a window over doc-partitioned counts (no extra exchange). Only
+    the counts of the rarer terms, few for each of them, go to their term and back to their document."""
+    idf = materialize(idf.select("term", "df", "idf"))
+    common = _common_df(idf, max_rows, max_bytes)
+    words = F.broadcast(idf.where(F.col("df") >= common).select("term", "idf"))
+    raw = lambda d: d.select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("raw"))
+    w = raw(tf.join(words, "term"))
+    if common > 1:
+        rare = tf.join(words, "term", "left_anti").join(idf.where(F.col("df") < common).select("term", "idf").hint("merge"), "term")
+        w = w.unionByName(raw(rare).repartition(shuffle_partitions(tf.sparkSession), "doc_id"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("doc_id")))
     return w.select("doc_id", "term", (F.col("raw") / norm).alias("weight"))
 
