@@ -185,9 +185,9 @@ def compact_postings_q(spark, sf_dir):
 
     path = io.scratch_path(spark, "postings")
     C.compact(I.term_frequency(views.works(spark, sf_dir), stop_words=P.stop_list(None)), POSTING_CHUNK).write.parquet(path)
-    rows = C.expand(spark.read.parquet(path)).groupBy("term", F.col("block").alias("chunk"))
+    rows = C.expand(spark.read.parquet(path), lists=True)  # a row is a whole block: nothing to gather
     entry = lambda s: F.concat(s["doc_id"].cast("string"), F.lit(":"), s["tf"].cast("string"))
-    return rows.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("doc_id", "tf"))), entry), " ").alias("postings"))
+    return rows.select("term", F.col("block").alias("chunk"), F.array_join(F.transform("postings", entry), " ").alias("postings"))
 
 
 @register("document_frequency")
