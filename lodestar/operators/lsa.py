@@ -2,11 +2,11 @@
 
 Randomized subspace iteration (Halko, Martinsson & Tropp 2011) kept distributed:
 
-* the matrix X stays in long form ``(doc_id, term, w)``;
 * the Gaussian test matrix is a pure function of (seed, term), generated where needed,
   so it is never built on the driver nor broadcast;
-* ``X @ M`` and ``X.T @ M`` of a fit go by blocks of documents (``Blocks``): a vector is sent once to each block
-  that has its term, and the entries are multiplied and added in numpy, a batch at a time. A single
+* a fit's products ``X (X.T Q)`` deal out columns (``sliced``): X is stored once by term, the vectors of terms are neither
+  moved nor written. The exact solver's ``X @ M`` and ``X.T @ M`` go by blocks of documents (``Blocks``): a vector is sent once to each
+  block that has its term, and the entries are multiplied and added in numpy, a batch at a time. A single
   product (``transform``) is a join on term plus a vector sum per key with ``Summarizer.sum``;
 * only r x r Gram matrices (r = k + oversampling) reach the driver, where they are
   eigendecomposed to orthonormalise the current basis. V (terms x k) stays a
@@ -25,14 +25,15 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
-from lodestar.llm.store import bounded_batches
+from lodestar.llm.store import BATCH_BYTES, bounded_batches, drop_stored
+from lodestar.operators import sliced
+from lodestar.operators.sliced import gaussian_rows, vector_rows
 from lodestar.session import materialize, shuffle_partitions
 
 OVERSAMPLE = 10
@@ -40,8 +41,8 @@ PASSES = 5
 REL_TOL = 1e-6
 # Partial Gram matrices that the driver adds up itself.
 GRAM_GROUPS = 32
-# Documents whose vectors a task holds, and bytes of the vectors that it works on at once.
-BLOCK_DOCS, BATCH_BYTES = 16_384, 8 << 20
+# Documents whose vectors a task holds.
+BLOCK_DOCS = 16_384
 
 
 @dataclass
@@ -52,25 +53,6 @@ class LsaModel:
     k: int
 
 
-def _splitmix(x: np.ndarray) -> np.ndarray:
-    z = x + np.uint64(0x9E3779B97F4A7C15)
-    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return z ^ (z >> np.uint64(31))
-
-
-def gaussian_rows(keys: np.ndarray, width: int, seed: int) -> np.ndarray:
-    """Standard normal rows, a deterministic function of (seed, key, column)."""
-    with np.errstate(over="ignore"):
-        base = keys.astype(np.uint64) * np.uint64(width * 2) + np.uint64(seed) * np.uint64(0x632BE59BD9B4E019)
-        cols = np.arange(width * 2, dtype=np.uint64)
-        bits = _splitmix(base[:, None] + cols[None, :])
-    u = (bits >> np.uint64(11)).astype(np.float64) * (1.0 / (1 << 53))
-    u = np.clip(u, 1e-300, 1.0)
-    u1, u2 = u[:, :width], u[:, width:]
-    return np.sqrt(-2.0 * np.log(u1)) * np.cos(2.0 * np.pi * u2)
-
-
 def test_matrix(X: DataFrame, width: int, seed: int) -> DataFrame:
     """Omega as ``(term, vec)`` over the distinct terms of X."""
 
@@ -127,15 +109,6 @@ def _vectors(col: pa.Array) -> np.ndarray:
     return flat.reshape(len(col), -1) if len(col) else np.zeros((0, 0))
 
 
-def _vector_rows(names: list[str], keys: list, m: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Batches of ``keys`` (arrays) and the rows of ``m``, of ``BATCH_BYTES`` or so."""
-    step = max(1, BATCH_BYTES // max(8, 8 * m.shape[1]))
-    for lo in range(0, len(m), step):
-        part = m[lo : lo + step]
-        vec = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1) * m.shape[1], pa.int32()), pa.array(part.ravel()))
-        yield pa.RecordBatch.from_arrays([*(k[lo : lo + step] for k in keys), vec], names=names)
-
-
 def _entries(batch: pa.RecordBatch, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """``(row, at, w)`` of a batch's entries, so many at a time that their products stay small."""
     n = batch.column("at").value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
@@ -176,7 +149,7 @@ def x_times(X: DataFrame | Blocks, M: DataFrame) -> DataFrame:
         while sums:
             block, (acc, seen) = sums.popitem()
             pos = np.flatnonzero(seen)
-            yield from _vector_rows(["block", "pos", "vec"], [pa.array(np.full(len(pos), block), pa.int32()), pa.array(pos, pa.int32())], acc[pos])
+            yield from vector_rows(["block", "pos", "vec"], [pa.array(np.full(len(pos), block), pa.int32()), pa.array(pos, pa.int32())], acc[pos])
 
     bounded_batches(M)
     met = X.packed.join(M.hint("merge"), "term").select("block", "at", "w", "vec")
@@ -211,7 +184,7 @@ def xt_times(X: DataFrame | Blocks, D: DataFrame) -> DataFrame:
                     of, at, w = of[there], at[there], w[there]
                     _add_by(out, of, held[at] * w[:, None])
                     any_[of] = True
-                yield from _vector_rows(["term", "vec"], [batch.column("term").filter(pa.array(any_))], out[any_])
+                yield from vector_rows(["term", "vec"], [batch.column("term").filter(pa.array(any_))], out[any_])
 
     bounded_batches(D)
     vectors = D.join(X.docs, "doc_id").select("block", F.lit(0).alias("kind"), "pos", "vec")
@@ -240,14 +213,14 @@ def _sum_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if last is not None and last[0].equals(terms[0]):
             vec = np.vstack([vec[:1] + rest, vec[1:]])
         elif last is not None:
-            yield from _vector_rows(["term", "vec"], [last], rest[None])
+            yield from vector_rows(["term", "vec"], [last], rest[None])
         differs = pc.not_equal(terms[1:], terms[:-1]).to_numpy(zero_copy_only=False)
         first = np.flatnonzero(np.append(True, differs))
         sums = np.add.reduceat(vec, first)
-        yield from _vector_rows(["term", "vec"], [terms.take(pa.array(first[:-1]))], sums[:-1])
+        yield from vector_rows(["term", "vec"], [terms.take(pa.array(first[:-1]))], sums[:-1])
         last, rest = terms[len(terms) - 1 :], sums[-1]
     if last is not None:
-        yield from _vector_rows(["term", "vec"], [last], rest[None])
+        yield from vector_rows(["term", "vec"], [last], rest[None])
 
 
 def _stack(vecs: pd.Series, width: int) -> np.ndarray:
@@ -269,12 +242,16 @@ def gram(D: DataFrame, width: int) -> np.ndarray:
         for pdf in batches:
             m = _stack(pdf["vec"], width)
             acc += m.T @ m
-        yield pd.DataFrame({"task": [TaskContext.get().partitionId()], "g": [acc.ravel()]})
+        yield pd.DataFrame({"g": [acc.ravel()]})
 
     bounded_batches(D)  # else a batch is 10,000 vectors, however wide
-    rows = D.select("vec").mapInPandas(part, "task int, g array<double>")
-    if D.rdd.getNumPartitions() > GRAM_GROUPS:
-        by = F.pmod("task", F.lit(GRAM_GROUPS))
+    return _summed(D.select("vec").mapInPandas(part, "g array<double>"), width)
+
+
+def _summed(rows: DataFrame, width: int) -> np.ndarray:
+    """The sum of matrices ``g``, one a task."""
+    if rows.rdd.getNumPartitions() > GRAM_GROUPS:
+        by = F.pmod(F.spark_partition_id(), F.lit(GRAM_GROUPS))
         rows = rows.groupBy(by).agg(vector_to_array(Summarizer.sum(array_to_vector(F.col("g")))).alias("g"))
     out = np.zeros(width * width)
     for row in rows.select("g").collect():
@@ -297,48 +274,54 @@ def times_small(D: DataFrame, key: str, M: np.ndarray) -> DataFrame:
     return D.select(key, mul(F.col("vec")).alias("vec"))
 
 
-def orthonormalise(D: DataFrame, key: str, width: int) -> tuple[DataFrame, int]:
-    """Q with orthonormal columns spanning D, via the eigendecomposition of D.T D.
-
-    D is checkpointed (eagerly, to the shared ``spark.checkpoint.dir``) so each iterate
-    starts from a short plan: iterating on an ever-growing lineage would make planning
-    quadratic, and a lost executor only costs the current iterate. Q is a projection of
-    the checkpointed D by one r x r literal. Negligible directions are dropped.
-    """
-    D = materialize(D, reliable=True)
-    g = gram(D, width)
-    lam, w = np.linalg.eigh(g)
+def _directions(g: np.ndarray) -> np.ndarray:
+    """M such that D M has orthonormal columns spanning D, from ``g`` = D.T D. Negligible directions are dropped."""
+    lam, w = np.linalg.eigh((g + g.T) / 2)
     order = np.argsort(lam)[::-1]
     lam, w = lam[order], w[:, order]
     keep = lam > (lam[0] if lam.size and lam[0] > 0 else 0.0) * 1e-12
-    if not keep.any():
-        return times_small(D, key, np.zeros((width, 0))), 0
-    return times_small(D, key, w[:, keep] / np.sqrt(lam[keep])), int(keep.sum())
+    return w[:, keep] / np.sqrt(lam[keep])
+
 
+def fit(X: DataFrame | sliced.TermRows, k: int, oversample: int = OVERSAMPLE, passes: int = PASSES, seed: int = 0, components: bool = True) -> LsaModel:
+    """M2: truncated SVD of X ``(doc_id, term, w)``, or what ``sliced.by_terms`` made of it, rank ``k`` (fewer when X has lower rank).
 
-def fit(X: DataFrame, k: int, oversample: int = OVERSAMPLE, passes: int = PASSES, seed: int = 0) -> LsaModel:
-    """M2: truncated SVD of X ``(doc_id, term, w)``, rank ``k`` (fewer when X has lower rank)."""
-    X = blocks(X)
+    The basis is Q = Y M, Y being stored and M small. Iterates are written to the shared ``spark.checkpoint.dir``, so each starts
+    from a short plan and a lost executor costs the current one; the one before is deleted. ``components=False`` is for
+    callers that want the documents' vectors alone: V has no rows, and the stored X is deleted.
+    """
+    X = X if isinstance(X, sliced.TermRows) else sliced.by_terms(X)
     r = k + oversample
-    Q, width = orthonormalise(x_times(X, test_matrix(X.packed, r, seed)), "doc_id", r)
-    n_docs, n_terms = X.n_docs, X.n_terms
+    Y = sliced.start(X, r, seed)
+    M = _directions(_summed(sliced.squares(Y, np.eye(r)), r))
     for _ in range(passes):
-        if width >= n_docs or r >= n_terms:
+        width = M.shape[1]
+        if not width or width >= X.n_docs or r >= X.n_terms:
             break  # Q already spans the column space of X: further passes cannot change it
-        Z, zw = orthonormalise(xt_times(X, Q), "term", width)
-        Q, width = orthonormalise(x_times(X, Z), "doc_id", zw)
-    Bt = materialize(xt_times(X, Q), reliable=True)  # (term, vec) = (Q.T X).T
-    g = gram(Bt, width)  # B B.T
-    lam, w = np.linalg.eigh(g)
+        last, Y = Y, sliced.step(X, Y, M)
+        drop_stored(last)
+        # Z = X.T Q is made orthonormal first, by Z.T Z = Q.T X X.T Q, then X Z
+        Z = _directions(_summed(Y.select("g").where("g is not null"), width))
+        M = Z @ _directions(_summed(sliced.squares(Y, Z), Z.shape[1]))
+    width = M.shape[1]
+    if not width:
+        none = F.array().cast("array<double>").alias("vec")
+        return LsaModel(np.zeros(0), X.rows.where("whole").select(F.explode("terms").alias("term"), none), X.docs.select("doc_id", none), 0)
+    g = _summed(sliced.inner(X, Y, M), width)  # B B.T, B = Q.T X
+    lam, w = np.linalg.eigh((g + g.T) / 2)
     order = np.argsort(lam)[::-1]
     lam, w = np.clip(lam[order], 0.0, None), w[:, order]
     sigma = np.sqrt(lam)
     keep = sigma > (sigma[0] if sigma.size else 0.0) * REL_TOL
     keep[k:] = False
     sigma, w = sigma[keep], w[:, keep]
-    # both derive from checkpointed iterates by one small product: persisting is enough
-    comps = materialize(times_small(Bt, "term", w / sigma))  # V = B.T U~ / sigma
-    docs = materialize(times_small(Q, "doc_id", w * sigma))  # U sigma = Q U~ sigma
+    # both derive from stored iterates by one small product: persisting is enough
+    docs = materialize(sliced.of_docs(X, Y, M @ (w * sigma)))  # U sigma = Q U~ sigma
+    if components:
+        comps = materialize(sliced.of_terms(X, Y, M @ (w / sigma)))  # V = B.T U~ / sigma
+    else:
+        comps = X.rows.sparkSession.createDataFrame([], StructType([StructField("term", X.rows.schema["terms"].dataType.elementType), *StructType.fromDDL("vec array<double>").fields]))
+        drop_stored(X.rows)
     return LsaModel(sigma, comps, docs, int(keep.sum()))
 
 

@@ -25,6 +25,13 @@ class TfidfModel:
     idf: DataFrame  # term, df, idf  (the fitted vocabulary)
     n_docs: int
     stop_words: Sequence[str] | None
+    counts: DataFrame | None = None  # doc_id, term, tf of the corpus, where they are kept
+
+    def let_go(self) -> None:
+        """Kept tables are dropped; what still has to be read of them is worked out again."""
+        for df in (self.idf, self.counts):
+            if df is not None:
+                df.unpersist()
 
 
 def counts(docs: DataFrame, id_col: str, text_col: str, stop_words: Sequence[str] | None) -> DataFrame:
@@ -56,13 +63,13 @@ def _weights(tf: DataFrame, idf: DataFrame, max_rows: int = DEFAULT_BROADCAST_RO
     idf = materialize(idf.select("term", "df", "idf"))
     common = _common_df(idf, max_rows, max_bytes)
     words = F.broadcast(idf.where(F.col("df") >= common).select("term", "idf"))
-    raw = lambda d: d.select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("raw"))
+    raw = lambda d: d.select("doc_id", "term", "tf", (F.col("tf") * F.col("idf")).alias("raw"))
     w = raw(tf.join(words, "term"))
     if common > 1:
         rare = tf.join(words, "term", "left_anti").join(idf.where(F.col("df") < common).select("term", "idf").hint("merge"), "term")
         w = w.unionByName(raw(rare).repartition(shuffle_partitions(tf.sparkSession), "doc_id"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("doc_id")))
-    return w.select("doc_id", "term", (F.col("raw") / norm).alias("weight"))
+    return w.select("doc_id", "term", "tf", "raw", norm.alias("norm")).select("doc_id", "term", (F.col("raw") / F.col("norm")).alias("weight"), "tf", "norm")
 
 
 def fit(docs: DataFrame, id_col: str = "id", text_col: str = "description", stop_words: Sequence[str] | None = None) -> TfidfModel:
@@ -78,7 +85,7 @@ def fit_transform(
     """Fit on ``docs`` and return their vectors from the same (persisted) counts: one tokenising pass."""
     tf = materialize(counts(docs, id_col, text_col, stop_words))
     n = docs.count()
-    model = TfidfModel(materialize(_idf_from_counts(tf, n)), n, stop_words)
+    model = TfidfModel(materialize(_idf_from_counts(tf, n)), n, stop_words, tf)
     return model, _weights(tf, model.idf)
 
 

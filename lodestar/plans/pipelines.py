@@ -187,13 +187,22 @@ def joint_lsa(
     """M5: one vocabulary and one SVD fitted on seeds + works; both sides projected and the
     nearest work per seed taken in LSA space. Output: seed_id, doc_id, score."""
     from lodestar.operators import lsa as L
+    from lodestar.operators import sliced
     from lodestar.operators.dense import dense_cosine_topk
 
-    sw = stop_list(stop_words)
-    _, vecs = TF.fit_transform(_both_sides(seeds, works), stop_words=sw)
-    svd = L.fit(vecs.select("doc_id", "term", F.col("weight").alias("w")), k, passes=passes, seed=seed)
+    both = _both_sides(seeds, works)
+    kind = both.schema["id"].dataType["id"].dataType.simpleString()
+    # a short text is kept in a third of a struct's bytes; there is a row of it for each term of a document
+    key = F.concat("id.side", F.coalesce(F.col("id.id").cast("string"), F.lit("")))
+    model, vecs = TF.fit_transform(both.select(key.alias("id"), "description"), stop_words=stop_list(stop_words))
+    # the weights as counts, idf and norms: the matrix is moved and kept in a third of the bytes
+    X = sliced.by_terms(vecs.select("doc_id", "term", F.col("tf").alias("n"), "norm"), model.idf.select("term", F.col("idf").alias("scale")))
+    model.let_go()
+    del model, vecs
+    svd = L.fit(X, k, passes=passes, seed=seed, components=False)
     # the fitted documents are already projected: no second pass over either corpus
-    side = lambda x: svd.doc_vectors.where(F.col("doc_id.side") == x).select(F.col("doc_id.id").alias("doc_id"), "vec")
+    own = F.expr(f"try_cast(nullif(substring(doc_id, 2), '') as {kind})").alias("doc_id")
+    side = lambda x: svd.doc_vectors.where(F.col("doc_id").startswith(x)).select(own, "vec")
     sv, wv = side("s"), side("w")
     hits = dense_cosine_topk(sv, wv, 1, "doc_id", "vec", "doc_id", "vec")
     return hits.select(F.col("query_id").alias("seed_id"), "doc_id", "score")

@@ -78,10 +78,21 @@ def materialize(df: DataFrame, reliable: bool = False) -> DataFrame:
     """
     if reliable:
         ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
+        return _size_forgotten(df.checkpoint(eager=True))
     return df.persist(StorageLevel.MEMORY_AND_DISK_DESER)
 
 
+def _size_forgotten(df: DataFrame) -> DataFrame:
+    """A checkpointed table without the optimizer's guess of its bytes, where this is past any that could be.
+
+    A checkpoint keeps the guess, a join's is the product of its sides': it has twice the digits after each step of an
+    iteration that joins a table to one made of it, until the number itself cannot be held."""
+    if df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 1 << 63:
+        return df
+    spark = df.sparkSession
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(df._jdf.queryExecution().toRdd(), df._jdf.schema(), False), spark)
+
+
 def _width(df: DataFrame):
     """About how many bytes a row has: lengths of strings and arrays, eight for anything else."""
     from pyspark.sql import types as T

@@ -339,3 +339,66 @@ def test_products_by_blocks_match_numpy(spark):
     xd = L.xt_times(X, vec([(i, D[i].tolist()) for i in some], "doc_id long")).collect()
     assert sorted(place[r["term"]] for r in xd) == [j for j in range(23) if m[some, j].any()]
     assert max(abs(np.array(r["vec"]) - m[some].T[place[r["term"]]] @ D[some]).max() for r in xd) < 1e-12
+
+
+@pytest.mark.parametrize("counted", [False, True])
+def test_sliced_products(spark, monkeypatch, counted):
+    """Terms cut over many rows, blocks of few documents, a document without id, weights as they are or as counts."""
+    from lodestar.operators import sliced
+
+    monkeypatch.setattr(sliced, "ROW_ENTRIES", 7)
+    monkeypatch.setattr(sliced, "BLOCK_DOCS", 4)
+    rng = np.random.default_rng(5)
+    n, v, width = 30, 40, 20
+    tf = rng.integers(1, 300, size=(n, v)) * (rng.random((n, v)) < 0.3)
+    tf[:, 0] = 1  # a term of every document, in more than one row
+    scale, norm = rng.random(v) + 0.5, rng.random(n) + 0.5
+    m = tf * scale / norm[:, None]
+    ids = [None, *range(1, n)]
+    cells = [(ids[i], f"t{j}", int(tf[i, j]), float(norm[i]), float(m[i, j])) for i, j in zip(*np.nonzero(tf))]
+    rows = spark.createDataFrame(cells, "doc_id long, term string, n long, norm double, w double")
+    scales = spark.createDataFrame([(f"t{j}", float(scale[j])) for j in range(v)], "term string, scale double") if counted else None
+    X = sliced.by_terms(rows, scales)
+    assert (X.n_docs, X.n_terms) == (n, v)
+    assert X.rows.where("not whole").count() > 0
+    start = sliced.start(X, width, 3)
+    M = rng.normal(size=(width, 9))
+    table = lambda df: {r[0]: np.array(r[1]) for r in df.collect()}
+    y = table(sliced.of_docs(X, start, np.eye(width)))
+    keys = {r["term"]: np.array([r["k"]]).astype(np.int64).view(np.uint64) for r in X.rows.selectExpr("explode(terms) as term").distinct().selectExpr("term", "xxhash64(term) as k").collect()}
+    omega = np.vstack([sliced.gaussian_rows(keys[f"t{j}"], width, 3) for j in range(v)])
+    whole = np.vstack([y[i] for i in ids])
+    np.testing.assert_allclose(whole, m @ omega, rtol=1e-12, atol=1e-9)
+    q = whole @ M
+    known = np.vstack([np.zeros(9), q[1:]])  # a null equals no id
+    g = sum(np.array(r["g"]) for r in sliced.inner(X, start, M).collect()).reshape(9, 9)
+    np.testing.assert_allclose(g, known.T @ m @ m.T @ known, rtol=1e-9)
+    after = table(sliced.of_docs(X, sliced.step(X, start, M), np.eye(9)))
+    np.testing.assert_allclose(np.vstack([after[i] for i in ids]), m @ (m.T @ known), rtol=1e-9)
+    terms = table(sliced.of_terms(X, start, M))
+    np.testing.assert_allclose(np.vstack([terms[f"t{j}"] for j in range(v)]), m.T @ known, rtol=1e-9)
+
+
+def test_lsa_fit_writes_no_vectors_of_terms(spark):
+    """A vocabulary of many terms of one document each: what a fit writes is less than one vector for each term."""
+    import pathlib
+    from urllib.parse import urlparse
+
+    folder = pathlib.Path(urlparse(spark.sparkContext.getCheckpointDir()).path)
+    size = lambda: sum(f.stat().st_size for f in folder.rglob("*") if f.is_file())
+    rows = [(d, f"own{d}_{j}", 0.1 + j / 100) for d in range(60) for j in range(150)] + [(d, f"t{(d + j) % 20}", 0.5) for d in range(60) for j in range(5)]
+    before = size()
+    model = L.fit(spark.createDataFrame(rows, "doc_id long, term string, w double"), 20, passes=2)
+    assert model.k == 20 and model.doc_vectors.count() == 60
+    assert size() - before < 60 * 150 * (20 + L.OVERSAMPLE) * 8
+
+
+def test_joint_lsa_null_ids(spark):
+    """Ids of either side that are null stay apart, and come back as null."""
+    from lodestar.plans import pipelines as P
+
+    text = ["red apple tree", "blue river stone", "green field grass"]
+    seeds = spark.createDataFrame([(None, text[0]), (1, text[1])], "id long, description string")
+    works = spark.createDataFrame([(None, text[1]), (1, text[0]), (7, text[2])], "id long, description string")
+    got = {r["seed_id"]: (r["doc_id"], r["score"]) for r in P.joint_lsa(seeds, works, k=4).collect()}
+    assert got == {None: (1, 1.0), 1: (None, 1.0)}
