@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from lodestar.operators.index import InvertedIndex, query_norms
 from lodestar.operators.similarity import KEYWORDS, TOP_K, cosine_scores, dot_contribution, dot_scores, salted_term_join, top_k_per_seed, top_keywords
-from lodestar.session import bounded_rows, materialize
+from lodestar.session import bounded_rows, materialize, shuffle_partitions
 
 # Documents of a block, and terms of a seed that are scored for its threshold.
 BLOCK_DOCS, FIRST_TERMS = 64, 6
@@ -63,44 +63,77 @@ def _cut(df: DataFrame) -> DataFrame:
 
 
 def survivors(index: InvertedIndex, qterms: DataFrame, k: int = TOP_K, block_docs: int = BLOCK_DOCS, first_terms: int = FIRST_TERMS, broadcast_rows: int = SENT_ROWS) -> Pruned:
-    """The (seed, document) pairs among which are the ``k`` best of each seed."""
-    blocks = max(1, -(-index.n_docs // block_docs))
-    u = (F.col("tf") * F.abs("idf") / F.col("norm")).alias("u")
-    impacts = index.weights.join(index.norms.where("norm > 0").hint("shuffle_hash"), "doc_id")
-    impacts = materialize(impacts.select("doc_id", "term", "df", u, F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block")))
-    by_block = materialize(impacts.groupBy("term", "block").agg(F.max("u").alias("most")))
-    by_term = by_block.groupBy("term").agg(F.max("most").alias("most"))
+    """The (seed, document) pairs among which are the ``k`` best of each seed.
+
+    Nothing of the size of the postings is kept or shuffled beside them: each step reads the terms it needs of them anew. A block's documents
+    are in one partition of the postings (``block`` goes by the hash that deals documents out, to a multiple of its
+    partitions), so the greatest impacts of its terms are found there."""
+    parts = shuffle_partitions(qterms.sparkSession)
+    blocks = parts * max(1, -(-index.n_docs // (block_docs * parts)))
+    block = F.pmod(F.hash("doc_id"), F.lit(blocks)).cast("int").alias("block")
+    norms = materialize(index.norms)
+    lengths = norms.where("norm > 0").hint("shuffle_hash")
+
+    def impacts(words: DataFrame) -> DataFrame:
+        """``(doc_id, term, df, u, block)`` of the postings of ``words`` (term, df, idf)."""
+        u = (F.col("tf") * F.abs("idf") / F.col("norm")).alias("u")
+        return index.postings.join(_small(words.distinct(), broadcast_rows), "term").join(lengths, "doc_id").select("doc_id", "term", "df", u, block)
 
     seeds = query_norms(qterms).where("qnorm > 0")
-    q = qterms.join(seeds, "seed_id").select("seed_id", "term", "df", (F.col("qtf") * F.abs("idf") / F.col("qnorm")).alias("w"))
+    w = (F.col("qtf") * F.abs("idf") / F.col("qnorm")).alias("w")
+    asked = _cut(qterms.join(seeds, "seed_id").select("seed_id", "term", "df", "idf", w))
+    by_term = impacts(asked.select("term", "df", "idf")).groupBy("term").agg(F.max("u").alias("most"))
     order = Window.partitionBy("seed_id").orderBy(F.col("bound").desc(), "term")
-    q = q.join(by_term, "term").withColumn("bound", F.col("w") * F.col("most")).drop("most")
+    q = asked.join(by_term, "term").withColumn("bound", F.col("w") * F.col("most")).drop("most")
     onward = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     q = _cut(q.withColumn("place", F.row_number().over(order)).withColumn("onward", F.sum("bound").over(onward)))
 
-    first = q.where(F.col("place") <= first_terms).select("seed_id", "term", "w", "df")
-    partial = _meet(impacts, first, index.n_docs, broadcast_rows)
-    partial = partial.groupBy("doc_id", "seed_id").agg(F.sum(F.col("u") * F.col("w")).alias("score"))
-    best = top_k_per_seed(partial, k).where(F.col("rank") == k)
-    least = _cut(best.select("seed_id", (F.col("score") - ROOM).alias("least")))  # none: every shared term counts
+    def sums(terms: DataFrame) -> DataFrame:
+        """What the postings of these query terms add to each score: ``(doc_id, seed_id, block, a)``."""
+        met = _meet(impacts(terms.select("term", "df", "idf")), terms.select("seed_id", "term", "w", "df"), index.n_docs, broadcast_rows)
+        return met.groupBy("doc_id", "seed_id", "block").agg(F.sum(F.col("u") * F.col("w")).alias("a"))
+
+    def kth(partial: DataFrame) -> DataFrame:
+        """The k-th of these sums for each seed, which a document among the k best reaches."""
+        best = top_k_per_seed(partial.select("seed_id", "doc_id", F.col("a").alias("score")), k).where(F.col("rank") == k)
+        return best.select("seed_id", (F.col("score") - ROOM).alias("least"))
+
+    least = _cut(kth(sums(q.where(F.col("place") <= first_terms))))  # none: every shared term counts
     q = _cut(q.join(least, "seed_id", "left").withColumn("needed", F.col("least").isNull() | (F.col("onward") >= F.col("least"))))
 
-    needed = q.where("needed").select("seed_id", "term", "w", "df")
-    some = materialize(_meet(impacts, needed, index.n_docs, broadcast_rows).groupBy("doc_id", "seed_id", "block").agg(F.sum(F.col("u") * F.col("w")).alias("a")))
-    # these sums are nearer to the scores than the first ones: their k-th is a higher threshold
-    higher = top_k_per_seed(some.select("seed_id", "doc_id", F.col("a").alias("score")), k).where(F.col("rank") == k).select("seed_id", (F.col("score") - ROOM).alias("higher"))
+    # these sums are nearer to the scores than the first ones: their k-th is a higher threshold. There is one for most pairs of a
+    # seed and a document, so they are summed once for the threshold and again to compare them with it, not kept
+    some = sums(q.where("needed"))
+    higher = kth(some).withColumnRenamed("least", "higher")
     least = least.join(higher, "seed_id", "left").select("seed_id", F.greatest("least", "higher").alias("least"))
     more = q.where("not needed").groupBy("seed_id").agg(F.sum("bound").alias("more"))
     limits = _cut(least.join(more, "seed_id", "left").fillna(0.0, ["more"]))
     reach = some.join(_small(limits, broadcast_rows), "seed_id", "left")
     reach = reach.where(F.col("least").isNull() | (F.col("a") + F.col("more") >= F.col("least")))
-    rest = by_block.join(_small(q.where("not needed").select("seed_id", "term", "w"), broadcast_rows), "term")
+    plain = q.where("not needed")
+    by_block = impacts(plain.select("term", "df", "idf")).groupBy("term", "block").agg(F.max("u").alias("most"))
+    rest = by_block.join(_small(plain.select("seed_id", "term", "w"), broadcast_rows), "term")
     rest = _cut(rest.groupBy("seed_id", "block").agg(F.sum(F.col("w") * F.col("most")).alias("rest")))
     reach = reach.join(_small(rest, broadcast_rows), ["seed_id", "block"], "left")
     stay = _cut(reach.where(F.col("least").isNull() | (F.col("a") + F.coalesce("rest", F.lit(0.0)) >= F.col("least"))).select("seed_id", "doc_id"))
-    sums = q.agg(F.sum("df").alias("every"), F.sum(F.when(F.col("place") <= first_terms, F.col("df")).otherwise(0)).alias("first"), F.sum(F.when(F.col("needed"), F.col("df")).otherwise(0)).alias("essential"))
-    scored = impacts.join(stay.join(qterms.select("seed_id", "term"), "seed_id"), ["doc_id", "term"]).agg(F.count(F.lit(1)))
-    return Pruned(stay, sums.withColumn("rest", scored.scalar()))
+    work = q.agg(F.sum("df").alias("every"), F.sum(F.when(F.col("place") <= first_terms, F.col("df")).otherwise(0)).alias("first"), F.sum(F.when(F.col("needed"), F.col("df")).otherwise(0)).alias("essential"))
+    every = impacts(asked.select("term", "df", "idf"))
+    scored = every.join(stay.join(qterms.select("seed_id", "term"), "seed_id"), ["doc_id", "term"]).agg(F.count(F.lit(1)))
+    return Pruned(stay, work.withColumn("rest", scored.scalar()))
+
+
+def _matches(index: InvertedIndex, qterms: DataFrame, stay: DataFrame, broadcast_rows: int) -> DataFrame:
+    """``(seed_id, doc_id, term, contrib, qnorm)`` of the pairs that stay."""
+    contrib = dot_contribution(F.col("tf"), F.col("idf"), F.col("qtf")).alias("contrib")
+    terms = materialize(qterms.join(query_norms(qterms), "seed_id").select("seed_id", "term", "qtf", "qnorm", "idf"))
+    if bounded_rows(terms, broadcast_rows, SENT_BYTES):
+        # a document's seeds go to its postings, which stay where they are
+        seeds = stay.groupBy("doc_id").agg(F.collect_set("seed_id").alias("_seeds"))
+        met = index.postings.join(seeds.hint("shuffle_hash"), "doc_id").join(F.broadcast(terms), "term").where(F.array_contains("_seeds", F.col("seed_id")))
+    else:
+        wanted = materialize(stay.join(terms.drop("idf"), "seed_id"))
+        met = index.weights.join(_small(wanted, broadcast_rows), ["doc_id", "term"])
+    return met.select("seed_id", "doc_id", "term", contrib, "qnorm")
 
 
 def similar_documents(index: InvertedIndex, qterms: DataFrame, k: int = TOP_K, n_keywords: int = KEYWORDS, broadcast_rows: int = SENT_ROWS, **bounds) -> DataFrame:
@@ -109,11 +142,7 @@ def similar_documents(index: InvertedIndex, qterms: DataFrame, k: int = TOP_K, n
     ``(seed_id, doc_id, rank, score, keywords, cosine)``; scores are summed and rounded as there, over the documents that stay.
     """
     stay = survivors(index, qterms, k, broadcast_rows=broadcast_rows, **bounds).survivors
-    terms = qterms.join(query_norms(qterms), "seed_id").select("seed_id", "term", "qtf", "qnorm")
-    wanted = materialize(stay.join(terms, "seed_id"))
-    wanted = _small(wanted, broadcast_rows)
-    contrib = dot_contribution(F.col("tf"), F.col("idf"), F.col("qtf")).alias("contrib")
-    matches = index.weights.join(wanted, ["doc_id", "term"]).select("seed_id", "doc_id", "term", contrib, "qnorm")
+    matches = _matches(index, qterms, stay, broadcast_rows)
     top = materialize(top_k_per_seed(cosine_scores(dot_scores(matches), index.norms), k))
     if n_keywords <= 0:
         return top.withColumn("keywords", F.lit("")).select("seed_id", "doc_id", "rank", "score", "keywords", "cosine")
