@@ -2,12 +2,13 @@
 
 Randomized subspace iteration (Halko, Martinsson & Tropp 2011) kept distributed:
 
+* the matrix X stays in long form ``(doc_id, term, w)``;
 * the Gaussian test matrix is a pure function of (seed, term), generated where needed,
   so it is never built on the driver nor broadcast;
-* a fit's products ``X (X.T Q)`` deal out columns (``sliced``): X is stored once by term, the vectors of terms are neither
-  moved nor written. The exact solver's ``X @ M`` and ``X.T @ M`` go by blocks of documents (``Blocks``): a vector is sent once to each
-  block that has its term, and the entries are multiplied and added in numpy, a batch at a time. A single
+* ``X @ M`` and ``X.T @ M`` of a fit go by blocks of documents (``Blocks``): a vector is sent once to each block
+  that has its term, and the entries are multiplied and added in numpy, a batch at a time. A single
   product (``transform``) is a join on term plus a vector sum per key with ``Summarizer.sum``;
+* the fit of a large X (``sliced``) deals out columns: X is stored once by term, the vectors of terms are neither moved nor written;
 * only r x r Gram matrices (r = k + oversampling) reach the driver, where they are
   eigendecomposed to orthonormalise the current basis. V (terms x k) stays a
   distributed table ``(term, vec)`` and U a table ``(doc_id, vec)``.
@@ -245,12 +246,12 @@ def gram(D: DataFrame, width: int) -> np.ndarray:
         yield pd.DataFrame({"g": [acc.ravel()]})
 
     bounded_batches(D)  # else a batch is 10,000 vectors, however wide
-    return _summed(D.select("vec").mapInPandas(part, "g array<double>"), width)
+    return _summed(D.select("vec").mapInPandas(part, "g array<double>"), width, D.rdd.getNumPartitions())
 
 
-def _summed(rows: DataFrame, width: int) -> np.ndarray:
+def _summed(rows: DataFrame, width: int, tasks: int) -> np.ndarray:
     """The sum of matrices ``g``, one a task."""
-    if rows.rdd.getNumPartitions() > GRAM_GROUPS:
+    if tasks > GRAM_GROUPS:
         by = F.pmod(F.spark_partition_id(), F.lit(GRAM_GROUPS))
         rows = rows.groupBy(by).agg(vector_to_array(Summarizer.sum(array_to_vector(F.col("g")))).alias("g"))
     out = np.zeros(width * width)
@@ -274,6 +275,55 @@ def times_small(D: DataFrame, key: str, M: np.ndarray) -> DataFrame:
     return D.select(key, mul(F.col("vec")).alias("vec"))
 
 
+def orthonormalise(D: DataFrame, key: str, width: int) -> tuple[DataFrame, int]:
+    """Q with orthonormal columns spanning D, via the eigendecomposition of D.T D.
+
+    D is checkpointed (eagerly, to the shared ``spark.checkpoint.dir``) so each iterate
+    starts from a short plan: iterating on an ever-growing lineage would make planning
+    quadratic, and a lost executor only costs the current iterate. Q is a projection of
+    the checkpointed D by one r x r literal. Negligible directions are dropped.
+    """
+    D = materialize(D, reliable=True)
+    g = gram(D, width)
+    lam, w = np.linalg.eigh(g)
+    order = np.argsort(lam)[::-1]
+    lam, w = lam[order], w[:, order]
+    keep = lam > (lam[0] if lam.size and lam[0] > 0 else 0.0) * 1e-12
+    if not keep.any():
+        return times_small(D, key, np.zeros((width, 0))), 0
+    return times_small(D, key, w[:, keep] / np.sqrt(lam[keep])), int(keep.sum())
+
+
+def fit(X: DataFrame | sliced.TermRows, k: int, oversample: int = OVERSAMPLE, passes: int = PASSES, seed: int = 0, components: bool = True) -> LsaModel:
+    """M2: truncated SVD of X ``(doc_id, term, w)``, rank ``k`` (fewer when X has lower rank).
+
+    A large X is given as ``sliced.by_terms`` stores it: its fit writes no vectors of terms, unless V is wanted (``components``)."""
+    if isinstance(X, sliced.TermRows):
+        return _fit_terms(X, k, oversample, passes, seed, components)
+    X = blocks(X)
+    r = k + oversample
+    Q, width = orthonormalise(x_times(X, test_matrix(X.packed, r, seed)), "doc_id", r)
+    n_docs, n_terms = X.n_docs, X.n_terms
+    for _ in range(passes):
+        if width >= n_docs or r >= n_terms:
+            break  # Q already spans the column space of X: further passes cannot change it
+        Z, zw = orthonormalise(xt_times(X, Q), "term", width)
+        Q, width = orthonormalise(x_times(X, Z), "doc_id", zw)
+    Bt = materialize(xt_times(X, Q), reliable=True)  # (term, vec) = (Q.T X).T
+    g = gram(Bt, width)  # B B.T
+    lam, w = np.linalg.eigh(g)
+    order = np.argsort(lam)[::-1]
+    lam, w = np.clip(lam[order], 0.0, None), w[:, order]
+    sigma = np.sqrt(lam)
+    keep = sigma > (sigma[0] if sigma.size else 0.0) * REL_TOL
+    keep[k:] = False
+    sigma, w = sigma[keep], w[:, keep]
+    # both derive from checkpointed iterates by one small product: persisting is enough
+    comps = materialize(times_small(Bt, "term", w / sigma))  # V = B.T U~ / sigma
+    docs = materialize(times_small(Q, "doc_id", w * sigma))  # U sigma = Q U~ sigma
+    return LsaModel(sigma, comps, docs, int(keep.sum()))
+
+
 def _directions(g: np.ndarray) -> np.ndarray:
     """M such that D M has orthonormal columns spanning D, from ``g`` = D.T D. Negligible directions are dropped."""
     lam, w = np.linalg.eigh((g + g.T) / 2)
@@ -283,17 +333,14 @@ def _directions(g: np.ndarray) -> np.ndarray:
     return w[:, keep] / np.sqrt(lam[keep])
 
 
-def fit(X: DataFrame | sliced.TermRows, k: int, oversample: int = OVERSAMPLE, passes: int = PASSES, seed: int = 0, components: bool = True) -> LsaModel:
-    """M2: truncated SVD of X ``(doc_id, term, w)``, or what ``sliced.by_terms`` made of it, rank ``k`` (fewer when X has lower rank).
-
-    The basis is Q = Y M, Y being stored and M small. Iterates are written to the shared ``spark.checkpoint.dir``, so each starts
-    from a short plan and a lost executor costs the current one; the one before is deleted. ``components=False`` is for
-    callers that want the documents' vectors alone: V has no rows, and the stored X is deleted.
+def _fit_terms(X: sliced.TermRows, k: int, oversample: int, passes: int, seed: int, components: bool) -> LsaModel:
+    """The same fit by ``sliced`` products. The basis is Q = Y M, Y being stored and M small. Iterates are written to the shared ``spark.checkpoint.dir``, so each starts
+    from a short plan and a lost executor costs the current one; the one before is deleted. Without ``components`` V has no
+    rows, and the stored X is deleted.
     """
-    X = X if isinstance(X, sliced.TermRows) else sliced.by_terms(X)
     r = k + oversample
     Y = sliced.start(X, r, seed)
-    M = _directions(_summed(sliced.squares(Y, np.eye(r)), r))
+    M = _directions(_summed(sliced.squares(Y, np.eye(r)), r, Y.rdd.getNumPartitions()))
     for _ in range(passes):
         width = M.shape[1]
         if not width or width >= X.n_docs or r >= X.n_terms:
@@ -301,13 +348,13 @@ def fit(X: DataFrame | sliced.TermRows, k: int, oversample: int = OVERSAMPLE, pa
         last, Y = Y, sliced.step(X, Y, M)
         drop_stored(last)
         # Z = X.T Q is made orthonormal first, by Z.T Z = Q.T X X.T Q, then X Z
-        Z = _directions(_summed(Y.select("g").where("g is not null"), width))
-        M = Z @ _directions(_summed(sliced.squares(Y, Z), Z.shape[1]))
+        Z = _directions(_summed(Y.select("g").where("g is not null"), width, X.n_tasks))
+        M = Z @ _directions(_summed(sliced.squares(Y, Z), Z.shape[1], Y.rdd.getNumPartitions()))
     width = M.shape[1]
     if not width:
         none = F.array().cast("array<double>").alias("vec")
         return LsaModel(np.zeros(0), X.rows.where("whole").select(F.explode("terms").alias("term"), none), X.docs.select("doc_id", none), 0)
-    g = _summed(sliced.inner(X, Y, M), width)  # B B.T, B = Q.T X
+    g = _summed(sliced.inner(X, Y, M), width, X.n_tasks)  # B B.T, B = Q.T X
     lam, w = np.linalg.eigh((g + g.T) / 2)
     order = np.argsort(lam)[::-1]
     lam, w = np.clip(lam[order], 0.0, None), w[:, order]

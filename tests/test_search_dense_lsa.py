@@ -384,13 +384,22 @@ def test_lsa_fit_writes_no_vectors_of_terms(spark):
     import pathlib
     from urllib.parse import urlparse
 
+    from lodestar.operators import sliced
+
     folder = pathlib.Path(urlparse(spark.sparkContext.getCheckpointDir()).path)
     size = lambda: sum(f.stat().st_size for f in folder.rglob("*") if f.is_file())
-    rows = [(d, f"own{d}_{j}", 0.1 + j / 100) for d in range(60) for j in range(150)] + [(d, f"t{(d + j) % 20}", 0.5) for d in range(60) for j in range(5)]
+    rows = [(d, f"own{d}_{j}", (0.1 + j / 100) * (1 + d / 30)) for d in range(60) for j in range(150)] + [(d, f"t{(d + j) % 20}", 0.5) for d in range(60) for j in range(5)]
     before = size()
-    model = L.fit(spark.createDataFrame(rows, "doc_id long, term string, w double"), 20, passes=2)
-    assert model.k == 20 and model.doc_vectors.count() == 60
+    X = spark.createDataFrame(rows, "doc_id long, term string, w double")
+    model = L.fit(sliced.by_terms(X), 20, passes=2)
+    assert model.doc_vectors.count() == 60
     assert size() - before < 60 * 150 * (20 + L.OVERSAMPLE) * 8
+    by_blocks = L.fit(X, 20, passes=2)
+    np.testing.assert_allclose(model.sigma, by_blocks.sigma, rtol=1e-9)
+    v, same = (np.vstack([r["vec"] for r in m.components.orderBy("term").collect()]) for m in (model, by_blocks))
+    assert v.shape == (60 * 150 + 20, 20)
+    np.testing.assert_allclose(v.T @ v, np.eye(20), atol=1e-8)
+    np.testing.assert_allclose(v * model.sigma**2 @ v[:50].T, same * model.sigma**2 @ same[:50].T, atol=1e-8)
 
 
 def test_joint_lsa_null_ids(spark):
